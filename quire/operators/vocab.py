@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 from ..functions.text import tokenize
 
 
-def _first_occurrence_pairs(tokens: Column) -> Column:
-    """array<struct<word, first>> with ``first`` true once per distinct word."""
-    s = F.array_sort(tokens)
+def _first_occurrence_pairs(s: Column) -> Column:
+    """array<struct<word, first>> with ``first`` true once per distinct word;
+    ``s`` must be a *sorted* token array (materialised once, see below)."""
     prev = F.slice(F.concat(F.array(F.lit(None).cast("string")), s), 1, F.size(s))
     return F.zip_with(s, prev, lambda w, p: F.struct(
         w.alias("word"), (p.isNull() | (p != w)).alias("first")))
@@ -26,7 +26,10 @@ def _first_occurrence_pairs(tokens: Column) -> Column:
 
 def word_frequencies(docs: DataFrame, tokens: str = "tokens") -> DataFrame:
     """AGG-1: ``(word, tf, df)`` over a DataFrame holding a token array column."""
-    pairs = docs.select(F.explode(_first_occurrence_pairs(F.col(tokens))).alias("p"))
+    # sort_array (native ordering) in its own projection so the Generate
+    # below refers to it as an attribute instead of re-sorting per use
+    srt = docs.select(F.sort_array(F.col(tokens)).alias("_s"))
+    pairs = srt.select(F.explode(_first_occurrence_pairs(F.col("_s"))).alias("p"))
     return (pairs.groupBy(F.col("p.word").alias("word"))
             .agg(F.count(F.lit(1)).alias("tf"),
                  F.count_if(F.col("p.first")).alias("df")))
