@@ -83,6 +83,10 @@ def top_k_neighbors(queries: DataFrame, candidates: DataFrame, k: int, id_col: s
     """``(qid, cid, sim, rank)``: the ``k`` most cosine-similar candidates of
     every query (rank 1 = most similar; equal similarities by candidate id)."""
     id_type = queries.schema[id_col].dataType
+    same = queries is candidates
+    # both sides are scanned twice (size, then blocks): materialise them once
+    queries = queries.select(id_col, vec_col).checkpoint(eager=True)
+    candidates = queries if same else candidates.select(id_col, vec_col).checkpoint(eager=True)
     n_q = _n_blocks(queries, block_rows)
     n_c = _n_blocks(candidates, block_rows)
     qb = _pack(queries, id_col, vec_col, n_q, "q")

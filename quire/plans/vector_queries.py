@@ -31,8 +31,12 @@ def word_vectors(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     ranked = vocab.rank_words(vocab.term_frequency(docs))
     emb = table(spark, sf, "embeddings")
-    return (ranked.join(emb, ranked["rank"] == emb["vec_id"])
-            .select("word", "vec_id", F.col("embedding").alias("vector")))
+    wv = (ranked.join(emb, ranked["rank"] == emb["vec_id"])
+          .select("word", "vec_id", F.col("embedding").alias("vector")))
+    # the model table is read by several steps (keyword lookup, kNN sides):
+    # materialise it once in the checkpoint directory, as a trained model
+    # would be read from storage
+    return wv.checkpoint(eager=True)
 
 
 def correction_dictionary(spark: SparkSession, sf: str) -> DataFrame:

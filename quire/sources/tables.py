@@ -10,13 +10,39 @@ TABLES = (
     "conversations",
 )
 
+# Row key of the tables that carry per-row work (text, vectors).
+KEYS = {
+    "documents": "doc_id",
+    "pages": "page_id",
+    "conversations": "conv_id",
+    "embeddings": "vec_id",
+    "benchmark": "item_id",
+}
+
+
+def balanced(df: DataFrame, key: str) -> DataFrame:
+    """Spread a scan that yields fewer partitions than the cluster has cores.
+
+    A parquet file with a single row group is read by one task, which would
+    leave all per-document work on one core. Only in that case the rows are
+    hash-partitioned on their key (deterministic, and co-partitioned for later
+    joins on it). Large inputs already have many splits and are left alone,
+    so this never shuffles a big table."""
+    spark = df.sparkSession
+    target = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, key)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one parquet table. Column pruning and filters in later steps are
     pushed into this scan by Catalyst."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    key = KEYS.get(name)
+    return balanced(df, key) if key else df
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
