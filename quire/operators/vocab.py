@@ -67,17 +67,16 @@ def vocabulary(spark, documents: DataFrame | None = None, saved_path: str | None
     return term_frequency(documents, min_frequency=min_frequency)
 
 
-def rank_words(freq: DataFrame, order: list[Column] | None = None) -> DataFrame:
-    """Attach a dense 0-based ``rank`` to every word ordered by (df desc, word).
-
-    A global ranking is computed without funnelling rows through one task:
-    the rows are range-partitioned by the sort key, each partition numbers its
-    own rows, and per-partition offsets (one row per partition) are added.
-    """
-    order = order or [F.col("df").desc(), F.col("word").asc()]
-    keyed = (freq.repartitionByRange(*order).sortWithinPartitions(*order)
-             .withColumn("_pid", F.spark_partition_id())
-             # consecutive within a partition: (partition << 33) + row index
+def with_row_index(df: DataFrame, name: str = "index", order: list[Column] | None = None) -> DataFrame:
+    """Attach a dense 0-based row index: in ``order`` when given (a distributed
+    range sort), otherwise in the current row order (file order for a scan).
+
+    No row moves to a single task: each partition numbers its own rows
+    (``monotonically_increasing_id`` is consecutive within a partition) and
+    per-partition offsets -- one row per partition -- are added."""
+    if order:
+        df = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    keyed = (df.withColumn("_pid", F.spark_partition_id())
              .withColumn("_local", F.monotonically_increasing_id()
                          - F.shiftleft(F.col("_pid").cast("long"), 33)))
     sizes = keyed.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
@@ -87,5 +86,10 @@ def rank_words(freq: DataFrame, order: list[Column] | None = None) -> DataFrame:
         (F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)))
         .alias("_off"))
     return (keyed.join(F.broadcast(offsets), "_pid")
-            .select(*[c for c in freq.columns],
-                    (F.coalesce(F.col("_off"), F.lit(0)) + F.col("_local")).alias("rank")))
+            .select(*df.columns, (F.coalesce(F.col("_off"), F.lit(0)) + F.col("_local")).alias(name)))
+
+
+def rank_words(freq: DataFrame, order: list[Column] | None = None) -> DataFrame:
+    """Attach a dense 0-based ``rank`` to every word ordered by (df desc, word)."""
+    order = order or [F.col("df").desc(), F.col("word").asc()]
+    return with_row_index(freq, "rank", order)

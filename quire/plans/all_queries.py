@@ -1,6 +1,6 @@
 """Imports every query module so that the registry is complete."""
 
-from . import cleaning_queries, corpus_queries, metadata_queries, vector_queries  # noqa: F401
+from . import cleaning_queries, corpus_queries, layout_queries, metadata_queries, vector_queries  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES"]
