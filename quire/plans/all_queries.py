@@ -1,6 +1,8 @@
 """Imports every query module so that the registry is complete."""
 
-from . import cleaning_queries, corpus_queries, layout_queries, metadata_queries, vector_queries  # noqa: F401
+from . import (  # noqa: F401
+    batch_queries, cleaning_queries, corpus_queries, layout_queries, metadata_queries, vector_queries,
+)
 from .registry import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES"]
