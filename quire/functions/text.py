@@ -90,10 +90,22 @@ def preprocess(text: ColumnOrName, stopwords: Iterable[str] | None = None,
     return (tokenizer or tokenize)(text)
 
 
+# Alphabetic run: word characters that are not digits.
+ALPHABETIC_RE = r"(?U)((?:(?!\d)\w)+)"
+
+
 def simple_tokens(c: ColumnOrName, min_len: int = 2, max_len: int = 15) -> Column:
-    """TXT-6: alternate tokeniser: lower-cased alphabetic runs of 2..15 chars."""
-    runs = F.regexp_extract_all(F.lower(_col(c)), F.lit(r"(\p{L}+)"), 1)
-    return F.filter(runs, lambda w: (F.length(w) >= min_len) & (F.length(w) <= max_len))
+    """TXT-6: alternate tokeniser: lower-cased alphabetic runs of
+    ``min_len``..``max_len`` characters, none starting with '_'."""
+    runs = F.regexp_extract_all(F.lower(_col(c)), F.lit(ALPHABETIC_RE), 1)
+    return F.filter(runs, lambda w: (F.length(w) >= min_len) & (F.length(w) <= max_len)
+                    & ~w.startswith("_"))
+
+
+def default_stopwords(spark) -> list[str]:
+    """Spark's built-in English stopword list (the library default for TXT-4)."""
+    from pyspark.ml.feature import StopWordsRemover
+    return list(StopWordsRemover.loadDefaultStopWords("english"))
 
 
 def lines(c: ColumnOrName) -> Column:
@@ -110,8 +122,8 @@ def drop_first_lines(c: ColumnOrName, n: int = 10) -> Column:
 def has_marker_line(c: ColumnOrName, line_regex: str = ARCHIVAL_MARKER_RE) -> Column:
     """True when some line of the text matches ``line_regex``.
 
-    Multiline mode keeps the match inside one line as long as the pattern
-    itself cannot cross a newline.
+    A regex search over the whole text equals a per-line search as long as
+    the pattern cannot match a newline (the default marker cannot).
     """
     return _col(c).rlike(line_regex)
 
@@ -165,7 +177,7 @@ def sample_tokens(tokens: ColumnOrName, fraction: float, seed: int, *key: Column
     k = F.bround(F.size(toks) * F.lit(float(fraction))).cast("int")
     ranked = F.transform(toks, lambda w, i: F.struct(
         F.xxhash64(*keys, i, F.lit(seed)).alias("h"), i.alias("i"), w.alias("w")))
-    picked = F.slice(F.array_sort(ranked), 1, k)
+    picked = F.slice(F.sort_array(ranked), 1, k)
     # restore text order among the picked tokens
-    picked = F.array_sort(F.transform(picked, lambda s: F.struct(s["i"].alias("i"), s["w"].alias("w"))))
+    picked = F.sort_array(F.transform(picked, lambda s: F.struct(s["i"].alias("i"), s["w"].alias("w"))))
     return F.transform(picked, lambda s: s["w"])

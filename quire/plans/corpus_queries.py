@@ -9,9 +9,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import text as T
 from ..operators import quality, vocab
 from ..sources.tables import table
 from .registry import register
+from .sqlfrag import split_ws, sql_str
 from .sqlfrag import tokens as sql_tokens
 
 # Fixture parameters for the driver tables.
@@ -72,3 +74,36 @@ FROM sc
 """)
 def q_ocr_quality_summary(spark: SparkSession, sf: str) -> DataFrame:
     return quality.quality_summary(_quality_scores(spark, sf))
+
+
+# TXT-4 runs on raw text with a caller-supplied list; this fixed English list
+# is the query parameter (case-sensitive, as in the reference).
+STOPWORDS = ["a", "an", "and", "are", "as", "at", "be", "by", "for", "from", "has", "he",
+             "in", "is", "it", "its", "of", "on", "that", "the", "to", "was", "were",
+             "will", "with"]
+
+
+@register("preprocess_tokens", f"""
+WITH s AS (SELECT doc_id,
+                  array_to_string(list_filter({split_ws('text')},
+                                              lambda w: NOT list_contains([{", ".join(sql_str(w) for w in STOPWORDS)}], w)), ' ') AS f
+           FROM documents),
+t AS (SELECT doc_id, {sql_tokens('f')} AS t FROM s)
+SELECT doc_id, CAST(len(t) AS INTEGER) AS n_tokens, array_to_string(t, ' ') AS tokens FROM t""")
+def q_preprocess_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    toks = T.preprocess(F.col("text"), stopwords=STOPWORDS)
+    return docs.select("doc_id", toks.alias("t")).select(
+        "doc_id", F.size("t").alias("n_tokens"), F.array_join("t", " ").alias("tokens"))
+
+
+@register("simple_tokens", r"""
+WITH t AS (SELECT doc_id,
+                  list_filter(regexp_extract_all(lower(text), '([\pL\pM_]+)', 1),
+                              lambda w: length(w) BETWEEN 2 AND 15 AND NOT starts_with(w, '_')) AS t
+           FROM documents)
+SELECT doc_id, CAST(len(t) AS INTEGER) AS n_tokens, array_to_string(t, ' ') AS tokens FROM t""")
+def q_simple_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    return docs.select("doc_id", T.simple_tokens(F.col("text")).alias("t")).select(
+        "doc_id", F.size("t").alias("n_tokens"), F.array_join("t", " ").alias("tokens"))

@@ -44,7 +44,8 @@ def correction_dictionary(spark: SparkSession, sf: str) -> DataFrame:
     return bench.select(F.explode(tokenize(F.col("text"))).alias("word")).distinct()
 
 
-SQL_WV = f"""toks AS (SELECT doc_id, {sql_tokens('text')} AS t FROM documents),
+SQL_TOKS = f"toks AS (SELECT doc_id, {sql_tokens('text')} AS t FROM documents)"
+SQL_WV = SQL_TOKS + """,
 vocab AS (SELECT word, count(DISTINCT doc_id) AS df FROM (SELECT doc_id, unnest(t) AS word FROM toks) GROUP BY word),
 ranked AS (SELECT word, row_number() OVER (ORDER BY df DESC, word) - 1 AS rank FROM vocab),
 wv AS (SELECT r.word, e.vec_id, e.embedding::DOUBLE[] AS v FROM ranked r JOIN embeddings e ON e.vec_id = r.rank)"""
@@ -166,3 +167,31 @@ FROM d LEFT JOIN j ON d.doc_id = j.doc_id GROUP BY d.doc_id""")
 def q_replace_nonwords(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return corrections.replace_nonwords(docs, correction_dictionary(spark, sf), _corrections(spark, sf))
+
+
+# VEC-1 on the corpus: one pass (the reference's 40 epochs are an option).
+TRAIN_OPTIONS = {"vectorSize": 50, "minCount": 25, "maxIter": 1, "seed": 42}
+
+
+def _trained(spark: SparkSession, sf: str):
+    from ..operators import training
+    docs = table(spark, sf, "documents").select("doc_id", tokenize(F.col("text")).alias("tokens"))
+    return training.train(docs, TRAIN_OPTIONS), docs
+
+
+@register("trained_vocabulary", f"""WITH {SQL_TOKS}
+SELECT word, {TRAIN_OPTIONS['vectorSize']} AS dims FROM (SELECT unnest(t) AS word FROM toks)
+GROUP BY word HAVING count(*) >= {TRAIN_OPTIONS['minCount']}""")
+def q_trained_vocabulary(spark: SparkSession, sf: str) -> DataFrame:
+    """The trained model's vocabulary and vector size (the vector values are
+    checked by invariants in the tests, not by SQL)."""
+    from ..operators import training
+    model, _ = _trained(spark, sf)
+    return training.word_vectors(model).select("word", F.size("vector").alias("dims"))
+
+
+@register("trained_doc_vectors")
+def q_trained_doc_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators import training
+    model, docs = _trained(spark, sf)
+    return training.doc_vectors(model, docs)
