@@ -1,0 +1,26 @@
+"""Every registered query against its DuckDB oracle on the smallest driver
+tables (the driver repeats this at sf0.01)."""
+
+import os
+
+import pytest
+
+from quire.plans.all_queries import ORACLES, QUERIES
+from tools.check_oracles import compare, oracle_connection
+
+SF = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables absent")
+
+
+@pytest.fixture(scope="module")
+def con():
+    return oracle_connection(SF)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query_matches_oracle(spark, con, name):
+    res = compare(spark, con, SF, name)
+    if name in ORACLES:
+        assert res["status"] == "match", res
+    else:
+        assert res["status"] == "rows-only" and res["rows"] > 0, res
