@@ -138,3 +138,22 @@ WHERE m.collections IS NULL
 def q_collection_blocklist(spark: SparkSession, sf: str) -> DataFrame:
     meta = corpus_metadata(spark, sf).select("doc_id", "collections")
     return filters.collection_blocklist(_docs(spark, sf).select("doc_id"), meta, BLOCKLIST)
+
+
+@register("stream_clean", f"""
+WITH k AS (SELECT doc_id, text FROM documents WHERE NOT regexp_matches(text, {sql_str(MARKER)})),
+c AS (SELECT doc_id,
+             array_to_string(list_filter(string_split(text, chr(10)),
+                                         lambda l: NOT regexp_matches(l, {sql_str(REPEATED_LINE)})), chr(10)) AS text
+      FROM k)
+SELECT doc_id, text FROM c WHERE octet_length(encode(text)) > 0""")
+def q_stream_clean(spark: SparkSession, sf: str) -> DataFrame:
+    """The cleaning chain run as a Structured Streaming query over the
+    documents file (availableNow trigger), read back from its sink."""
+    from ..streaming import cleaning_stream as S
+    src = f"{sf.rstrip('/')}/documents.parquet"
+    schema = spark.read.parquet(src).schema
+    stream = S.read_documents_stream(spark, sf, schema, glob="documents.parquet").select("doc_id", "text")
+    sink = S.scratch_path(spark, "stream-clean")
+    S.run_to_parquet(S.clean(stream, MARKER, REPEATED_LINE), sink, sink + "-checkpoint")
+    return spark.read.parquet(sink)

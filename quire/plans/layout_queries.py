@@ -97,3 +97,37 @@ def q_labelled_table(spark: SparkSession, sf: str) -> DataFrame:
 @register("shuffled", SQL_LABELLED)
 def q_shuffled(spark: SparkSession, sf: str) -> DataFrame:
     return layout.shuffled(labelled(spark, sf))
+
+
+TILE_SIZE = 50   # small tiles so that the driver tables span several levels
+
+
+@register("tiles")
+def q_tiles(spark: SparkSession, sf: str) -> DataFrame:
+    """VIZ-3: the level and tile at which each labelled point is first shown.
+    Checked against a brute-force tiler in the tests (no SQL oracle)."""
+    from ..operators import tiles
+    pts = labelled(spark, sf).select("doc_id", "x", "y")
+    out = tiles.quadtree_tiles(pts, layout.shuffle_key("doc_id"), tile_size=TILE_SIZE)
+    return out.select("doc_id", "z", "tx", "ty")
+
+
+@register("corpus_map")
+def q_corpus_map(spark: SparkSession, sf: str) -> DataFrame:
+    """VIZ-4: every stage composed over the driver tables (quality filter with
+    the df>=5 dictionary, cleaning, nonword correction with the fixture
+    vectors, per-document stopwords, keyword scores, layout, labelled and
+    shuffled output). A composition of oracle-checked operators; rows-only."""
+    from .corpus_queries import corpus_dictionary
+    from .end_to_end import MapOptions, corpus_map
+    from .vector_queries import CORRECTION_THRESHOLD
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    meta = corpus_metadata(spark, sf).select(
+        "doc_id", "title", "locations", "collections", M.states_in(F.col("locations")).alias("states"),
+        F.create_map().cast("map<string,int>").alias(M.SCORE_NAMESPACE))
+    wv = word_vectors(spark, sf)
+    dv = table(spark, sf, "embeddings").select(F.col("vec_id").alias("doc_id"), F.col("embedding").alias("vector"))
+    opts = MapOptions(keywords=BASE_WORDS, correction_threshold=CORRECTION_THRESHOLD, layout_seed=SEED)
+    stages = corpus_map(docs, meta, corpus_dictionary(docs), opts, previous_vectors=wv,
+                        word_vectors=wv, doc_vectors=dv)
+    return stages["labelled"]
