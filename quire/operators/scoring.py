@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions import vectors as V
+from .joins import bounded_broadcast
 
 FRACTION = 0.1           # reference sampling rate
 MIN_WORD_LENGTH = 4
@@ -66,7 +67,7 @@ def keyword_scores(docs: DataFrame, word_vectors: DataFrame, base_words: Sequenc
     names = [w for w, _ in bases]
     if not names:
         return docs.select(key, F.create_map().cast("map<string,int>").alias("keyword_scores"))
-    sims = word_similarities(word_vectors, bases)
+    sims = bounded_broadcast(word_similarities(word_vectors, bases))
     toks = T.long_tokens(tokenizer(F.col(text)), MIN_WORD_LENGTH)
     if fraction < 1.0:
         toks = T.sample_tokens(toks, fraction, seed, F.col(key))

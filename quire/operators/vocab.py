@@ -75,6 +75,9 @@ def with_row_index(df: DataFrame, name: str = "index", order: list[Column] | Non
     (``monotonically_increasing_id`` is consecutive within a partition) and
     per-partition offsets -- one row per partition -- are added."""
     if order:
+        # the range partitioner samples its input in a separate job: read
+        # a materialised copy instead of recomputing the input twice
+        df = df.checkpoint(eager=True)
         df = df.repartitionByRange(*order).sortWithinPartitions(*order)
     keyed = (df.withColumn("_pid", F.spark_partition_id())
              .withColumn("_local", F.monotonically_increasing_id()
