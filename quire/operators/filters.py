@@ -77,3 +77,12 @@ def valid_utf8(df: DataFrame, content: str = "content") -> DataFrame:
     """FLT-12: keep binary contents that decode as UTF-8, as a ``text`` column."""
     return (df.where(F.is_valid_utf8(F.col(content)))
             .withColumn("text", F.col(content).cast("string")))
+
+
+def title_allow_list(df: DataFrame, allowed: Iterable[str], title: str = "title") -> DataFrame:
+    """FLT-21: keep rows whose title contains one of the allowed names,
+    case-insensitively (substring match, as a title-suggestion search). The
+    list is a parameter, so the match is a per-row expression, not a join."""
+    names = sorted({a.lower() for a in allowed})
+    t = F.lower(F.col(title))
+    return df.where(F.exists(_lit_array(names), lambda a: t.contains(a)))

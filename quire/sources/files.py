@@ -59,6 +59,7 @@ SEARCH_PAGE = T.StructType([
         T.StructField("language", T.ArrayType(T.StringType())),
         T.StructField("subject", T.ArrayType(T.StringType())),
         T.StructField("image_url", T.ArrayType(T.StringType())),
+        T.StructField("date", T.StringType()),
     ]))),
     T.StructField("pagination", T.StructType([
         T.StructField("next", T.StringType()), T.StructField("of", T.LongType())])),
@@ -200,3 +201,30 @@ def read_corrections(spark: SparkSession, root: str, model_id: str) -> DataFrame
 def page_keys(df: DataFrame, key: str = "identifier") -> DataFrame:
     """Attach kind / identifier of the key (FN-1, FN-2)."""
     return df.withColumn("kind", keys.kind(key)).withColumn("lccn", keys.identifier(key))
+
+
+def read_dataset(spark: SparkSession, landing_root: str, definition) -> DataFrame:
+    """SRC-9: the search results that make up a data set.
+
+    Each part of the ``DatasetDefinition`` is a directory of landed search
+    pages under ``landing_root``; results are kept by the usable-results
+    filter (FLT-1), date-filtered parts also by the year window (FLT-20),
+    and items listed by identifier are added. One row per result, tagged
+    with its part; a result reached through two parts is kept once."""
+    from ..operators.filters import usable_results
+    frames = []
+    for name, dated in definition.parts():
+        r = usable_results(read_search_results(spark, f"{landing_root.rstrip('/')}/{name}"))
+        if dated:
+            lo, hi = definition.collection_years
+            r = r.where(F.substring("date", 1, 4).cast("int").between(lo, hi))
+        frames.append(r.withColumn("part", F.lit(name)))
+    if definition.items:
+        frames.append(spark.createDataFrame([(i,) for i in definition.items], "id string")
+                      .withColumn("part", F.lit("items")))
+    if not frames:
+        raise ValueError("empty data set definition")
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return out.dropDuplicates(["id"])

@@ -126,3 +126,29 @@ def test_incremental_write_and_invalid_utf8(spark, tmp_path):
     good, bad = files.read_binary_texts(spark, str(d))
     assert [r["text"] for r in good.collect()] == ["héllo"]
     assert [r["path"] for r in bad.collect()] == ["bad.txt"]
+
+
+def test_dataset_definition_and_title_allow_list(spark, tmp_path):
+    from quire.config import DatasetDefinition
+    from quire.operators import filters
+    page = {"results": [
+        {"id": "https://www.loc.gov/item/a/", "access_restricted": False, "online_format": ["online text"],
+         "language": ["english"], "date": "1870"},
+        {"id": "https://blogs.loc.gov/x/", "access_restricted": False, "online_format": ["online text"],
+         "language": ["english"], "date": "1870"},
+        {"id": "https://www.loc.gov/item/b/", "access_restricted": True, "online_format": ["online text"],
+         "language": ["english"], "date": "1870"},
+        {"id": "https://www.loc.gov/item/c/", "access_restricted": False, "online_format": ["online text"],
+         "language": ["english"], "date": "1901"}],
+        "pagination": {"next": None, "of": 4}}
+    for name in ("civil-war", "reconstruction"):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "p1.json").write_text(json.dumps(page))
+    d = DatasetDefinition(collections=("civil-war",), date_filtered_collections=("reconstruction",),
+                          items=("mss1",))
+    got = {(r["id"], r["part"]) for r in files.read_dataset(spark, str(tmp_path), d).collect()}
+    ids = {i for i, _ in got}
+    assert ids == {"https://www.loc.gov/item/a/", "https://www.loc.gov/item/c/", "mss1"}
+    titles = spark.createDataFrame([("The Daily Dispatch",), ("Evening Star",), ("Other",)], ["title"])
+    kept = [r["title"] for r in filters.title_allow_list(titles, ["daily dispatch", "EVENING"]).collect()]
+    assert sorted(kept) == ["Evening Star", "The Daily Dispatch"]
