@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from . import knn
+from .joins import bounded_broadcast
 
 # Fixed values of the reference.
 SIMILARITY_THRESHOLD = 0.6
@@ -59,10 +60,12 @@ def derive_corrections(nonwords: DataFrame, word_vectors: DataFrame, dictionary:
 
 def word_map(dictionary: DataFrame, corrections: DataFrame) -> DataFrame:
     """``(word, out)``: dictionary words map to themselves, corrected nonwords
-    to their replacement; anything else is absent (= dropped)."""
-    keep = dictionary.select("word", F.col("word").alias("out"))
-    fix = corrections.select(F.col("nonword").alias("word"), F.col("good_word").alias("out"))
-    return keep.unionByName(fix).dropDuplicates(["word"])
+    to their replacement; anything else is absent (= dropped). A word in
+    both keeps itself (dictionary first)."""
+    keep = dictionary.select("word").distinct().select("word", F.col("word").alias("out"))
+    fix = (corrections.select(F.col("nonword").alias("word"), F.col("good_word").alias("out"))
+           .join(keep.select("word"), "word", "left_anti"))
+    return keep.unionByName(fix)
 
 
 def replace_nonwords(docs: DataFrame, dictionary: DataFrame, corrections: DataFrame,
@@ -70,7 +73,9 @@ def replace_nonwords(docs: DataFrame, dictionary: DataFrame, corrections: DataFr
     """TXT-15: per whitespace word, normalise; keep dictionary words, substitute
     corrected nonwords, drop the rest; re-join with spaces in text order.
     Documents with no surviving word become ''."""
-    wm = word_map(dictionary, corrections)
+    # materialised once; shipped to every task when it is within the bound,
+    # so tokens never leave their document's partition
+    wm = bounded_broadcast(word_map(dictionary, corrections).checkpoint(eager=True))
     words = docs.select(key, F.posexplode_outer(T.tokenize(F.col(text))).alias("pos", "word"))
     mapped = words.join(wm, "word", "left")
     kept = F.when(F.col("out").isNotNull(), F.struct("pos", "out"))

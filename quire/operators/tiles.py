@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import bounded_broadcast
+
 TILE_SIZE = 25_000
 MAX_DEPTH = 12
 
@@ -27,13 +29,15 @@ def rank_within(df: DataFrame, group: list[str], order: list[Column], name: str
     """0-based rank of each row inside its group, in ``order``; exact, with no
     group gathered into a single task (see module docstring)."""
     keys = [F.col(g) for g in group] + order
+    # materialised once: the offsets and the join both read it
     keyed = (df.repartitionByRange(*keys).sortWithinPartitions(*keys)
              .withColumn("_pid", F.spark_partition_id())
-             .withColumn("_mid", F.monotonically_increasing_id()))
+             .withColumn("_mid", F.monotonically_increasing_id())).checkpoint(eager=True)
+    # one row per (partition, group) run: at most partitions + groups rows
     runs = keyed.groupBy("_pid", *group).agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     runs = runs.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
-    return (keyed.join(runs, ["_pid", *group])
+    return (keyed.join(bounded_broadcast(runs), ["_pid", *group])
             .withColumn(name, F.col("_off") + F.col("_mid") - F.col("_first"))
             .drop("_pid", "_mid", "_first", "_off"))
 
@@ -66,7 +70,7 @@ def quadtree_tiles(points: DataFrame, order: Column, key: str = "doc_id", tile_s
         if z == max_depth:
             placed.append(level.drop("_ord"))
             break
-        ranked = rank_within(level, ["tx", "ty"], [F.col("_ord"), F.col(key)]).checkpoint(eager=True)
+        ranked = rank_within(level, ["tx", "ty"], [F.col("_ord"), F.col(key)])
         placed.append(ranked.where(F.col("_rank") < tile_size).drop("_rank", "_ord"))
         remaining = ranked.where(F.col("_rank") >= tile_size).drop("_rank", "z", "tx", "ty")
         if remaining.isEmpty():
