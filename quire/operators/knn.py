@@ -118,3 +118,21 @@ def neighbor_histogram(counts: DataFrame) -> DataFrame:
     frequent first."""
     return (counts.groupBy("n_near").agg(F.count(F.lit(1)).alias("count"))
             .orderBy("count", "n_near"))
+
+
+# Fixed values of the reference's neighbour-density estimate.
+DENSITY_TOPN = 100
+DENSITY_THRESHOLD = 0.65
+DENSITY_EVERY = 1000
+
+
+def neighbor_density(vectors: DataFrame, every: int = DENSITY_EVERY, topn: int = DENSITY_TOPN,
+                     threshold: float = DENSITY_THRESHOLD, id_col: str = "id",
+                     vec_col: str = "vector") -> DataFrame:
+    """VEC-8: sample every ``every``-th document (FLT-11, by key hash), find
+    its ``topn`` neighbours among *all* documents, count those with
+    similarity >= ``threshold`` and return the histogram (AGG-7)."""
+    from .filters import systematic_sample
+    queries = systematic_sample(vectors, every, id_col) if every > 1 else vectors
+    nb = top_k_neighbors(queries, vectors, k=topn, id_col=id_col, vec_col=vec_col)
+    return neighbor_histogram(neighbor_counts(queries, nb, threshold, id_col))

@@ -71,3 +71,14 @@ def write_new_only(df: DataFrame, path: str, key: str, overwrite: bool = False)
 
 def metadata_order(records: DataFrame) -> list[str]:
     return [c for c in M.METADATA_ORDER if c in records.columns]
+
+
+def write_vocabulary(freq: DataFrame, path: str) -> None:
+    """SNK-7: term / document frequencies for later training runs (AGG-13)."""
+    freq.write.mode("overwrite").parquet(path)
+
+
+def write_corrections(corrections: DataFrame, root: str, model_id: str) -> None:
+    """SRC-13 / D3: the correction table, kept per model id (the reference's
+    cache was never committed)."""
+    corrections.write.mode("overwrite").parquet(f"{root.rstrip('/')}/{model_id}")

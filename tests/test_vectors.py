@@ -121,3 +121,24 @@ def test_term_frequency(spark):
     got = {r["word"]: (r["tf"], r["df"]) for r in vocab.term_frequency(docs).collect()}
     assert got == {"the": (2, 1), "cat": (3, 2), "hat": (1, 1)}
     assert {r["word"] for r in vocab.term_frequency(docs, min_frequency=1).collect()} == {"the", "cat"}
+
+
+def test_neighbor_density_sampled(spark):
+    rng = np.random.default_rng(5)
+    vecs = rng.standard_normal((60, 4))
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vecs)],
+                               "id long, vector array<double>")
+    full = knn.neighbor_density(df, every=1, topn=5, threshold=0.5)
+    assert sum(r["count"] for r in full.collect()) == 60
+    sampled = knn.neighbor_density(df, every=3, topn=5, threshold=0.5).collect()
+    n_sampled = df.where(F.pmod(F.xxhash64("id"), F.lit(3)) == 0).count()
+    assert sum(r["count"] for r in sampled) == n_sampled
+
+
+def test_corrections_round_trip(spark, tmp_path):
+    from quire.sources import files, sinks
+    corr = spark.createDataFrame([("skives", "slaves", 0.9)], "nonword string, good_word string, similarity double")
+    sinks.write_corrections(corr, str(tmp_path), "model-1")
+    back = files.read_corrections(spark, str(tmp_path), "model-1")
+    assert back.collect()[0]["good_word"] == "slaves"
+    assert files.read_corrections(spark, str(tmp_path), "absent") is None
