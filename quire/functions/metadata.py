@@ -28,12 +28,12 @@ STATES = (
     "Washington", "West Virginia", "Wisconsin", "Wyoming",
 )
 
-# Column order of the labelled output table.
+# Column order of the labelled output table, the key of the
+# score map inside a record, and the URL mark of a collection.
 METADATA_ORDER = (
     "collections", "title", "subjects", "subject_headings", "locations", "date",
     "url", "image_url", "description", "states", "year",
 )
-
 SCORE_NAMESPACE = "keyword_scores"
 COLLECTION_URL_MARK = "/collections/"
 

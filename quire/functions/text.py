@@ -15,23 +15,23 @@ from pyspark.sql import functions as F
 
 ColumnOrName = Column | str
 
-# Fixed values that must equal the reference's:
-# the 32 ASCII punctuation characters removed by depunctuation (Python's
+# --- Fixed values (must equal the reference's for identical results) ---
+# The 32 ASCII punctuation characters removed by depunctuation (Python's
 # string.punctuation): !"#$%&'()*+,-./:;<=>?@[\]^_`{|}~
 PUNCTUATION = string.punctuation
-
-# Python's str.split() splits on Unicode whitespace plus the ASCII
-# information separators 0x1C-0x1F, which Java's (?U)\s leaves out.
-WHITESPACE_RE = r"(?U)[\s\x1c-\x1f]+"
-
-# Archival folder marker, matched within a single line.
+# Archival folder marker line: "Box <n> <blanks> Folder <n>" (blanks exclude
+# the newline so that the pattern stays inside one line).
 ARCHIVAL_MARKER_RE = r"Box [0-9]+[ \t\x0B\f\r]+Folder [0-9]+"
-
-# Crowd-transcription attribution line.
+# Crowd-transcription attribution line (a regex: '.' matches any character).
 TRANSCRIPTION_ATTRIBUTION = (
     "Transcribed and reviewed by contributors participating in the "
     "By The People project at crowd.loc.gov"
 )
+# --- end of fixed values ---
+
+# Python's str.split() splits on Unicode whitespace plus the ASCII
+# information separators 0x1C-0x1F, which Java's (?U)\s leaves out.
+WHITESPACE_RE = r"(?U)[\s\x1c-\x1f]+"
 
 
 def _col(c: ColumnOrName) -> Column:

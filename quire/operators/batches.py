@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Fixed value: batch name inside an OCR tarball URL.
 BATCH_NAME_RE = r"/([\w_]+)\.tar\.bz2"
 
 

@@ -15,9 +15,12 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 
-FRONTMATTER_LINES = 10          # remove_frontmatter default
-FRONTMATTER_CUTOFF = 7          # filter_frontmatter: 90th percentile of front-matter lines
-ARCHIVAL_LINES = 10             # remove_archival_notes_gentle default
+# Fixed values (reference defaults): lines dropped by the front-matter
+# script, the front-matter filter's cutoff (90th percentile of front-matter
+# lines in a sample), and lines dropped by the gentle archival-note script.
+FRONTMATTER_LINES = 10
+FRONTMATTER_CUTOFF = 7
+ARCHIVAL_LINES = 10
 
 
 def remove_frontmatter(docs: DataFrame, n: int = FRONTMATTER_LINES, text: str = "text") -> DataFrame:

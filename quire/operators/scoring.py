@@ -26,8 +26,10 @@ from ..functions import text as T
 from ..functions import vectors as V
 from .joins import bounded_broadcast
 
-FRACTION = 0.1           # reference sampling rate
+# Fixed values of the reference: sampling rate and minimum scored word length.
+FRACTION = 0.1
 MIN_WORD_LENGTH = 4
+
 MAX_BASE_WORDS = 1024    # keyword lists are parameters, not data
 
 
