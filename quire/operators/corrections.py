@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from . import knn
 from .joins import bounded_broadcast
+from ..session import materialize
 
 # Fixed values of the reference.
 SIMILARITY_THRESHOLD = 0.6
@@ -75,7 +76,7 @@ def replace_nonwords(docs: DataFrame, dictionary: DataFrame, corrections: DataFr
     Documents with no surviving word become ''."""
     # materialised once; shipped to every task when it is within the bound,
     # so tokens never leave their document's partition
-    wm = bounded_broadcast(word_map(dictionary, corrections).checkpoint(eager=True))
+    wm = bounded_broadcast(materialize(word_map(dictionary, corrections)))
     words = docs.select(key, F.posexplode_outer(T.tokenize(F.col(text))).alias("pos", "word"))
     mapped = words.join(wm, "word", "left")
     kept = F.when(F.col("out").isNotNull(), F.struct("pos", "out"))

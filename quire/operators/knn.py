@@ -29,6 +29,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialize
+
 BLOCK_ROWS = 2048
 
 
@@ -85,8 +87,8 @@ def top_k_neighbors(queries: DataFrame, candidates: DataFrame, k: int, id_col: s
     id_type = queries.schema[id_col].dataType
     same = queries is candidates
     # both sides are scanned twice (size, then blocks): materialise them once
-    queries = queries.select(id_col, vec_col).checkpoint(eager=True)
-    candidates = queries if same else candidates.select(id_col, vec_col).checkpoint(eager=True)
+    queries = materialize(queries.select(id_col, vec_col))
+    candidates = queries if same else materialize(candidates.select(id_col, vec_col))
     n_q = _n_blocks(queries, block_rows)
     n_c = _n_blocks(candidates, block_rows)
     qb = _pack(queries, id_col, vec_col, n_q, "q")

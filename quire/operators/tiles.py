@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .joins import bounded_broadcast
+from ..session import materialize
 
 TILE_SIZE = 25_000
 MAX_DEPTH = 12
@@ -30,9 +31,9 @@ def rank_within(df: DataFrame, group: list[str], order: list[Column], name: str
     group gathered into a single task (see module docstring)."""
     keys = [F.col(g) for g in group] + order
     # materialised once: the offsets and the join both read it
-    keyed = (df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-             .withColumn("_pid", F.spark_partition_id())
-             .withColumn("_mid", F.monotonically_increasing_id())).checkpoint(eager=True)
+    keyed = materialize(df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+                        .withColumn("_pid", F.spark_partition_id())
+                        .withColumn("_mid", F.monotonically_increasing_id()))
     # one row per (partition, group) run: at most partitions + groups rows
     runs = keyed.groupBy("_pid", *group).agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
@@ -59,7 +60,7 @@ def quadtree_tiles(points: DataFrame, order: Column, key: str = "doc_id", tile_s
     """``points`` with columns ``z, tx, ty`` added: the tile each point is shown
     in first. ``order`` is the shuffle order (e.g. ``layout.shuffle_key``)."""
     # read twice (bounds, level 0): materialise once
-    points = points.withColumn("_ord", order).checkpoint(eager=True)
+    points = materialize(points.withColumn("_ord", order))
     x0, x1, y0, y1 = _bounds(points)
     remaining = points
     placed = []

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import tokenize
+from ..session import materialize
 
 
 def _first_occurrence_pairs(s: Column) -> Column:
@@ -77,7 +78,7 @@ def with_row_index(df: DataFrame, name: str = "index", order: list[Column] | Non
     if order:
         # the range partitioner samples its input in a separate job: read
         # a materialised copy instead of recomputing the input twice
-        df = df.checkpoint(eager=True)
+        df = materialize(df)
         df = df.repartitionByRange(*order).sortWithinPartitions(*order)
     keyed = (df.withColumn("_pid", F.spark_partition_id())
              .withColumn("_local", F.monotonically_increasing_id()

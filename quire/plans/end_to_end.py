@@ -21,6 +21,7 @@ from ..config import CorpusConfig
 from ..functions import metadata as M
 from ..operators import cleaning, corrections, layout, quality, scoring, tiles, training
 from ..functions.text import ARCHIVAL_MARKER_RE, TRANSCRIPTION_ATTRIBUTION
+from ..session import materialize
 
 
 @dataclass(frozen=True)
@@ -52,7 +53,7 @@ def corpus_map(docs: DataFrame, metadata: DataFrame, dictionary: DataFrame, opti
 
     def stage(name: str, df: DataFrame) -> DataFrame:
         if options.checkpoint_stages:
-            df = df.checkpoint(eager=True)
+            df = materialize(df)
         out[name] = df
         return df
 

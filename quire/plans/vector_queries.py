@@ -19,6 +19,7 @@ from ..sources.tables import table
 from .registry import register
 from .sqlfrag import sql_str
 from .sqlfrag import tokens as sql_tokens
+from ..session import materialize
 
 BASE_WORDS = ["that", "with", "this", "from", "tion", "notawordinthemodel"]
 KNN_K = 10
@@ -36,7 +37,7 @@ def word_vectors(spark: SparkSession, sf: str) -> DataFrame:
     # the model table is read by several steps (keyword lookup, kNN sides):
     # materialise it once in the checkpoint directory, as a trained model
     # would be read from storage
-    return wv.checkpoint(eager=True)
+    return materialize(wv)
 
 
 def correction_dictionary(spark: SparkSession, sf: str) -> DataFrame:

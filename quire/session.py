@@ -62,3 +62,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="quire-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return configured
+
+
+def materialize(df):
+    """Cut the lineage of ``df`` with a reliable checkpoint in the session's
+    checkpoint directory (eager). Works with any session: the directory is
+    taken from ``spark.checkpoint.dir`` or created for local runs."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

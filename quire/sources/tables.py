@@ -29,10 +29,16 @@ def balanced(df: DataFrame, key: str) -> DataFrame:
     joins on it). Large inputs already have many splits and are left alone,
     so this never shuffles a big table."""
     spark = df.sparkSession
-    target = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        cores = spark.sparkContext.defaultParallelism
+        shuffle = int(spark.conf.get("spark.sql.shuffle.partitions", "1"))
+        # match the shuffle partition count when it is close to the core
+        # count, so later joins on the key reuse this partitioning
+        target = shuffle if cores <= shuffle <= 4 * cores else cores
+        n = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 -- no RDD access (e.g. a remote session)
         return df
-    return df.repartition(target, key)
+    return df if n >= target else df.repartition(target, key)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
