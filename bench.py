@@ -31,7 +31,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = [n for n in (sys.argv[1:] or HEADLINE) if n in QUERIES]
     spark = build_session(f"local[{cpus}]", app="quire-bench",
-                          shuffle_partitions=max(8, 2 * int(cpus)))
+                          shuffle_partitions=int(cpus))
     # warm-up (not timed): JVM start-up and JIT of the tokenizer path
     from quire.functions.text import tokenize
     warm = spark.read.parquet(f"{sf_dir}/documents.parquet").select(tokenize("text").alias("t"))

@@ -30,7 +30,9 @@ class CorpusConfig:
     min_frequency: int = 0                       # vocabulary keeps tf > this
     epochs: int = 40
     vocabulary: str | None = None                # saved frequencies, AGG-13
-    stopwords: tuple[str, ...] | None = None     # TXT-4 list; None = no filter
+    # TXT-4 list: "english" = Spark's built-in English list (the reference
+    # always filtered stopwords first); None = no filter
+    stopwords: tuple[str, ...] | str | None = "english"
     stopword_filter: ColumnFn | None = None      # UDF-1
     tokenizer: ColumnFn | None = None            # UDF-2
     training_options: dict = field(default_factory=dict)   # UDF-3
@@ -38,7 +40,10 @@ class CorpusConfig:
 
     def tokens(self, text: Column | str) -> Column:
         """TXT-5 with this configuration's overrides."""
-        return T.preprocess(F.col(text) if isinstance(text, str) else text, stopwords=self.stopwords,
+        stop = self.stopwords
+        if stop == "english":
+            stop = T.default_stopwords(None)
+        return T.preprocess(F.col(text) if isinstance(text, str) else text, stopwords=stop,
                             stopword_filter=self.stopword_filter, tokenizer=self.tokenizer)
 
     def word2vec_options(self) -> dict:

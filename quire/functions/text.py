@@ -102,8 +102,9 @@ def simple_tokens(c: ColumnOrName, min_len: int = 2, max_len: int = 15) -> Colum
                     & ~w.startswith("_"))
 
 
-def default_stopwords(spark) -> list[str]:
-    """Spark's built-in English stopword list (the library default for TXT-4)."""
+def default_stopwords(spark=None) -> list[str]:
+    """Spark's built-in English stopword list (the library default for TXT-4;
+    it differs from the reference's list, which is not available here)."""
     from pyspark.ml.feature import StopWordsRemover
     return list(StopWordsRemover.loadDefaultStopWords("english"))
 
@@ -165,11 +166,12 @@ def lower_list(xs: ColumnOrName) -> Column:
     return F.transform(_col(xs), lambda w: F.lower(w))
 
 
-def sample_tokens(tokens: ColumnOrName, fraction: float, seed: int, *key: ColumnOrName) -> Column:
+def sample_tokens(tokens: ColumnOrName, fraction: float, seed: int, *key: ColumnOrName,
+                  keep_order: bool = True) -> Column:
     """TXT-16: deterministic sample without replacement of ``bround(n*fraction)``
     tokens. Tokens are ranked by a hash of (key, position, seed), so the sample
     is reproducible and independent of partitioning. ``fraction=1.0`` keeps all.
-    """
+    ``keep_order=False`` skips restoring text order (for order-free uses)."""
     toks = _col(tokens)
     if fraction >= 1.0:
         return toks
@@ -178,6 +180,6 @@ def sample_tokens(tokens: ColumnOrName, fraction: float, seed: int, *key: Column
     ranked = F.transform(toks, lambda w, i: F.struct(
         F.xxhash64(*keys, i, F.lit(seed)).alias("h"), i.alias("i"), w.alias("w")))
     picked = F.slice(F.sort_array(ranked), 1, k)
-    # restore text order among the picked tokens
-    picked = F.sort_array(F.transform(picked, lambda s: F.struct(s["i"].alias("i"), s["w"].alias("w"))))
+    if keep_order:
+        picked = F.sort_array(F.transform(picked, lambda s: F.struct(s["i"].alias("i"), s["w"].alias("w"))))
     return F.transform(picked, lambda s: s["w"])

@@ -72,9 +72,11 @@ def keyword_scores(docs: DataFrame, word_vectors: DataFrame, base_words: Sequenc
     sims = bounded_broadcast(word_similarities(word_vectors, bases))
     toks = T.long_tokens(tokenizer(F.col(text)), MIN_WORD_LENGTH)
     if fraction < 1.0:
-        toks = T.sample_tokens(toks, fraction, seed, F.col(key))
-    per_doc = docs.select(key, toks.alias("_t")).select(
-        key, F.size("_t").alias("_n"), F.explode_outer("_t").alias("word"))
+        toks = T.sample_tokens(toks, fraction, seed, F.col(key), keep_order=False)
+    # the word count is taken before the explode so that the generator does
+    # not carry the whole token array on every output row
+    per_doc = (docs.select(key, toks.alias("_t")).select(key, "_t", F.size("_t").alias("_n"))
+               .select(key, "_n", F.explode_outer("_t").alias("word")))
     joined = per_doc.join(sims, "word", "left")
     sums = joined.groupBy(key).agg(
         F.first("_n").alias("_n"),

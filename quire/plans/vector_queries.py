@@ -196,3 +196,14 @@ def q_trained_doc_vectors(spark: SparkSession, sf: str) -> DataFrame:
     from ..operators import training
     model, docs = _trained(spark, sf)
     return training.doc_vectors(model, docs)
+
+
+@register("keyword_scores_sampled")
+def q_keyword_scores_sampled(spark: SparkSession, sf: str) -> DataFrame:
+    """TXT-16 as the reference runs it: each document is scored on a seeded
+    sample of bround(n * 0.1) of its n long words. Deterministic per (doc,
+    position, seed); rows-only here, the sampler is checked by the tests."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    scores = scoring.keyword_scores(docs, word_vectors(spark, sf), BASE_WORDS,
+                                    fraction=scoring.FRACTION, seed=17)
+    return scoring.scores_long(scores)

@@ -31,3 +31,15 @@ def test_corpus_map_trains_and_labels(spark):
     assert all("box" not in t for t in cleaned.values())    # marker lines removed
     assert "daily" not in cleaned["d0"].split()              # title words removed
     assert out["tiles"].count() == 10
+
+
+def test_config_default_stopwords_and_options(spark):
+    cfg = CorpusConfig(epochs=3, model_options={"vectorSize": 20}, training_options={"seed": 7})
+    opts = cfg.word2vec_options()
+    assert (opts["maxIter"], opts["vectorSize"], opts["seed"], opts["minCount"]) == (3, 20, 7, 25)
+    df = spark.createDataFrame([("The cat and the Hat",)], ["text"])
+    # Spark's English list drops lower-case "the" and "and" before tokenising;
+    # "The" (capitalised) survives and is lower-cased afterwards
+    assert df.select(cfg.tokens("text").alias("t")).first()["t"] == ["the", "cat", "hat"]
+    assert df.select(CorpusConfig(stopwords=None).tokens("text").alias("t")).first()["t"] == \
+        ["the", "cat", "and", "the", "hat"]

@@ -22,6 +22,10 @@ from quire.session import build_session  # noqa: E402
 from quire.sources.tables import TABLES  # noqa: E402
 
 
+_SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                  "boolean": "BOOLEAN", "float": "FLOAT", "smallint": "SMALLINT", "tinyint": "TINYINT"}
+
+
 def _norm(v):
     if v is None:
         return ("~null",)
@@ -67,6 +71,12 @@ def compare(spark, con, sf_dir, name):
     if sorted(cols) != sorted(ocols):
         res["status"] = f"COLUMNS differ: {sorted(cols)} vs {sorted(ocols)}"
         return res
+    spark_types = {f.name: _SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    duck_types = dict(zip(ocols, (str(t) for t in rel.types)))
+    type_diff = {c: (spark_types[c], duck_types[c]) for c in cols if spark_types[c] != duck_types[c]}
+    if type_diff:
+        res["types"] = type_diff
     a, b = _rows(cols, rows), _rows(ocols, orows)
     if a == b:
         res["status"] = "match"
