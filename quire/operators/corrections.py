@@ -45,13 +45,20 @@ def corpus_words(docs: DataFrame, text: str = "text") -> DataFrame:
 def derive_corrections(nonwords: DataFrame, word_vectors: DataFrame, dictionary: DataFrame,
                        threshold: float = SIMILARITY_THRESHOLD, k: int = TOP_K,
                        rounding: str = "half_even") -> DataFrame:
-    """VEC-5: ``(nonword, good_word, similarity)`` for the nonwords that have one."""
-    queries = word_vectors.join(nonwords.select("word").distinct(), "word", "left_semi")
+    """VEC-5: ``(nonword, good_word, similarity)`` for the nonwords that have one.
+
+    ``nonwords(word)`` may be corpus-sized; ``word_vectors`` is model-sized
+    (bounded by the training vocabulary) and is the side that is shipped:
+    the nonwords stream past it. Pass a materialised ``dictionary`` when it is
+    derived, since it is looked up by size."""
+    wv = word_vectors.select("word", "vector")
+    queries = nonwords.select("word").distinct().join(bounded_broadcast(wv), "word")
     neighbors = knn.top_k_neighbors(queries.select(F.col("word").alias("id"), "vector"),
-                                    word_vectors.select(F.col("word").alias("id"), "vector"),
+                                    wv.select(F.col("word").alias("id"), "vector"),
                                     k=k, exclude_self=True)
+    dic = bounded_broadcast(dictionary.select(F.col("word").alias("cid")))
     cand = (neighbors.where(F.col("sim") > F.lit(threshold))
-            .join(dictionary.select(F.col("word").alias("cid")).distinct(), "cid", "left_semi")
+            .join(dic, "cid", "left_semi")
             .where(close_enough(F.col("qid"), F.col("cid"), rounding)))
     w = Window.partitionBy("qid").orderBy(F.col("sim").desc(), F.col("cid").asc())
     return (cand.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == 1)
@@ -59,6 +66,11 @@ def derive_corrections(nonwords: DataFrame, word_vectors: DataFrame, dictionary:
                     F.col("sim").alias("similarity")))
 
 
+def nonwords_of(docs: DataFrame, dictionary: DataFrame, text: str = "text") -> DataFrame:
+    """Distinct corpus words that are not dictionary words."""
+    return corpus_words(docs, text).join(bounded_broadcast(dictionary.select("word")), "word", "left_anti")
+
+
 def word_map(dictionary: DataFrame, corrections: DataFrame) -> DataFrame:
     """``(word, out)``: dictionary words map to themselves, corrected nonwords
     to their replacement; anything else is absent (= dropped). A word in

@@ -66,7 +66,7 @@ def corpus_map(docs: DataFrame, metadata: DataFrame, dictionary: DataFrame, opti
     d = stage("cleaned", d)
 
     if previous_vectors is not None:
-        nonwords = corrections.corpus_words(d).join(dictionary, "word", "left_anti")
+        nonwords = corrections.nonwords_of(d, dictionary)
         corr = stage("corrections", corrections.derive_corrections(
             nonwords, previous_vectors, dictionary, threshold=options.correction_threshold))
         d = corrections.replace_nonwords(d, dictionary, corr, key=key)

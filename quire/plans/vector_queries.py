@@ -15,11 +15,11 @@ from pyspark.sql import functions as F
 
 from ..functions.text import tokenize
 from ..operators import corrections, knn, scoring, vocab
+from ..session import materialize
 from ..sources.tables import table
 from .registry import register
 from .sqlfrag import sql_str
 from .sqlfrag import tokens as sql_tokens
-from ..session import materialize
 
 BASE_WORDS = ["that", "with", "this", "from", "tion", "notawordinthemodel"]
 KNN_K = 10
@@ -41,8 +41,10 @@ def word_vectors(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def correction_dictionary(spark: SparkSession, sf: str) -> DataFrame:
+    """The vocabulary of the ``benchmark`` texts, materialised once (it is
+    looked up three times: nonwords, candidates, rewrite)."""
     bench = table(spark, sf, "benchmark")
-    return bench.select(F.explode(tokenize(F.col("text"))).alias("word")).distinct()
+    return materialize(bench.select(F.explode(tokenize(F.col("text"))).alias("word")).distinct())
 
 
 SQL_TOKS = f"toks AS (SELECT doc_id, {sql_tokens('text')} AS t FROM documents)"
@@ -144,10 +146,10 @@ corr AS (SELECT qid AS nonword, cid AS good_word, sim AS similarity FROM f
          QUALIFY row_number() OVER (PARTITION BY qid ORDER BY sim DESC, cid) = 1)"""
 
 
-def _corrections(spark: SparkSession, sf: str) -> DataFrame:
-    dictionary = correction_dictionary(spark, sf)
+def _corrections(spark: SparkSession, sf: str, dictionary: DataFrame | None = None) -> DataFrame:
+    dictionary = dictionary if dictionary is not None else correction_dictionary(spark, sf)
     docs = table(spark, sf, "documents").select("text")
-    nonwords = corrections.corpus_words(docs).join(dictionary, "word", "left_anti")
+    nonwords = corrections.nonwords_of(docs, dictionary)
     return corrections.derive_corrections(nonwords, word_vectors(spark, sf), dictionary,
                                           threshold=CORRECTION_THRESHOLD)
 
@@ -167,7 +169,8 @@ SELECT d.doc_id, coalesce(array_to_string(list(j.out ORDER BY j.pos) FILTER (WHE
 FROM d LEFT JOIN j ON d.doc_id = j.doc_id GROUP BY d.doc_id""")
 def q_replace_nonwords(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    return corrections.replace_nonwords(docs, correction_dictionary(spark, sf), _corrections(spark, sf))
+    dictionary = correction_dictionary(spark, sf)
+    return corrections.replace_nonwords(docs, dictionary, _corrections(spark, sf, dictionary))
 
 
 # VEC-1 on the corpus: one pass (the reference's 40 epochs are an option).
