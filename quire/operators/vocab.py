@@ -17,23 +17,20 @@ from ..functions.text import tokenize
 from ..session import materialize
 
 
-def _first_occurrence_pairs(s: Column) -> Column:
-    """array<struct<word, first>> with ``first`` true once per distinct word;
-    ``s`` must be a *sorted* token array (materialised once, see below)."""
-    prev = F.slice(F.concat(F.array(F.lit(None).cast("string")), s), 1, F.size(s))
-    return F.zip_with(s, prev, lambda w, p: F.struct(
-        w.alias("word"), (p.isNull() | (p != w)).alias("first")))
-
-
 def word_frequencies(docs: DataFrame, tokens: str = "tokens") -> DataFrame:
-    """AGG-1: ``(word, tf, df)`` over a DataFrame holding a token array column."""
-    # sort_array (native ordering) in its own projection so the Generate
-    # below refers to it as an attribute instead of re-sorting per use
+    """AGG-1: ``(word, tf, df)`` over a DataFrame holding a token array column.
+
+    Each token is paired with its predecessor in the *sorted* token array
+    (``arrays_zip`` with a shifted copy: native expressions, no lambda); a
+    token starts a new run -- first occurrence in its document -- when it
+    differs from its predecessor. The sort runs in its own projection so the
+    generator refers to it as an attribute instead of re-sorting per use."""
     srt = docs.select(F.sort_array(F.col(tokens)).alias("_s"))
-    pairs = srt.select(F.explode(_first_occurrence_pairs(F.col("_s"))).alias("p"))
-    return (pairs.groupBy(F.col("p.word").alias("word"))
-            .agg(F.count(F.lit(1)).alias("tf"),
-                 F.count_if(F.col("p.first")).alias("df")))
+    prev = F.slice(F.concat(F.array(F.lit(None).cast("string")), F.col("_s")), 1, F.size("_s"))
+    pairs = srt.select(F.explode(F.arrays_zip(F.col("_s").alias("w"), prev.alias("p"))).alias("z"))
+    first = F.col("z.p").isNull() | (F.col("z.p") != F.col("z.w"))
+    return (pairs.groupBy(F.col("z.w").alias("word"))
+            .agg(F.count(F.lit(1)).alias("tf"), F.count_if(first).alias("df")))
 
 
 def term_frequency(documents: DataFrame, min_frequency: int = 0,
