@@ -67,23 +67,20 @@ def first_batches(batches: DataFrame, count: int | None) -> DataFrame:
 
 def coverage(wanted: DataFrame, edges: DataFrame, urls: DataFrame) -> DataFrame:
     """AGG-12: wanted titles, those with any batch, batches needed, found and
-    not found -- one row."""
+    not found -- one row from one aggregate over a tagged union of the two
+    grains (titles and batches); no join of single-row results."""
     w = wanted.select("lccn").distinct()
-    avail = edges.select("lccn").distinct().join(w, "lccn", "left_semi")
+    titles = (w.join(edges.select("lccn").distinct().withColumn("_hit", F.lit(True)), "lccn", "left")
+              .select(F.lit("title").alias("_kind"), F.col("_hit").isNotNull().alias("_hit")))
     need = needed_batches(w, edges)
-    flagged = need.join(urls.select("batch", F.lit(True).alias("_has")).distinct(), "batch", "left")
-    stats = flagged.agg(F.count(F.lit(1)).alias("batches_needed"),
-                        F.count_if(F.col("_has").isNotNull()).alias("batches_found"),
-                        F.count_if(F.col("_has").isNull()).alias("batches_not_found"))
-    titles = w.agg(F.count(F.lit(1)).alias("titles_wanted"))
-    available = avail.agg(F.count(F.lit(1)).alias("titles_available"))
-    return _side_by_side(titles, available, stats)
-
-
-def _side_by_side(*single_rows: DataFrame) -> DataFrame:
-    """Combine single-row aggregates into one row (join on a constant key:
-    every input has exactly one row)."""
-    out = single_rows[0].withColumn("_one", F.lit(1))
-    for df in single_rows[1:]:
-        out = out.join(F.broadcast(df.withColumn("_one", F.lit(1))), "_one")
-    return out.drop("_one")
+    found = (need.join(urls.select("batch").distinct().withColumn("_hit", F.lit(True)), "batch", "left")
+             .select(F.lit("batch").alias("_kind"), F.col("_hit").isNotNull().alias("_hit")))
+    rows = titles.unionByName(found)
+    is_title = F.col("_kind") == "title"
+    is_batch = F.col("_kind") == "batch"
+    return rows.agg(
+        F.count_if(is_title).alias("titles_wanted"),
+        F.count_if(is_title & F.col("_hit")).alias("titles_available"),
+        F.count_if(is_batch).alias("batches_needed"),
+        F.count_if(is_batch & F.col("_hit")).alias("batches_found"),
+        F.count_if(is_batch & ~F.col("_hit")).alias("batches_not_found"))
