@@ -52,7 +52,7 @@ def _unit_rows(vecs) -> np.ndarray:
         return np.where(n > 0, m / np.where(n > 0, n, 1.0), 0.0)
 
 
-def _block_topk(k: int, exclude_self: bool, id_type):
+def _block_topk(k: int, exclude_self: bool):
     def run(batches):
         for pdf in batches:
             out_q, out_c, out_s = [], [], []
@@ -100,7 +100,7 @@ def top_k_neighbors(queries: DataFrame, candidates: DataFrame, k: int, id_col: s
     pairs = pairs.repartition(max(1, n_q * n_c))
     schema = T.StructType([T.StructField("qid", id_type), T.StructField("cid", id_type),
                            T.StructField("sim", T.DoubleType())])
-    partial = pairs.mapInPandas(_block_topk(k, exclude_self, id_type), schema)
+    partial = pairs.mapInPandas(_block_topk(k, exclude_self), schema)
     w = Window.partitionBy("qid").orderBy(F.col("sim").desc(), F.col("cid").asc())
     return partial.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 

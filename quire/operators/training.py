@@ -18,7 +18,6 @@ import time
 from pyspark.ml.feature import Word2Vec, Word2VecModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 # Reference defaults: 50 dimensions, words seen at least 25 times, 40 epochs.
 MODEL_DEFAULTS = {

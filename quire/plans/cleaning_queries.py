@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import text as T
 from ..operators import cleaning, filters, stats
 from ..sources.tables import table
 from .fixtures import SQL_METADATA, corpus_metadata
