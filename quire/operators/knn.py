@@ -39,7 +39,7 @@ def _n_blocks(df: DataFrame, block_rows: int) -> int:
 
 
 def _pack(df: DataFrame, id_col: str, vec_col: str, n: int, prefix: str) -> DataFrame:
-    return (df.select(F.pmod(F.xxhash64(F.col(id_col)), F.lit(n)).alias(f"{prefix}b"),
+    return (df.select(F.pmod(F.xxhash64(F.col(id_col)), F.lit(n)).cast("long").alias(f"{prefix}b"),
                       F.col(id_col).alias("_id"), F.col(vec_col).cast("array<double>").alias("_v"))
             .groupBy(f"{prefix}b")
             .agg(F.collect_list("_id").alias(f"{prefix}_ids"), F.collect_list("_v").alias(f"{prefix}_vecs")))
@@ -52,30 +52,35 @@ def _unit_rows(vecs) -> np.ndarray:
         return np.where(n > 0, m / np.where(n > 0, n, 1.0), 0.0)
 
 
-def _block_topk(k: int, exclude_self: bool):
+def _topk_rows(S: np.ndarray, row_ids: np.ndarray, col_ids: np.ndarray, k: int):
+    """Top-k columns of every row of S; columns must be sorted by id so that
+    the stable sort breaks equal similarities by id."""
+    kk = min(k, S.shape[1])
+    top = np.argsort(-S, axis=1, kind="stable")[:, :kk]
+    sims = np.take_along_axis(S, top, axis=1)
+    keep = np.isfinite(sims)
+    return np.repeat(row_ids, kk).reshape(-1, kk)[keep], col_ids[top][keep], sims[keep]
+
+
+def _block_topk(k: int, exclude_self: bool, symmetric: bool):
     def run(batches):
         for pdf in batches:
-            out_q, out_c, out_s = [], [], []
-            for q_ids, q_vecs, c_ids, c_vecs in zip(pdf["q_ids"], pdf["q_vecs"], pdf["c_ids"], pdf["c_vecs"]):
-                q_ids = np.asarray(q_ids)
-                c_ids = np.asarray(c_ids)
-                order = np.argsort(c_ids, kind="stable")      # tie-break: candidate id
-                c_ids = c_ids[order]
-                C = _unit_rows(c_vecs)[order]
-                Q = _unit_rows(q_vecs)
-                S = Q @ C.T
+            out = []
+            for row in pdf.itertuples(index=False):
+                q_ids, c_ids = np.asarray(row.q_ids), np.asarray(row.c_ids)
+                qo, co = np.argsort(q_ids, kind="stable"), np.argsort(c_ids, kind="stable")
+                q_ids, c_ids = q_ids[qo], c_ids[co]
+                S = _unit_rows(row.q_vecs)[qo] @ _unit_rows(row.c_vecs)[co].T
                 if exclude_self:
                     S[q_ids[:, None] == c_ids[None, :]] = -np.inf
-                kk = min(k, S.shape[1])
-                top = np.argsort(-S, axis=1, kind="stable")[:, :kk]
-                sims = np.take_along_axis(S, top, axis=1)
-                keep = np.isfinite(sims)
-                out_q.append(np.repeat(q_ids, kk).reshape(-1, kk)[keep])
-                out_c.append(c_ids[top][keep])
-                out_s.append(sims[keep])
-            if out_q:
-                yield pd.DataFrame({"qid": np.concatenate(out_q), "cid": np.concatenate(out_c),
-                                    "sim": np.concatenate(out_s).astype(np.float64)})
+                out.append(_topk_rows(S, q_ids, c_ids, k))
+                if symmetric and row.qb != row.cb:
+                    # the same products answer the candidate block's queries
+                    out.append(_topk_rows(S.T, c_ids, q_ids, k))
+            if out:
+                yield pd.DataFrame({"qid": np.concatenate([o[0] for o in out]),
+                                    "cid": np.concatenate([o[1] for o in out]),
+                                    "sim": np.concatenate([o[2] for o in out]).astype(np.float64)})
     return run
 
 
@@ -83,24 +88,32 @@ def top_k_neighbors(queries: DataFrame, candidates: DataFrame, k: int, id_col: s
                     vec_col: str = "vector", exclude_self: bool = True,
                     block_rows: int = BLOCK_ROWS) -> DataFrame:
     """``(qid, cid, sim, rank)``: the ``k`` most cosine-similar candidates of
-    every query (rank 1 = most similar; equal similarities by candidate id)."""
+    every query (rank 1 = most similar; equal similarities by candidate id).
+
+    When ``queries`` and ``candidates`` are the same DataFrame (a self-kNN)
+    only block pairs (b, c) with b <= c are formed and each product serves
+    both blocks, which halves the arithmetic and the pair shuffle."""
     id_type = queries.schema[id_col].dataType
     same = queries is candidates
     # both sides are scanned twice (size, then blocks): materialise them once
     queries = materialize(queries.select(id_col, vec_col))
     candidates = queries if same else materialize(candidates.select(id_col, vec_col))
     n_q = _n_blocks(queries, block_rows)
-    n_c = _n_blocks(candidates, block_rows)
+    n_c = n_q if same else _n_blocks(candidates, block_rows)
     qb = _pack(queries, id_col, vec_col, n_q, "q")
-    cb = _pack(candidates, id_col, vec_col, n_c, "c")
-    pairs = (qb.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_c - 1).cast("long"))).alias("cb"))
+    cb = (qb.select(F.col("qb").alias("cb"), F.col("q_ids").alias("c_ids"), F.col("q_vecs").alias("c_vecs"))
+          if same else _pack(candidates, id_col, vec_col, n_c, "c"))
+    # replicate each query block to the candidate blocks it meets
+    first = F.col("qb") if same else F.lit(0).cast("long")
+    pairs = (qb.select("*", F.explode(F.sequence(first, F.lit(n_c - 1).cast("long"))).alias("cb"))
              .join(cb, "cb")
-             .select("q_ids", "q_vecs", "c_ids", "c_vecs"))
+             .select("qb", "cb", "q_ids", "q_vecs", "c_ids", "c_vecs"))
+    n_pairs = n_q * (n_q + 1) // 2 if same else n_q * n_c
     # one block pair per task keeps memory at two blocks per worker
-    pairs = pairs.repartition(max(1, n_q * n_c))
+    pairs = pairs.repartition(max(1, n_pairs))
     schema = T.StructType([T.StructField("qid", id_type), T.StructField("cid", id_type),
                            T.StructField("sim", T.DoubleType())])
-    partial = pairs.mapInPandas(_block_topk(k, exclude_self), schema)
+    partial = pairs.mapInPandas(_block_topk(k, exclude_self, symmetric=same), schema)
     w = Window.partitionBy("qid").orderBy(F.col("sim").desc(), F.col("cid").asc())
     return partial.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 

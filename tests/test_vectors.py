@@ -142,3 +142,18 @@ def test_corrections_round_trip(spark, tmp_path):
     back = files.read_corrections(spark, str(tmp_path), "model-1")
     assert back.collect()[0]["good_word"] == "slaves"
     assert files.read_corrections(spark, str(tmp_path), "absent") is None
+
+
+def test_knn_queries_distinct_from_candidates(spark):
+    rng = np.random.default_rng(8)
+    vecs = rng.standard_normal((90, 6)).round(1)
+    ids = list(range(90))
+    cands = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in zip(ids, vecs)],
+                                  "id long, vector array<double>")
+    queries = cands.where("id % 3 = 0")
+    nb = knn.top_k_neighbors(queries, cands, k=5, block_rows=8)
+    got = {}
+    for r in nb.orderBy("qid", "rank").collect():
+        got.setdefault(r["qid"], []).append(r["cid"])
+    want = {q: v for q, v in _brute(vecs, ids, 5).items() if q % 3 == 0}
+    assert got == want
