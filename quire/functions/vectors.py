@@ -41,10 +41,9 @@ def literal_vector(values: Sequence[float]) -> Column:
 
 
 def dot_literal(v, values: Sequence[float]) -> Column:
-    """Dot product with a constant vector, unrolled into one expression."""
-    col = _c(v)
-    terms = [col[i].cast("double") * F.lit(float(x)) for i, x in enumerate(values)]
-    out = terms[0]
-    for t in terms[1:]:
-        out = out + t
-    return out
+    """Dot product with a constant vector: one literal array and a left fold
+    (a small plan; unrolling d terms makes a deep tree that is slow to
+    optimise and compile)."""
+    const = F.lit([float(x) for x in values]).cast("array<double>")
+    prods = F.zip_with(_c(v), const, lambda x, y: x.cast("double") * y)
+    return F.aggregate(prods, F.lit(0.0), lambda acc, z: acc + z)
