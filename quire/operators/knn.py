@@ -34,8 +34,16 @@ from ..session import materialize
 BLOCK_ROWS = 2048
 
 
+MIN_BLOCK_ROWS = 256
+
+
 def _n_blocks(df: DataFrame, block_rows: int) -> int:
-    return max(1, math.ceil(df.count() / block_rows))
+    """Blocks of at most ``block_rows`` vectors; small inputs are cut into
+    about sqrt(cores) blocks (never below MIN_BLOCK_ROWS rows) so that the
+    block pairs still spread over the cluster."""
+    n = df.count()
+    spread = math.isqrt(max(1, df.sparkSession.sparkContext.defaultParallelism - 1)) + 1
+    return max(1, math.ceil(n / block_rows), min(spread, n // MIN_BLOCK_ROWS))
 
 
 def _pack(df: DataFrame, id_col: str, vec_col: str, n: int, prefix: str) -> DataFrame:
