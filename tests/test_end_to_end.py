@@ -43,3 +43,30 @@ def test_config_default_stopwords_and_options(spark):
     assert df.select(cfg.tokens("text").alias("t")).first()["t"] == ["the", "cat", "hat"]
     assert df.select(CorpusConfig(stopwords=None).tokens("text").alias("t")).first()["t"] == \
         ["the", "cat", "and", "the", "hat"]
+
+
+def test_cli_map_over_landed_files(spark, tmp_path):
+    import json
+
+    from quire.cli import main
+    pages = tmp_path / "newspapers"
+    meta = tmp_path / "metadata"
+    words = "river boat water bridge steam cotton market price train station".split()
+    for i in range(8):
+        key = f"sn0000000{i}/1870/01/0{i + 1}/ed-1/seq-1"
+        (pages / key).mkdir(parents=True)
+        text = " ".join(words[(i + j) % 10] for j in range(30))
+        (pages / key / "ocr.txt").write_text(f"The Daily Paper\n{text}\n")
+        (meta / key).parent.mkdir(parents=True, exist_ok=True)
+        (meta / key).write_text(json.dumps({f"sn0000000{i}": {
+            "title": "The Daily Paper", "locations": ["ohio"], "collections": ["news"],
+            "date": f"1870-01-0{i + 1}", "keyword_scores": {}}}))
+    dic = tmp_path / "dictionary.txt"
+    dic.write_text("\n".join(words + ["the", "daily", "paper"]))
+    out = tmp_path / "out"
+    assert main(["map", "--pages", str(pages), "--metadata", str(meta), "--dictionary", str(dic),
+                 "--keywords", "river,steam", "--epochs", "1", "--min-count", "1", "--tile-size", "3",
+                 "--out", str(out)]) == 0
+    lab = spark.read.csv(str(out / "labelled_csv"), header=True)
+    assert lab.count() == 8 and {"river", "steam", "x", "y", "title"} <= set(lab.columns)
+    assert spark.read.parquet(str(out / "tiles")).count() == 8
