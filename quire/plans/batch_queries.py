@@ -92,3 +92,12 @@ def q_missing_batches(spark: SparkSession, sf: str) -> DataFrame:
 SELECT batch FROM needed ORDER BY batch LIMIT {FIRST_N}""")
 def q_first_batches(spark: SparkSession, sf: str) -> DataFrame:
     return B.first_batches(B.needed_batches(wanted(spark, sf), edges(spark, sf)), FIRST_N)
+
+
+@register("multimap_inversion", f"""WITH {SQL_FIX}
+SELECT batch, array_to_string(list_sort(list(DISTINCT lccn)), '|') AS lccns, count(DISTINCT lccn) AS n_lccns
+FROM edges GROUP BY batch""")
+def q_multimap_inversion(spark: SparkSession, sf: str) -> DataFrame:
+    """AGG-9 under the survey's name: the title -> batches multimap inverted
+    to batch -> titles, built from the same edge table."""
+    return q_batch_lccns(spark, sf)

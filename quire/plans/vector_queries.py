@@ -210,3 +210,13 @@ def q_keyword_scores_sampled(spark: SparkSession, sf: str) -> DataFrame:
     scores = scoring.keyword_scores(docs, word_vectors(spark, sf), BASE_WORDS,
                                     fraction=scoring.FRACTION, seed=17)
     return scoring.scores_long(scores)
+
+
+@register("word_vectors")
+def q_word_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    """VEC-1 output under the survey's name: the trained ``(word, vector)``
+    table (rows-only; its vocabulary is oracle-checked by
+    ``trained_vocabulary`` and its vectors by invariants in the tests)."""
+    from ..operators import training
+    model, _ = _trained(spark, sf)
+    return training.word_vectors(model)

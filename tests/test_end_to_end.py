@@ -70,3 +70,20 @@ def test_cli_map_over_landed_files(spark, tmp_path):
     lab = spark.read.csv(str(out / "labelled_csv"), header=True)
     assert lab.count() == 8 and {"river", "steam", "x", "y", "title"} <= set(lab.columns)
     assert spark.read.parquet(str(out / "tiles")).count() == 8
+
+
+def test_trained_vectors_invariants(spark):
+    from quire.operators import training
+    words = "river boat water bridge steam cotton".split()
+    docs = spark.createDataFrame([(i, [words[(i + j) % 6] for j in range(20)]) for i in range(10)],
+                                 "doc_id long, tokens array<string>")
+    model = training.train(docs, {"vectorSize": 6, "minCount": 1, "maxIter": 1, "seed": 3}, num_partitions=1)
+    wv = {r["word"]: r["vector"] for r in training.word_vectors(model).collect()}
+    assert set(wv) == set(words) and all(len(v) == 6 for v in wv.values())
+    dv = training.doc_vectors(model, docs).collect()
+    assert len(dv) == 10
+    import numpy as np
+    first = dv[0]
+    toks = [words[j % 6] for j in range(20)]
+    mean = np.mean([wv[t] for t in toks], axis=0)
+    assert np.allclose(first["vector"], mean, atol=1e-5)      # document vector = mean word vector
