@@ -16,7 +16,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import cleaning, quality
+from ..operators import cleaning, corrections, quality
 from ..session import ensure_checkpoint_dir
 
 
@@ -63,3 +63,18 @@ def quality_filter_batches(stream: DataFrame, dictionary: DataFrame, sink: str,
     q = (stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
+
+
+def replace_nonwords_batches(stream: DataFrame, dictionary: DataFrame, correction_table: DataFrame,
+                             sink: str, checkpoint: str, key: str = "doc_id") -> None:
+    """TXT-15 on a stream: each micro-batch is rewritten with the (static)
+    dictionary and correction table; a retried batch overwrites its own
+    partition."""
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        out = corrections.replace_nonwords(batch, dictionary, correction_table, key=key)
+        (out.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(sink))
+
+    q = (stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()

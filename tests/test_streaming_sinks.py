@@ -53,3 +53,15 @@ def test_labelled_csv_and_metadata_json(spark, tmp_path):
     sinks.write_metadata_json(recs, jpath)
     line = spark.read.text(jpath).first()["value"]
     assert json.loads(line)["a"]["keyword_scores"] == {"war": 3}
+
+
+def test_stream_replace_nonwords(spark, tmp_path):
+    src = tmp_path / "docs"
+    spark.createDataFrame([(1, '"Skives" is a word. fdahlj is not.')], "doc_id long, text string") \
+        .write.parquet(str(src))
+    schema = spark.read.parquet(str(src)).schema
+    dic = spark.createDataFrame([(w,) for w in ["is", "a", "word", "not", "slaves"]], ["word"])
+    corr = spark.createDataFrame([("skives", "slaves", 0.9)], "nonword string, good_word string, similarity double")
+    sink = str(tmp_path / "out")
+    S.replace_nonwords_batches(S.read_documents_stream(spark, str(src), schema), dic, corr, sink, sink + "-ckpt")
+    assert [r["text"] for r in spark.read.parquet(sink).collect()] == ["slaves is a word is not"]
