@@ -6,7 +6,9 @@ the "no metadata" branches of the operators are exercised too:
 * title       = the document's first line
 * locations   = [source, lang]
 * collections = [source, lang]
-* date / year = derived from ``doc_id`` through ``orders`` where needed
+
+Dates and years are exercised on page keys built from ``orders`` (see
+``metadata_queries``).
 """
 
 from __future__ import annotations
