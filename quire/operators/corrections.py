@@ -49,13 +49,14 @@ def derive_corrections(nonwords: DataFrame, word_vectors: DataFrame, dictionary:
 
     ``nonwords(word)`` may be corpus-sized; ``word_vectors`` is model-sized
     (bounded by the training vocabulary) and is the side that is shipped:
-    the nonwords stream past it. Pass a materialised ``dictionary`` when it is
-    derived, since it is looked up by size."""
+    the nonwords stream past it. ``word_vectors`` is expected to be a stored
+    (or materialised) model table; pass a materialised ``dictionary`` when
+    it is derived, since it is looked up by size."""
     wv = word_vectors.select("word", "vector")
     queries = nonwords.select("word").distinct().join(bounded_broadcast(wv), "word")
     neighbors = knn.top_k_neighbors(queries.select(F.col("word").alias("id"), "vector"),
                                     wv.select(F.col("word").alias("id"), "vector"),
-                                    k=k, exclude_self=True)
+                                    k=k, exclude_self=True, candidates_stored=True)
     dic = bounded_broadcast(dictionary.select(F.col("word").alias("cid")))
     cand = (neighbors.where(F.col("sim") > F.lit(threshold))
             .join(dic, "cid", "left_semi")

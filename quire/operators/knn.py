@@ -94,18 +94,24 @@ def _block_topk(k: int, exclude_self: bool, symmetric: bool):
 
 def top_k_neighbors(queries: DataFrame, candidates: DataFrame, k: int, id_col: str = "id",
                     vec_col: str = "vector", exclude_self: bool = True,
-                    block_rows: int = BLOCK_ROWS) -> DataFrame:
+                    block_rows: int = BLOCK_ROWS, candidates_stored: bool = False) -> DataFrame:
     """``(qid, cid, sim, rank)``: the ``k`` most cosine-similar candidates of
     every query (rank 1 = most similar; equal similarities by candidate id).
 
     When ``queries`` and ``candidates`` are the same DataFrame (a self-kNN)
     only block pairs (b, c) with b <= c are formed and each product serves
-    both blocks, which halves the arithmetic and the pair shuffle."""
+    both blocks, which halves the arithmetic and the pair shuffle.
+    ``candidates_stored`` skips re-materialising a candidate table that is
+    already a stored or checkpointed model table."""
     id_type = queries.schema[id_col].dataType
     same = queries is candidates
-    # both sides are scanned twice (size, then blocks): materialise them once
+    # both sides are scanned twice (size, then blocks): materialise them once,
+    # unless the candidates are already a stored or materialised table
     queries = materialize(queries.select(id_col, vec_col))
-    candidates = queries if same else materialize(candidates.select(id_col, vec_col))
+    if same:
+        candidates = queries
+    elif not candidates_stored:
+        candidates = materialize(candidates.select(id_col, vec_col))
     n_q = _n_blocks(queries, block_rows)
     n_c = n_q if same else _n_blocks(candidates, block_rows)
     qb = _pack(queries, id_col, vec_col, n_q, "q")
