@@ -1,6 +1,6 @@
 """Run registered queries in Spark and their DuckDB oracles; compare results.
 
-Usage: python tools/check_oracles.py [sf_dir] [name ...]
+Usage: python tools/check_oracles.py [--json=report.json] [sf_dir] [name ...]
 
 Comparison: same column names, same row count, and equal multisets of rows
 (columns sorted by name, floats compared after rounding to 6 places).
@@ -89,11 +89,16 @@ def compare(spark, con, sf_dir, name):
 
 
 def main(argv):
+    out_json = None
+    if any(a.startswith("--json=") for a in argv):
+        out_json = [a for a in argv if a.startswith("--json=")][0].split("=", 1)[1]
+        argv = [a for a in argv if not a.startswith("--json=")]
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     names = argv[2:] or sorted(QUERIES)
     spark = build_session("local[8]", shuffle_partitions=8)
     con = oracle_connection(sf_dir)
     bad = 0
+    results = []
     for n in names:
         try:
             r = compare(spark, con, sf_dir, n)
@@ -102,6 +107,11 @@ def main(argv):
         if r["status"] not in ("match", "rows-only"):
             bad += 1
         print(r, flush=True)
+        results.append({k: v for k, v in r.items() if k not in ("only_spark", "only_oracle")})
+    if out_json:
+        import json
+        with open(out_json, "w") as f:
+            json.dump({"sf_dir": sf_dir, "bad": bad, "queries": results}, f, indent=1, default=str)
     return 1 if bad else 0
 
 
