@@ -38,6 +38,8 @@ def _parser() -> argparse.ArgumentParser:
     m.add_argument("--tile-size", type=int, default=25_000)
     m.add_argument("--epochs", type=int, default=40)
     m.add_argument("--min-count", type=int, default=25, help="training vocabulary threshold")
+    m.add_argument("--buckets", type=int, default=0,
+                   help="write doc-keyed stages as tables bucketed by doc_id (co-located joins)")
     m.add_argument("--out", required=True)
     m.add_argument("--master", help="local master for runs outside spark-submit")
     return p
@@ -61,7 +63,11 @@ def run_map(spark: SparkSession, a: argparse.Namespace) -> dict:
                         previous_vectors=prev, word_vectors=wv, doc_vectors=dv)
     out = a.out.rstrip("/")
     for name in ("cleaned", "documents", "metadata", "coordinates", "word_vectors", "corrections"):
-        if name in stages:
+        if name not in stages:
+            continue
+        if a.buckets and name in ("cleaned", "documents", "metadata", "coordinates"):
+            sinks.write_bucketed(stages[name], f"quire_{name}", "doc_id", a.buckets, f"{out}/{name}")
+        else:
             sinks.write_stage(stages[name], f"{out}/{name}")
     sinks.write_rejects(rejects, f"{out}/rejects")
     sinks.write_coordinates(stages["coordinates"], f"{out}/coordinates_csv")

@@ -82,3 +82,14 @@ def write_corrections(corrections: DataFrame, root: str, model_id: str) -> None:
     """SRC-13 / D3: the correction table, kept per model id (the reference's
     cache was never committed)."""
     corrections.write.mode("overwrite").parquet(f"{root.rstrip('/')}/{model_id}")
+
+
+def write_bucketed(df: DataFrame, table_name: str, key: str, buckets: int, path: str | None = None) -> None:
+    """A stage saved as a table bucketed and sorted by its key: later joins
+    and aggregations on the key between tables with the same bucket count
+    read co-located buckets and skip the shuffle. ``path`` places the table
+    files explicitly (an external table), otherwise in the warehouse."""
+    w = df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).format("parquet")
+    if path:
+        w = w.option("path", path)
+    w.saveAsTable(table_name)

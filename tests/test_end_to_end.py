@@ -66,6 +66,7 @@ def test_cli_map_over_landed_files(spark, tmp_path):
     out = tmp_path / "out"
     assert main(["map", "--pages", str(pages), "--metadata", str(meta), "--dictionary", str(dic),
                  "--keywords", "river,steam", "--epochs", "1", "--min-count", "1", "--tile-size", "3",
+                 "--buckets", "2",
                  "--out", str(out)]) == 0
     lab = spark.read.csv(str(out / "labelled_csv"), header=True)
     assert lab.count() == 8 and {"river", "steam", "x", "y", "title"} <= set(lab.columns)

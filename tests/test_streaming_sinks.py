@@ -65,3 +65,27 @@ def test_stream_replace_nonwords(spark, tmp_path):
     sink = str(tmp_path / "out")
     S.replace_nonwords_batches(S.read_documents_stream(spark, str(src), schema), dic, corr, sink, sink + "-ckpt")
     assert [r["text"] for r in spark.read.parquet(sink).collect()] == ["slaves is a word is not"]
+
+
+def test_bucketed_stages_join_without_shuffle(spark, tmp_path, capsys):
+    docs = spark.range(200).select(F.col("id").alias("doc_id"), (F.col("id") * 2).alias("a"))
+    meta = spark.range(200).select(F.col("id").alias("doc_id"), (F.col("id") * 3).alias("b"))
+    sinks.write_bucketed(docs, "quire_test_docs", "doc_id", 4, str(tmp_path / "docs"))
+    sinks.write_bucketed(meta, "quire_test_meta", "doc_id", 4, str(tmp_path / "meta"))
+    # large-table conditions: no broadcast, so the bucketed layout decides
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        joined = spark.table("quire_test_docs").join(spark.table("quire_test_meta"), "doc_id")
+        capsys.readouterr()
+        joined.explain()
+        plan = capsys.readouterr().out
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert joined.count() == 200
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+        spark.sql("DROP TABLE IF EXISTS quire_test_docs")
+        spark.sql("DROP TABLE IF EXISTS quire_test_meta")
