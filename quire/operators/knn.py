@@ -2,9 +2,9 @@
 
 Algorithm: blocked all-pairs scan.
 
-1. Both sides are hashed into blocks of at most ``block_rows`` vectors and
+1. Both sides are hashed into blocks of about ``block_rows`` vectors and
    each block is packed into one row (``collect_list`` per block id), so a
-   block's size is bounded by construction, independent of the data size.
+   block's size is set by construction, independent of the data size.
 2. Every query block is paired with every candidate block by an equi-join
    on a replicated candidate-block id. Rows of this join are *block pairs*,
    never vector pairs.
@@ -31,14 +31,12 @@ from pyspark.sql import types as T
 
 from ..session import materialize
 
-BLOCK_ROWS = 2048
-
-
-MIN_BLOCK_ROWS = 256
+BLOCK_ROWS = 2048        # target vectors per block (hash blocks vary slightly)
+MIN_BLOCK_ROWS = 256     # smallest block worth a task
 
 
 def _n_blocks(df: DataFrame, block_rows: int) -> int:
-    """Blocks of at most ``block_rows`` vectors; small inputs are cut into
+    """Blocks of about ``block_rows`` vectors; small inputs are cut into
     about sqrt(cores) blocks (never below MIN_BLOCK_ROWS rows) so that the
     block pairs still spread over the cluster."""
     n = df.count()
