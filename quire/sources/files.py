@@ -228,3 +228,22 @@ def read_dataset(spark: SparkSession, landing_root: str, definition) -> DataFram
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
     return out.dropDuplicates(["id"])
+
+
+def select_newspaper_pages(pages: DataFrame, selection, batch_edges: DataFrame | None = None) -> DataFrame:
+    """SRC-9 newspapers part on landed pages: keep the selected titles (all
+    when none are named) whose page year lies in the window (FLT-8, both ends
+    inclusive); with ``batch_edges(lccn, batch)`` and ``selection.count``, only
+    titles covered by the first ``count`` needed batches (ORD-3)."""
+    from ..operators import batches as B
+    out = pages.withColumn("lccn", keys.identifier("doc_id"))
+    year = F.substring(keys.page_date("doc_id"), 1, 4).cast("int")
+    out = out.where(year.between(selection.first_year, selection.last_year))
+    if selection.lccns:
+        out = out.where(F.col("lccn").isin(*selection.lccns))
+    if batch_edges is not None and selection.count is not None:
+        wanted = out.select("lccn").distinct()
+        first = B.first_batches(B.needed_batches(wanted, batch_edges), selection.count)
+        covered = batch_edges.join(first, "batch", "left_semi").select("lccn").distinct()
+        out = out.join(covered, "lccn", "left_semi")
+    return out.drop("lccn")

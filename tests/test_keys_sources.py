@@ -152,3 +152,16 @@ def test_dataset_definition_and_title_allow_list(spark, tmp_path):
     titles = spark.createDataFrame([("The Daily Dispatch",), ("Evening Star",), ("Other",)], ["title"])
     kept = [r["title"] for r in filters.title_allow_list(titles, ["daily dispatch", "EVENING"]).collect()]
     assert sorted(kept) == ["Evening Star", "The Daily Dispatch"]
+
+
+def test_select_newspaper_pages(spark):
+    from quire.config import NewspaperSelection
+    pages = spark.createDataFrame([
+        ("sn1/1864/01/01/ed-1/seq-1", "a"), ("sn1/1865/01/01/ed-1/seq-1", "b"),
+        ("sn2/1877/12/31/ed-1/seq-2", "c"), ("sn3/1870/05/05/ed-1/seq-1", "d"),
+        ("sn2/1878/01/01/ed-1/seq-1", "e")], ["doc_id", "text"])
+    got = files.select_newspaper_pages(pages, NewspaperSelection(lccns=("sn1", "sn2")))
+    assert sorted(r["text"] for r in got.collect()) == ["b", "c"]
+    edges = spark.createDataFrame([("sn1", "batch_b"), ("sn2", "batch_a"), ("sn3", "batch_c")], ["lccn", "batch"])
+    first = files.select_newspaper_pages(pages, NewspaperSelection(count=1), edges)
+    assert sorted(r["text"] for r in first.collect()) == ["c"]       # batch_a covers sn2 only
