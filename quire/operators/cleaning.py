@@ -77,16 +77,44 @@ def edit_counts(docs: DataFrame, marker: str = T.ARCHIVAL_MARKER_RE,
     )
 
 
-def remove_document_stopwords(docs: DataFrame, stopwords: Column | str, text: str = "text") -> DataFrame:
+def remove_document_stopwords(docs: DataFrame, stopwords: Column | str, text: str = "text",
+                              key: str = "doc_id", inrow_limit: int | None = None) -> DataFrame:
     """TXT-14: normalise the whole text, split on whitespace, drop words that
     are in the per-document ``stopwords`` array, re-join with single spaces.
     Whole-word matches only; repeats and order of the kept words are preserved
-    (a HOF ``filter``, not ``array_except``, which would deduplicate). A null
-    stopword array means "no metadata": the text is left untouched."""
-    stop = F.col(stopwords) if isinstance(stopwords, str) else stopwords
+    (not ``array_except``, which would deduplicate). A null stopword array
+    means "no metadata": the text is left untouched.
+
+    Default: one pass, no shuffle; each token is checked in-row against its
+    document's array (O(tokens x stopwords) per document -- a few words for
+    real titles and locations). With ``inrow_limit``, documents with more
+    stopwords than that go through a keyed anti-join on (document, word) and
+    are re-assembled in text order, linear in tokens; this reads the input
+    once per branch, so it is meant for corpora whose per-document lists are
+    long. Both forms give identical results."""
+    stop_col = F.col(stopwords) if isinstance(stopwords, str) else stopwords
+    tagged = docs.withColumn("_stop", stop_col)
+    if isinstance(stopwords, str) and stopwords != "_stop":
+        tagged = tagged.drop(stopwords)
     t = F.col(text)
+    stop = F.col("_stop")
+    cols = [c for c in tagged.columns if c != "_stop"]
     kept = F.filter(T.tokenize(t), lambda w: ~F.array_contains(stop, w))
-    return docs.withColumn(text, F.when(stop.isNull(), t).otherwise(F.array_join(kept, " ")))
+    inrow = F.when(stop.isNull(), t).otherwise(F.array_join(kept, " "))
+    if inrow_limit is None:
+        return tagged.withColumn(text, inrow).select(*cols)
+
+    small = tagged.where(stop.isNull() | (F.size(stop) <= inrow_limit)).withColumn(text, inrow)
+    large = tagged.where(F.size(stop) > inrow_limit)
+    words = large.select(key, F.posexplode(T.tokenize(t)).alias("_pos", "_w"))
+    banned = large.select(key, F.explode(F.array_distinct(stop)).alias("_w"))
+    survivors = words.join(banned, [key, "_w"], "left_anti")
+    rebuilt = (survivors.groupBy(key)
+               .agg(F.sort_array(F.collect_list(F.struct("_pos", "_w"))).alias("_kept"))
+               .select(key, F.array_join(F.transform("_kept", lambda s: s["_w"]), " ").alias("_new")))
+    large = (large.join(rebuilt, key, "left")
+             .withColumn(text, F.coalesce(F.col("_new"), F.lit(""))).drop("_new"))
+    return small.select(*cols).unionByName(large.select(*cols))
 
 
 def metadata_stopwords(title: Column, locations: Column, split_locations: bool = False) -> Column:

@@ -72,7 +72,7 @@ def corpus_map(docs: DataFrame, metadata: DataFrame, dictionary: DataFrame, opti
         d = corrections.replace_nonwords(d, dictionary, corr, key=key)
 
     stop = metadata.select(key, cleaning.metadata_stopwords(F.col("title"), F.col("locations")).alias("_stop"))
-    d = cleaning.remove_document_stopwords(d.join(stop, key, "left"), "_stop").drop("_stop")
+    d = cleaning.remove_document_stopwords(d.join(stop, key, "left"), "_stop", key=key)
     d = stage("documents", cleaning.drop_empty(d))
 
     if word_vectors is None or doc_vectors is None:

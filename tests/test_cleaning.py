@@ -93,3 +93,14 @@ def test_word_count_and_empty(spark):
     wc = {r["doc_id"]: r["n"] for r in df.select("doc_id", T.word_count("text").alias("n")).collect()}
     assert wc == {"a": len("one two  three".split(" ")), "b": 1, "c": 4}
     assert set(_texts(cleaning.drop_empty(df))) == {"a", "c"}
+
+
+def test_stopwords_keyed_path_equals_inrow(spark):
+    rows = [("a", "The cat, the hat; THE bat. cat", ["the", "bat", "x", "y"]),
+            ("b", "only stopwords here", ["only", "stopwords", "here"]),
+            ("c", "no metadata at all", None),
+            ("d", "", ["a", "b", "c"])]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, stop array<string>")
+    inrow = _texts(cleaning.remove_document_stopwords(docs, "stop"))
+    keyed = _texts(cleaning.remove_document_stopwords(docs, "stop", inrow_limit=2))
+    assert inrow == keyed == {"a": "cat hat cat", "b": "", "c": "no metadata at all", "d": ""}
