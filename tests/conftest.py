@@ -9,8 +9,12 @@ sys.path.insert(0, ROOT)
 
 @pytest.fixture(scope="session")
 def spark():
+    import tempfile
+
     from quire.session import build_session
-    s = build_session("local[4]", app="quire-tests", shuffle_partitions=4)
+    warehouse = tempfile.mkdtemp(prefix="quire-warehouse-")
+    s = build_session("local[4]", app="quire-tests", shuffle_partitions=4,
+                      extra={"spark.sql.warehouse.dir": warehouse})
     yield s
     s.stop()
 
