@@ -21,6 +21,12 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
+    # shuffle partitions are sized by AQE from map output (coalesced to this
+    # size) rather than by a fixed count
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
+    # text rows expand several-fold once tokenised and exploded: keep file
+    # splits smaller than the 128MB default so a task's working set fits
+    "spark.sql.files.maxPartitionBytes": "64MB",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2048",
