@@ -33,6 +33,9 @@ class CorpusConfig:
     # TXT-4 list: "english" = Spark's built-in English list (the reference
     # always filtered stopwords first); None = no filter
     stopwords: tuple[str, ...] | str | None = "english"
+    # D11: the reference removes stopwords before lower-casing and
+    # depunctuating (so "The" survives); True removes them after tokenising
+    stopwords_after_tokenize: bool = False
     stopword_filter: ColumnFn | None = None      # UDF-1
     tokenizer: ColumnFn | None = None            # UDF-2
     training_options: dict = field(default_factory=dict)   # UDF-3
@@ -43,8 +46,11 @@ class CorpusConfig:
         stop = self.stopwords
         if stop == "english":
             stop = T.default_stopwords(None)
-        return T.preprocess(F.col(text) if isinstance(text, str) else text, stopwords=stop,
-                            stopword_filter=self.stopword_filter, tokenizer=self.tokenizer)
+        col = F.col(text) if isinstance(text, str) else text
+        if self.stopwords_after_tokenize and stop and self.stopword_filter is None:
+            return T.without_words((self.tokenizer or T.tokenize)(col), stop)
+        return T.preprocess(col, stopwords=stop, stopword_filter=self.stopword_filter,
+                            tokenizer=self.tokenizer)
 
     def word2vec_options(self) -> dict:
         """Defaults, then epochs, then model and training overrides."""

@@ -88,3 +88,9 @@ def test_trained_vectors_invariants(spark):
     toks = [words[j % 6] for j in range(20)]
     mean = np.mean([wv[t] for t in toks], axis=0)
     assert np.allclose(first["vector"], mean, atol=1e-5)      # document vector = mean word vector
+
+
+def test_stopwords_after_tokenize_option(spark):
+    df = spark.createDataFrame([("The cat and the Hat",)], ["text"])
+    cfg = CorpusConfig(stopwords_after_tokenize=True)
+    assert df.select(cfg.tokens("text").alias("t")).first()["t"] == ["cat", "hat"]
