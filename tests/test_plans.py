@@ -44,3 +44,13 @@ def test_nonword_rewrite_is_partition_local(spark, capsys):
     plan = _plan(spark, "replace_nonwords", capsys)
     top = plan.split("\n\n")[0]          # the tree of the final query
     assert "BroadcastHashJoin LeftOuter" in top and "SortMergeJoin" not in top
+
+
+def test_quality_filter_aggregates_without_reshuffling_documents(spark, capsys):
+    plan = _plan(spark, "ocr_quality_filter", capsys)
+    top = plan.split("\n\n")[0]
+    assert "BroadcastHashJoin LeftOuter" in top
+    # the per-document count reuses the doc_id partitioning of the scan
+    shuffles_by_doc = [ln for ln in plan.splitlines()
+                       if ln.startswith("Arguments: hashpartitioning(doc_id") and "ENSURE_REQUIREMENTS" in ln]
+    assert shuffles_by_doc == []
