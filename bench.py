@@ -44,15 +44,23 @@ def main() -> None:
     # start the Python workers once (Arrow-batched stages reuse them)
     spark.range(0, 64, 1, int(cpus)).mapInPandas(lambda it: it, "id long") \
         .write.format("noop").mode("overwrite").save()
-    times = {}
+    times, failed = {}, {}
     for name in names:
         t0 = time.perf_counter()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        try:
+            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        except Exception as e:  # noqa: BLE001 -- report and keep timing the others
+            failed[name] = f"{type(e).__name__}: {str(e)[:200]}"
+            print(f"# {name}: FAILED {failed[name]}", file=sys.stderr, flush=True)
+            continue
         times[name] = round(time.perf_counter() - t0, 3)
         print(f"# {name}: {times[name]}s", file=sys.stderr, flush=True)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
-    print(json.dumps({"metric": "total_query_seconds", "value": round(sum(times.values()), 3),
-                      "unit": "sec", "queries": times, "sf": sf}))
+    out = {"metric": "total_query_seconds", "value": round(sum(times.values()), 3),
+           "unit": "sec", "queries": times, "sf": sf}
+    if failed:
+        out["failed"] = failed
+    print(json.dumps(out))
     spark.stop()
 
 
