@@ -53,10 +53,13 @@ def derive_corrections(nonwords: DataFrame, word_vectors: DataFrame, dictionary:
     (or materialised) model table; pass a materialised ``dictionary`` when
     it is derived, since it is looked up by size."""
     wv = word_vectors.select("word", "vector")
+    n_words = wv.count()                 # a stored model table: cheap
     queries = nonwords.select("word").distinct().join(bounded_broadcast(wv), "word")
+    # queries are vocabulary words, so the vocabulary size bounds them
     neighbors = knn.top_k_neighbors(queries.select(F.col("word").alias("id"), "vector"),
                                     wv.select(F.col("word").alias("id"), "vector"),
-                                    k=k, exclude_self=True, candidates_stored=True)
+                                    k=k, exclude_self=True, candidates_stored=True,
+                                    query_rows_bound=n_words)
     dic = bounded_broadcast(dictionary.select(F.col("word").alias("cid")))
     cand = (neighbors.where(F.col("sim") > F.lit(threshold))
             .join(dic, "cid", "left_semi")

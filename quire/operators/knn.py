@@ -35,11 +35,12 @@ BLOCK_ROWS = 2048        # target vectors per block (hash blocks vary slightly)
 MIN_BLOCK_ROWS = 256     # smallest block worth a task
 
 
-def _n_blocks(df: DataFrame, block_rows: int) -> int:
+def _n_blocks(df: DataFrame, block_rows: int, rows: int | None = None) -> int:
     """Blocks of about ``block_rows`` vectors; small inputs are cut into
     about sqrt(cores) blocks (never below MIN_BLOCK_ROWS rows) so that the
-    block pairs still spread over the cluster."""
-    n = df.count()
+    block pairs still spread over the cluster. ``rows`` (an upper bound)
+    saves counting ``df``."""
+    n = df.count() if rows is None else rows
     spread = math.isqrt(max(1, df.sparkSession.sparkContext.defaultParallelism - 1)) + 1
     return max(1, math.ceil(n / block_rows), min(spread, n // MIN_BLOCK_ROWS))
 
@@ -92,7 +93,8 @@ def _block_topk(k: int, exclude_self: bool, symmetric: bool):
 
 def top_k_neighbors(queries: DataFrame, candidates: DataFrame, k: int, id_col: str = "id",
                     vec_col: str = "vector", exclude_self: bool = True,
-                    block_rows: int = BLOCK_ROWS, candidates_stored: bool = False) -> DataFrame:
+                    block_rows: int = BLOCK_ROWS, candidates_stored: bool = False,
+                    query_rows_bound: int | None = None) -> DataFrame:
     """``(qid, cid, sim, rank)``: the ``k`` most cosine-similar candidates of
     every query (rank 1 = most similar; equal similarities by candidate id).
 
@@ -100,17 +102,21 @@ def top_k_neighbors(queries: DataFrame, candidates: DataFrame, k: int, id_col: s
     only block pairs (b, c) with b <= c are formed and each product serves
     both blocks, which halves the arithmetic and the pair shuffle.
     ``candidates_stored`` skips re-materialising a candidate table that is
-    already a stored or checkpointed model table."""
+    already a stored or checkpointed model table; ``query_rows_bound`` (an
+    upper bound on the number of queries, e.g. the vocabulary size when the
+    queries are vocabulary words) sizes the blocks without materialising and
+    counting the queries, which are then read once, by the block packing."""
     id_type = queries.schema[id_col].dataType
     same = queries is candidates
     # both sides are scanned twice (size, then blocks): materialise them once,
     # unless the candidates are already a stored or materialised table
-    queries = materialize(queries.select(id_col, vec_col))
+    if query_rows_bound is None or same:
+        queries = materialize(queries.select(id_col, vec_col))
     if same:
         candidates = queries
     elif not candidates_stored:
         candidates = materialize(candidates.select(id_col, vec_col))
-    n_q = _n_blocks(queries, block_rows)
+    n_q = _n_blocks(queries, block_rows, None if same else query_rows_bound)
     n_c = n_q if same else _n_blocks(candidates, block_rows)
     qb = _pack(queries, id_col, vec_col, n_q, "q")
     cb = (qb.select(F.col("qb").alias("cb"), F.col("q_ids").alias("c_ids"), F.col("q_vecs").alias("c_vecs"))
