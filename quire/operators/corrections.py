@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from . import knn
-from .joins import bounded_broadcast
+from .joins import bounded_broadcast, lookup_join
 from ..session import materialize
 
 # Fixed values of the reference.
@@ -92,9 +92,9 @@ def replace_nonwords(docs: DataFrame, dictionary: DataFrame, corrections: DataFr
     Documents with no surviving word become ''."""
     # materialised once; shipped to every task when it is within the bound,
     # so tokens never leave their document's partition
-    wm = bounded_broadcast(materialize(word_map(dictionary, corrections)))
+    wm = materialize(word_map(dictionary, corrections))
     words = docs.select(key, F.posexplode_outer(T.tokenize(F.col(text))).alias("pos", "word"))
-    mapped = words.join(wm, "word", "left")
+    mapped = lookup_join(words, wm, "word", "left")
     kept = F.when(F.col("out").isNotNull(), F.struct("pos", "out"))
     out = mapped.groupBy(key).agg(F.sort_array(F.collect_list(kept)).alias("_w"))
     return out.select(key, F.array_join(F.transform("_w", lambda s: s["out"]), " ").alias(text))

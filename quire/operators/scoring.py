@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions import vectors as V
-from .joins import bounded_broadcast
+from .joins import lookup_join
 
 # Fixed values of the reference: sampling rate and minimum scored word length.
 FRACTION = 0.1
@@ -69,7 +69,7 @@ def keyword_scores(docs: DataFrame, word_vectors: DataFrame, base_words: Sequenc
     names = [w for w, _ in bases]
     if not names:
         return docs.select(key, F.create_map().cast("map<string,int>").alias("keyword_scores"))
-    sims = bounded_broadcast(word_similarities(word_vectors, bases))
+    sims = word_similarities(word_vectors, bases)
     toks = T.long_tokens(tokenizer(F.col(text)), MIN_WORD_LENGTH)
     if fraction < 1.0:
         toks = T.sample_tokens(toks, fraction, seed, F.col(key), keep_order=False)
@@ -77,7 +77,7 @@ def keyword_scores(docs: DataFrame, word_vectors: DataFrame, base_words: Sequenc
     # not carry the whole token array on every output row
     per_doc = (docs.select(key, toks.alias("_t")).select(key, "_t", F.size("_t").alias("_n"))
                .select(key, "_n", F.explode_outer("_t").alias("word")))
-    joined = per_doc.join(sims, "word", "left")
+    joined = lookup_join(per_doc, sims, "word", "left")
     sums = joined.groupBy(key).agg(
         F.first("_n").alias("_n"),
         *[F.sum(F.coalesce(F.col("sims")[i], F.lit(0.0))).alias(f"_s{i}") for i in range(len(names))])

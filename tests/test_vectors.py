@@ -157,3 +157,12 @@ def test_knn_queries_distinct_from_candidates(spark):
         got.setdefault(r["qid"], []).append(r["cid"])
     want = {q: v for q, v in _brute(vecs, ids, 5).items() if q % 3 == 0}
     assert got == want
+
+
+def test_salted_lookup_join_equals_broadcast(spark):
+    from quire.operators.joins import lookup_join
+    big = spark.createDataFrame([(i, "the" if i % 3 else f"w{i % 7}") for i in range(300)], "doc long, word string")
+    lookup = spark.createDataFrame([("the", 1), ("w1", 2), ("w2", 3)], "word string, v int")
+    a = sorted(map(tuple, lookup_join(big, lookup, "word").collect()))
+    b = sorted(map(tuple, lookup_join(big, lookup, "word", max_rows=0, salts=8).collect()))
+    assert a == b and len(a) == 300
