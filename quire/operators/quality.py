@@ -7,10 +7,10 @@ is not counted in the totals.
 
 Plan shape: the token window is sliced *before* the explode (Catalyst cannot
 infer that), so at most 400 rows per document leave the scan stage. The
-dictionary join is planned by AQE from the materialised dictionary size: a
-broadcast hash join when it is small, otherwise a sort-merge join whose
-hot-word partitions AQE splits. The per-document count is pre-aggregated in
-the map stage when the join is a broadcast.
+dictionary is materialised once; it is broadcast when its row count is
+within the bound, otherwise joined with a salted lookup so hot words are
+spread over several tasks. With the broadcast, the per-document count runs
+in the scan's partitions without a further shuffle.
 """
 
 from __future__ import annotations
@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import tokenize
+from ..session import materialize
+from .joins import lookup_join
 
 # Fixed values of the reference filter.
 CUTOFF = 0.57
@@ -37,8 +39,10 @@ def quality_scores(documents: DataFrame, dictionary: DataFrame, key: str = "doc_
                    text: str = "text", **kw) -> DataFrame:
     """``(key, n_tokens, n_good, score)`` for every document with long tokens."""
     words = documents.select(key, F.explode(examined_tokens(F.col(text), **kw)).alias("word"))
-    dic = dictionary.select(F.col("word"), F.lit(1).alias("_in_dict")).distinct()
-    joined = words.join(dic, "word", "left")
+    # vocabulary-sized: materialised once, then broadcast within the bound or
+    # joined with salting above it (hot words never land in one task)
+    dic = materialize(dictionary.select("word").distinct().withColumn("_in_dict", F.lit(1)))
+    joined = lookup_join(words, dic, "word", "left")
     return (joined.groupBy(key)
             .agg(F.count(F.lit(1)).alias("n_tokens"),
                  F.count(F.col("_in_dict")).alias("n_good"))
