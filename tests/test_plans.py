@@ -4,6 +4,7 @@ import os
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from quire.plans.all_queries import QUERIES
 
@@ -54,3 +55,25 @@ def test_quality_filter_aggregates_without_reshuffling_documents(spark, capsys):
     shuffles_by_doc = [ln for ln in plan.splitlines()
                        if ln.startswith("Arguments: hashpartitioning(doc_id") and "ENSURE_REQUIREMENTS" in ln]
     assert shuffles_by_doc == []
+
+
+def test_lookup_join_salts_above_the_bound(spark, capsys):
+    from quire.operators.joins import lookup_join
+    big = spark.createDataFrame([(i, "the") for i in range(50)], "doc long, word string")
+    lookup = spark.createDataFrame([("the", 1)], "word string, v int")
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        out = lookup_join(big, lookup, "word", max_rows=0, salts=4)
+        capsys.readouterr()
+        out.explain()
+        plan = capsys.readouterr().out
+        assert "_salt" in plan and "BroadcastHashJoin" not in plan
+        # the single hot key is spread over several salts
+        salts = big.select((F.pmod(F.xxhash64("doc", "word"), F.lit(4))).alias("s")).distinct().count()
+        assert salts > 1 and out.count() == 50
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
