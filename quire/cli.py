@@ -40,6 +40,8 @@ def _parser() -> argparse.ArgumentParser:
     m.add_argument("--min-count", type=int, default=25, help="training vocabulary threshold")
     m.add_argument("--buckets", type=int, default=0,
                    help="write doc-keyed stages as tables bucketed by doc_id (co-located joins)")
+    m.add_argument("--no-key", action="store_true",
+                   help="labelled CSV without the doc_id column (header starts x, y)")
     m.add_argument("--out", required=True)
     m.add_argument("--master", help="local master for runs outside spark-submit")
     return p
@@ -57,7 +59,7 @@ def run_map(spark: SparkSession, a: argparse.Namespace) -> dict:
         wv = spark.read.parquet(f"{a.vectors}/word_vectors")
         dv = spark.read.parquet(f"{a.vectors}/doc_vectors")
     keywords = [k for k in a.keywords.split(",") if k]
-    opts = MapOptions(keywords=keywords, tile_size=a.tile_size)
+    opts = MapOptions(keywords=keywords, tile_size=a.tile_size, include_key=not a.no_key)
     cfg = CorpusConfig(epochs=a.epochs, model_options={"minCount": a.min_count})
     stages = corpus_map(docs, meta, dictionary, opts, config=cfg,
                         previous_vectors=prev, word_vectors=wv, doc_vectors=dv)

@@ -70,13 +70,14 @@ def shuffled(df: DataFrame, key: str = "doc_id", seed: int = SHUFFLE_SEED) -> Da
 
 
 def labelled_table(coordinates: DataFrame, metadata: DataFrame, score_words: Sequence[str],
-                   key: str = "doc_id", json_lists: bool = True) -> DataFrame:
+                   key: str = "doc_id", json_lists: bool = True, include_key: bool = True) -> DataFrame:
     """VIZ-1 / JN-5: ``x, y``, the metadata fields in METADATA_ORDER and one
     column per keyword score. Rows without metadata are dropped (inner join);
     the score columns come from the explicit keyword list, not the first row
-    (D20). Lists become JSON text when ``json_lists`` (for CSV output)."""
+    (D20). Lists become JSON text when ``json_lists`` (for CSV output).
+    ``include_key=False`` gives the reference's header exactly (x, y first)."""
     joined = coordinates.join(metadata, key, "inner")
-    cols = [F.col(key), F.col("x"), F.col("y")]
+    cols = ([F.col(key)] if include_key else []) + [F.col("x"), F.col("y")]
     for name in M.METADATA_ORDER:
         if name in metadata.columns:
             c = F.col(name)

@@ -36,6 +36,7 @@ class MapOptions:
     layout_seed: int = 0
     tile_size: int | None = None
     checkpoint_stages: bool = True
+    include_key: bool = True
 
 
 def corpus_map(docs: DataFrame, metadata: DataFrame, dictionary: DataFrame, options: MapOptions,
@@ -90,7 +91,8 @@ def corpus_map(docs: DataFrame, metadata: DataFrame, dictionary: DataFrame, opti
     coords = stage("coordinates", layout.random_projection(
         doc_vectors.join(d.select(key), key, "left_semi"), dims, options.layout_seed, key=key))
     lab = layout.labelled_table(coords, meta, list(options.keywords), key=key)
-    out["labelled"] = layout.shuffled(lab, key)
+    shuffled = layout.shuffled(lab, key)
+    out["labelled"] = shuffled if options.include_key else shuffled.drop(key)
     if options.tile_size:
         out["tiles"] = tiles.quadtree_tiles(lab, layout.shuffle_key(key), key=key, tile_size=options.tile_size)
     return out

@@ -89,3 +89,11 @@ def test_bucketed_stages_join_without_shuffle(spark, tmp_path, capsys):
             spark.conf.set(k, v)
         spark.sql("DROP TABLE IF EXISTS quire_test_docs")
         spark.sql("DROP TABLE IF EXISTS quire_test_meta")
+
+
+def test_labelled_header_without_key(spark):
+    coords = spark.createDataFrame([("a", 1.0, 2.0)], "doc_id string, x double, y double")
+    meta = spark.createDataFrame([("a", "T", {"war": 1})], "doc_id string, title string, keyword_scores map<string,int>")
+    lab = layout.labelled_table(coords, meta, ["war"], include_key=False)
+    from quire.functions import metadata as M
+    assert lab.columns == ["x", "y", *M.METADATA_ORDER, "war"]
