@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the operators rely on. AQE re-plans joins at runtime: a side whose
 # materialised shuffle output is small becomes a broadcast (that is the size
@@ -58,8 +60,11 @@ def build_session(master: str | None = None, app: str = "quire",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared ``spark.checkpoint.dir``; only when it is unset
-    (local runs and tests) create a scratch directory for it."""
+    """The shared folder for checkpoints and intermediate tables:
+    ``spark.checkpoint.dir`` of the session. Only a session on a local master
+    (tests, one machine) gets a scratch folder when it is unset; a cluster
+    without the setting is an error, because executors could not read each
+    other's files in a machine-local folder."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -67,14 +72,49 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or \
         sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not is_local_master(sc.master):
+            raise RuntimeError(
+                "set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="quire-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
-    return configured
+    return sc.getCheckpointDir() or configured
+
+
+def is_local_master(master: str) -> bool:
+    """Whether driver and tasks share one machine (``local-cluster`` starts
+    separate executors and counts as a cluster)."""
+    return master == "local" or master.startswith("local[")
 
 
 def materialize(df):
     """Cut the lineage of ``df`` with a reliable checkpoint in the session's
-    checkpoint directory (eager). Works with any session: the directory is
-    taken from ``spark.checkpoint.dir`` or created for local runs."""
+    checkpoint directory (eager)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stage(df: DataFrame, label: str = "stage") -> DataFrame:
+    """Write ``df`` once as Parquet into the shared folder and read it back:
+    columnar, prunable, and its size is known to the planner, so a later join
+    broadcasts it only when the measured size allows."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors (once per session), so that Python
+    tasks can import it wherever the driver was started."""
+    sc = spark.sparkContext
+    if getattr(sc, "_quire_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="quire-pkg-"), "quire_pkg.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(root):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.join("quire", os.path.relpath(full, root)))
+    sc.addPyFile(path)
+    sc._quire_shipped = True
