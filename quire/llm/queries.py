@@ -8,12 +8,86 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import decontaminate, pack, quality_rules, simhash
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark hits of every document."""
+    found = decontaminate.scan(read_table(spark, sf_dir, "documents").select("doc_id", "text"),
+                               read_table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+OP2_WORDS = rf"regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+OP2_SQL = rf"""
+WITH item AS (SELECT item_id, {OP2_WORDS} AS w FROM benchmark WHERE text IS NOT NULL),
+win AS (SELECT DISTINCT item_id, least(10, len(w)) AS size, array_to_string(w[i : i + least(10, len(w)) - 1], ' ') AS t
+        FROM item, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS r(i) WHERE len(w) > 0),
+doc AS (SELECT doc_id, coalesce({OP2_WORDS}, []) AS w FROM documents),
+place AS (SELECT doc_id, size, i, array_to_string(w[i : i + size - 1], ' ') AS t
+          FROM doc, (SELECT DISTINCT size FROM win), unnest(range(1, len(w) - size + 2)) AS r(i)),
+hit AS (SELECT doc_id, size, i, item_id FROM place JOIN win USING (size, t)),
+word AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM hit, unnest(range(size)) AS r(k) GROUP BY doc_id),
+found AS (SELECT doc_id, count(DISTINCT item_id) AS n, list_sort(list(DISTINCT CAST(item_id AS VARCHAR))) AS ids
+          FROM hit GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(word.n, 0) AS n_hit, coalesce(found.n, 0) AS n_items,
+       sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256, coalesce(word.n, 0) > 0 AS contaminated
+FROM doc LEFT JOIN word USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base statistics and the log-likelihood-ratio verdict of every document."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    ratios = quality_rules.log_ratios(docs, read_table(spark, sf_dir, "labels"))
+    return quality_rules.score(docs, ratios).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "llr_micro")
+
+
+_Q = quality_rules
+OP6_SQL = rf"""
+WITH doc AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+             FROM documents),
+word AS (SELECT doc_id, i, w[i] AS x, CAST(md5_number_lower(w[i]) % {_Q.PRIME} AS BIGINT) AS h
+         FROM doc, unnest(range(1, len(w) + 1)) AS r(i)),
+gram AS (SELECT doc_id, h % {_Q.BUCKETS} AS b FROM word
+         UNION ALL
+         SELECT doc_id, ((h * {_Q.PAIR_A} + next * {_Q.PAIR_B}) % {_Q.PRIME}) % {_Q.BUCKETS}
+         FROM (SELECT doc_id, h, lead(h) OVER (PARTITION BY doc_id ORDER BY i) AS next FROM word) WHERE next IS NOT NULL),
+good AS (SELECT DISTINCT doc_id FROM labels WHERE quality = 1),
+cell AS (SELECT b, count(*) AS r, count(good.doc_id) AS t FROM gram LEFT JOIN good USING (doc_id) GROUP BY b),
+total AS (SELECT sum(r) AS r, sum(t) AS t FROM cell),
+ratio AS (SELECT b, CASE WHEN total.t = 0 THEN 0 ELSE CAST(round_even({_Q.MICRO} * ln((cell.t + {_Q.PRIOR}) /
+                 (CAST(cell.r AS DOUBLE) * (CAST(total.t AS DOUBLE) / total.r) + {_Q.PRIOR})), 0) AS BIGINT) END AS v
+          FROM cell, total),
+llr AS (SELECT doc_id, CAST(sum(v) AS BIGINT) AS v FROM gram JOIN ratio USING (b) GROUP BY doc_id),
+line AS (SELECT doc_id, CAST(count(*) - count(DISTINCT l) AS BIGINT) AS n
+         FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l FROM doc)
+         WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+win AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, a, b, c) AS times
+        FROM (SELECT doc_id, i, x AS a, lead(x) OVER d AS b, lead(x, 2) OVER d AS c
+              FROM word WINDOW d AS (PARTITION BY doc_id ORDER BY i)) WHERE c IS NOT NULL),
+rep AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM win, unnest(range(3)) AS r(k) WHERE times > 1 GROUP BY doc_id),
+stat AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+                CAST(length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+                CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+                coalesce(line.n, 0) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words, coalesce(llr.v, 0) AS llr_micro
+         FROM doc LEFT JOIN line USING (doc_id) LEFT JOIN rep USING (doc_id) LEFT JOIN llr USING (doc_id))
+SELECT *, n_words < {_Q.MIN_WORDS} OR 100 * n_repeat_words > {_Q.MAX_REPEATED} * n_words AS base_failed,
+       NOT (n_words < {_Q.MIN_WORDS} OR 100 * n_repeat_words > {_Q.MAX_REPEATED} * n_words)
+       AND llr_micro >= {round(_Q.THRESHOLD * _Q.MICRO)} * (2 * n_words - 1) AS kept
+FROM stat
+"""
+
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and class of every document."""
@@ -22,4 +96,13 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("component").alias("component_id"))
 
 
-QUERIES["op9_simhash"] = op9_simhash
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in windows of at most 2048 tokens."""
+    pieces = pack.pack(read_table(spark, sf_dir, "documents"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+                         "sequence_id", "offset", "sequence_length", "padded_length")
+
+
+QUERIES |= {"op2_decontamination": op2_decontamination, "op6_quality_rules": op6_quality_rules,
+            "op9_simhash": op9_simhash, "op10_packing": op10_packing}
+ORACLES |= {"op2_decontamination": OP2_SQL, "op6_quality_rules": OP6_SQL}
