@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, pack, quality_rules, simhash
-from .common import read_table
+from . import decontaminate, pack, quality_model, quality_rules, simhash
+from .common import held_out, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -44,6 +44,15 @@ FROM doc LEFT JOIN word USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every document by the rule ensemble fitted outside the held-out fold."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_model.fit(docs, read_table(spark, sf_dir, "labels"))
+    return quality_model.score(docs, model).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base statistics and the log-likelihood-ratio verdict of every document."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -103,6 +112,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "sequence_id", "offset", "sequence_length", "padded_length")
 
 
-QUERIES |= {"op2_decontamination": op2_decontamination, "op6_quality_rules": op6_quality_rules,
+QUERIES |= {"op2_decontamination": op2_decontamination, "op3_quality_classifier": op3_quality_classifier,
+            "op6_quality_rules": op6_quality_rules,
             "op9_simhash": op9_simhash, "op10_packing": op10_packing}
 ORACLES |= {"op2_decontamination": OP2_SQL, "op6_quality_rules": OP6_SQL}
