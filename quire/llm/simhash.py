@@ -43,8 +43,8 @@ from .common import map_rows
 SHINGLE_WORDS = 3
 MAX_BITS = 3          # the two radius-1 segment balls cover distances up to 3
 TILE_ROWS = 4096      # table rows or probe rows of one bucket that one tile compares
-BUFFER_ROWS = 400_000  # candidate rows a task holds while it looks for the end of a bucket
-BLOCK_PAIRS = 4_000_000  # pairs compared at once
+BUFFER_ROWS = 200_000  # candidate rows a task holds while it looks for the end of a bucket
+BLOCK_PAIRS = 500_000  # pairs compared at once
 LOW32 = 0xFFFFFFFF
 
 
