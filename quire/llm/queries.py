@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, pack, quality_model, quality_rules, simhash
+from . import decontaminate, pack, quality_model, quality_rules, simhash, token_count
 from .common import held_out, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,6 +53,15 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+OVER_LIMIT = 4096
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document."""
+    found = token_count.count_tokens(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > OVER_LIMIT).alias("over_limit"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base statistics and the log-likelihood-ratio verdict of every document."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -113,6 +122,6 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES |= {"op2_decontamination": op2_decontamination, "op3_quality_classifier": op3_quality_classifier,
-            "op6_quality_rules": op6_quality_rules,
+            "op5_token_counts": op5_token_counts, "op6_quality_rules": op6_quality_rules,
             "op9_simhash": op9_simhash, "op10_packing": op10_packing}
 ORACLES |= {"op2_decontamination": OP2_SQL, "op6_quality_rules": OP6_SQL}
