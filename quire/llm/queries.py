@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, pack, quality_model, quality_rules, simhash, token_count
+from . import decontaminate, html_extract, pack, quality_model, quality_rules, simhash, token_count
 from .common import held_out, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,6 +53,12 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    found = html_extract.extract(read_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 OVER_LIMIT = 4096
 
 
@@ -122,6 +128,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES |= {"op2_decontamination": op2_decontamination, "op3_quality_classifier": op3_quality_classifier,
-            "op5_token_counts": op5_token_counts, "op6_quality_rules": op6_quality_rules,
+            "op4_html_extraction": op4_html_extraction, "op5_token_counts": op5_token_counts,
+            "op6_quality_rules": op6_quality_rules,
             "op9_simhash": op9_simhash, "op10_packing": op10_packing}
 ORACLES |= {"op2_decontamination": OP2_SQL, "op6_quality_rules": OP6_SQL}
