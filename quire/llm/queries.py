@@ -8,7 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_extract, pack, quality_model, quality_rules, simhash, token_count
+from . import (
+    decontaminate, html_extract, license_scan, pack, quality_model, quality_rules, sharding, simhash, token_count,
+)
 from .common import held_out, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,6 +115,22 @@ FROM stat
 """
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices found in every document."""
+    found = license_scan.scan(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", F.size("matches").cast("long").alias("n_matches"),
+        F.array_join(F.array_sort(F.array_distinct("matches.license")), ",").alias("licenses"),
+        F.coalesce(F.array_max("matches.coverage"), F.lit(0.0)).alias("coverage"),
+        F.aggregate("matches", F.lit(0).cast("long"), lambda n, m: n + m["past"] - m["first"]).alias("matched_words"))
+
+
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slot and shard of every document."""
+    shards = [f"shard-{k:03d}" for k in range(sharding.SHARDS)]
+    return sharding.place(read_table(spark, sf_dir, "documents").select("doc_id"), "doc_id", shards)
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and class of every document."""
     found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
@@ -130,5 +148,6 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES |= {"op2_decontamination": op2_decontamination, "op3_quality_classifier": op3_quality_classifier,
             "op4_html_extraction": op4_html_extraction, "op5_token_counts": op5_token_counts,
             "op6_quality_rules": op6_quality_rules,
+            "op7_license_scan": op7_license_scan, "op8_sharding": op8_sharding,
             "op9_simhash": op9_simhash, "op10_packing": op10_packing}
 ORACLES |= {"op2_decontamination": OP2_SQL, "op6_quality_rules": OP6_SQL}
