@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    decontaminate, html_extract, license_scan, pack, quality_model, quality_rules, sharding, simhash, token_count,
+    chat, decontaminate, html_extract, license_scan, pack, quality_model, quality_rules, sharding, simhash, token_count,
 )
 from .common import held_out, read_table
 
@@ -19,6 +19,15 @@ ORACLES: dict[str, str] = {}
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Roles and canonical turns of the conversations' transcripts. The model is
+    counted on the conversations outside the held-out fold."""
+    messages = chat.transcripts(read_table(spark, sf_dir, "conversations"))
+    rows = chat.ordered(messages, role=F.when(~held_out(F.col("conv_id")), F.col("role")))
+    found = chat.parse(rows, chat.fit(rows))
+    return found.select("conv_id", "turn", "part", "role", "opens_turn", "n_lines", "rendered")
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark hits of every document."""
     found = decontaminate.scan(read_table(spark, sf_dir, "documents").select("doc_id", "text"),
@@ -145,7 +154,8 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "sequence_id", "offset", "sequence_length", "padded_length")
 
 
-QUERIES |= {"op2_decontamination": op2_decontamination, "op3_quality_classifier": op3_quality_classifier,
+QUERIES |= {"op1_chat_formatting": op1_chat_formatting, "op2_decontamination": op2_decontamination,
+            "op3_quality_classifier": op3_quality_classifier,
             "op4_html_extraction": op4_html_extraction, "op5_token_counts": op5_token_counts,
             "op6_quality_rules": op6_quality_rules,
             "op7_license_scan": op7_license_scan, "op8_sharding": op8_sharding,
