@@ -49,7 +49,7 @@ from .common import map_rows
 
 ROLES = ("system", "user", "assistant")
 MARKERS = 256             # most frequent markers that the model tells apart
-NEVER = -1e9
+NEVER = -math.inf
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>\n"
 
 _MARKER = re.compile(r"\s*(?:#{1,6}\s*|<\|?|\[|\*\*)?([A-Za-z]{1,20})\s*(?:\|?>|\]|:\*\*|\*\*:|:)\s*")

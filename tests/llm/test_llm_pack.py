@@ -1,0 +1,125 @@
+"""Packing: exact round trip, optimal windows on small streams, tokenizer routes."""
+
+import itertools
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from quire.llm import pack as P
+
+pytest.importorskip("public_tokenizers")
+
+
+@pytest.fixture(scope="module")
+def tok():
+    return P.Tokenizer()
+
+
+def test_both_routes_agree_on_common_characters(tok):
+    import public_tokenizers
+    assert P.PATTERN == public_tokenizers.PATTERN
+    for cp in [*range(0x250), *range(0x2010, 0x2028), *range(0x2030, 0x205F)]:
+        c = chr(cp)
+        for t in (f"a{c}b", f"1{c}2 {c}{c}", f"  {c} x{c}\n{c}", c, " " + c, f".{c}. '{c}s"):
+            assert tok.full.encode(t, add_special_tokens=False).ids == tok.fast.encode(t, allowed_special="all"), t
+
+
+def test_uncommon_and_overlong_texts_take_the_other_route(tok):
+    for t in ("中文 text", "😀", " " * 300, "a" * 300, "1" * 300, "a" * 100_000):
+        assert not tok.common(t)
+        assert tok.ids(t).tolist() == tok.full.encode(t, add_special_tokens=False).ids + [1]
+    for t in ("", "x <|endoftext|> y<|endoftext|>", "it's  a\n\n test.  "):
+        assert tok.common(t)
+        assert tok.ids(t).tolist() == tok.full.encode(t, add_special_tokens=False).ids + [1]
+
+
+def test_sentence_ends_are_cut_places(tok):
+    ids = tok.ids("One. Two? Three!\nFour")
+    assert [tok.fast.decode([i]) for i in ids[tok.closes[ids]].tolist()] == [".", "?", "!", "\n"]
+
+
+def cost_of(cuts, penalty, size):
+    total = 0.0
+    for a, b in zip(cuts, cuts[1:]):
+        n = b - a
+        if n > size:
+            return None
+        total += (0 if n & (n - 1) == 0 else size - n) + penalty[b] + P.WINDOW_COST
+    return total
+
+
+def test_windows_cost_no_more_than_any_other_choice():
+    rng = random.Random(8)
+    for _ in range(40):
+        size = rng.choice([8, 16])
+        places, at = [0], 0
+        for _ in range(rng.randint(1, 9)):
+            at += rng.randint(1, size)
+            places.append(at)
+        cost = [0.0] + [rng.choice([0.0, 8.0, 64.0]) for _ in places[1:]]
+        penalty = dict(zip(places, cost))
+        got = cost_of(P.choose_cuts(np.array(places), np.array(cost), size), penalty, size)
+        best = min(c for k in range(len(places) - 1) for inner in itertools.combinations(places[1:-1], k)
+                   if (c := cost_of([0, *inner, places[-1]], penalty, size)) is not None)
+        assert got == best
+
+
+def check_pieces(rows, texts, tok, size):
+    by_doc, by_window = {}, {}
+    for r in rows:
+        ids = np.frombuffer(bytes(r.ids), "<u4")
+        assert len(ids) == r.length > 0
+        by_doc.setdefault(r.doc_id, []).append((r.start, r.length, r.doc_tokens, ids))
+        by_window.setdefault(r.sequence_id, []).append((r.offset, r.length, r.sequence_length, r.padded_length))
+    for key, parts in by_doc.items():
+        parts.sort(key=lambda p: p[0])
+        want = tok.ids(texts[key])
+        assert np.concatenate([p[3] for p in parts]).tolist() == want.tolist()
+        assert all(p[2] == len(want) for p in parts) and parts[0][0] == 0
+    for parts in by_window.values():
+        parts.sort()
+        assert [p[0] for p in parts] == [sum(q[1] for q in parts[:k]) for k in range(len(parts))]
+        n = parts[0][2]
+        assert n == sum(p[1] for p in parts) <= size and parts[0][3] in (n, size)
+        assert (parts[0][3] == n) == (n & (n - 1) == 0)
+    assert by_doc.keys() == texts.keys()
+
+
+def test_round_trip(spark, tok, monkeypatch):
+    rng = random.Random(9)
+    words = "the cat. sat on, a mat! Über straße? 中文 it's 1234 \n".split(" ")
+    texts = {i: " ".join(rng.choices(words, k=rng.choice([0, 1, 5, 80, 700]))) for i in range(60)}
+    texts |= {100: None, 101: "", 102: "long " * 20_000, 103: "no end " * 3_000}
+    df = spark.createDataFrame([(k, t, "x") for k, t in texts.items()], "doc_id long, text string, length string")
+    check_pieces(P.pack(df.repartition(3)).collect(), texts, tok, 2048)
+    check_pieces(P.pack(df, size=64).collect(), texts, tok, 64)
+    monkeypatch.setattr(P, "CHUNK_TOKENS", 500)
+    packer, out = P.Packer(tok.closes, 0, 256), []
+    for k, t in texts.items():
+        out += list(packer.add(k, tok.ids(t)))
+    out.append(packer.flush(True))
+    starts = [s for o in out for s in o["start"]]
+    assert len(out) > 5 and len(starts) == sum(len(o["ids"]) for o in out)
+    rebuilt = {}
+    for o in out:
+        for k, ids in zip(o["key"], o["ids"]):
+            rebuilt[k] = rebuilt.get(k, b"") + ids
+    assert all(np.frombuffer(rebuilt[k], "<u4").tolist() == tok.ids(t).tolist() for k, t in texts.items())
+
+
+def test_repeated_null_and_empty_rows(spark, tok):
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([(None, "a b"), (1, "same"), (1, "same")], "doc_id long, text string")
+    got = P.pack(df.coalesce(1)).withColumn("crc", F.crc32("ids")).collect()
+    assert sorted(str(r.doc_id) for r in got) == ["1", "1", "None"]
+    assert all(r.crc == zlib.crc32(bytes(r.ids)) for r in got)
+    assert P.pack(df.limit(0)).collect() == []
+
+
+def test_little_padding(spark):
+    from quire.llm.common import read_table
+    got = P.pack(read_table(spark, "/root/testdata/sf0.001", "documents")).select(
+        "sequence_id", "sequence_length", "padded_length").distinct().collect()
+    assert 1 - sum(r.sequence_length for r in got) / sum(r.padded_length for r in got) < 0.015
