@@ -18,6 +18,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from .config import CorpusConfig
+from .operators import cleaning
 from .plans.end_to_end import MapOptions, corpus_map
 from .session import build_session
 from .sources import files, sinks
@@ -36,8 +37,15 @@ def _parser() -> argparse.ArgumentParser:
     m.add_argument("--vectors", help="directory of a saved model (word_vectors, doc_vectors)")
     m.add_argument("--previous-vectors", help="model whose word vectors repair nonwords")
     m.add_argument("--tile-size", type=int, default=25_000)
-    m.add_argument("--epochs", type=int, default=40)
+    m.add_argument("--frontmatter-lines", type=int, default=cleaning.FRONTMATTER_LINES,
+                   help="lines dropped from the top of every page")
+    m.add_argument("--archival-lines", type=int, default=cleaning.ARCHIVAL_LINES,
+                   help="lines dropped from items that carry an archival note")
+    m.add_argument("--words-to-examine", type=int,
+                   help="judge only the first words of a text (the reference: 400); default all")
     m.add_argument("--min-count", type=int, default=25, help="training vocabulary threshold")
+    m.add_argument("--vocabulary", help="saved word frequencies (word, tf) to train on")
+    m.add_argument("--min-frequency", type=int, help="train words seen more often than this")
     m.add_argument("--buckets", type=int, default=0,
                    help="write doc-keyed stages as tables bucketed by doc_id (co-located joins)")
     m.add_argument("--no-key", action="store_true",
@@ -48,7 +56,10 @@ def _parser() -> argparse.ArgumentParser:
 
 
 def run_map(spark: SparkSession, a: argparse.Namespace) -> dict:
-    docs = files.read_corpus(spark, a.pages, a.results, a.page_regex).select("doc_id", "text")
+    cfg = CorpusConfig(newspaper_dir=a.pages, results_dir=a.results, newspaper_dir_regex=a.page_regex,
+                       vocabulary=a.vocabulary, min_frequency=a.min_frequency,
+                       model_options={"minCount": a.min_count})
+    docs = cfg.documents(spark).select("doc_id", "kind", "text")
     records, rejects = files.read_metadata(spark, a.metadata)
     # a page's metadata file sits at its page key; an item's at its id
     meta = records.withColumn("doc_id", F.col("doc_key"))
@@ -59,18 +70,21 @@ def run_map(spark: SparkSession, a: argparse.Namespace) -> dict:
         wv = spark.read.parquet(f"{a.vectors}/word_vectors")
         dv = spark.read.parquet(f"{a.vectors}/doc_vectors")
     keywords = [k for k in a.keywords.split(",") if k]
-    opts = MapOptions(keywords=keywords, tile_size=a.tile_size, include_key=not a.no_key)
-    cfg = CorpusConfig(epochs=a.epochs, model_options={"minCount": a.min_count})
-    stages = corpus_map(docs, meta, dictionary, opts, config=cfg,
-                        previous_vectors=prev, word_vectors=wv, doc_vectors=dv)
+    opts = MapOptions(keywords=keywords, tile_size=a.tile_size, include_key=not a.no_key,
+                      frontmatter_lines=a.frontmatter_lines, archival_lines=a.archival_lines,
+                      words_to_examine=a.words_to_examine)
     out = a.out.rstrip("/")
-    for name in ("cleaned", "documents", "metadata", "coordinates", "word_vectors", "corrections"):
-        if name not in stages:
-            continue
+
+    def save(df, name):
+        """Each stage is written once, under --out, and read from there."""
         if a.buckets and name in ("cleaned", "documents", "metadata", "coordinates"):
-            sinks.write_bucketed(stages[name], f"quire_{name}", "doc_id", a.buckets, f"{out}/{name}")
-        else:
-            sinks.write_stage(stages[name], f"{out}/{name}")
+            sinks.write_bucketed(df, f"quire_{name}", "doc_id", a.buckets, f"{out}/{name}")
+            return spark.table(f"quire_{name}")
+        sinks.write_stage(df, f"{out}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{out}/{name}")
+
+    stages = corpus_map(docs, meta, dictionary, opts, config=cfg,
+                        previous_vectors=prev, word_vectors=wv, doc_vectors=dv, save=save)
     sinks.write_rejects(rejects, f"{out}/rejects")
     sinks.write_coordinates(stages["coordinates"], f"{out}/coordinates_csv")
     sinks.write_labelled_csv(stages["labelled"], f"{out}/labelled_csv")

@@ -10,11 +10,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import text as T
-from .operators import training
+from .operators import training, vocab
 
 ColumnFn = Callable[[Column], Column]
 
@@ -24,10 +24,10 @@ class CorpusConfig:
     """UDF-5: what a training run reads and how it preprocesses text."""
 
     identifier: str = "corpus"
-    newspaper_dir: str | None = None
-    newspaper_dir_regex: str | None = None      # applied (D10)
+    newspaper_dir: str | None = None             # read by ``documents``
+    newspaper_dir_regex: str | None = None       # applied there (D10)
     results_dir: str | None = None
-    min_frequency: int = 0                       # vocabulary keeps tf > this
+    min_frequency: int | None = None             # vocabulary keeps tf > this (default: minCount)
     epochs: int = 40
     vocabulary: str | None = None                # saved frequencies, AGG-13
     # TXT-4 list: "english" = Spark's built-in English list (the reference
@@ -52,10 +52,32 @@ class CorpusConfig:
         return T.preprocess(col, stopwords=stop, stopword_filter=self.stopword_filter,
                             tokenizer=self.tokenizer)
 
-    def word2vec_options(self) -> dict:
+    def documents(self, spark: SparkSession) -> DataFrame:
+        """The configured corpus (SRC-3): pages and items with their kind."""
+        from .sources import files
+        return files.read_corpus(spark, self.newspaper_dir, self.results_dir, self.newspaper_dir_regex)
+
+    def training_vocabulary(self, tokens: DataFrame, column: str = "tokens") -> DataFrame | None:
+        """AGG-13: the words to train: saved frequencies if ``vocabulary`` names
+        them, else those of ``tokens`` above ``min_frequency``; None leaves the
+        choice to the trainer's ``minCount``."""
+        if self.vocabulary:
+            least = self.min_frequency or 0
+            saved = tokens.sparkSession.read.parquet(self.vocabulary)
+            return saved.where(F.col("tf") > least).select("word")
+        if self.min_frequency is None:
+            return None
+        freq = vocab.word_frequencies(tokens, column)
+        return freq.where(F.col("tf") > self.min_frequency).select("word")
+
+    def model(self) -> dict:
         """Defaults, then epochs, then model and training overrides."""
         return training.model_options({"maxIter": self.epochs, **self.model_options, **self.training_options})
 
+    def word2vec_options(self) -> dict:
+        """The same for Spark's Word2Vec."""
+        return self.model()
+
 
 @dataclass(frozen=True)
 class NewspaperSelection:
@@ -86,11 +108,3 @@ class DatasetDefinition:
         out += [(c, True) for c in self.date_filtered_collections]
         out += [(q, False) for q in self.queries]
         return out
-
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    """SET-1: union by name; missing columns become null."""
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    return out

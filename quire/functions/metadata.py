@@ -43,9 +43,11 @@ def _c(c) -> Column:
 
 
 def collections_from_partof(partof) -> Column:
-    """FN-8: titles of the ``partof`` entries whose url is a collection."""
-    return F.transform(F.filter(_c(partof), lambda p: p["url"].contains(COLLECTION_URL_MARK)),
-                       lambda p: p["title"])
+    """FN-8: titles of the ``partof`` entries whose url is a collection; null
+    when any entry has no url or there is no list, as in the reference."""
+    entries = _c(partof)
+    return F.when(~F.exists(entries, lambda p: p["url"].isNull()), F.transform(
+        F.filter(entries, lambda p: p["url"].contains(COLLECTION_URL_MARK)), lambda p: p["title"]))
 
 
 def dedup_locations(location) -> Column:

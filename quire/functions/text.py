@@ -171,7 +171,7 @@ def lower_list(xs: ColumnOrName) -> Column:
 def sample_tokens(tokens: ColumnOrName, fraction: float, seed: int, *key: ColumnOrName,
                   keep_order: bool = True) -> Column:
     """TXT-16: deterministic sample without replacement of ``bround(n*fraction)``
-    tokens. Tokens are ranked by a hash of (key, position, seed), so the sample
+    tokens. Tokens are ranked by the md5 of (key, position, seed), so the sample
     is reproducible and independent of partitioning. ``fraction=1.0`` keeps all.
     ``keep_order=False`` skips restoring text order (for order-free uses)."""
     toks = _col(tokens)
@@ -180,7 +180,8 @@ def sample_tokens(tokens: ColumnOrName, fraction: float, seed: int, *key: Column
     keys = [_col(k) for k in key]
     k = F.bround(F.size(toks) * F.lit(float(fraction))).cast("int")
     ranked = F.transform(toks, lambda w, i: F.struct(
-        F.xxhash64(*keys, i, F.lit(seed)).alias("h"), i.alias("i"), w.alias("w")))
+        F.md5(F.concat_ws("/", *[x.cast("string") for x in keys], i.cast("string"), F.lit(str(seed)))
+              .cast("binary")).alias("h"), i.alias("i"), w.alias("w")))
     picked = F.slice(F.sort_array(ranked), 1, k)
     if keep_order:
         picked = F.sort_array(F.transform(picked, lambda s: F.struct(s["i"].alias("i"), s["w"].alias("w"))))

@@ -26,18 +26,16 @@ def norm(v) -> Column:
 
 
 def cosine(a, b) -> Column:
-    """VEC-2: cosine similarity; null when either vector is null."""
-    return dot(a, b) / (norm(a) * norm(b))
+    """VEC-2: cosine similarity; 0 when either vector is zero, null when either
+    is null."""
+    return F.coalesce(F.try_divide(dot(a, b), norm(a) * norm(b)),
+                      F.when(_c(a).isNotNull() & _c(b).isNotNull(), F.lit(0.0)))
 
 
 def unit(v, v_norm) -> Column:
-    """``v / |v|`` given a precomputed norm column (avoid recomputing it per
-    element inside the lambda)."""
-    return F.transform(_c(v), lambda x: x.cast("double") / _c(v_norm))
-
-
-def literal_vector(values: Sequence[float]) -> Column:
-    return F.array(*[F.lit(float(x)) for x in values])
+    """``v / |v|`` given its norm column; a zero vector stays zero."""
+    return F.when(_c(v_norm) > 0, F.transform(_c(v), lambda x: x.cast("double") / _c(v_norm))).otherwise(
+        F.transform(_c(v), lambda x: F.lit(0.0)))
 
 
 def dot_literal(v, values: Sequence[float]) -> Column:

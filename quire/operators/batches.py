@@ -2,9 +2,9 @@
 SET-2, ORD-3, FN-19).
 
 The reference keeps ``dict[lccn, set[batch]]`` and its inverse in memory.
-Here the many-to-many relation is an edge table ``(lccn, batch)``; the
-multimaps are views of it (``collect_set`` per key, partially aggregated
-map-side, so repeated edges collapse before the shuffle).
+Here the many-to-many relation is the edge table ``(lccn, batch)``, distinct;
+a multimap is that table read by either key, and its sizes are counts. Arrays
+per key are an export (``multimap``) for keys of bounded size.
 """
 
 from __future__ import annotations
@@ -41,9 +41,17 @@ def batch_name(url) -> F.Column:
     return F.regexp_extract(url, BATCH_NAME_RE, 1)
 
 
+def degrees(edges: DataFrame, key: str, value: str) -> DataFrame:
+    """AGG-8 / AGG-9: how many distinct values every key has, and the first and
+    last of them (use the other column order for the inversion). Pre-aggregated
+    map-side; no key's values are gathered."""
+    return (edges.select(key, value).distinct().groupBy(key)
+            .agg(F.count(F.lit(1)).alias("n"), F.min(value).alias("first"), F.max(value).alias("last")))
+
+
 def multimap(edges: DataFrame, key: str, value: str) -> DataFrame:
-    """AGG-8 / AGG-9: ``key -> sorted distinct values`` (use the other column
-    order for the inversion)."""
+    """AGG-8 / AGG-9 as an export: ``key -> sorted distinct values`` in one
+    array, for keys known to have few values."""
     return edges.groupBy(key).agg(F.sort_array(F.collect_set(value)).alias(value + "s"))
 
 

@@ -8,12 +8,13 @@ place, we return the new text in the same column.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..functions import text as T
+from ..session import ship_package
 
 # Fixed values (reference defaults): lines dropped by the front-matter
 # script, the front-matter filter's cutoff (90th percentile of front-matter
@@ -78,43 +79,38 @@ def edit_counts(docs: DataFrame, marker: str = T.ARCHIVAL_MARKER_RE,
 
 
 def remove_document_stopwords(docs: DataFrame, stopwords: Column | str, text: str = "text",
-                              key: str = "doc_id", inrow_limit: int | None = None) -> DataFrame:
+                              key: str = "doc_id") -> DataFrame:
     """TXT-14: normalise the whole text, split on whitespace, drop words that
     are in the per-document ``stopwords`` array, re-join with single spaces.
     Whole-word matches only; repeats and order of the kept words are preserved
     (not ``array_except``, which would deduplicate). A null stopword array
     means "no metadata": the text is left untouched.
 
-    Default: one pass, no shuffle; each token is checked in-row against its
-    document's array (O(tokens x stopwords) per document -- a few words for
-    real titles and locations). With ``inrow_limit``, documents with more
-    stopwords than that go through a keyed anti-join on (document, word) and
-    are re-assembled in text order, linear in tokens; this reads the input
-    once per branch, so it is meant for corpora whose per-document lists are
-    long. Both forms give identical results."""
+    One pass, no shuffle, linear in tokens and stopwords: an Arrow-batched
+    function looks each token up in the document's stopword set (an array
+    lookup per token would cost tokens x stopwords, quadratic for a document
+    whose title is long)."""
+    ship_package(docs.sparkSession)
     stop_col = F.col(stopwords) if isinstance(stopwords, str) else stopwords
     tagged = docs.withColumn("_stop", stop_col)
-    if isinstance(stopwords, str) and stopwords != "_stop":
-        tagged = tagged.drop(stopwords)
-    t = F.col(text)
-    stop = F.col("_stop")
-    cols = [c for c in tagged.columns if c != "_stop"]
-    kept = F.filter(T.tokenize(t), lambda w: ~F.array_contains(stop, w))
-    inrow = F.when(stop.isNull(), t).otherwise(F.array_join(kept, " "))
-    if inrow_limit is None:
-        return tagged.withColumn(text, inrow).select(*cols)
-
-    small = tagged.where(stop.isNull() | (F.size(stop) <= inrow_limit)).withColumn(text, inrow)
-    large = tagged.where(F.size(stop) > inrow_limit)
-    words = large.select(key, F.posexplode(T.tokenize(t)).alias("_pos", "_w"))
-    banned = large.select(key, F.explode(F.array_distinct(stop)).alias("_w"))
-    survivors = words.join(banned, [key, "_w"], "left_anti")
-    rebuilt = (survivors.groupBy(key)
-               .agg(F.sort_array(F.collect_list(F.struct("_pos", "_w"))).alias("_kept"))
-               .select(key, F.array_join(F.transform("_kept", lambda s: s["_w"]), " ").alias("_new")))
-    large = (large.join(rebuilt, key, "left")
-             .withColumn(text, F.coalesce(F.col("_new"), F.lit(""))).drop("_new"))
-    return small.select(*cols).unionByName(large.select(*cols))
+    cols = [c for c in docs.columns if c != stopwords]
+    # only the documents that have metadata travel to Python
+    toks = F.when(F.col("_stop").isNotNull(), T.normalize(F.col(text)))
+    kept = _without_words(toks, F.array_distinct("_stop"))
+    return (tagged.withColumn("_kept", kept)
+            .withColumn(text, F.when(F.col("_stop").isNull(), F.col(text)).otherwise(F.col("_kept")))
+            .select(*cols))
+
+
+@F.pandas_udf(StringType())
+def _without_words(texts: pd.Series, stopwords: pd.Series) -> pd.Series:
+    def one(text, stop):
+        if text is None or stop is None:
+            return None
+        drop = set(stop)
+        return " ".join([w for w in text.split() if w not in drop])
+
+    return pd.Series([one(t, s) for t, s in zip(texts, stopwords)], dtype=object)
 
 
 def metadata_stopwords(title: Column, locations: Column, split_locations: bool = False) -> Column:
@@ -125,8 +121,3 @@ def metadata_stopwords(title: Column, locations: Column, split_locations: bool =
     if split_locations:
         locs = F.flatten(F.transform(locs, lambda s: T.split_ws(s)))
     return F.array_union(F.array_distinct(T.title_words(title)), locs)
-
-
-def drop_words(docs: DataFrame, words: Iterable[str], text: str = "text") -> DataFrame:
-    """Remove a fixed list of words from the tokenised text."""
-    return docs.withColumn(text, F.array_join(T.without_words(T.tokenize(F.col(text)), words), " "))

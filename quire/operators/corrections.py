@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from . import knn
-from .joins import bounded_broadcast, lookup_join
-from ..session import materialize
+from .joins import lookup_join
+from ..session import stage
 
 # Fixed values of the reference.
 SIMILARITY_THRESHOLD = 0.6
@@ -47,22 +47,15 @@ def derive_corrections(nonwords: DataFrame, word_vectors: DataFrame, dictionary:
                        rounding: str = "half_even") -> DataFrame:
     """VEC-5: ``(nonword, good_word, similarity)`` for the nonwords that have one.
 
-    ``nonwords(word)`` may be corpus-sized; ``word_vectors`` is model-sized
-    (bounded by the training vocabulary) and is the side that is shipped:
-    the nonwords stream past it. ``word_vectors`` is expected to be a stored
-    (or materialised) model table; pass a materialised ``dictionary`` when
-    it is derived, since it is looked up by size."""
-    wv = word_vectors.select("word", "vector")
-    n_words = wv.count()                 # a stored model table: cheap
-    queries = nonwords.select("word").distinct().join(bounded_broadcast(wv), "word")
-    # queries are vocabulary words, so the vocabulary size bounds them
+    Only a word with a vector can be corrected, so the queries are the model's
+    words among the nonwords: the model-sized table is the one that is searched,
+    and ``nonwords(word)`` may be corpus-sized."""
+    wv = stage(word_vectors.select("word", "vector"), "word-vectors")
+    queries = wv.join(nonwords.select("word"), "word", "left_semi")
     neighbors = knn.top_k_neighbors(queries.select(F.col("word").alias("id"), "vector"),
-                                    wv.select(F.col("word").alias("id"), "vector"),
-                                    k=k, exclude_self=True, candidates_stored=True,
-                                    query_rows_bound=n_words)
-    dic = bounded_broadcast(dictionary.select(F.col("word").alias("cid")))
+                                    wv.select(F.col("word").alias("id"), "vector"), k=k)
     cand = (neighbors.where(F.col("sim") > F.lit(threshold))
-            .join(dic, "cid", "left_semi")
+            .join(dictionary.select(F.col("word").alias("cid")), "cid", "left_semi")
             .where(close_enough(F.col("qid"), F.col("cid"), rounding)))
     w = Window.partitionBy("qid").orderBy(F.col("sim").desc(), F.col("cid").asc())
     return (cand.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == 1)
@@ -72,7 +65,12 @@ def derive_corrections(nonwords: DataFrame, word_vectors: DataFrame, dictionary:
 
 def nonwords_of(docs: DataFrame, dictionary: DataFrame, text: str = "text") -> DataFrame:
     """Distinct corpus words that are not dictionary words."""
-    return corpus_words(docs, text).join(bounded_broadcast(dictionary.select("word")), "word", "left_anti")
+    return corpus_words(docs, text).join(dictionary.select("word"), "word", "left_anti")
+
+
+def nonwords_of_vocabulary(frequencies: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """The same from a stored ``(word, tf, df)`` table: no pass over the corpus."""
+    return frequencies.select("word").join(dictionary.select("word"), "word", "left_anti")
 
 
 def word_map(dictionary: DataFrame, corrections: DataFrame) -> DataFrame:
@@ -90,11 +88,8 @@ def replace_nonwords(docs: DataFrame, dictionary: DataFrame, corrections: DataFr
     """TXT-15: per whitespace word, normalise; keep dictionary words, substitute
     corrected nonwords, drop the rest; re-join with spaces in text order.
     Documents with no surviving word become ''."""
-    # materialised once; shipped to every task when it is within the bound,
-    # so tokens never leave their document's partition
-    wm = materialize(word_map(dictionary, corrections))
     words = docs.select(key, F.posexplode_outer(T.tokenize(F.col(text))).alias("pos", "word"))
-    mapped = lookup_join(words, wm, "word", "left")
+    mapped = lookup_join(words, word_map(dictionary, corrections), "word")
     kept = F.when(F.col("out").isNotNull(), F.struct("pos", "out"))
     out = mapped.groupBy(key).agg(F.sort_array(F.collect_list(kept)).alias("_w"))
     return out.select(key, F.array_join(F.transform("_w", lambda s: s["out"]), " ").alias(text))

@@ -70,7 +70,8 @@ def year_range(df: DataFrame, year: Column, first: int, last: int) -> DataFrame:
 def systematic_sample(df: DataFrame, every: int, key: str = "doc_id") -> DataFrame:
     """FLT-11: every ``every``-th document, chosen by a hash of the key so the
     choice does not depend on listing order or partitioning."""
-    return df.where(F.pmod(F.xxhash64(F.col(key)), F.lit(every)) == 0)
+    h = F.conv(F.substring(F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")), 1, 8), 16, 10)
+    return df.where(h.cast("long") % F.lit(every) == 0)
 
 
 def valid_utf8(df: DataFrame, content: str = "content") -> DataFrame:
@@ -86,3 +87,13 @@ def title_allow_list(df: DataFrame, allowed: Iterable[str], title: str = "title"
     names = sorted({a.lower() for a in allowed})
     t = F.lower(F.col(title))
     return df.where(F.exists(_lit_array(names), lambda a: t.contains(a)))
+
+
+def restrict_to_found(identifiers: DataFrame, corpus: DataFrame, key: str = "doc_id"
+                      ) -> tuple[DataFrame, DataFrame]:
+    """FLT-22: ``(found, rejects)``: the wanted identifiers whose text is in the
+    corpus, and the others with a reason."""
+    wanted = identifiers.select(F.col("identifier")).distinct()
+    have = corpus.select(F.col(key).alias("identifier"))
+    return (wanted.join(have, "identifier", "left_semi"),
+            wanted.join(have, "identifier", "left_anti").withColumn("reason", F.lit("no text found")))

@@ -1,37 +1,19 @@
-"""Join helpers: broadcast only behind a measured size bound."""
+"""Join helper for token lookups."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# A lookup table with at most this many rows is shipped to every task.
-MAX_BROADCAST_ROWS = 2_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when its row count is within ``max_rows``, else ``df``
-    unchanged (then AQE picks a shuffle join and splits skewed keys).
-
-    Meant for model-sized tables (vocabularies, word vectors, corrections)
-    that are already materialised, so the count is a cheap scan. The count
-    is the proof of the bound; nothing grows past it unnoticed."""
-    return F.broadcast(df) if df.count() <= max_rows else df
+from ..session import stage
 
 
 def lookup_join(big: DataFrame, lookup: DataFrame, key: str, how: str = "left",
-                max_rows: int = MAX_BROADCAST_ROWS, salts: int = 32) -> DataFrame:
-    """Join a large row stream to a keyed lookup table without a hot key
-    landing in one task.
-
-    Within ``max_rows`` the lookup is broadcast (the stream never moves).
-    Above it, the join is salted: the lookup is replicated ``salts`` times
-    and each stream row picks a salt from a hash of its own columns, so a key
-    holding a third of all rows (a word like "the") is spread over ``salts``
-    tasks. The salt is deterministic, so a retried task sees the same rows.
-    ``lookup`` should be stored or materialised (it is counted)."""
-    if lookup.count() <= max_rows:
-        return big.join(F.broadcast(lookup), key, how)
-    copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    spread = big.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(salts)).cast("int"))
-    return spread.join(copies, [key, "_salt"], how).drop("_salt")
+                stored: bool = False) -> DataFrame:
+    """Join a large row stream to a keyed lookup table, one plan at every size.
+
+    The lookup table is written once as Parquet, so its size in bytes is known
+    to the planner: Spark broadcasts it below the session's broadcast threshold
+    and otherwise shuffles both sides, where adaptive execution splits the
+    partitions that a hot key (a word like "the") has made too large. No hint
+    overrides that. ``stored``: the lookup already reads a stored table."""
+    return big.join(lookup if stored else stage(lookup, "lookup"), key, how)

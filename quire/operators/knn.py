@@ -1,139 +1,162 @@
-"""Exact top-k cosine neighbours (VEC-3, VEC-4, JN-13, JN-14, WIN-2).
-
-Algorithm: blocked all-pairs scan.
-
-1. Both sides are hashed into blocks of about ``block_rows`` vectors and
-   each block is packed into one row (``collect_list`` per block id), so a
-   block's size is set by construction, independent of the data size.
-2. Every query block is paired with every candidate block by an equi-join
-   on a replicated candidate-block id. Rows of this join are *block pairs*,
-   never vector pairs.
-3. ``mapInPandas`` scores a block pair as one matrix product (Arrow batches,
-   numpy) and emits only the top-k candidates of each query in that block.
-4. The per-block winners (k per query per candidate block) are merged with
-   ``row_number`` over the query id; ties are broken by candidate id.
-
-The result is exact. Cost is O(|Q|·|C|·d) arithmetic, with shuffle volume
-O(|Q|·|C|·d / block_rows) for the packed blocks and O(|Q|·k·n_blocks) for
-the partial winners. Thresholds are applied by callers *after* the top-k,
-as the reference does.
+"""Top-k cosine neighbours (VEC-3, VEC-4, JN-13, JN-14, WIN-2, VEC-8).
+
+A stated set of queries is compared with all candidates, a block of queries at
+a time:
+
+1. The queries are cut by a hash of their id into blocks of about
+   ``block_rows`` vectors. One block at a time is sent to all tasks.
+2. The candidates stay where they are: every task scores its Arrow batches
+   against the block as matrix products and keeps the best k per query of its
+   partition.
+3. The partitions' winners are merged in two steps, first inside groups of
+   partitions and then overall, so that no task ranks more than
+   k x sqrt(partitions) rows of one query. Ties are broken by candidate id.
+
+``method="exact"`` scores every candidate. ``method="cells"`` first puts every
+candidate into the nearest of ``n_cells`` cells (k-means centres of a sample of
+about ``CELL_SAMPLE`` vectors) and scores a query only against the ``n_probe``
+cells nearest to it; its recall against the exact method is measured in the
+tests. Similarities with a zero vector are 0. Thresholds are applied by callers
+*after* the top-k, as the reference does.
 """
 
 from __future__ import annotations
 
-import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import materialize
+from ..session import materialize, ship_package, stage
 
-BLOCK_ROWS = 2048        # target vectors per block (hash blocks vary slightly)
-MIN_BLOCK_ROWS = 256     # smallest block worth a task
+BLOCK_ROWS = 4096        # queries sent at once
+BATCH_ROWS = 1024        # candidates scored at once
+CELL_SAMPLE = 20_000     # vectors that the cells are fitted on, about
 
 
-def _n_blocks(df: DataFrame, block_rows: int, rows: int | None = None) -> int:
-    """Blocks of about ``block_rows`` vectors; small inputs are cut into
-    about sqrt(cores) blocks (never below MIN_BLOCK_ROWS rows) so that the
-    block pairs still spread over the cluster. ``rows`` (an upper bound)
-    saves counting ``df``."""
-    n = df.count() if rows is None else rows
-    spread = math.isqrt(max(1, df.sparkSession.sparkContext.defaultParallelism - 1)) + 1
-    return max(1, math.ceil(n / block_rows), min(spread, n // MIN_BLOCK_ROWS))
-
-
-def _pack(df: DataFrame, id_col: str, vec_col: str, n: int, prefix: str) -> DataFrame:
-    return (df.select(F.pmod(F.xxhash64(F.col(id_col)), F.lit(n)).cast("long").alias(f"{prefix}b"),
-                      F.col(id_col).alias("_id"), F.col(vec_col).cast("array<double>").alias("_v"))
-            .groupBy(f"{prefix}b")
-            .agg(F.collect_list("_id").alias(f"{prefix}_ids"), F.collect_list("_v").alias(f"{prefix}_vecs")))
-
-
-def _unit_rows(vecs) -> np.ndarray:
-    m = np.asarray(np.stack([np.asarray(v, dtype=np.float64) for v in vecs]), dtype=np.float64)
+def unit_rows(vectors) -> np.ndarray:
+    m = np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
     n = np.linalg.norm(m, axis=1, keepdims=True)
-    with np.errstate(invalid="ignore", divide="ignore"):
-        return np.where(n > 0, m / np.where(n > 0, n, 1.0), 0.0)
+    return np.divide(m, n, out=np.zeros_like(m), where=n > 0)
+
+
+class Best:
+    """The k best candidates of each query seen so far: rows (query, similarity,
+    candidate), and for each query the similarity that a newcomer must reach."""
+
+    def __init__(self, ids: np.ndarray, k: int, exclude_self: bool):
+        self.ids, self.k = ids, k
+        self.own: dict = {}
+        if exclude_self:
+            for row, i in enumerate(ids.tolist()):
+                self.own.setdefault(i, []).append(row)
+        self.floor = np.full(len(ids), -np.inf)
+        self.held: tuple[np.ndarray, ...] | None = None
+
+    def add(self, sims: np.ndarray, cids: np.ndarray) -> None:
+        for col, c in enumerate(cids.tolist()):
+            for row in self.own.get(c, ()):
+                sims[row, col] = -np.inf
+        if sims.shape[1] >= self.k:  # at least k of this batch reach its k-th best
+            kth = np.partition(sims, sims.shape[1] - self.k, axis=1)[:, sims.shape[1] - self.k]
+            self.floor = np.maximum(self.floor, kth)
+        q, c = np.nonzero((sims >= self.floor[:, None]) & np.isfinite(sims))
+        new = (q, sims[q, c], cids[c])
+        rows = new if self.held is None else tuple(np.concatenate(x) for x in zip(self.held, new))
+        order = np.lexsort((rows[2], -rows[1], rows[0]))
+        q = rows[0][order]
+        place = np.arange(len(q)) - np.searchsorted(q, q)
+        self.held = tuple(x[order[place < self.k]] for x in rows)
+
+    def rows(self) -> pd.DataFrame:
+        q, sim, cid = self.held
+        return pd.DataFrame({"qid": self.ids[q], "cid": cid, "sim": sim, "part": TaskContext.get().partitionId()})
+
+
+def _scorer(sent, k: int, exclude_self: bool):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ids, units, probes = sent.value
+        best = Best(ids, k, exclude_self)
+        for whole in batches:
+            for at in range(0, len(whole), BATCH_ROWS):
+                pdf = whole[at:at + BATCH_ROWS]
+                sims = units @ unit_rows(pdf["vector"]).T
+                if probes is not None:
+                    sims = np.where(probes[:, pdf["cell"].to_numpy()], sims, -np.inf)
+                best.add(sims, np.array(pdf["id"].tolist()))
+        if best.held is not None:
+            yield best.rows()
+    return run
 
 
-def _topk_rows(S: np.ndarray, row_ids: np.ndarray, col_ids: np.ndarray, k: int):
-    """Top-k columns of every row of S; columns must be sorted by id so that
-    the stable sort breaks equal similarities by id."""
-    kk = min(k, S.shape[1])
-    top = np.argsort(-S, axis=1, kind="stable")[:, :kk]
-    sims = np.take_along_axis(S, top, axis=1)
-    keep = np.isfinite(sims)
-    return np.repeat(row_ids, kk).reshape(-1, kk)[keep], col_ids[top][keep], sims[keep]
+def fit_cells(candidates: DataFrame, n_cells: int, seed: int = 1) -> np.ndarray:
+    """Unit centres of ``n_cells`` cells, fitted on a sample by id hash."""
+    n = candidates.count()
+    sample = candidates.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) <
+                              F.lit(int((1 << 30) * min(1.0, CELL_SAMPLE / max(1, n)))))
+    data = sample.select(array_to_vector(F.col("vector").cast("array<double>")).alias("features"))
+    return unit_rows(KMeans(k=n_cells, seed=seed, maxIter=10).fit(materialize(data)).clusterCenters())
 
 
-def _block_topk(k: int, exclude_self: bool, symmetric: bool):
-    def run(batches):
+def _with_cells(candidates: DataFrame, centres: np.ndarray) -> DataFrame:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = []
-            for row in pdf.itertuples(index=False):
-                q_ids, c_ids = np.asarray(row.q_ids), np.asarray(row.c_ids)
-                qo, co = np.argsort(q_ids, kind="stable"), np.argsort(c_ids, kind="stable")
-                q_ids, c_ids = q_ids[qo], c_ids[co]
-                S = _unit_rows(row.q_vecs)[qo] @ _unit_rows(row.c_vecs)[co].T
-                if exclude_self:
-                    S[q_ids[:, None] == c_ids[None, :]] = -np.inf
-                out.append(_topk_rows(S, q_ids, c_ids, k))
-                if symmetric and row.qb != row.cb:
-                    # the same products answer the candidate block's queries
-                    out.append(_topk_rows(S.T, c_ids, q_ids, k))
-            if out:
-                yield pd.DataFrame({"qid": np.concatenate([o[0] for o in out]),
-                                    "cid": np.concatenate([o[1] for o in out]),
-                                    "sim": np.concatenate([o[2] for o in out]).astype(np.float64)})
-    return run
+            cell = (unit_rows(pdf["vector"]) @ centres.T).argmax(axis=1) if len(pdf) else []
+            yield pdf.assign(cell=cell)
+
+    schema = T.StructType([*candidates.schema.fields, T.StructField("cell", T.LongType())])
+    return candidates.mapInPandas(run, schema)
 
 
 def top_k_neighbors(queries: DataFrame, candidates: DataFrame, k: int, id_col: str = "id",
-                    vec_col: str = "vector", exclude_self: bool = True,
-                    block_rows: int = BLOCK_ROWS, candidates_stored: bool = False,
-                    query_rows_bound: int | None = None) -> DataFrame:
+                    vec_col: str = "vector", exclude_self: bool = True, block_rows: int = BLOCK_ROWS,
+                    method: str = "exact", n_cells: int = 64, n_probe: int = 16) -> DataFrame:
     """``(qid, cid, sim, rank)``: the ``k`` most cosine-similar candidates of
-    every query (rank 1 = most similar; equal similarities by candidate id).
-
-    When ``queries`` and ``candidates`` are the same DataFrame (a self-kNN)
-    only block pairs (b, c) with b <= c are formed and each product serves
-    both blocks, which halves the arithmetic and the pair shuffle.
-    ``candidates_stored`` skips re-materialising a candidate table that is
-    already a stored or checkpointed model table; ``query_rows_bound`` (an
-    upper bound on the number of queries, e.g. the vocabulary size when the
-    queries are vocabulary words) sizes the blocks without materialising and
-    counting the queries, which are then read once, by the block packing."""
-    id_type = queries.schema[id_col].dataType
-    same = queries is candidates
-    # both sides are scanned twice (size, then blocks): materialise them once,
-    # unless the candidates are already a stored or materialised table
-    if query_rows_bound is None or same:
-        queries = materialize(queries.select(id_col, vec_col))
-    if same:
-        candidates = queries
-    elif not candidates_stored:
-        candidates = materialize(candidates.select(id_col, vec_col))
-    n_q = _n_blocks(queries, block_rows, None if same else query_rows_bound)
-    n_c = n_q if same else _n_blocks(candidates, block_rows)
-    qb = _pack(queries, id_col, vec_col, n_q, "q")
-    cb = (qb.select(F.col("qb").alias("cb"), F.col("q_ids").alias("c_ids"), F.col("q_vecs").alias("c_vecs"))
-          if same else _pack(candidates, id_col, vec_col, n_c, "c"))
-    # replicate each query block to the candidate blocks it meets
-    first = F.col("qb") if same else F.lit(0).cast("long")
-    pairs = (qb.select("*", F.explode(F.sequence(first, F.lit(n_c - 1).cast("long"))).alias("cb"))
-             .join(cb, "cb")
-             .select("qb", "cb", "q_ids", "q_vecs", "c_ids", "c_vecs"))
-    n_pairs = n_q * (n_q + 1) // 2 if same else n_q * n_c
-    # one block pair per task keeps memory at two blocks per worker
-    pairs = pairs.repartition(max(1, n_pairs))
+    every query (rank 1 = most similar; equal similarities by candidate id)."""
+    if method not in ("exact", "cells"):
+        raise ValueError(f"unknown method {method!r}")
+    spark = candidates.sparkSession
+    ship_package(spark)
+    pick = lambda df: df.select(F.col(id_col).alias("id"), F.col(vec_col).alias("vector"))
+    # both are read once for every block of queries
+    queries, candidates = stage(pick(queries), "knn-queries"), stage(pick(candidates), "knn-candidates")
+    id_type = candidates.schema["id"].dataType
+    centres = None
+    if method == "cells":
+        centres = fit_cells(candidates, n_cells)
+        candidates = stage(_with_cells(candidates, centres), "knn-cells")
     schema = T.StructType([T.StructField("qid", id_type), T.StructField("cid", id_type),
-                           T.StructField("sim", T.DoubleType())])
-    partial = pairs.mapInPandas(_block_topk(k, exclude_self, symmetric=same), schema)
-    w = Window.partitionBy("qid").orderBy(F.col("sim").desc(), F.col("cid").asc())
-    return partial.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+                           T.StructField("sim", T.DoubleType()), T.StructField("part", T.IntegerType())])
+    n_blocks = max(1, -(-queries.count() // block_rows))
+    partial = None
+    for b in range(n_blocks):
+        rows = queries.where(F.pmod(F.xxhash64("id"), F.lit(n_blocks)) == F.lit(b)).collect()  # about block_rows
+        if not rows:
+            continue
+        units = unit_rows([r["vector"] for r in rows])
+        probes = None
+        if centres is not None:
+            near = np.argsort(-(units @ centres.T), axis=1)[:, :n_probe]
+            probes = np.zeros((len(rows), len(centres)), dtype=bool)
+            np.put_along_axis(probes, near, True, axis=1)
+        sent = spark.sparkContext.broadcast((np.array([r["id"] for r in rows]), units, probes))
+        found = candidates.mapInPandas(_scorer(sent, k, exclude_self), schema)
+        partial = found if partial is None else partial.unionByName(found)
+    if partial is None:
+        partial = spark.createDataFrame([], schema)
+    order = [F.col("sim").desc(), F.col("cid").asc()]
+    groups = F.pmod(F.col("part"), F.lit(max(1, int(candidates.rdd.getNumPartitions() ** 0.5))))
+    first = (partial.withColumn("_g", groups)
+             .withColumn("_r", F.row_number().over(Window.partitionBy("qid", "_g").orderBy(*order)))
+             .where(F.col("_r") <= k))
+    return (first.withColumn("rank", F.row_number().over(Window.partitionBy("qid").orderBy(*order)))
+            .where(F.col("rank") <= k).select("qid", "cid", "sim", "rank"))
 
 
 def neighbor_counts(queries: DataFrame, neighbors: DataFrame, threshold: float,

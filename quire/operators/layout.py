@@ -39,28 +39,32 @@ def projection_axes(dim: int, seed: int = 0) -> tuple[list[float], list[float]]:
 
 def random_projection(vectors: DataFrame, dim: int, seed: int = 0, key: str = "doc_id",
                       vec: str = "vector") -> DataFrame:
-    """``(key, x, y)``: the unit vector's coordinates on two seeded axes."""
+    """``(key, x, y)``: the unit vector's coordinates on two seeded axes. A zero
+    vector has no direction: its coordinates are null, and later stages leave
+    the document out of the map."""
     ax, ay = projection_axes(dim, seed)
     v = vectors.select(key, F.col(vec).cast("array<double>").alias("_v"))
     v = v.withColumn("_n", V.norm("_v"))
-    return v.select(key, (V.dot_literal("_v", ax) / F.col("_n")).alias("x"),
-                    (V.dot_literal("_v", ay) / F.col("_n")).alias("y"))
+    return v.select(key, F.try_divide(V.dot_literal("_v", ax), F.col("_n")).alias("x"),
+                    F.try_divide(V.dot_literal("_v", ay), F.col("_n")).alias("y"))
 
 
 def pca_projection(vectors: DataFrame, key: str = "doc_id", vec: str = "vector") -> DataFrame:
     """``(key, x, y)``: first two principal components of the unit vectors.
-    (The sign of each component is not fixed by PCA.)"""
+    (The sign of each component is not fixed by PCA.) Zero vectors take no
+    part in the fit and have null coordinates."""
     v = vectors.select(key, F.col(vec).cast("array<double>").alias("_v"))
     v = v.withColumn("_n", V.norm("_v"))
-    unit = v.select(key, array_to_vector(V.unit("_v", "_n")).alias("features"))
-    model = PCA(k=2, inputCol="features", outputCol="pc").fit(unit)
-    out = model.transform(unit).select(key, vector_to_array("pc").alias("pc"))
+    unit = v.select(key, "_n", array_to_vector(V.unit("_v", "_n")).alias("features"))
+    model = PCA(k=2, inputCol="features", outputCol="pc").fit(unit.where("_n > 0").select("features"))
+    out = model.transform(unit).select(key, F.when(F.col("_n") > 0, vector_to_array("pc")).alias("pc"))
     return out.select(key, F.col("pc")[0].alias("x"), F.col("pc")[1].alias("y"))
 
 
 def shuffle_key(key: str = "doc_id", seed: int = SHUFFLE_SEED):
-    """ORD-1: a reproducible random order: hash of the key and a seed."""
-    return F.xxhash64(F.col(key), F.lit(seed))
+    """ORD-1: a reproducible random order: md5 of seed and key (plain SQL has it
+    too)."""
+    return F.md5(F.concat(F.lit(f"{seed}/"), F.coalesce(F.col(key).cast("string"), F.lit(""))).cast("binary"))
 
 
 def shuffled(df: DataFrame, key: str = "doc_id", seed: int = SHUFFLE_SEED) -> DataFrame:

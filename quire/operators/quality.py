@@ -1,16 +1,13 @@
 """OCR quality filter (FLT-2, TXT-18) and its yield summary (AGG-10, FN-24).
 
-Per document: the first ``words_to_examine`` tokens, those longer than
-``min_word_length``, made distinct; score = share found in the dictionary;
-keep iff score >= cutoff. A document without any long token is dropped and
+Per document: the tokens longer than ``min_word_length``, made distinct;
+score = share found in the dictionary; keep iff score >= cutoff. Whole texts
+are judged; ``words_to_examine=REFERENCE_WINDOW`` looks at the first 400 tokens
+only, as the reference does. A document without any long token is dropped and
 is not counted in the totals.
 
-Plan shape: the token window is sliced *before* the explode (Catalyst cannot
-infer that), so at most 400 rows per document leave the scan stage. The
-dictionary is materialised once; it is broadcast when its row count is
-within the bound, otherwise joined with a salted lookup so hot words are
-spread over several tasks. With the broadcast, the per-document count runs
-in the scan's partitions without a further shuffle.
+Plan shape: the distinct tokens of a document are exploded and looked up in the
+dictionary (``joins.lookup_join``); the per-document counts are pre-aggregated.
 """
 
 from __future__ import annotations
@@ -19,30 +16,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import tokenize
-from ..session import materialize
 from .joins import lookup_join
 
 # Fixed values of the reference filter.
 CUTOFF = 0.57
-WORDS_TO_EXAMINE = 400
+REFERENCE_WINDOW = 400
 MIN_WORD_LENGTH = 3  # tokens must be strictly longer
 
 
-def examined_tokens(text, words_to_examine: int = WORDS_TO_EXAMINE,
+def examined_tokens(text, words_to_examine: int | None = None,
                     min_word_length: int = MIN_WORD_LENGTH, tokenizer=tokenize):
-    """TXT-18 + FLT-17 + AGG-14: distinct long tokens among the first N tokens."""
-    window = F.slice(tokenizer(text), 1, words_to_examine)
-    return F.array_distinct(F.filter(window, lambda w: F.length(w) > min_word_length))
+    """TXT-18 + FLT-17 + AGG-14: distinct long tokens (among the first N if given)."""
+    toks = tokenizer(text)
+    window = toks if words_to_examine is None else F.slice(toks, 1, words_to_examine)
+    return F.filter(F.array_distinct(window), lambda w: F.length(w) > min_word_length)
 
 
 def quality_scores(documents: DataFrame, dictionary: DataFrame, key: str = "doc_id",
-                   text: str = "text", **kw) -> DataFrame:
-    """``(key, n_tokens, n_good, score)`` for every document with long tokens."""
+                   text: str = "text", stored: bool = False, **kw) -> DataFrame:
+    """``(key, n_tokens, n_good, score)`` for every document with long tokens.
+    ``stored``: ``dictionary`` is a stored table of distinct words."""
     words = documents.select(key, F.explode(examined_tokens(F.col(text), **kw)).alias("word"))
-    # vocabulary-sized: materialised once, then broadcast within the bound or
-    # joined with salting above it (hot words never land in one task)
-    dic = materialize(dictionary.select("word").distinct().withColumn("_in_dict", F.lit(1)))
-    joined = lookup_join(words, dic, "word", "left")
+    dic = dictionary.select("word") if stored else dictionary.select("word").distinct()
+    joined = lookup_join(words, dic.withColumn("_in_dict", F.lit(1)), "word", stored=stored)
     return (joined.groupBy(key)
             .agg(F.count(F.lit(1)).alias("n_tokens"),
                  F.count(F.col("_in_dict")).alias("n_good"))

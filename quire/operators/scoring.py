@@ -1,18 +1,18 @@
 """Keyword scoring of documents (VEC-6, TXT-16, JN-12, AGG-5, AGG-6, JN-16,
 FLT-19).
 
-score(doc, base) = bround(100 * Σ_{w in sample} cos(w, base) / n), where the
-sample is the document's tokens of length >= 4 (all of them when
+score(doc, base) = bround(100 * sum of cos(w, base) over w in sample / n), where
+the sample is the document's tokens of length >= 4 (all of them when
 ``fraction`` = 1, else a deterministic sample of bround(n*fraction)), a
-word without a vector contributes 0, and n = 0 gives 0.
-
-Plan shape: the base-word vectors are bounded by the caller's keyword list
-and become literals; similarities are computed once per *vocabulary word*
-(one projection over the word-vector table, no join). Document tokens are
-exploded and joined to that table on the word: the table is bounded by the
-model vocabulary, so AQE broadcasts it when it is small and otherwise uses a
-shuffle join with skew splitting. The per-document sums are pre-aggregated
-map-side before the shuffle on doc id.
+word without a vector contributes 0, and n = 0 gives 0. The similarity of a
+zero vector to anything is 0.
+
+Plan shape: the keywords that the model knows are one aggregated row, read by a
+scalar subquery; similarities are computed once per *vocabulary word* (one
+projection over the word-vector table, no join). Document tokens are exploded
+and joined to that table on the word (``joins.lookup_join``). Sums are over
+fixed-point decimals, so their order never changes a score, and are
+pre-aggregated map-side before the shuffle on doc id.
 """
 
 from __future__ import annotations
@@ -30,45 +30,40 @@ from .joins import lookup_join
 FRACTION = 0.1
 MIN_WORD_LENGTH = 4
 
-MAX_BASE_WORDS = 1024    # keyword lists are parameters, not data
+FIXED_POINT = "decimal(28,15)"
 
 
-def base_vectors(word_vectors: DataFrame, base_words: Sequence[str]) -> list[tuple[str, list[float]]]:
-    """FLT-19: the requested keywords that exist in the model, with unit
-    vectors. Bounded by the keyword list (checked), so it is fetched once."""
+def base_vectors(word_vectors: DataFrame, base_words: Sequence[str]) -> DataFrame:
+    """FLT-19: ``(word, v)`` of the requested keywords that the model knows, with
+    unit vectors; one row per word (a word listed twice in the model takes the
+    larger vector, compared element by element)."""
     words = list(dict.fromkeys(base_words))
-    if len(words) > MAX_BASE_WORDS:
-        raise ValueError(f"at most {MAX_BASE_WORDS} keywords")
-    rows = (word_vectors.where(F.col("word").isin(*words))
+    return (word_vectors.where(F.col("word").isin(*words))
             .select("word", F.col("vector").cast("array<double>").alias("v"))
-            .limit(len(words)).collect())
-    found = {r["word"]: r["v"] for r in rows}
-    out = []
-    for w in words:                      # keep the caller's order
-        if w in found:
-            v = found[w]
-            n = sum(x * x for x in v) ** 0.5
-            out.append((w, [x / n if n else 0.0 for x in v]))
-    return out
-
-
-def word_similarities(word_vectors: DataFrame, bases: list[tuple[str, list[float]]]) -> DataFrame:
-    """JN-12: ``(word, sims array<double>)`` -- cosine of every vocabulary word
-    to each base word, in base order."""
-    wv = word_vectors.select("word", F.col("vector").cast("array<double>").alias("v"))
-    wv = wv.withColumn("_n", V.norm("v"))
-    sims = [V.dot_literal("v", b) / F.col("_n") for _, b in bases]
-    return wv.select("word", F.array(*sims).alias("sims"))
+            .groupBy("word").agg(F.max("v").alias("v"))
+            .select("word", V.unit("v", V.norm("v")).alias("v")))
+
+
+def word_similarities(word_vectors: DataFrame, bases: DataFrame) -> DataFrame:
+    """JN-12: ``(word, sims map<string,double>)`` -- cosine of every vocabulary
+    word to each base word."""
+    # as many elements as there are keywords: a parameter's size
+    known = bases.agg(F.sort_array(F.collect_list(F.struct("word", "v"))).alias("b")).scalar()
+    wv = word_vectors.groupBy("word").agg(F.max(F.col("vector").cast("array<double>")).alias("v"))
+    wv = wv.select("word", V.unit("v", V.norm("v")).alias("v"), known.alias("b"))
+    return wv.select("word", F.map_from_entries(
+        F.transform("b", lambda b: F.struct(b["word"], V.dot("v", b["v"])))).alias("sims"))
 
 
 def keyword_scores(docs: DataFrame, word_vectors: DataFrame, base_words: Sequence[str],
                    fraction: float = 1.0, seed: int = 0, key: str = "doc_id",
                    text: str = "text", tokenizer=T.tokenize) -> DataFrame:
     """AGG-5: ``(key, keyword_scores map<string,int>)`` for every document."""
-    bases = base_vectors(word_vectors, base_words)
-    names = [w for w, _ in bases]
+    names = list(dict.fromkeys(base_words))
     if not names:
         return docs.select(key, F.create_map().cast("map<string,int>").alias("keyword_scores"))
+    bases = base_vectors(word_vectors, names)
+    found = bases.agg(F.collect_set("word").alias("w")).scalar()
     sims = word_similarities(word_vectors, bases)
     toks = T.long_tokens(tokenizer(F.col(text)), MIN_WORD_LENGTH)
     if fraction < 1.0:
@@ -77,15 +72,17 @@ def keyword_scores(docs: DataFrame, word_vectors: DataFrame, base_words: Sequenc
     # not carry the whole token array on every output row
     per_doc = (docs.select(key, toks.alias("_t")).select(key, "_t", F.size("_t").alias("_n"))
                .select(key, "_n", F.explode_outer("_t").alias("word")))
-    joined = lookup_join(per_doc, sims, "word", "left")
+    joined = lookup_join(per_doc, sims.select(
+        "word", *[F.try_element_at("sims", F.lit(w)).cast(FIXED_POINT).alias(f"_c{i}") for i, w in enumerate(names)]),
+        "word")
     sums = joined.groupBy(key).agg(
-        F.first("_n").alias("_n"),
-        *[F.sum(F.coalesce(F.col("sims")[i], F.lit(0.0))).alias(f"_s{i}") for i in range(len(names))])
+        F.max("_n").alias("_n"), *[F.sum(f"_c{i}").cast("double").alias(f"_s{i}") for i in range(len(names))])
     score = [F.when(F.col("_n") == 0, F.lit(0))
-             .otherwise(F.bround(F.lit(100.0) * F.col(f"_s{i}") / F.col("_n")).cast("int"))
+             .otherwise(F.bround(F.lit(100.0) * F.coalesce(F.col(f"_s{i}"), F.lit(0.0)) / F.col("_n")).cast("int"))
              for i in range(len(names))]
-    return sums.select(key, F.map_from_arrays(F.array(*[F.lit(w) for w in names]),
-                                              F.array(*score)).alias("keyword_scores"))
+    scores = F.map_from_arrays(F.array(*[F.lit(w) for w in names]), F.array(*score))
+    return (sums.select(key, scores.alias("_all"), found.alias("_found"))
+            .select(key, F.map_filter("_all", lambda w, _: F.array_contains("_found", w)).alias("keyword_scores")))
 
 
 def scores_long(scores: DataFrame, key: str = "doc_id") -> DataFrame:

@@ -3,15 +3,18 @@
 Semantics (what the external tiler is used for): points are taken in their
 shuffled order; at zoom level z the plane is cut into 2^z x 2^z tiles and
 each tile keeps its first ``tile_size`` points; the rest descend to level
-z+1; at ``max_depth`` every remaining point stays. Earlier (random) points
-therefore land in coarser tiles, so a coarse tile is a uniform sample.
+z+1, until no tile holds more than ``tile_size``. Points that no zoom level can
+part (equal coordinates, or equal up to the last level) stay in their tile on
+numbered pages of ``tile_size`` each. Earlier (random) points therefore land in
+coarser tiles, so a coarse tile is a uniform sample. Points without coordinates
+are in no tile.
 
 Distributed form: a tile can hold most of the data (level 0 holds all of
 it), so ranking inside a tile never groups the tile into one task. Rows are
 range-partitioned by (tile, order key), each partition numbers its rows, and
 per-(partition, tile) offsets -- at most partitions + tiles rows -- turn local
-numbers into ranks within the tile. Each level is checkpointed to cut the
-lineage of the loop.
+numbers into ranks within the tile. Each level is written once as Parquet in
+the shared folder and read by what follows.
 """
 
 from __future__ import annotations
@@ -19,11 +22,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import bounded_broadcast
-from ..session import materialize
+from ..session import materialize, stage
 
 TILE_SIZE = 25_000
-MAX_DEPTH = 12
+LAST_LEVEL = 30  # tile numbers are 32-bit
 
 
 def rank_within(df: DataFrame, group: list[str], order: list[Column], name: str = "_rank") -> DataFrame:
@@ -38,16 +40,11 @@ def rank_within(df: DataFrame, group: list[str], order: list[Column], name: str
     runs = keyed.groupBy("_pid", *group).agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     runs = runs.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
-    return (keyed.join(bounded_broadcast(runs), ["_pid", *group])
+    return (keyed.join(runs, ["_pid", *group])
             .withColumn(name, F.col("_off") + F.col("_mid") - F.col("_first"))
             .drop("_pid", "_mid", "_first", "_off"))
 
 
-def _bounds(points: DataFrame) -> tuple[float, float, float, float]:
-    b = points.agg(F.min("x"), F.max("x"), F.min("y"), F.max("y")).first()
-    return float(b[0]), float(b[1]), float(b[2]), float(b[3])
-
-
 def _tile_index(c: str, lo: float, hi: float, z: int) -> Column:
     n = 1 << z
     span = (hi - lo) or 1.0
@@ -56,27 +53,31 @@ def _tile_index(c: str, lo: float, hi: float, z: int) -> Column:
 
 
 def quadtree_tiles(points: DataFrame, order: Column, key: str = "doc_id", tile_size: int = TILE_SIZE,
-                   max_depth: int = MAX_DEPTH) -> DataFrame:
-    """``points`` with columns ``z, tx, ty`` added: the tile each point is shown
-    in first. ``order`` is the shuffle order (e.g. ``layout.shuffle_key``)."""
-    # read twice (bounds, level 0): materialise once
-    points = materialize(points.withColumn("_ord", order))
-    x0, x1, y0, y1 = _bounds(points)
-    remaining = points
-    placed = []
-    for z in range(max_depth + 1):
+                   last_level: int = LAST_LEVEL) -> DataFrame:
+    """``points`` with columns ``z, tx, ty, page`` added: the tile (and page of
+    it) each point is shown in first. ``order`` is the shuffle order (e.g.
+    ``layout.shuffle_key``). No points give no tiles."""
+    placed = (F.col("x").isNotNull() & F.col("y").isNotNull() & ~F.isnan("x") & ~F.isnan("y"))
+    remaining = stage(points.withColumn("_ord", order).where(placed), "tiles")
+    b = remaining.agg(F.min("x"), F.max("x"), F.min("y"), F.max("y")).first()
+    x0, x1, y0, y1 = (0.0 if v is None else float(v) for v in b)
+    out = None
+    for z in range(last_level + 1):
         level = (remaining.withColumn("z", F.lit(z))
                  .withColumn("tx", _tile_index("x", x0, x1, z))
                  .withColumn("ty", _tile_index("y", y0, y1, z)))
-        if z == max_depth:
-            placed.append(level.drop("_ord"))
-            break
-        ranked = rank_within(level, ["tx", "ty"], [F.col("_ord"), F.col(key)])
-        placed.append(ranked.where(F.col("_rank") < tile_size).drop("_rank", "_ord"))
-        remaining = ranked.where(F.col("_rank") >= tile_size).drop("_rank", "z", "tx", "ty")
+        ranked = stage(rank_within(level, ["tx", "ty"], [F.col("_ord"), F.col(key)]), "tiles")
+        # crowded tiles whose points all lie in one place are paged here
+        apart = (ranked.groupBy("tx", "ty")
+                 .agg(((F.min("x") == F.max("x")) & (F.min("y") == F.max("y"))).alias("_one"),
+                      F.count(F.lit(1)).alias("_n")).where(F.col("_n") > tile_size)
+                 .select("tx", "ty", (F.col("_one") | F.lit(z == last_level)).alias("_stay")))
+        marked = stage(ranked.join(apart, ["tx", "ty"], "left"), "tiles")
+        stays = (F.col("_rank") < tile_size) | F.coalesce(F.col("_stay"), F.lit(False))
+        shown = (marked.where(stays).withColumn("page", F.floor(F.col("_rank") / F.lit(tile_size)).cast("int"))
+                 .drop("_rank", "_ord", "_stay"))
+        out = shown if out is None else out.unionByName(shown)
+        remaining = marked.where(~stays).drop("_rank", "z", "tx", "ty", "_stay")
         if remaining.isEmpty():
             break
-    out = placed[0]
-    for p in placed[1:]:
-        out = out.unionByName(p)
     return out

@@ -1,14 +1,21 @@
 """Training word and document vectors (VEC-1, SNK-6, SNK-7, SRC-11, UDF-3/4).
 
-The reference trains gensim's PV-DM Doc2Vec on one machine. Here the same
-role is filled by ``pyspark.ml.feature.Word2Vec``: word vectors are trained
-over partitions of the token table, and a document vector is the mean of its
-word vectors (``Word2VecModel.transform``). Numbers differ from PV-DM; every
-downstream step takes the vectors as an input table, so either source works.
-
-Scale notes: Word2Vec keeps the vocabulary (words with count >= minCount)
-and the vector matrix on the driver and broadcasts it -- its size is
-bounded by ``minCount`` and ``vectorSize``, not by the corpus.
+The reference trains gensim's PV-DM Doc2Vec on one machine. Two trainers fill
+its role here; numbers differ from PV-DM, and every downstream step takes the
+vectors as an input table, so any source works.
+
+* ``train_distributed`` (default): random indexing. Every word has a fixed
+  random +-1 signature (bits of its md5); a word's vector is the sum of the
+  signatures of the words around it, over all its occurrences. It is one
+  aggregation with map-side combine: nothing but the vocabulary table itself
+  grows with the vocabulary, nothing passes through the driver, sums of whole
+  numbers are exact, and one pass over the corpus is all there is (no epochs).
+* ``train``: ``pyspark.ml.feature.Word2Vec``, which keeps the vocabulary and
+  the vector matrix on the driver and broadcasts them; for vocabularies that a
+  driver can hold (``minCount`` bounds them).
+
+A document vector is the mean of its word vectors. A document without any word
+of the model has the zero vector.
 """
 
 from __future__ import annotations
@@ -18,6 +25,9 @@ import time
 from pyspark.ml.feature import Word2Vec, Word2VecModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .joins import lookup_join
 
 # Reference defaults: 50 dimensions, words seen at least 25 times, 40 epochs.
 MODEL_DEFAULTS = {
@@ -27,7 +37,6 @@ MODEL_DEFAULTS = {
     "windowSize": 5,
     "stepSize": 0.025,
     "seed": 42,
-    "maxSentenceLength": 1000,
 }
 
 
@@ -36,14 +45,72 @@ def model_options(overrides: dict | None = None) -> dict:
     return {**MODEL_DEFAULTS, **(overrides or {})}
 
 
+def signature(word, size: int) -> list:
+    """``size`` columns of +-1: bits of the md5 of the word (128 a hash; more
+    dimensions hash the word again with a number)."""
+    out = []
+    for d in range(size):
+        block, bit = divmod(d, 128)
+        h = F.md5(F.concat(F.lit(f"{block}/"), word).cast("binary"))
+        nibble = F.conv(F.substring(h, bit // 4 + 1, 1), 16, 10).cast("int")
+        out.append(F.shiftright(nibble, bit % 4).bitwiseAND(F.lit(1)) * 2 - 1)
+    return out
+
+
+def train_distributed(tokens: DataFrame, options: dict | None = None, tokens_col: str = "tokens",
+                      vocabulary: DataFrame | None = None) -> DataFrame:
+    """VEC-1: ``(word, vector array<long>)`` of the words seen at least
+    ``minCount`` times (or of the given ``vocabulary(word)``), by random indexing
+    over ``windowSize`` words on either side.
+
+    Occurrences are counted per (word, context word) first, with map-side
+    combine, and only these counts meet the signatures."""
+    opts = model_options(options)
+    size, window = opts["vectorSize"], opts["windowSize"]
+    toks = tokens.select(F.col(tokens_col).alias("t"))
+    if vocabulary is None:
+        vocabulary = (toks.select(F.explode("t").alias("word")).groupBy("word")
+                      .agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= opts["minCount"]))
+    here = F.col("pos") + 1  # places of an array count from 1
+    start, last = F.greatest(here - window, F.lit(1)), F.least(here + window, F.size("t"))
+    placed = (toks.select("t", F.posexplode("t").alias("pos", "word"))
+              .select("word", F.slice("t", start, last - start + 1).alias("c"), (here - start).alias("at")))
+    pairs = (lookup_join(placed, vocabulary.select("word"), "word", "left_semi")
+             .select("word", "at", F.posexplode("c").alias("k", "context")).where(F.col("k") != F.col("at"))
+             .groupBy("word", "context").agg(F.count(F.lit(1)).alias("n")))
+    sums = pairs.groupBy("word").agg(*[F.sum(F.col("n") * s).alias(f"_d{d}")
+                                       for d, s in enumerate(signature(F.col("context"), size))])
+    return (vocabulary.select("word").join(sums, "word", "left")
+            .select("word", F.array(*[F.coalesce(F.col(f"_d{d}"), F.lit(0)) for d in range(size)]).alias("vector")))
+
+
+def mean_vectors(word_vectors: DataFrame, tokens: DataFrame, key: str = "doc_id",
+                 tokens_col: str = "tokens", size: int = MODEL_DEFAULTS["vectorSize"]) -> DataFrame:
+    """``(key, vector array<double>)``: mean of the unit vectors of a document's
+    known words, zero without any. Sums are fixed-point, so their order does not
+    matter."""
+    from ..functions import vectors as V
+    v = word_vectors.select("word", F.col("vector").cast("array<double>").alias("v"))
+    unit = v.select("word", V.unit("v", V.norm("v")).alias("v"))
+    words = tokens.select(key, F.explode_outer(tokens_col).alias("word"))
+    joined = lookup_join(words, unit.select("word", *[F.col("v")[d].cast("decimal(28,15)").alias(f"_v{d}")
+                                                      for d in range(size)]), "word")
+    mean = [F.coalesce(F.try_divide(F.sum(f"_v{d}").cast("double"), F.count(f"_v{d}")), F.lit(0.0)).alias(f"_m{d}")
+            for d in range(size)]
+    return joined.groupBy(key).agg(*mean).select(key, F.array(*[f"_m{d}" for d in range(size)]).alias("vector"))
+
+
 def train(tokens: DataFrame, options: dict | None = None, tokens_col: str = "tokens",
           num_partitions: int | None = None) -> Word2VecModel:
-    """VEC-1: fit word vectors on a token-array column."""
+    """VEC-1 with Spark's Word2Vec (vocabulary on the driver). Sentences are
+    whole documents: the longest sets ``maxSentenceLength``."""
     opts = model_options(options)
+    toks = tokens.select(tokens_col)
+    if "maxSentenceLength" not in opts:
+        opts["maxSentenceLength"] = max(1, toks.agg(F.max(F.size(tokens_col))).first()[0] or 1)
     if num_partitions is None:
         num_partitions = tokens.sparkSession.sparkContext.defaultParallelism
-    w2v = Word2Vec(inputCol=tokens_col, outputCol="vector", numPartitions=num_partitions, **opts)
-    return w2v.fit(tokens.select(tokens_col))
+    return Word2Vec(inputCol=tokens_col, outputCol="vector", numPartitions=num_partitions, **opts).fit(toks)
 
 
 def word_vectors(model: Word2VecModel) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import tokenize
-from ..session import materialize
+from ..session import materialize, path_exists
 
 
 def word_frequencies(docs: DataFrame, tokens: str = "tokens") -> DataFrame:
@@ -54,14 +54,12 @@ def dictionary_by_df(documents: DataFrame, min_df: int, text: str = "text") -> D
 
 def vocabulary(spark, documents: DataFrame | None = None, saved_path: str | None = None,
                min_frequency: int = 0) -> DataFrame:
-    """AGG-13: the training vocabulary from saved frequencies when present,
-    otherwise computed from the corpus."""
-    if saved_path:
-        try:
-            return spark.read.parquet(saved_path)
-        except Exception:  # noqa: BLE001 -- absent path: fall back to the corpus
-            if documents is None:
-                raise
+    """AGG-13: the training vocabulary from saved frequencies when the path
+    exists, otherwise computed from the corpus. Any other read error (a broken
+    file, missing rights) is raised, not taken for absence."""
+    if saved_path and (documents is None or path_exists(spark, saved_path)):
+        saved = spark.read.parquet(saved_path)
+        return saved.where(F.col("tf") > F.lit(min_frequency)) if min_frequency else saved
     return term_frequency(documents, min_frequency=min_frequency)
 
 
@@ -71,15 +69,17 @@ def with_row_index(df: DataFrame, name: str = "index", order: list[Column] | Non
 
     No row moves to a single task: each partition numbers its own rows
     (``monotonically_increasing_id`` is consecutive within a partition) and
-    per-partition offsets -- one row per partition -- are added."""
+    per-partition offsets -- one row per partition -- are added. The numbered
+    rows are checkpointed, so that the offsets and the join read the very same
+    partitions whatever columns each of them needs."""
     if order:
         # the range partitioner samples its input in a separate job: read
         # a materialised copy instead of recomputing the input twice
         df = materialize(df)
         df = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    keyed = (df.withColumn("_pid", F.spark_partition_id())
-             .withColumn("_local", F.monotonically_increasing_id()
-                         - F.shiftleft(F.col("_pid").cast("long"), 33)))
+    keyed = materialize(df.withColumn("_pid", F.spark_partition_id())
+                        .withColumn("_local", F.monotonically_increasing_id()
+                                    - F.shiftleft(F.col("_pid").cast("long"), 33)))
     sizes = keyed.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     # one row per partition, so a global window here is bounded
     offsets = sizes.select(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import quality, vocab
+from ..session import stage
 from ..sources.tables import table
 from .registry import register
 from .sqlfrag import split_ws, sql_str
@@ -41,28 +42,44 @@ def q_term_frequency(spark: SparkSession, sf: str) -> DataFrame:
     return vocab.term_frequency(table(spark, sf, "documents"), min_frequency=MIN_FREQUENCY)
 
 
-SQL_QUALITY = f"""
+def _sql_quality(window: str) -> str:
+    return f"""
 WITH {SQL_TOKENS}, {SQL_DICTIONARY},
 ex AS (SELECT doc_id,
-              unnest(list_distinct(list_filter(t[1:{quality.WORDS_TO_EXAMINE}],
-                                               lambda x: length(x) > {quality.MIN_WORD_LENGTH}))) AS word
+              unnest(list_distinct(list_filter(t{window}, lambda x: length(x) > {quality.MIN_WORD_LENGTH}))) AS word
        FROM toks),
 sc AS (SELECT ex.doc_id, count(*) AS n_tokens, count(dict.word) AS n_good
        FROM ex LEFT JOIN dict ON ex.word = dict.word GROUP BY ex.doc_id)"""
 
 
-def _quality_scores(spark: SparkSession, sf: str) -> DataFrame:
+SQL_QUALITY = _sql_quality("")
+SQL_KEPT = f"""
+SELECT doc_id, n_tokens, n_good, round(n_good::DOUBLE / n_tokens, 6) AS score
+FROM sc WHERE n_good::DOUBLE / n_tokens >= {quality.CUTOFF}
+"""
+
+
+def _quality_scores(spark: SparkSession, sf: str, **kw) -> DataFrame:
     docs = table(spark, sf, "documents")
-    return quality.quality_scores(docs, corpus_dictionary(docs))
+    return quality.quality_scores(docs, stage(corpus_dictionary(docs), "dictionary"), stored=True, **kw)
 
 
-@register("ocr_quality_filter", SQL_QUALITY + f"""
-SELECT doc_id, n_tokens, n_good, round(n_good::DOUBLE / n_tokens, 6) AS score
-FROM sc WHERE n_good::DOUBLE / n_tokens >= {quality.CUTOFF}
-""")
+def _kept(scores: DataFrame) -> DataFrame:
+    return (scores.where(F.col("score") >= F.lit(quality.CUTOFF))
+            .select("doc_id", "n_tokens", "n_good", F.round("score", 6).alias("score")))
+
+
+@register("ocr_quality_filter", SQL_QUALITY + SQL_KEPT)
 def q_ocr_quality_filter(spark: SparkSession, sf: str) -> DataFrame:
-    kept = _quality_scores(spark, sf).where(F.col("score") >= F.lit(quality.CUTOFF))
-    return kept.select("doc_id", "n_tokens", "n_good", F.round("score", 6).alias("score"))
+    """FLT-2 over whole texts."""
+    return _kept(_quality_scores(spark, sf))
+
+
+@register("ocr_quality_reference_window", _sql_quality(f"[1:{quality.REFERENCE_WINDOW}]") + SQL_KEPT)
+def q_ocr_quality_reference_window(spark: SparkSession, sf: str) -> DataFrame:
+    """FLT-2 as the reference defines it: its feature is to judge a text by its
+    first 400 tokens."""
+    return _kept(_quality_scores(spark, sf, words_to_examine=quality.REFERENCE_WINDOW))
 
 
 @register("ocr_quality_summary", SQL_QUALITY + f"""

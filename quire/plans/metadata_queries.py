@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import keys
 from ..functions import metadata as M
-from ..operators import filters, stats
+from ..operators import filters, metadata, stats
 from ..sources.tables import table
 from .registry import register
 from .sqlfrag import sql_str
@@ -159,3 +159,170 @@ WHERE starts_with(url, 'https://')
 def q_usable_results(spark: SparkSession, sf: str) -> DataFrame:
     res = filters.usable_results(search_results(spark, sf), excluded_host=EXCLUDED_HOST)
     return res.select("page_id", "id")
+
+
+# -- item records -------------------------------------------------------------
+#
+# Items are customers: ``partof`` lists their segment as a collection and their
+# nation as a site (without a url for customers in debt), ``image_url`` two
+# sizes, dates and ids from the key. Page keys are finished orders, whose lccn is
+# their customer, so one item record serves many pages.
+
+ITEM_URL = "https://example.org/item/"
+
+
+def items(spark: SparkSession, sf: str) -> DataFrame:
+    c = customer_places(spark, sf).join(table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal"),
+                                        "c_custkey")
+    ident = F.concat(F.lit("sn"), F.lpad(F.col("c_custkey").cast("string"), 8, "0"))
+    entry = lambda title, url: F.struct(title.alias("title"), url.alias("url"))
+    partof = F.array(
+        entry(F.col("c_mktsegment"), F.concat(F.lit("https://example.org/collections/"), F.lower("c_mktsegment"))),
+        entry(F.col("location")[0], F.when(F.col("c_acctbal") >= 0, F.lit("https://example.org/sites/"))))
+    url = F.concat(F.lit(ITEM_URL), ident)
+    item = F.struct(
+        partof.alias("partof"), F.col("c_name").alias("title"),
+        F.array(F.create_map(F.lit("name"), F.col("c_mktsegment"))).alias("subjects"),
+        F.array("c_mktsegment").alias("subject_headings"), F.col("location").alias("location"),
+        F.array("c_name").alias("description"),
+        F.when(F.col("c_custkey") % 7 != 0, F.concat(F.lit("18"), F.lpad((F.col("c_custkey") % 90 + 10).cast("string"),
+                                                                          2, "0"))).alias("date"),
+        url.alias("url"),
+        F.when(F.col("c_custkey") % 5 != 0, F.array(F.concat(url, F.lit("/a.jpg")), F.concat(url, F.lit("/b.jpg"))))
+        .alias("image_url"))
+    # a customer in ten has no record
+    return c.where(F.col("c_custkey") % 10 != 0).select(ident.alias("identifier"), item.alias("item"))
+
+
+SQL_ITEMS = f"""{SQL_PLACES},
+items AS (
+    SELECT 'sn' || lpad(CAST(c.c_custkey AS VARCHAR), 8, '0') AS identifier, c.c_custkey AS k, c.c_name AS title,
+           CASE WHEN c.c_acctbal >= 0 THEN [places.c_mktsegment] END AS collections, list_distinct(location) AS locations,
+           CASE WHEN c.c_custkey % 7 <> 0 THEN '18' || lpad(CAST(c.c_custkey % 90 + 10 AS VARCHAR), 2, '0') END AS date,
+           '{ITEM_URL}sn' || lpad(CAST(c.c_custkey AS VARCHAR), 8, '0') AS url, places.c_mktsegment AS segment
+    FROM customer c JOIN places ON places.c_custkey = c.c_custkey WHERE c.c_custkey % 10 <> 0)"""
+
+
+def wanted_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Page keys of finished orders and the item ids of all customers."""
+    pages = order_keys(spark, sf).where(keys.is_page("key")).select(F.col("key").alias("identifier"))
+    ids = table(spark, sf, "customer").select(
+        F.concat(F.lit("sn"), F.lpad(F.col("c_custkey").cast("string"), 8, "0")).alias("identifier"))
+    return pages.unionByName(ids)
+
+
+SQL_WANTED = f"""{SQL_ORDER_KEYS},
+wanted AS (SELECT DISTINCT key AS doc_key, true AS page FROM okeys WHERE regexp_matches(key, {_P})
+           UNION ALL SELECT 'sn' || lpad(CAST(c_custkey AS VARCHAR), 8, '0'), false FROM customer),
+asked AS (SELECT doc_key, page, CASE WHEN page THEN trim(regexp_extract(doc_key, {_P}, 1)) ELSE doc_key END AS identifier
+          FROM wanted)"""
+
+
+def records(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Keys divisible by eleven are already in the output (JN-7)."""
+    existing = table(spark, sf, "customer").where(F.col("c_custkey") % 11 == 0).select(
+        F.concat(F.lit("sn"), F.lpad(F.col("c_custkey").cast("string"), 8, "0")).alias("identifier"))
+    return metadata.fetch_metadata(wanted_keys(spark, sf), items(spark, sf), existing=existing)
+
+
+SQL_PAGE = SQL_PAGE_PATH.replace("key", "doc_key")
+SQL_PAGE_DAY = SQL_PAGE_DATE.replace("key", "doc_key")
+SQL_PAGE_LINK = SQL_PAGE_URL.replace("key", "doc_key")
+SQL_NEW = "(page OR CAST(substr(doc_key, 3) AS INTEGER) % 11 <> 0)"
+SQL_RECORDS = f"""WITH {SQL_WANTED}, {SQL_ITEMS},
+rec AS (SELECT doc_key, asked.identifier, page, k, collections, title, segment, locations,
+               CASE WHEN page THEN {SQL_PAGE_DAY} ELSE date END AS date,
+               CASE WHEN page THEN {SQL_PAGE_LINK} ELSE url END AS url,
+               CASE WHEN page THEN regexp_replace({SQL_PAGE_LINK}, '/+$', '') || '/{keys.THUMBNAIL}'
+                    WHEN k % 5 <> 0 THEN url || '/a.jpg' END AS image_url
+        FROM asked JOIN items USING (identifier) WHERE {SQL_NEW})"""
+
+
+@register("metadata_records", SQL_RECORDS + """
+SELECT doc_key, identifier, array_to_string(collections, '|') AS collections, title,
+       array_to_string(list_sort(locations), '|') AS locations, date, substr(date, 1, 4) AS year, url, image_url,
+       segment AS subject, title AS description
+FROM rec""")
+def q_metadata_records(spark: SparkSession, sf: str) -> DataFrame:
+    """FN-8, FN-11, ORD-5, JN-6, JN-7: the records of pages and items."""
+    found, _ = records(spark, sf)
+    return found.select(
+        "doc_key", "identifier", F.array_join("collections", "|").alias("collections"), "title",
+        F.array_join(F.sort_array("locations"), "|").alias("locations"), "date", "year", "url", "image_url",
+        F.col("subjects")[0]["name"].alias("subject"), F.col("description")[0].alias("description"))
+
+
+@register("metadata_rejects", f"""WITH {SQL_WANTED}, {SQL_ITEMS}
+SELECT doc_key, 'no item record' AS reason FROM asked ANTI JOIN items USING (identifier) WHERE {SQL_NEW}""")
+def q_metadata_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """SNK-8: keys whose item is missing."""
+    return records(spark, sf)[1]
+
+
+@register("metadata_unwrapped", SQL_RECORDS + " SELECT doc_key, title, date FROM rec")
+def q_metadata_unwrapped(spark: SparkSession, sf: str) -> DataFrame:
+    """FN-23: the record taken out of its ``{identifier: record}`` wrapper."""
+    found, _ = records(spark, sf)
+    wrapped = found.select("doc_key", F.create_map("identifier", F.struct("title", "date")).alias("m"), "identifier")
+    return wrapped.select("doc_key", M.unwrap("m", F.col("identifier")).alias("r")).select("doc_key", "r.*")
+
+
+@register("documents_with_metadata", SQL_RECORDS + """
+SELECT wanted.doc_key, title IS NOT NULL AS has_metadata, rec.title FROM wanted LEFT JOIN rec USING (doc_key)""")
+def q_documents_with_metadata(spark: SparkSession, sf: str) -> DataFrame:
+    """JN-3: documents joined with their metadata, and those without."""
+    found, _ = records(spark, sf)
+    docs = wanted_keys(spark, sf).select(F.col("identifier").alias("doc_key")).distinct()
+    joined, missing = metadata.documents_with_metadata(docs, found.select("doc_key", "title"), key="doc_key")
+    return (joined.select("doc_key", F.lit(True).alias("has_metadata"), "title")
+            .unionByName(missing.select("doc_key", F.lit(False).alias("has_metadata"),
+                                        F.lit(None).cast("string").alias("title"))))
+
+
+@register("year_backfill", SQL_RECORDS + """
+SELECT doc_key, date, CASE WHEN page THEN substr(date, 1, 4) ELSE 'old' END AS year FROM rec""")
+def q_year_backfill(spark: SparkSession, sf: str) -> DataFrame:
+    """JN-17: records that have a text (here: the pages) take their year from the
+    date, the others keep theirs."""
+    found, _ = records(spark, sf)
+    texts = order_keys(spark, sf).where(keys.is_page("key")).select(F.col("key").alias("doc_key"))
+    old = found.select("doc_key", "date", F.lit("old").alias("year"))
+    return metadata.backfill_year(old, texts, key="doc_key")
+
+
+@register("document_keys", f"""WITH {SQL_ORDER_KEYS}
+SELECT o_orderkey, regexp_replace(replace(substr(key, length('data/') + 1), '{keys.OCR_FILE}', ''), '^/+|/+$', '', 'g')
+       AS doc_key FROM okeys WHERE starts_with(key, 'data/')""")
+def q_document_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """FN-13: file paths to document keys."""
+    k = order_keys(spark, sf).where(F.col("key").startswith("data/"))
+    return k.select("o_orderkey", keys.doc_key("key", "data/").alias("doc_key"))
+
+
+@register("title_allow_list", """
+SELECT p_partkey, p_name FROM part WHERE contains(lower(p_name), 'widget') OR contains(lower(p_name), 'large b')""")
+def q_title_allow_list(spark: SparkSession, sf: str) -> DataFrame:
+    """FLT-21: rows whose title holds one of the allowed names."""
+    return filters.title_allow_list(table(spark, sf, "part").select("p_partkey", "p_name"), ["Widget", "LARGE B"],
+                                    title="p_name")
+
+
+@register("found_texts", """
+SELECT DISTINCT CAST(l.doc_id AS VARCHAR) AS identifier, e.vec_id IS NOT NULL AS found
+FROM documents l LEFT JOIN embeddings e ON e.vec_id = l.doc_id""")
+def q_found_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """FLT-22: wanted identifiers (documents) split by whether their landed row
+    (embeddings) was found."""
+    wanted = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("identifier"))
+    landed = table(spark, sf, "embeddings").select(F.col("vec_id").cast("string").alias("doc_id"))
+    found, rejects = filters.restrict_to_found(wanted, landed)
+    return found.withColumn("found", F.lit(True)).unionByName(
+        rejects.select("identifier").withColumn("found", F.lit(False)))
+
+
+@register("subject_log", f"""WITH {SQL_PLACES}
+SELECT c_custkey, unnest([location[1], lower(c_mktsegment)]) AS subject FROM places""")
+def q_subject_log(spark: SparkSession, sf: str) -> DataFrame:
+    """SRC-7 / SNK-9: one row per subject of each landed result."""
+    p = customer_places(spark, sf).select("c_custkey", F.array(F.col("location")[0], F.lower("c_mktsegment")).alias("s"))
+    return p.select("c_custkey", F.explode_outer("s").alias("subject"))

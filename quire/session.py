@@ -23,6 +23,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
+    # staged lookup tables (Parquet, so of known size) up to this are broadcast
+    "spark.sql.autoBroadcastJoinThreshold": "32MB",
     # shuffle partitions are sized by AQE from map output (coalesced to this
     # size) rather than by a fixed count
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
@@ -42,6 +44,10 @@ DEFAULTS = {
 def build_session(master: str | None = None, app: str = "quire",
                   shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:
+    """A session with ``DEFAULTS``. On a local master the setting
+    ``spark.quire.scan.partitions`` deals scans of the row-keyed tables over so
+    many partitions: test files have a single row group, which one task reads.
+    It is unset on a cluster, where scans stay as Spark splits them."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
@@ -50,6 +56,8 @@ def build_session(master: str | None = None, app: str = "quire",
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if master and master.startswith("local"):
         conf.setdefault("spark.driver.memory", "16g")
+        if shuffle_partitions:
+            conf["spark.quire.scan.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -102,6 +110,13 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists in its file system (any store Spark can read)."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors (once per session), so that Python
     tasks can import it wherever the driver was started."""

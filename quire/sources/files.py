@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import keys
+from ..session import path_exists
 
 # Layout of a page text: <root>/<lccn/yyyy/mm/dd/ed-n/seq-n>/ocr.txt
 PAGE_FILE_RE = r"/([\w/-]+)/ocr\.txt$"
@@ -72,8 +73,10 @@ def _local_path(p: str) -> str:
 
 def _file_path():
     # _metadata.file_path is a URI (file:/..., s3a://...); strip the scheme
-    # and authority so that keys are stable across file systems
-    return F.regexp_replace(F.col("_metadata.file_path"), r"^[a-zA-Z][\w+.-]*:(//[^/]*)?", "")
+    # and authority so that keys are stable across file systems, and undo the
+    # URI's escapes ("%20"; a plus sign is no escape in a path)
+    path = F.regexp_replace(F.col("_metadata.file_path"), r"^[a-zA-Z][\w+.-]*:(//[^/]*)?", "")
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
 
 
 def _rel(root: str):
@@ -151,8 +154,11 @@ def read_metadata(spark: SparkSession, metadata_dir: str) -> tuple[DataFrame, Da
     raw = spark.read.text(_local_path(metadata_dir), wholetext=True, recursiveFileLookup=True)
     parsed = raw.select(_rel(metadata_dir).alias("doc_key"),
                         F.from_json("value", METADATA_FILE, {"mode": "PERMISSIVE"}).alias("m"))
-    rejects = parsed.where(F.col("m").isNull()).select("doc_key", F.lit("malformed metadata").alias("reason"))
-    records = (parsed.where(F.col("m").isNotNull())
+    empty = F.coalesce(F.size("m"), F.lit(0)) <= 0
+    rejects = parsed.where(empty).select(
+        "doc_key", F.when(F.col("m").isNull(), F.lit("malformed metadata")).otherwise(F.lit("no record"))
+        .alias("reason"))
+    records = (parsed.where(~empty)
                .select("doc_key", F.explode("m").alias("identifier", "r"))
                .select("doc_key", "identifier", "r.*"))
     return records, rejects
@@ -165,12 +171,13 @@ def read_search_results(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_item_json(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """SRC-8: landed raw item JSON, one file per identifier (file name).
+    """SRC-8: landed raw item JSON, one file per identifier (the file's name
+    without ``.json``).
     ``(items, rejects)``; a response without ``item`` or with an error status
     is rejected (SNK-8)."""
     raw = spark.read.text(_local_path(path), wholetext=True, recursiveFileLookup=True)
-    parsed = raw.select(F.element_at(F.split(_file_path(), "/"), -1).alias("identifier"),
-                        F.from_json("value", ITEM_RESPONSE).alias("j"))
+    name = F.regexp_replace(F.element_at(F.split(_file_path(), "/"), -1), r"(?i)\.json$", "")
+    parsed = raw.select(name.alias("identifier"), F.from_json("value", ITEM_RESPONSE).alias("j"))
     bad = F.col("j").isNull() | F.col("j.item").isNull() | (F.coalesce(F.col("j.status"), F.lit(200)) >= 400)
     items = parsed.where(~bad).select("identifier", F.col("j.item").alias("item"))
     rejects = parsed.where(bad).select("identifier", F.lit("no item in response").alias("reason"))
@@ -192,15 +199,8 @@ def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
 
 def read_corrections(spark: SparkSession, root: str, model_id: str) -> DataFrame | None:
     """SRC-13: the correction table derived with a given model, if any."""
-    try:
-        return spark.read.parquet(f"{root.rstrip('/')}/{model_id}")
-    except Exception:  # noqa: BLE001 -- absent: derive it
-        return None
-
-
-def page_keys(df: DataFrame, key: str = "identifier") -> DataFrame:
-    """Attach kind / identifier of the key (FN-1, FN-2)."""
-    return df.withColumn("kind", keys.kind(key)).withColumn("lccn", keys.identifier(key))
+    path = f"{root.rstrip('/')}/{model_id}"
+    return spark.read.parquet(path) if path_exists(spark, path) else None
 
 
 def read_dataset(spark: SparkSession, landing_root: str, definition) -> DataFrame:
@@ -217,7 +217,7 @@ def read_dataset(spark: SparkSession, landing_root: str, definition) -> DataFram
         r = usable_results(read_search_results(spark, f"{landing_root.rstrip('/')}/{name}"))
         if dated:
             lo, hi = definition.collection_years
-            r = r.where(F.substring("date", 1, 4).cast("int").between(lo, hi))
+            r = r.where(F.substring("date", 1, 4).try_cast("int").between(lo, hi))
         frames.append(r.withColumn("part", F.lit(name)))
     if definition.items:
         frames.append(spark.createDataFrame([(i,) for i in definition.items], "id string")
@@ -237,7 +237,7 @@ def select_newspaper_pages(pages: DataFrame, selection, batch_edges: DataFrame |
     titles covered by the first ``count`` needed batches (ORD-3)."""
     from ..operators import batches as B
     out = pages.withColumn("lccn", keys.identifier("doc_id"))
-    year = F.substring(keys.page_date("doc_id"), 1, 4).cast("int")
+    year = F.substring(keys.page_date("doc_id"), 1, 4).try_cast("int")
     out = out.where(year.between(selection.first_year, selection.last_year))
     if selection.lccns:
         out = out.where(F.col("lccn").isin(*selection.lccns))

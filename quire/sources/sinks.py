@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import metadata as M
+from ..session import path_exists
 
 
 def write_stage(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None) -> None:
@@ -37,8 +37,9 @@ def write_coordinates(coords: DataFrame, path: str, key: str = "doc_id") -> None
 
 
 def write_rejects(rejects: DataFrame, path: str) -> None:
-    """SNK-8: the reject log as a table ``(key, reason)``."""
-    rejects.write.mode("append").parquet(path)
+    """SNK-8: the reject log of a run as a table ``(key, reason)``; a rerun
+    replaces it."""
+    rejects.write.mode("overwrite").parquet(path)
 
 
 def subject_log(results: DataFrame, subject: str = "subject") -> DataFrame:
@@ -47,30 +48,28 @@ def subject_log(results: DataFrame, subject: str = "subject") -> DataFrame:
 
 
 def write_tiles(tiles: DataFrame, path: str) -> None:
-    """SNK-10: tiles partitioned by (z, tx, ty); ``date`` stays a string."""
+    """SNK-10: tiles partitioned by (z, tx, ty, page); ``date`` stays a string."""
     out = tiles
     if "date" in tiles.columns:
         out = out.withColumn("date", F.col("date").cast("string"))
-    out.write.mode("overwrite").partitionBy("z", "tx", "ty").parquet(path)
+    out.write.mode("overwrite").partitionBy("z", "tx", "ty", "page").parquet(path)
 
 
 def write_new_only(df: DataFrame, path: str, key: str, overwrite: bool = False) -> None:
     """SNK-11 / JN-7: skip rows whose key is already in the output, unless
-    ``overwrite``; new rows are appended."""
+    ``overwrite``; new rows are appended. Only a missing path counts as a first
+    write; an output that cannot be read, or has no key column, is an error and
+    stays as it is."""
     spark = df.sparkSession
     if overwrite:
         df.write.mode("overwrite").parquet(path)
-        return
-    try:
-        existing = spark.read.parquet(path).select(key)
-    except Exception:  # noqa: BLE001 -- first write
-        df.write.mode("overwrite").parquet(path)
-        return
-    df.join(existing, key, "left_anti").write.mode("append").parquet(path)
-
-
-def metadata_order(records: DataFrame) -> list[str]:
-    return [c for c in M.METADATA_ORDER if c in records.columns]
+    elif path_exists(spark, path):
+        existing = spark.read.parquet(path)
+        if key not in existing.columns:
+            raise ValueError(f"{path} has no column {key!r}")
+        df.join(existing.select(key), key, "left_anti").write.mode("append").parquet(path)
+    else:
+        df.write.mode("errorifexists").parquet(path)
 
 
 def write_vocabulary(freq: DataFrame, path: str) -> None:

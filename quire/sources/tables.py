@@ -20,36 +20,12 @@ KEYS = {
 }
 
 
-def balanced(df: DataFrame, key: str) -> DataFrame:
-    """Spread a scan that yields fewer partitions than the cluster has cores.
-
-    A parquet file with a single row group is read by one task, which would
-    leave all per-document work on one core. Only in that case the rows are
-    hash-partitioned on their key (deterministic, and co-partitioned for later
-    joins on it). Large inputs already have many splits and are left alone,
-    so this never shuffles a big table."""
-    spark = df.sparkSession
-    try:
-        cores = spark.sparkContext.defaultParallelism
-        shuffle = int(spark.conf.get("spark.sql.shuffle.partitions", "1"))
-        # match the shuffle partition count when it is close to the core
-        # count, so later joins on the key reuse this partitioning
-        target = shuffle if cores <= shuffle <= 4 * cores else cores
-        n = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 -- no RDD access (e.g. a remote session)
-        return df
-    return df if n >= target else df.repartition(target, key)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one parquet table. Column pruning and filters in later steps are
-    pushed into this scan by Catalyst."""
+    pushed into this scan by Catalyst. Rows stay as Spark splits the files,
+    unless the session asks for a number of partitions (see ``build_session``)."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    key = KEYS.get(name)
-    return balanced(df, key) if key else df
-
-
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents")
+    parts = spark.conf.get("spark.quire.scan.partitions", None)
+    return df.repartition(int(parts), KEYS[name]) if parts and name in KEYS else df

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import cleaning, corrections, quality
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, stage
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -53,9 +53,12 @@ def run_to_parquet(stream: DataFrame, sink: str, checkpoint: str) -> None:
 
 def quality_filter_batches(stream: DataFrame, dictionary: DataFrame, sink: str, checkpoint: str,
                            cutoff: float = quality.CUTOFF) -> None:
-    """FLT-2 on a stream: each micro-batch is scored as a batch job."""
+    """FLT-2 on a stream: each micro-batch is scored as a batch job. The
+    dictionary is stored once, before the stream starts."""
+    dictionary = stage(dictionary.select("word").distinct(), "dictionary")
+
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        kept = quality.quality_filter(batch, dictionary, cutoff=cutoff).select("doc_id")
+        kept = quality.quality_filter(batch, dictionary, cutoff=cutoff, stored=True).select("doc_id")
         out = batch.join(kept, "doc_id", "left_semi").withColumn("batch_id", F.lit(batch_id))
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(sink))
@@ -69,7 +72,9 @@ def replace_nonwords_batches(stream: DataFrame, dictionary: DataFrame, correctio
                              sink: str, checkpoint: str, key: str = "doc_id") -> None:
     """TXT-15 on a stream: each micro-batch is rewritten with the (static)
     dictionary and correction table; a retried batch overwrites its own
-    partition."""
+    partition. Both tables are stored once, before the stream starts."""
+    dictionary, correction_table = stage(dictionary, "dictionary"), stage(correction_table, "corrections")
+
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         out = corrections.replace_nonwords(batch, dictionary, correction_table, key=key)
         (out.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")

@@ -8,48 +8,47 @@ from quire.operators import layout
 from quire.operators import metadata as meta_ops
 from quire.sources import files, sinks
 
-PAGE = "sn88053082/1877/10/18/ed-1/seq-3"
+PAGE = "sn90017345/1871/05/06/ed-1/seq-3"
 
 
 def test_page_key_functions(spark):
-    df = spark.createDataFrame([(f"/data/newspapers/{PAGE}/ocr.txt",), ("results/mal3745600",),
-                                ("https://www.loc.gov/item/mal3745600/",)], ["k"])
+    df = spark.createDataFrame([(f"/data/newspapers/{PAGE}/ocr.txt",), ("results/abc1200034",),
+                                ("https://www.loc.gov/item/abc1200034/",)], ["k"])
     rows = df.select(keys.kind("k").alias("kind"), keys.identifier("k").alias("id"),
                      keys.page_date("k").alias("date"), keys.page_url("k").alias("url"),
                      keys.last_segment("k").alias("file")).collect()
-    assert rows[0]["kind"] == "page" and rows[0]["id"] == "sn88053082"
-    assert rows[0]["date"] == "1877-10-18"
-    assert rows[0]["url"] == "https://chroniclingamerica.loc.gov/lccn/sn88053082/1877-10-18/ed-1/seq-3/"
-    assert (rows[1]["kind"], rows[1]["id"]) == ("item", "mal3745600")
-    assert rows[2]["file"] == "mal3745600"
+    assert rows[0]["kind"] == "page" and rows[0]["id"] == "sn90017345"
+    assert rows[0]["date"] == "1871-05-06"
+    assert rows[0]["url"] == "https://chroniclingamerica.loc.gov/lccn/sn90017345/1871-05-06/ed-1/seq-3/"
+    assert (rows[1]["kind"], rows[1]["id"]) == ("item", "abc1200034")
+    assert rows[2]["file"] == "abc1200034"
     thumb = spark.createDataFrame([("https://x.org/a/b",), ("https://x.org/a/b/",)], ["u"]) \
         .select(keys.thumbnail_url("u").alias("t")).collect()
     assert [r["t"] for r in thumb] == ["https://x.org/a/b/thumbnail.jpg"] * 2
 
 
 def test_item_metadata_projection(spark):
-    item = {"partof": [{"title": "directory of us newspapers in american libraries",
-                        "url": "https://www.loc.gov/collections/directory-of-us-newspapers/"},
-                       {"title": "some division", "url": "https://www.loc.gov/rr/x/"}],
-            "title": "Delaware Tribune", "location": ["new castle", "delaware", "united states",
-                                                      "wilmington", "delaware"],
-            "date": "1877", "url": "https://www.loc.gov/item/sn88053082/", "image_url": ["a.gif", "b.gif"]}
-    raw = spark.createDataFrame([(PAGE, json.dumps({"item": item})), ("mal3745600", json.dumps({"item": item})),
+    item = {"partof": [{"title": "river gazettes of the north",
+                        "url": "https://www.loc.gov/collections/river-gazettes/"},
+                       {"title": "reading room", "url": "https://www.loc.gov/rr/x/"}],
+            "title": "Ohio Ferryman", "location": ["marietta", "ohio", "lower landing", "ohio"],
+            "date": "1877", "url": "https://www.loc.gov/item/sn90017345/", "image_url": ["a.gif", "b.gif"]}
+    raw = spark.createDataFrame([(PAGE, json.dumps({"item": item})), ("abc1200034", json.dumps({"item": item})),
                                  ("missing", json.dumps({"status": 404}))], ["identifier", "value"])
     items = raw.select("identifier", F.from_json("value", files.ITEM_RESPONSE)["item"].alias("item")) \
         .where(F.col("item").isNotNull()).withColumn("identifier", keys.identifier("identifier"))
-    ids = spark.createDataFrame([(PAGE,), ("mal3745600",), ("nothing1",)], ["identifier"])
+    ids = spark.createDataFrame([(PAGE,), ("abc1200034",), ("nothing1",)], ["identifier"])
     records, rejects = meta_ops.fetch_metadata(ids, items)
     recs = {r["doc_key"]: r for r in records.collect()}
     page = recs[PAGE]
-    assert page["collections"] == ["directory of us newspapers in american libraries"]
-    assert sorted(page["locations"]) == ["delaware", "new castle", "united states", "wilmington"]
-    assert page["states"] == ["Delaware"]
-    assert page["date"] == "1877-10-18" and page["year"] == "1877"
-    assert page["url"] == "https://chroniclingamerica.loc.gov/lccn/sn88053082/1877-10-18/ed-1/seq-3"
+    assert page["collections"] == ["river gazettes of the north"]
+    assert sorted(page["locations"]) == ["lower landing", "marietta", "ohio"]
+    assert page["states"] == ["Ohio"]
+    assert page["date"] == "1871-05-06" and page["year"] == "1871"
+    assert page["url"] == "https://chroniclingamerica.loc.gov/lccn/sn90017345/1871-05-06/ed-1/seq-3"
     assert page["image_url"] == page["url"] + "/thumbnail.jpg"
     assert page["keyword_scores"] == {}
-    it = recs["mal3745600"]
+    it = recs["abc1200034"]
     assert (it["date"], it["year"], it["image_url"]) == ("1877", "1877", "a.gif")
     assert [r["doc_key"] for r in rejects.collect()] == ["nothing1"]
 
@@ -62,22 +61,22 @@ def test_states_fused_names_fixed(spark):
 
 def _tree(tmp_path):
     root = tmp_path / "newspapers"
-    for key, text in [("sn78000873/1869/12/30/ed-1/seq-1", "page one"),
-                      ("sn78000873/1877/01/02/ed-1/seq-2", "page two")]:
+    for key, text in [("sn91004321/1869/12/30/ed-1/seq-1", "page one"),
+                      ("sn91004321/1877/01/02/ed-1/seq-2", "page two")]:
         d = root / key
         d.mkdir(parents=True)
         (d / "ocr.txt").write_text(text)
         (d / "ocr.xml").write_text("<xml/>")
     res = tmp_path / "results"
     res.mkdir()
-    (res / "mss1863001089").write_text("item one")
-    (res / "mss11049004").write_text("item two")
+    (res / "abd2000011").write_text("item one")
+    (res / "abd2000012").write_text("item two")
     meta = tmp_path / "metadata"
-    (meta / "sn78000873/1869/12/30/ed-1").mkdir(parents=True)
-    (meta / "sn78000873/1869/12/30/ed-1/seq-1").write_text(json.dumps(
-        {"sn78000873": {"title": "The Republican Journal", "locations": ["belfast"], "date": "1869-12-30",
+    (meta / "sn91004321/1869/12/30/ed-1").mkdir(parents=True)
+    (meta / "sn91004321/1869/12/30/ed-1/seq-1").write_text(json.dumps(
+        {"sn91004321": {"title": "The Landing Herald", "locations": ["marietta"], "date": "1869-12-30",
                         "keyword_scores": {"war": -3}}}))
-    (meta / "mss11049004").write_text(json.dumps({"mss11049004": {"title": "Item", "date": "1863"}}))
+    (meta / "abd2000012").write_text(json.dumps({"abd2000012": {"title": "Item", "date": "1863"}}))
     (meta / "broken").write_text("{not json")
     return root, res, meta
 
@@ -85,32 +84,32 @@ def _tree(tmp_path):
 def test_file_sources(spark, tmp_path):
     root, res, meta = _tree(tmp_path)
     pages = {r["doc_id"]: r["text"] for r in files.read_pages(spark, str(root)).collect()}
-    assert pages == {"sn78000873/1869/12/30/ed-1/seq-1": "page one", "sn78000873/1877/01/02/ed-1/seq-2": "page two"}
+    assert pages == {"sn91004321/1869/12/30/ed-1/seq-1": "page one", "sn91004321/1877/01/02/ed-1/seq-2": "page two"}
     only_1877 = files.read_pages(spark, str(root), dir_regex="/1877/").collect()
-    assert [r["doc_id"] for r in only_1877] == ["sn78000873/1877/01/02/ed-1/seq-2"]
+    assert [r["doc_id"] for r in only_1877] == ["sn91004321/1877/01/02/ed-1/seq-2"]
     corpus = files.read_corpus(spark, str(root), str(res))
     assert corpus.count() == 4
-    assert {r["doc_id"] for r in corpus.where("kind = 'item'").collect()} == {"mss1863001089", "mss11049004"}
+    assert {r["doc_id"] for r in corpus.where("kind = 'item'").collect()} == {"abd2000011", "abd2000012"}
     records, rejects = files.read_metadata(spark, str(meta))
     recs = {r["identifier"]: r for r in records.collect()}
-    assert recs["sn78000873"]["keyword_scores"] == {"war": -3}
-    assert recs["sn78000873"]["doc_key"] == "sn78000873/1869/12/30/ed-1/seq-1"
-    assert recs["mss11049004"]["year"] is None
+    assert recs["sn91004321"]["keyword_scores"] == {"war": -3}
+    assert recs["sn91004321"]["doc_key"] == "sn91004321/1869/12/30/ed-1/seq-1"
+    assert recs["abd2000012"]["year"] is None
     assert [r["doc_key"] for r in rejects.collect()] == ["broken"]
 
 
 def test_csv_sources_and_positional_zip(spark, tmp_path):
     ids = tmp_path / "ids.csv"
-    ids.write_text("lccn\n sn88053082/1877/10/18/ed-1/seq-3 \nmal3745600\n")
+    ids.write_text("lccn\n sn90017345/1871/05/06/ed-1/seq-3 \nabc1200034\n")
     got = [r["identifier"] for r in files.read_identifiers(spark, str(ids)).collect()]
-    assert got == [PAGE, "mal3745600"]
+    assert got == [PAGE, "abc1200034"]
     coords = tmp_path / "coords.csv"
-    coords.write_text("x\ty\n-5.510140895843505859e+00,4.083539009094238281e+00\n1.0,2.0\n3.0,4.0\n")
+    coords.write_text("x\ty\n-5.25e+00,4.5e+00\n1.0,2.0\n3.0,4.0\n")
     c = files.read_coordinates(spark, str(coords))
     assert c.count() == 3
     zipped = layout.zip_positional(c, files.read_identifiers(spark, str(ids))).collect()
     assert len(zipped) == 2                          # truncated to the shorter
-    assert {(round(r["x"], 3), r["identifier"]) for r in zipped} == {(-5.51, PAGE), (1.0, "mal3745600")}
+    assert {(round(r["x"], 3), r["identifier"]) for r in zipped} == {(-5.25, PAGE), (1.0, "abc1200034")}
 
 
 def test_incremental_write_and_invalid_utf8(spark, tmp_path):
@@ -165,3 +164,54 @@ def test_select_newspaper_pages(spark):
     edges = spark.createDataFrame([("sn1", "batch_b"), ("sn2", "batch_a"), ("sn3", "batch_c")], ["lccn", "batch"])
     first = files.select_newspaper_pages(pages, NewspaperSelection(count=1), edges)
     assert sorted(r["text"] for r in first.collect()) == ["c"]       # batch_a covers sn2 only
+
+
+def test_escaped_paths_and_json_names(spark, tmp_path):
+    d = tmp_path / "results"
+    d.mkdir()
+    (d / "two words+100%").write_text("text")
+    assert [r["doc_id"] for r in files.read_items(spark, str(d)).collect()] == ["two words+100%"]
+    j = tmp_path / "json"
+    j.mkdir()
+    (j / "abc1.json").write_text(json.dumps({"item": {"title": "t"}}))
+    items, rejects = files.read_item_json(spark, str(j))
+    assert [r["identifier"] for r in items.collect()] == ["abc1"] and rejects.count() == 0
+
+
+def test_every_metadata_file_is_a_record_or_a_reject(spark, tmp_path):
+    d = tmp_path / "metadata"
+    d.mkdir()
+    (d / "empty").write_text("{}")
+    (d / "broken").write_text("{")
+    (d / "good").write_text(json.dumps({"good": {"title": "t"}}))
+    records, rejects = files.read_metadata(spark, str(d))
+    assert [r["doc_key"] for r in records.collect()] == ["good"]
+    assert {r["doc_key"]: r["reason"] for r in rejects.collect()} == {
+        "empty": "no record", "broken": "malformed metadata"}
+
+
+def test_dates_that_are_no_numbers(spark, tmp_path):
+    from quire.config import DatasetDefinition
+    d = tmp_path / "dated"
+    d.mkdir()
+    res = [{"id": f"https://example.org/{i}", "access_restricted": False, "online_format": ["online text"],
+            "language": ["english"], "date": date} for i, date in enumerate(["n.d.", "1870-01-01", None])]
+    (d / "p.json").write_text(json.dumps({"results": res}))
+    got = files.read_dataset(spark, str(tmp_path), DatasetDefinition(date_filtered_collections=("dated",)))
+    assert [r["date"] for r in got.collect()] == ["1870-01-01"]
+
+
+def test_collections_need_every_url(spark):
+    rows = [([("a", "x/collections/a"), ("b", None)],), ([("a", "x/collections/a"), ("b", "y")],), ([],), (None,)]
+    df = spark.createDataFrame(rows, "partof array<struct<title:string,url:string>>")
+    got = [r["c"] for r in df.select(M.collections_from_partof("partof").alias("c")).collect()]
+    assert got == [None, ["a"], [], None]
+
+
+def test_pages_of_one_title_share_its_record(spark):
+    pages = spark.range(500).select(F.concat(F.lit("sn90017345/1871/05/"), F.lpad((F.col("id") % 28 + 1).cast("string"), 2, "0"),
+                                             F.lit("/ed-1/seq-"), (F.col("id") % 9).cast("string")).alias("identifier"))
+    item = spark.createDataFrame([("sn90017345", json.dumps({"item": {"title": "t"}}))], ["identifier", "v"]).select(
+        "identifier", F.from_json("v", files.ITEM_RESPONSE)["item"].alias("item"))
+    records, rejects = meta_ops.fetch_metadata(pages, item.union(item))
+    assert records.count() == pages.distinct().count() and rejects.count() == 0

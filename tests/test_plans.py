@@ -57,23 +57,34 @@ def test_quality_filter_aggregates_without_reshuffling_documents(spark, capsys):
     assert shuffles_by_doc == []
 
 
-def test_lookup_join_salts_above_the_bound(spark, capsys):
+def test_hot_lookup_key_is_split_at_run_time(spark, capsys):
+    """Without a broadcast, the join of a hot word is a shuffle join whose large
+    partition adaptive execution splits; no hint stands in the way."""
     from quire.operators.joins import lookup_join
-    big = spark.createDataFrame([(i, "the") for i in range(50)], "doc long, word string")
-    lookup = spark.createDataFrame([("the", 1)], "word string, v int")
-    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
-    old = {k: spark.conf.get(k) for k in keys}
+    big = spark.range(200_000).select(F.col("id").alias("doc"), F.when(F.col("id") % 3 > 0, F.lit("the")).otherwise(
+        F.concat(F.lit("w"), (F.col("id") % 1000).cast("string"))).alias("word"), F.md5(F.col("id").cast("string")
+                                                                                        .cast("binary")).alias("pad"))
+    lookup = big.select("word").distinct().withColumn("v", F.length("word"))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2"}
+    old = {k: spark.conf.get(k, None) for k in conf}
     try:
-        for k in keys:
-            spark.conf.set(k, "-1")
-        out = lookup_join(big, lookup, "word", max_rows=0, salts=4)
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        out = lookup_join(big, lookup, "word")
+        assert len(out.collect()) == 200_000
         capsys.readouterr()
         out.explain()
-        plan = capsys.readouterr().out
-        assert "_salt" in plan and "BroadcastHashJoin" not in plan
-        # the single hot key is spread over several salts
-        salts = big.select((F.pmod(F.xxhash64("doc", "word"), F.lit(4))).alias("s")).distinct().count()
-        assert salts > 1 and out.count() == 50
+        assert "SortMergeJoin(skew=true)" in capsys.readouterr().out
     finally:
         for k, v in old.items():
-            spark.conf.set(k, v)
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_knn_leaves_the_candidates_in_place(spark, capsys):
+    """No join and no exchange on the candidates' side: queries are sent to them."""
+    plan = _plan(spark, "knn_topk", capsys)
+    assert "Join" not in plan and "CartesianProduct" not in plan
+    assert all("hashpartitioning(qid" in line for line in plan.splitlines() if "Arguments: hashpartitioning" in line)

@@ -97,3 +97,52 @@ def test_labelled_header_without_key(spark):
     lab = layout.labelled_table(coords, meta, ["war"], include_key=False)
     from quire.functions import metadata as M
     assert lab.columns == ["x", "y", *M.METADATA_ORDER, "war"]
+
+
+def test_unreadable_output_is_never_replaced(spark, tmp_path):
+    import pytest
+
+    from quire.sources import sinks
+    path = str(tmp_path / "out")
+    spark.createDataFrame([("a", 1), ("b", 2)], "other string, v int").write.parquet(path)
+    new = spark.createDataFrame([("c", 3)], "doc_id string, v int")
+    with pytest.raises(ValueError):
+        sinks.write_new_only(new, path, "doc_id")
+    assert spark.read.parquet(path).count() == 2
+    fresh = str(tmp_path / "fresh")
+    sinks.write_new_only(new, fresh, "doc_id")
+    sinks.write_new_only(new, fresh, "doc_id")
+    assert spark.read.parquet(fresh).count() == 1
+
+
+def test_reject_log_of_a_rerun_replaces_the_old(spark, tmp_path):
+    from quire.sources import sinks
+    path = str(tmp_path / "rejects")
+    df = spark.createDataFrame([("a", "r")], "doc_key string, reason string")
+    sinks.write_rejects(df, path)
+    sinks.write_rejects(df, path)
+    assert spark.read.parquet(path).count() == 1
+
+
+def test_cluster_needs_a_shared_folder():
+    from quire.session import is_local_master
+    assert is_local_master("local[4]") and is_local_master("local")
+    assert not is_local_master("local-cluster[2,1,1024]") and not is_local_master("yarn")
+
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        sparkContext, conf = Context(), {}
+
+    import pytest
+
+    from quire.session import ensure_checkpoint_dir
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(Session())

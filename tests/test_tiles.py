@@ -40,9 +40,9 @@ def test_quadtree_matches_brute_force(spark):
     order = rng.permutation(n)
     pts = [(int(i), float(xy[i, 0]), float(xy[i, 1]), int(order[i])) for i in range(n)]
     df = spark.createDataFrame(pts, "doc_id long, x double, y double, o long").repartition(5)
-    got = tiles.quadtree_tiles(df, F.col("o"), tile_size=20, max_depth=6)
+    got = tiles.quadtree_tiles(df, F.col("o"), tile_size=20)
     got = {r["doc_id"]: (r["z"], r["tx"], r["ty"]) for r in got.collect()}
-    assert got == _brute(pts, 20, 6)
+    assert got == _brute(pts, 20, 30)
 
 
 def test_rank_within_groups(spark):
@@ -50,3 +50,20 @@ def test_rank_within_groups(spark):
     df = spark.createDataFrame(rows, "g int, v int").repartition(7)
     r = tiles.rank_within(df, ["g"], [F.col("v").desc()])
     assert all(row["_rank"] == 49 - row["v"] for row in r.collect())
+
+
+def test_points_in_one_place_are_paged(spark):
+    pts = [(i, 1.0, 2.0, i) for i in range(25)] + [(100, 0.0, 0.0, 100), (101, None, 1.0, 101), (102, float("nan"), 1.0, 1)]
+    df = spark.createDataFrame(pts, "doc_id long, x double, y double, o long")
+    rows = tiles.quadtree_tiles(df, F.col("o"), tile_size=10).collect()
+    assert len(rows) == 26                       # points without coordinates are in no tile
+    sizes = defaultdict(int)
+    for r in rows:
+        sizes[r["z"], r["tx"], r["ty"], r["page"]] += 1
+    assert max(sizes.values()) <= 10 and {r["page"] for r in rows} == {0, 1}
+
+
+def test_empty_input_has_no_tiles(spark):
+    df = spark.createDataFrame([], "doc_id long, x double, y double, o long")
+    out = tiles.quadtree_tiles(df, F.col("o"))
+    assert out.collect() == [] and {"z", "tx", "ty", "page"} <= set(out.columns)

@@ -6,14 +6,14 @@ from pyspark.sql import functions as F
 from quire.operators import corrections, knn, scoring, vocab
 from tests.conftest import text_df
 
-NONWORD_TEXT = '"skives" is a word that appears in the Federal Writers\' Project corpus. fdahlj is not.'
-DICTIONARY = "is a word that appears in the federal writers project corpus not slaves table".split()
+NONWORD_TEXT = 'The old "ladnar" hung over a narrow stair, and qwrxzt did not.'
+DICTIONARY = "the old hung over a narrow stair and did not ladder lantern".split()
 VECTORS = {
-    "skives": [1.0, 0.0, 0.0],
-    "skivez": [0.99, 0.14, 0.0],     # closest, but not a dictionary word
-    "slaves": [0.9, 0.43, 0.0],
-    "table": [0.7, 0.0, 0.71],       # similar, in the dictionary, not close in spelling
-    "corpus": [0.0, 1.0, 0.0],
+    "ladnar": [1.0, 0.0, 0.0],
+    "ladnax": [0.99, 0.14, 0.0],     # closest, but not a dictionary word
+    "ladder": [0.9, 0.43, 0.0],
+    "lantern": [0.7, 0.0, 0.71],       # similar, in the dictionary, not close in spelling
+    "stair": [0.0, 1.0, 0.0],
 }
 
 
@@ -27,9 +27,9 @@ def test_nonword_golden(spark):
     dic = spark.createDataFrame([(w,) for w in DICTIONARY], ["word"])
     nonwords = corrections.corpus_words(docs).join(dic, "word", "left_anti")
     corr = corrections.derive_corrections(nonwords, _wv(spark), dic)
-    assert {(r["nonword"], r["good_word"]) for r in corr.collect()} == {("skives", "slaves")}
+    assert {(r["nonword"], r["good_word"]) for r in corr.collect()} == {("ladnar", "ladder")}
     out = corrections.replace_nonwords(docs, dic, corr).first()["text"]
-    assert out == "slaves is a word that appears in the federal writers project corpus is not"
+    assert out == "the old ladder hung over a narrow stair and did not"
 
 
 def test_floor_variant_is_stricter(spark):
@@ -84,16 +84,16 @@ def test_neighbor_histogram_includes_zero(spark):
 
 
 def test_keyword_scores(spark):
-    docs = text_df(spark, [("d1", "skives slaves table corpus"), ("d2", "a an"), ("d3", "unknownword")])
-    scores = scoring.keyword_scores(docs, _wv(spark), ["skives", "absent"])
+    docs = text_df(spark, [("d1", "ladnar ladder lantern stair"), ("d2", "a an"), ("d3", "unknownword")])
+    scores = scoring.keyword_scores(docs, _wv(spark), ["ladnar", "absent"])
     got = {r["doc_id"]: r["keyword_scores"] for r in scores.collect()}
     sims = [1.0, 0.9 / math.hypot(0.9, 0.43), 0.7 / math.hypot(0.7, 0.71), 0.0]
-    assert got["d1"] == {"skives": round(100 * sum(sims) / 4)}
-    assert got["d2"] == {"skives": 0}            # no long words: trivial scores
-    assert got["d3"] == {"skives": 0}            # word without a vector counts as 0
+    assert got["d1"] == {"ladnar": round(100 * sum(sims) / 4)}
+    assert got["d2"] == {"ladnar": 0}            # no long words: trivial scores
+    assert got["d3"] == {"ladnar": 0}            # word without a vector counts as 0
     ranges = {r["word"]: (r["min_score"], r["max_score"]) for r in scoring.score_ranges(scores).collect()}
-    assert ranges == {"skives": (0, got["d1"]["skives"])}
-    assert isinstance(got["d1"]["skives"], int)
+    assert ranges == {"ladnar": (0, got["d1"]["ladnar"])}
+    assert isinstance(got["d1"]["ladnar"], int)
 
 
 def test_sampled_scores_are_deterministic(spark):
@@ -131,16 +131,17 @@ def test_neighbor_density_sampled(spark):
     full = knn.neighbor_density(df, every=1, topn=5, threshold=0.5)
     assert sum(r["count"] for r in full.collect()) == 60
     sampled = knn.neighbor_density(df, every=3, topn=5, threshold=0.5).collect()
-    n_sampled = df.where(F.pmod(F.xxhash64("id"), F.lit(3)) == 0).count()
+    import hashlib
+    n_sampled = sum(int(hashlib.md5(str(i).encode()).hexdigest()[:8], 16) % 3 == 0 for i in range(60))
     assert sum(r["count"] for r in sampled) == n_sampled
 
 
 def test_corrections_round_trip(spark, tmp_path):
     from quire.sources import files, sinks
-    corr = spark.createDataFrame([("skives", "slaves", 0.9)], "nonword string, good_word string, similarity double")
+    corr = spark.createDataFrame([("ladnar", "ladder", 0.9)], "nonword string, good_word string, similarity double")
     sinks.write_corrections(corr, str(tmp_path), "model-1")
     back = files.read_corrections(spark, str(tmp_path), "model-1")
-    assert back.collect()[0]["good_word"] == "slaves"
+    assert back.collect()[0]["good_word"] == "ladder"
     assert files.read_corrections(spark, str(tmp_path), "absent") is None
 
 
@@ -159,10 +160,53 @@ def test_knn_queries_distinct_from_candidates(spark):
     assert got == want
 
 
-def test_salted_lookup_join_equals_broadcast(spark):
-    from quire.operators.joins import lookup_join
-    big = spark.createDataFrame([(i, "the" if i % 3 else f"w{i % 7}") for i in range(300)], "doc long, word string")
-    lookup = spark.createDataFrame([("the", 1), ("w1", 2), ("w2", 3)], "word string, v int")
-    a = sorted(map(tuple, lookup_join(big, lookup, "word").collect()))
-    b = sorted(map(tuple, lookup_join(big, lookup, "word", max_rows=0, salts=8).collect()))
-    assert a == b and len(a) == 300
+def test_row_index_with_other_columns(spark):
+    """Dense numbers whatever columns ride along, for skewed and sorted input."""
+    rows = [(i, "hot" if i % 3 else f"k{i}", float(i % 11), "x" * (i % 50)) for i in range(4000)]
+    df = spark.createDataFrame(rows, "id long, k string, v double, pad string").repartition(7, "k")
+    for order in ([F.col("v").desc(), F.col("id")], None):
+        for source in (df, df.orderBy("v", "id")):
+            got = vocab.with_row_index(source, "n", order)
+            assert got.columns == df.columns + ["n"]
+            assert sorted(r["n"] for r in got.collect()) == list(range(4000))
+    want = sorted(rows, key=lambda r: (-r[2], r[0]))
+    got = vocab.with_row_index(df, "n", [F.col("v").desc(), F.col("id")]).orderBy("n").select("id").collect()
+    assert [r["id"] for r in got] == [r[0] for r in want]
+
+
+def test_keywords_listed_twice_in_the_model(spark):
+    wv = spark.createDataFrame([("cotton", [1.0, 0.0]), ("cotton", [1.0, 0.0]), ("wars", [0.0, 1.0]), ("none", [0.0, 0.0])],
+                               "word string, vector array<float>")
+    docs = text_df(spark, [("a", "cotton wars wars none"), ("b", "unknown"), ("c", "")])
+    got = {r["doc_id"]: r["keyword_scores"] for r in
+           scoring.keyword_scores(docs, wv, ["cotton", "wars", "missing"]).collect()}
+    assert got == {"a": {"cotton": 25, "wars": 50}, "b": {"cotton": 0, "wars": 0}, "c": {"cotton": 0, "wars": 0}}
+
+
+def test_zero_vectors(spark):
+    from quire.functions import vectors as V
+    from quire.operators import layout
+    df = spark.createDataFrame([(1, [0.0, 0.0]), (2, [3.0, 4.0]), (3, [1.0, 0.0])], "doc_id long, vector array<double>")
+    got = {r["doc_id"]: r["x"] for r in layout.random_projection(df, 2).collect()}
+    assert got[1] is None and got[2] is not None
+    assert {r["doc_id"]: r["x"] is None for r in layout.pca_projection(df).collect()} == {1: True, 2: False, 3: False}
+    sim = df.select(V.cosine("vector", F.array(F.lit(1.0), F.lit(0.0))).alias("s")).collect()
+    assert [round(r["s"], 6) for r in sim] == [0.0, 0.6, 1.0]
+
+
+def test_cells_method_recall(spark):
+    rng = np.random.default_rng(4)
+    centres = rng.standard_normal((20, 16)) * 2
+    vecs = centres[rng.integers(0, 20, 3000)] + rng.standard_normal((3000, 16))
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vecs)], "id long, vector array<double>")
+    queries = df.where("id % 20 = 0")
+    exact = {(r["qid"], r["cid"]) for r in knn.top_k_neighbors(queries, df, k=10).collect()}
+    near = {(r["qid"], r["cid"]) for r in knn.top_k_neighbors(queries, df, k=10, method="cells", n_cells=24,
+                                                              n_probe=6).collect()}
+    assert len(near & exact) / len(exact) >= 0.9
+
+
+def test_ties_are_broken_by_id_across_partitions(spark):
+    df = spark.createDataFrame([(i, [1.0, 0.0]) for i in range(50)], "id long, vector array<double>").repartition(9)
+    got = knn.top_k_neighbors(df.where("id in (3, 40)"), df, k=4).orderBy("qid", "rank").collect()
+    assert [(r["qid"], r["cid"]) for r in got] == [(3, 0), (3, 1), (3, 2), (3, 4), (40, 0), (40, 1), (40, 2), (40, 3)]
