@@ -12,8 +12,8 @@ are integers: every run, in any order, gives the same verdict.
 
 Scale. Counting is a map-side sum into fixed arrays of ``BUCKETS`` cells; only
 those cells are shuffled and sent on, whatever the size of the corpus. The
-trusted documents are found by a join on the key that Spark broadcasts only if
-the labels are small. Scoring is one pass without a shuffle.
+trusted documents are found by a join on the key that moves the texts' packed
+buckets, not the texts. Scoring is one pass without a shuffle.
 
 Edge cases: a null, empty or blank text has no words and fails the base rules;
 labels of unknown documents and null labels are ignored; a document labelled
@@ -30,10 +30,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ship_package
+from ..session import ship_package, stage
 from .common import drop_clashes, map_rows
 
 BUCKETS = 1 << 16
@@ -66,6 +67,20 @@ def buckets(found: list[bytes], hashes: WordHash) -> np.ndarray:
     return np.concatenate([h, pairs]) % BUCKETS
 
 
+def packed(grams: np.ndarray) -> bytes:
+    """Buckets as sorted differences, low bytes first, then (mostly zero) high
+    bytes, compressed: less than a byte a gram."""
+    grams = np.sort(grams.astype(np.uint16))
+    steps = np.diff(grams, prepend=np.uint16(0)).astype("<u2")
+    return zstandard.compress(steps.view(np.uint8).reshape(-1, 2).T.tobytes(), 1)
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    data = zstandard.decompress(data) if data else data
+    steps = np.frombuffer(data, dtype=np.uint8).reshape(2, -1).T.copy().view("<u2").ravel()
+    return np.cumsum(steps, dtype=np.int64)
+
+
 def repeated_words(found: list[bytes]) -> int:
     """Words inside 3-word windows that the text holds at least twice."""
     if len(found) < 4:
@@ -95,27 +110,41 @@ def base_stats(text: str, raw: bytes, found: list[bytes]) -> tuple:
             n < MIN_WORDS or 100 * repeats > MAX_REPEATED * n)
 
 
-def bucket_counts(docs: DataFrame, text: str = "text") -> DataFrame:
+def bucket_vectors(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """``(key, grams)``: each text's bag of buckets, packed and staged: about a
+    quarter of the text."""
+    ship_package(docs.sparkSession)
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        hashes = WordHash()
+        for texts in batches:
+            yield pd.Series([packed(buckets(f, hashes)) if (f := (t or "").encode("utf-8").split())
+                             else b"" for t in texts])
+
+    grams = F.pandas_udf(run, "binary").asNondeterministic()(F.col(text))
+    return stage(docs.select(F.col(key).alias("key"), grams.alias("grams")), "quality-grams")
+
+
+def bucket_counts(vectors: DataFrame) -> DataFrame:
     """``(bucket, n)``: n-grams of all texts per bucket."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, total = WordHash(), np.zeros(BUCKETS, dtype=np.int64)
+        total = np.zeros(BUCKETS, dtype=np.int64)
         for batch in batches:
-            for t in batch.column(0):
-                found = (t.as_py() or "").encode("utf-8").split()
-                if found:
-                    np.add.at(total, buckets(found, hashes), 1)
+            for grams in batch.column(0).to_pylist():
+                np.add.at(total, unpacked(grams), 1)
         at = np.flatnonzero(total)
         if len(at):
             yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["bucket", "n"])
 
-    return (map_rows(docs.select(F.col(text)), task, "bucket long, n long")
+    return (map_rows(vectors.select("grams"), task, "bucket long, n long")
             .groupBy("bucket").agg(F.sum("n").alias("n")))
 
 
-def trusted(docs: DataFrame, labels: DataFrame, key: str, label: str) -> DataFrame:
-    """The documents that a label trusts."""
-    keys = labels.where(F.col(label) == 1).select(F.col(key)).distinct()
-    return docs.join(keys, key, "left_semi")
+def trusted(vectors: DataFrame, labels: DataFrame, key: str, label: str) -> DataFrame:
+    """The vectors of documents that a label trusts. Always a join by key: the
+    same plan at every size, with only the packed vectors moved."""
+    keys = labels.where(F.col(label) == 1).select(F.col(key).alias("key")).distinct()
+    return vectors.hint("merge").join(keys, "key", "left_semi")
 
 
 def log_ratios(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
@@ -123,9 +152,10 @@ def log_ratios(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: st
     """log(target / raw) of each bucket in whole millionths. What reaches the
     driver is one row per bucket: ``BUCKETS`` at most."""
     counts = []
-    for part in (docs, trusted(docs.select(key, text), labels, key, label)):
+    vectors = bucket_vectors(docs, key, text)
+    for part in (vectors, trusted(vectors, labels, key, label)):
         total = np.zeros(BUCKETS)
-        for row in bucket_counts(part, text).collect():
+        for row in bucket_counts(part).collect():
             total[row["bucket"]] = row["n"]
         counts.append(total)
     raw, target = counts

@@ -54,6 +54,13 @@ def test_repeated_words_with_many_distinct(monkeypatch):
     assert Q.repeated_words(words) == 6000
 
 
+def test_packed_buckets_round_trip():
+    rng = np.random.default_rng(1)
+    for n in (0, 1, 5, 70_000):
+        grams = rng.integers(0, Q.BUCKETS, n)
+        assert np.array_equal(Q.unpacked(Q.packed(grams)), np.sort(grams))
+
+
 def test_verdicts_equal_plain_computation(spark):
     docs, labels = corpus()
     d, lab = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, LABELS)
