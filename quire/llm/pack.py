@@ -49,9 +49,9 @@ from .common import map_rows
 
 SIZE = 2048
 END = 1                   # id that closes a document
-SENTENCE_COST = 8.0       # in tokens of padding
+SENTENCE_COST = 4.0       # in tokens of padding
 HARD_COST = 64.0
-WINDOW_COST = 128.0       # keeps tiny windows from being free
+WINDOW_COST = 64.0        # keeps tiny windows from being free
 HARD_GAP, HARD_STEP = 512, 64
 CHUNK_TOKENS = 1 << 20
 SETTLE_WINDOWS = 8        # windows at a chunk's end that the next chunk decides
