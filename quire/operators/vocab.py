@@ -63,7 +63,8 @@ def vocabulary(spark, documents: DataFrame | None = None, saved_path: str | None
     return term_frequency(documents, min_frequency=min_frequency)
 
 
-def with_row_index(df: DataFrame, name: str = "index", order: list[Column] | None = None) -> DataFrame:
+def with_row_index(df: DataFrame, name: str = "index", order: list[Column] | None = None,
+                   stored: bool = False) -> DataFrame:
     """Attach a dense 0-based row index: in ``order`` when given (a distributed
     range sort), otherwise in the current row order (file order for a scan).
 
@@ -73,9 +74,10 @@ def with_row_index(df: DataFrame, name: str = "index", order: list[Column] | Non
     rows are checkpointed, so that the offsets and the join read the very same
     partitions whatever columns each of them needs."""
     if order:
-        # the range partitioner samples its input in a separate job: read
-        # a materialised copy instead of recomputing the input twice
-        df = materialize(df)
+        # the range partitioner samples its input in a separate job: read a
+        # materialised copy (unless ``df`` reads a stored table) instead of
+        # recomputing the input twice
+        df = df if stored else materialize(df)
         df = df.repartitionByRange(*order).sortWithinPartitions(*order)
     keyed = materialize(df.withColumn("_pid", F.spark_partition_id())
                         .withColumn("_local", F.monotonically_increasing_id()
@@ -90,7 +92,7 @@ def with_row_index(df: DataFrame, name: str = "index", order: list[Column] | Non
             .select(*df.columns, (F.coalesce(F.col("_off"), F.lit(0)) + F.col("_local")).alias(name)))
 
 
-def rank_words(freq: DataFrame, order: list[Column] | None = None) -> DataFrame:
+def rank_words(freq: DataFrame, order: list[Column] | None = None, stored: bool = False) -> DataFrame:
     """Attach a dense 0-based ``rank`` to every word ordered by (df desc, word)."""
     order = order or [F.col("df").desc(), F.col("word").asc()]
-    return with_row_index(freq, "rank", order)
+    return with_row_index(freq, "rank", order, stored)

@@ -37,7 +37,8 @@ def frequencies(spark: SparkSession, sf: str) -> DataFrame:
 def word_vectors(spark: SparkSession, sf: str, freq: DataFrame | None = None) -> DataFrame:
     """Words without a row in ``embeddings`` have no vector (as rare words have
     none in a trained model): at sf0.01 that is all but the 500 most frequent."""
-    ranked = vocab.rank_words(freq if freq is not None else frequencies(spark, sf))
+    freq = freq if freq is not None else frequencies(spark, sf)
+    ranked = vocab.rank_words(freq.select("word", "df"), stored=True)
     emb = table(spark, sf, "embeddings")
     wv = (ranked.join(emb, ranked["rank"] == emb["vec_id"])
           .select("word", "vec_id", F.col("embedding").alias("vector")))
