@@ -139,6 +139,13 @@ def save(model: Word2VecModel, path: str, tokens: DataFrame | None = None, key:
         doc_vectors(model, tokens, key).write.mode("overwrite").parquet(f"{path}/doc_vectors")
 
 
+def save_tables(path: str, vectors: DataFrame, documents: DataFrame | None = None) -> None:
+    """SNK-6 / SNK-7 for vectors that are tables already."""
+    vectors.write.mode("overwrite").parquet(f"{path}/word_vectors")
+    if documents is not None:
+        documents.write.mode("overwrite").parquet(f"{path}/doc_vectors")
+
+
 def load_word_vectors(spark, path: str) -> DataFrame:
     """SRC-11: vectors saved by ``save`` (or any ``(word, vector)`` table)."""
     return spark.read.parquet(f"{path}/word_vectors")

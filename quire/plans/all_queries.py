@@ -1,7 +1,8 @@
 """Imports every query module so that the registry is complete."""
 
 from . import (  # noqa: F401
-    batch_queries, cleaning_queries, corpus_queries, layout_queries, metadata_queries, vector_queries,
+    batch_queries, cleaning_queries, corpus_queries, io_queries, layout_queries, metadata_queries,
+    vector_queries,
 )
 from .registry import ORACLES, QUERIES
 

@@ -318,11 +318,3 @@ def q_found_texts(spark: SparkSession, sf: str) -> DataFrame:
     found, rejects = filters.restrict_to_found(wanted, landed)
     return found.withColumn("found", F.lit(True)).unionByName(
         rejects.select("identifier").withColumn("found", F.lit(False)))
-
-
-@register("subject_log", f"""WITH {SQL_PLACES}
-SELECT c_custkey, unnest([location[1], lower(c_mktsegment)]) AS subject FROM places""")
-def q_subject_log(spark: SparkSession, sf: str) -> DataFrame:
-    """SRC-7 / SNK-9: one row per subject of each landed result."""
-    p = customer_places(spark, sf).select("c_custkey", F.array(F.col("location")[0], F.lower("c_mktsegment")).alias("s"))
-    return p.select("c_custkey", F.explode_outer("s").alias("subject"))

@@ -68,7 +68,8 @@ SEARCH_PAGE = T.StructType([
 
 
 def _local_path(p: str) -> str:
-    return os.path.abspath(p).rstrip("/") if "://" not in p else p.rstrip("/")
+    """A local path made absolute; anything with a scheme stays as it is."""
+    return p.rstrip("/") if re.match(r"[a-zA-Z][\w+.-]*:", p) else os.path.abspath(p).rstrip("/")
 
 
 def _file_path():

@@ -215,3 +215,16 @@ def test_pages_of_one_title_share_its_record(spark):
         "identifier", F.from_json("v", files.ITEM_RESPONSE)["item"].alias("item"))
     records, rejects = meta_ops.fetch_metadata(pages, item.union(item))
     assert records.count() == pages.distinct().count() and rejects.count() == 0
+
+
+def test_paths_with_a_scheme_are_left_alone(spark, tmp_path):
+    (tmp_path / "words").write_text("one\n two \n\none\n")
+    for path in (str(tmp_path / "words"), f"file:{tmp_path}/words", f"file://{tmp_path}/words"):
+        assert sorted(r["word"] for r in files.read_dictionary(spark, path).collect()) == ["one", "two"]
+
+
+def test_identifiers_of_landed_texts(spark, tmp_path):
+    root, res, _ = _tree(tmp_path)
+    got = files.identifiers_from_texts(files.read_corpus(spark, str(root), str(res)))
+    assert {r["identifier"] for r in got.collect()} == {
+        "sn91004321/1869/12/30/ed-1/seq-1", "sn91004321/1877/01/02/ed-1/seq-2", "abd2000011", "abd2000012"}
