@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,23 +29,6 @@ def map_rows(df: DataFrame, task: Callable[[Iterator[pa.RecordBatch]], Iterator[
     return df.mapInArrow(task, schema)
 
 
-def text_udf(spark: SparkSession, init: Callable[[], Callable[[str], tuple]], schema: str) -> Callable:
-    """A vectorised UDF from text to a struct. ``init`` runs once per task and
-    returns the function of one text (null arrives as the empty text). The UDF
-    is marked non-deterministic only so that the optimizer never evaluates it
-    twice (in a pushed-down filter and again in the projection)."""
-    ship_package(spark)
-
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        one = init()
-        for texts in batches:
-            yield pd.DataFrame([one(t or "") for t in texts], columns=names)
-
-    names = [part.split()[0] for part in schema.split(",")]
-    struct = ", ".join(":".join(part.split()) for part in schema.split(","))
-    return F.pandas_udf(run, f"struct<{struct}>").asNondeterministic()
-
-
 def held_out(key: Column, folds: int = 5) -> Column:
     """Deterministic fold flag: crc32 of the key's text divisible by ``folds``."""
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % F.lit(folds) == F.lit(0)
