@@ -45,6 +45,7 @@ MAX_BITS = 3          # the two radius-1 segment balls cover distances up to 3
 TILE_ROWS = 4096      # table rows or probe rows of one bucket that one tile compares
 BUFFER_ROWS = 200_000  # candidate rows a task holds while it looks for the end of a bucket
 BLOCK_PAIRS = 500_000  # pairs compared at once
+ROUND_ROWS = 250_000  # edges that one task of a component round writes
 LOW32 = 0xFFFFFFFF
 
 
@@ -265,7 +266,8 @@ def components(edges: DataFrame) -> DataFrame:
                       .where(F.col("a") != F.col("b")).distinct())
     was = None
     while (seen := tuple(mark(now))) != was and seen[0]:
-        was, now = seen, materialize(small(stars(now)))
+        tasks = -(-seen[0] // ROUND_ROWS)  # files and tasks by the measured number of edges
+        was, now = seen, materialize(small(stars(now)).coalesce(tasks))
     # at the fixed point every node points at its root
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
         now.select(F.col("b"), F.col("b"))).distinct()
@@ -274,7 +276,7 @@ def components(edges: DataFrame) -> DataFrame:
 def classes(fps: DataFrame) -> DataFrame:
     """``(fp, root)`` for distinct fingerprints ``fps(fp)``: root is the smallest
     (signed) fingerprint of the class, the fingerprint itself if it is alone."""
-    found = components(stage(link_edges(fps), "simhash-edges"))
+    found = components(link_edges(fps))
     return (fps.join(found, fps["fp"] == found["node"], "left")
             .select("fp", F.coalesce("root", "fp").alias("root")))
 
