@@ -195,12 +195,15 @@ def clean(docs: DataFrame, benchmark: DataFrame, mode: str = "documents", text:
         raise ValueError(f"unknown mode {mode!r}")
     blocks = list(_blocks(benchmark, options.get("item", "item_id"), options.get("item_text", "text"),
                           options.get("block_bytes", BLOCK_BYTES)))
-    for items in blocks:
-        cut = _cut_column(docs, text, items, options.get("n", WINDOW_WORDS))
-        docs = docs.withColumn(text, cut).select(*names)
-        if len(blocks) > 1:
-            docs = stage(docs, "decontaminate")
-    return docs
+    while True:
+        for items in blocks:
+            cut = _cut_column(docs, text, items, options.get("n", WINDOW_WORDS))
+            docs = docs.withColumn(text, cut).select(*names)
+            if len(blocks) > 1:
+                docs = stage(docs, "decontaminate")
+        # what one block's cuts move together can complete another's window
+        if len(blocks) == 1 or scan(docs.select(text), benchmark, text=text, **options).where("n_hit > 0").isEmpty():
+            return docs
 
 
 def _cut_column(docs: DataFrame, text: str, items: list[tuple[str, str | None]], n: int):

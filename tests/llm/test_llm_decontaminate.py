@@ -74,6 +74,15 @@ def test_spans_are_cut_until_clean(spark):
         D.clean(docs, bench, mode="other")
 
 
+def test_spans_are_cut_across_blocks(spark):
+    """Cutting the one item completes the other, which lies in another block."""
+    docs = spark.createDataFrame([(1, "x p1 q1 p2 y"), (2, "q2 p1 q1 p2 q3 z")], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "p1 q1 p2"), (2, "q2 q3"), (3, "unrelated words")], BENCH)
+    for size in (8, 12, D.BLOCK_BYTES):
+        got = D.clean(docs, bench, mode="spans", block_bytes=size)
+        assert {r.doc_id: r.text.split() for r in got.collect()} == {1: ["x", "y"], 2: ["z"]}
+
+
 def test_colliding_hashes_are_verified(monkeypatch):
     import numpy as np
     monkeypatch.setattr(D.WindowSet, "rolled", staticmethod(
