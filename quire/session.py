@@ -119,7 +119,8 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors (once per session), so that Python
-    tasks can import it wherever the driver was started."""
+    tasks can import it wherever the driver was started. The archive is built in
+    the driver's own temporary folder; Spark serves it from there."""
     sc = spark.sparkContext
     if getattr(sc, "_quire_shipped", False):
         return
