@@ -246,14 +246,13 @@ def star(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def components(edges: DataFrame) -> DataFrame:
     """``(node, root)`` for every node of ``edges(a, b)``: large-star and
     small-star rounds until nothing moves; the root is the smallest node."""
-    def stars(e: DataFrame) -> DataFrame:
-        """Link every larger neighbour of u to the least of u's neighbourhood."""
-        both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).union(
-            e.select(F.col("b"), F.col("a")))
-        least = both.groupBy("u").agg(F.min("v").alias("m"))
-        least = least.select("u", F.least("u", "m").alias("m"))
-        return (both.join(least, "u").where(F.col("v") > F.col("u"))
-                .select(F.col("v").alias("a"), F.col("m").alias("b")))
+    def large(e: DataFrame) -> DataFrame:
+        """Link every node to the least neighbour of each of its smaller neighbours
+        (edges run from the larger node a to the smaller b, so b's least
+        neighbour is among the edges that start at b)."""
+        least = e.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m"))
+        return (e.join(least, e["b"] == least["u"], "left")
+                .select("a", F.coalesce("m", "b").alias("b")))
 
     def small(e: DataFrame) -> DataFrame:
         """Link u and its smaller neighbours to the least of them."""
@@ -267,7 +266,7 @@ def components(edges: DataFrame) -> DataFrame:
     was = None
     while (seen := tuple(mark(now))) != was and seen[0]:
         tasks = -(-seen[0] // ROUND_ROWS)  # files and tasks by the measured number of edges
-        was, now = seen, materialize(small(stars(now)).coalesce(tasks))
+        was, now = seen, materialize(small(large(now)).coalesce(tasks))
     # at the fixed point every node points at its root
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
         now.select(F.col("b"), F.col("b"))).distinct()
