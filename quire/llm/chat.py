@@ -24,8 +24,8 @@ order of (conversation, position, part) the column ``rendered`` is the canonical
 text: every turn is ``<|im_start|>role\\n...<|im_end|>\\n``.
 
 Edge cases: a null text has no lines (and no row), an empty one has one blank
-line; rows of equal (conversation, position) are taken in order of their text,
-repeated rows one after the other; null conversations form one, null positions
+line; rows of equal (conversation, position) are taken in order of a hash of their
+text, repeated rows one after the other; null conversations form one, null positions
 come first; labels outside ``ROLES`` are not learned from; with nothing to learn
 from, all roles are equally likely; no rows give no rows; columns besides the
 named ones are ignored.
@@ -174,7 +174,11 @@ def ordered(rows: DataFrame, conversation: str = "conv_id", position: str = "tur
     role = F.lit(None).cast("string") if role is None else role
     found = rows.select(F.col(conversation).alias("c"), F.col(position).alias("p"), F.col(text).alias("text"),
                         role.alias("role"))
-    return materialize(found.repartitionByRange("c", "p", "text").sortWithinPartitions("c", "p", "text", "role"))
+    # rows of one place are told apart by a hash and a row number, so that many
+    # copies of one row spread, and the sampled range keys stay small
+    keyed = found.withColumns({"_h": F.xxhash64("text", "role"), "_row": F.monotonically_increasing_id()})
+    keys = ["c", "p", "_h", "_row"]
+    return materialize(keyed.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("_h", "_row"))
 
 
 def fragments(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:

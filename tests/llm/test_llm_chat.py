@@ -85,6 +85,22 @@ def test_partition_cuts_change_nothing(spark, model):
     assert got == want
 
 
+def test_copies_of_one_row_spread(spark, model):
+    """One message repeated more than anything else: many partitions, one result."""
+    rows = [(7, 1, "user", "what is it?")] * 300 + [(8, 1, "user", "hi")]
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        parts = C.ordered(C.transcripts(spark.createDataFrame(rows, ROWS).repartition(5)))
+        sizes = parts.groupBy(F.spark_partition_id()).count().collect()
+        assert max(r["count"] for r in sizes) < 200
+        got = C.parse(parts, model).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    assert len(got) == 301 and sum(r.rendered.count("<|im_end|>") for r in got if r.conv_id == 7) == \
+        sum(r.opens_turn for r in got if r.conv_id == 7)
+
+
 def test_rendering_is_canonical(spark, model):
     rows = [(1, 0, "x", "System: Be kind.\nUser: what is it?\ntell me\nAssistant: It is this."),
             (2, 0, "x", "### Instruction:\nwhat is it?\n### Response:\nIt is this."), (2, 1, "x", "- second point")]
