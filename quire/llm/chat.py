@@ -10,6 +10,13 @@ character, list or code shape). ``fit`` counts starts, transitions and
 emissions over labelled fragments; ``parse`` finds the most likely states
 (Viterbi) and renders them; content loses the marker that opened its turn.
 
+Any word may stand before a colon or bracket (YAML keys, logs, glossaries). One
+seen more in lines that open a turn than in others is a speaker marker and has
+its own row of counts, however rare; the counts of all other words are summed
+in Spark into one row, used for every word that is not a speaker marker. There
+is no cap: the model holds the speaker markers of the labelled rows, and those
+of equal counts share one list of numbers.
+
 Scale. Conversations are not gathered: fragments are range-partitioned by
 (conversation, position), so one that holds a third of all rows is spread over
 many partitions. Viterbi is carried across the cuts exactly: a first pass gives
@@ -48,7 +55,6 @@ from ..session import materialize
 from .common import map_rows
 
 ROLES = ("system", "user", "assistant")
-MARKERS = 256             # most frequent markers that the model tells apart
 NEVER = -math.inf
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>\n"
 
@@ -97,15 +103,29 @@ class Model:
                       for q in range(n)] for r in range(n)]
         self.seen: list[dict[str, list[float]]] = []
         self.other: list[list[float]] = []
-        known = Counter({k[2]: 0 for k in counts if k[0] == "see" and k[1] == 0})
+        # markers: ("" for none, None for all that are not a speaker's)
+        marks: dict[str | None, list[int]] = {"": [0] * 2 * n, None: [0] * 2 * n}
         for k, c in counts.items():
             if k[0] == "see" and k[1] == 0:
-                known[k[2]] += c
-        self.markers = {m for m, _ in sorted(known.items(), key=lambda x: (-x[1], x[0]))[:MARKERS]}
-        for f in range(4):
+                marks.setdefault(k[2], [0] * 2 * n)[k[3]] += c
+        self.markers = marks.keys() - {"", None}
+        total = [sum(c[s] for c in marks.values()) for s in range(2 * n)]
+        part = [(t + 0.5) / (sum(total) + n) for t in total]
+        made: dict[tuple[int, ...], list[float]] = {}
+
+        def odds(c: list[int]) -> list[float]:
+            # how much likelier the word is in a state than at all; 1 without
+            # evidence, so that a rare word never favours a state of few lines
+            if tuple(c) not in made:
+                made[tuple(c)] = [math.log((c[s] / part[s] + 1) / (sum(c) + 1)) for s in range(2 * n)]
+            return made[tuple(c)]
+
+        self.other.append(odds(marks.pop(None)))
+        self.seen.append({m: odds(c) for m, c in marks.items()})
+        for f in range(1, 4):
             by: dict[str, list[int]] = {}
             for k, c in counts.items():
-                if k[0] == "see" and k[1] == f and (f or k[2] in self.markers):
+                if k[0] == "see" and k[1] == f:
                     by.setdefault(k[2], [0] * 2 * n)[k[3]] += c
             total = [sum(v[s] for v in by.values()) for s in range(2 * n)]
             kinds = len(by) + 1
@@ -188,7 +208,7 @@ def fragments(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
 
 def fit(rows: DataFrame) -> Model:
     """Counts over the labelled fragments of ``ordered`` rows. The driver gets
-    the counts of feature values and one row for each partition."""
+    the counts of feature values and speaker markers, and one row for each partition."""
     number = {r: k for k, r in enumerate(ROLES)}
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,11 +233,12 @@ def fit(rows: DataFrame) -> Model:
                 if k:
                     counts["on", r] += 1
                 for f, v in enumerate(observe(line)):
-                    counts["see", f, v, 2 * r + (k > 0)] += 1
+                    counts["see" if f or not v else "mark", f, v, 2 * r + (k > 0)] += 1
         if edge:
             pid = TaskContext.get().partitionId()
             rows = [("edge", pid, str(edge[0]), edge[1], str(last[0]), last[1])]
-            rows += [("count", n, repr(k), None, None, None) for k, n in counts.items()]
+            rows += [("mark", n, k[2], k[3], None, None) if k[0] == "mark" else
+                     ("count", n, repr(k), None, None, None) for k, n in counts.items()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x[i] for x in rows], t) for i, t in enumerate(
                     (pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()))],
@@ -226,11 +247,17 @@ def fit(rows: DataFrame) -> Model:
     found = materialize(map_rows(rows, task, "kind string, n long, k string, first long, last_k string, last long"))
     import ast
     counts: Counter = Counter()
-    totals = found.where("kind = 'count'").groupBy("k").agg(F.sum("n").alias("n"))
-    seen = totals.where(~F.col("k").startswith("('see', 0,"))
-    marks = totals.where(F.col("k").startswith("('see', 0,")).orderBy(F.desc("n"), "k").limit(MARKERS * 2 * len(ROLES))
-    for row in [*seen.collect(), *marks.collect()]:
+    for row in found.where("kind = 'count'").groupBy("k").agg(F.sum("n").alias("n")).collect():
         counts[ast.literal_eval(row["k"])] += row["n"]
+    states = range(2 * len(ROLES))
+    marks = found.where("kind = 'mark'").groupBy("k").agg(
+        *[F.sum(F.when(F.col("first") == s, F.col("n")).otherwise(0)).alias(f"s{s}") for s in states])
+    opening, inside = (sum((F.col(f"s{s}") for s in states if s % 2 == k), F.lit(0)) for k in (0, 1))
+    # the words that are no speaker's are summed under null
+    marks = marks.withColumn("k", F.when(opening > inside, F.col("k")))
+    for row in marks.groupBy("k").agg(*[F.sum(f"s{s}").alias(f"s{s}") for s in states]).collect():
+        for s in states:
+            counts["see", 0, row["k"], s] += row[f"s{s}"]
     before = None  # the conversation and role at the end of the partition before
     for row in found.where("kind = 'edge'").orderBy("n").collect():
         if row["first"] is not None:

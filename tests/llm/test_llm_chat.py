@@ -135,3 +135,32 @@ def test_held_out_roles(spark):
     both = found.join(messages, ["conv_id", "turn"]).where(held_out(F.col("conv_id")))
     n, right = both.agg(F.count(F.lit(1)), F.count_if(F.col("got") == F.col("role"))).first()
     assert n > 50 and right / n > 0.85
+
+
+def rendered(spark, model, rows):
+    parts = C.ordered(spark.createDataFrame(rows, ROWS))
+    return "".join(r.rendered for r in C.parse(parts, model).orderBy("conv_id", "turn", "part").collect())
+
+
+def test_rare_speakers_among_many_content_words(spark):
+    """2,000 words before a colon in content, each seen more often than a speaker marker."""
+    keys = ["k" + "".join(x) for x in itertools.product("abcdefghijklmn", repeat=3)][:2000]
+    rows = []
+    for c in range(40):
+        asks, tells = ("Customer", "Agent") if c % 10 == 0 else ("User", "Assistant")
+        body = "\n".join(f"{k}: {c}" for j in range(5) for k in keys[(c * 50 + j * 400) % 2000:][:250])
+        rows += [(c, 1, "user", f"{asks}: what is it? tell me"), (c, 2, "assistant", f"{tells}: It is this.\n{body}"),
+                 (c, 3, "user", f"{asks}: and then?")]
+    model = C.fit(C.ordered(spark.createDataFrame(rows, ROWS), role=F.col("role")))
+    assert model.markers == {"user", "assistant", "customer", "agent"}
+    # what is no speaker marker is counted, not dropped: it goes on with a turn
+    pooled = dict(zip(range(6), model.other[0]))
+    assert max(pooled, key=pooled.get) == 5 and pooled[5] > 0
+    got = rendered(spark, model, [(1, 1, None, "Customer: what is it?\nAgent: It is this.\nkaab: 1\nunseen: 2\nkaac: 3"),
+                                  (1, 2, None, "Customer: and then?")])
+    assert got == ("<|im_start|>user\nwhat is it?<|im_end|>\n<|im_start|>assistant\nIt is this.\nkaab: 1\nunseen: 2\n"
+                   "kaac: 3<|im_end|>\n<|im_start|>user\nand then?<|im_end|>\n")
+
+
+def test_unseen_marker_favours_no_state(model):
+    assert len({round(x, 9) for x in C.Model({("see", 0, "", s): 10 ** s for s in range(6)}).other[0]}) == 1
