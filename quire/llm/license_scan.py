@@ -25,6 +25,7 @@ a column of that name, other columns stay.
 
 from __future__ import annotations
 
+import math
 import re
 from bisect import bisect_left
 from collections import Counter
@@ -136,26 +137,28 @@ def increasing(anchors: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 class Scanner:
     def __init__(self, templates: dict[str, str], coverage: float = COVERAGE):
-        self.coverage = coverage
         self.templates = []
         for name, text in templates.items():
             seq = words(text)
             if seq:
-                # words a match may miss, so distinct words it must hold
-                least = len(set(seq)) - int((1 - coverage) * len(seq))
-                self.templates.append((name, seq, set(seq), max(1, least)))
+                # words a match must align (a product that is whole up to
+                # rounding counts as whole), so distinct words it must hold
+                enough = max(1, math.ceil(coverage * len(seq) - 1e-9))
+                least = max(1, len(set(seq)) - (len(seq) - enough))
+                self.templates.append((name, seq, set(seq), enough, least))
 
     def scan(self, text: str | None) -> list[tuple[str, float, int, int]]:
         """Matches ``(template, coverage, first word, word past the last)``."""
         found = words(text)
         have = set(found)
         out = []
-        for name, seq, need, least in self.templates:
+        for name, seq, need, enough, least in self.templates:
             if len(have & need) >= least:
-                out.extend((name, *m) for m in self.places(found, seq, need, least))
+                out.extend((name, *m) for m in self.places(found, seq, need, enough, least))
         return out
 
-    def places(self, found: list[str], seq: list[str], need: set[str], least: int) -> Iterator[tuple[float, int, int]]:
+    def places(self, found: list[str], seq: list[str], need: set[str], enough: int,
+               least: int) -> Iterator[tuple[float, int, int]]:
         """Places of one template in order, none overlapping."""
         number = {w: k for k, w in enumerate(sorted(need))}
         at = np.array([i for i, w in enumerate(found) if w in need], dtype=np.int64)
@@ -171,10 +174,9 @@ class Scanner:
                 right += 1
             if distinct >= least and start >= done:
                 pairs = align(found[start:start + width], seq)
-                share = len(pairs) / len(seq)
-                if share >= self.coverage and pairs[0][0] == 0:
+                if len(pairs) >= enough and pairs[0][0] == 0:
                     done = start + pairs[-1][0] + 1
-                    yield share, start, done
+                    yield len(pairs) / len(seq), start, done
             times[kind[left]] -= 1
             distinct -= times[kind[left]] == 0
 

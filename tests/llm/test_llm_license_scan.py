@@ -1,6 +1,7 @@
 """License scans against a longest-common-subsequence reference."""
 
 import random
+from fractions import Fraction
 
 from quire.llm import license_scan as L
 
@@ -58,6 +59,41 @@ def test_every_template_is_found_anywhere_and_repeatedly():
             assert len(hits) == 1 and hits[0][1] >= 0.8
 
 
+def unfiltered(words, seq, coverage):
+    """Places by aligning at every word, without the prefilter."""
+    out, done, width = [], 0, int(len(seq) * L.SPREAD) + 1
+    for start in range(len(words)):
+        pairs = L.align(words[start:start + width], seq) if start >= done else []
+        if pairs and pairs[0][0] == 0 and len(pairs) >= Fraction(str(coverage)) * len(seq):
+            done = start + pairs[-1][0] + 1
+            out.append((len(pairs) / len(seq), start, done))
+    return out
+
+
+def test_the_allowed_number_of_words_may_miss():
+    rng = random.Random(4)
+    own = {f"{n} words": " ".join(f"w{i}x" for i in range(n)) for n in (1, 5, 10, 15, 20)}
+    for coverage in (0.6, 0.7, 0.8, 0.9, 1.0):
+        templates = {**L.TEMPLATES, **own}
+        scanner, found = L.Scanner(templates, coverage), 0
+        for name, template in templates.items():
+            seq = L.words(template)
+            free = int((1 - Fraction(str(coverage))) * len(seq))
+            for missing in {free, free + 1} - {len(seq)}:
+                out = set(rng.sample(range(len(seq)), missing))
+                text = ["foo"] * 3 + [w for i, w in enumerate(seq) if i not in out] + ["bar"] * 4
+                got = [m[1:] for m in scanner.scan(" ".join(text)) if m[0] == name]
+                assert got == unfiltered(text, seq, coverage)
+                if name in own:
+                    assert len(got) == (missing == free)
+                found += len(got)
+        assert found > len(own)
+
+
+def test_short_notice_without_a_word():
+    assert L.Scanner(L.TEMPLATES).scan("Released under MIT License.") == [("MIT notice", 0.8, 0, 4)]
+
+
 def test_clean_text_has_no_match():
     scanner = L.Scanner(L.TEMPLATES)
     assert scanner.scan("the general public is licensed to drive under version control of the work " * 50) == []
