@@ -10,12 +10,14 @@ character, list or code shape). ``fit`` counts starts, transitions and
 emissions over labelled fragments; ``parse`` finds the most likely states
 (Viterbi) and renders them; content loses the marker that opened its turn.
 
-Any word may stand before a colon or bracket (YAML keys, logs, glossaries). One
-seen more in lines that open a turn than in others is a speaker marker and has
-its own row of counts, however rare; the counts of all other words are summed
-in Spark into one row, used for every word that is not a speaker marker. There
-is no cap: the model holds the speaker markers of the labelled rows, and those
-of equal counts share one list of numbers.
+Any word may stand before a colon or bracket (YAML keys, logs, ``Note:``). One
+that opens turns at least twice more than it is seen in content (in lines that
+go on, or after another marker) is a speaker marker and has its own row of
+counts; the counts of all other words are summed in Spark into one row, used for
+every word that is not a speaker marker. There is no cap: the model holds the
+speaker markers of the labelled rows, and those of equal counts share one list
+of numbers. A line that opens a turn loses only a speaker marker that opened
+turns of its role before; other words stay in the content.
 
 Scale. Conversations are not gathered: fragments are range-partitioned by
 (conversation, position), so one that holds a third of all rows is spread over
@@ -43,7 +45,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Set
 from itertools import groupby
 
 import pyarrow as pa
@@ -58,7 +60,7 @@ ROLES = ("system", "user", "assistant")
 NEVER = -math.inf
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>\n"
 
-_MARKER = re.compile(r"\s*(?:#{1,6}\s*|<\|?|\[|\*\*)?([A-Za-z]{1,20})\s*(?:\|?>|\]|:\*\*|\*\*:|:)\s*")
+_MARKER = re.compile(r"\s*(?:#{1,6}\s*|<\|?|\[|\*\*)?([A-Za-z]{1,20})\s*(?:\|?>|\]|:\*\*|\*\*:|:(?!//))\s*")
 
 
 # -- observations -----------------------------------------------------------
@@ -79,6 +81,11 @@ def marker_end(line: str) -> int:
     return found.end() if found else 0
 
 
+def marker_within(line: str) -> str:
+    """The word of a marker that follows the line's marker, so is content."""
+    return observe(line[marker_end(line):])[0] if marker_end(line) else ""
+
+
 def lines_of(text: str | None) -> list[str]:
     return [] if text is None else text.split("\n")
 
@@ -108,7 +115,8 @@ class Model:
         for k, c in counts.items():
             if k[0] == "see" and k[1] == 0:
                 marks.setdefault(k[2], [0] * 2 * n)[k[3]] += c
-        self.markers = marks.keys() - {"", None}
+        # the roles whose turns a marker opened
+        self.speakers = {m: sum(1 << r for r in range(n) if c[2 * r]) for m, c in marks.items() if m}
         total = [sum(c[s] for c in marks.values()) for s in range(2 * n)]
         part = [(t + 0.5) / (sum(total) + n) for t in total]
         made: dict[tuple[int, ...], list[float]] = {}
@@ -132,6 +140,14 @@ class Model:
             self.seen.append({v: [share(c[s], total[s], kinds) for s in range(2 * n)] for v, c in by.items()})
             self.other.append([share(0, total[s], kinds) for s in range(2 * n)])
 
+    @property
+    def markers(self) -> Set[str]:
+        return self.speakers.keys()
+
+    def marked(self, line: str, role: int) -> int:
+        """Length of the speaker marker of a line that opens a turn of the role."""
+        return marker_end(line) if self.speakers.get(observe(line)[0], 0) >> role & 1 else 0
+
     def emission(self, line: str) -> list[float]:
         tables = [self.seen[f].get(v, self.other[f]) for f, v in enumerate(observe(line))]
         return [sum(x) for x in zip(*tables)]
@@ -232,6 +248,8 @@ def fit(rows: DataFrame) -> Model:
             for k, line in enumerate(lines_of(text)):
                 if k:
                     counts["on", r] += 1
+                elif within := marker_within(line):
+                    counts["mark", 0, within, 2 * len(ROLES)] += 1  # no state: seen in content
                 for f, v in enumerate(observe(line)):
                     counts["see" if f or not v else "mark", f, v, 2 * r + (k > 0)] += 1
         if edge:
@@ -251,10 +269,11 @@ def fit(rows: DataFrame) -> Model:
         counts[ast.literal_eval(row["k"])] += row["n"]
     states = range(2 * len(ROLES))
     marks = found.where("kind = 'mark'").groupBy("k").agg(
+        F.sum("n").alias("seen"),
         *[F.sum(F.when(F.col("first") == s, F.col("n")).otherwise(0)).alias(f"s{s}") for s in states])
-    opening, inside = (sum((F.col(f"s{s}") for s in states if s % 2 == k), F.lit(0)) for k in (0, 1))
+    opening = sum((F.col(f"s{s}") for s in states if s % 2 == 0), F.lit(0))
     # the words that are no speaker's are summed under null
-    marks = marks.withColumn("k", F.when(opening > inside, F.col("k")))
+    marks = marks.withColumn("k", F.when(opening >= F.col("seen") - opening + 2, F.col("k")))
     for row in marks.groupBy("k").agg(*[F.sum(f"s{s}").alias(f"s{s}") for s in states]).collect():
         for s in states:
             counts["see", 0, row["k"], s] += row[f"s{s}"]
@@ -378,8 +397,8 @@ def runs(model: Model, c, part: list[tuple], before: int, after: int | None, goe
     for (p, _, line, i), state in zip(at, states):
         role, opens = ROLES[state // 2], state % 2 == 0
         if opens:
-            cut = marker_end(line)
-            if cut and observe(line)[0] in model.markers:
+            cut = model.marked(line, state // 2)
+            if cut:
                 line = line[cut:] or None  # a marker on a line of its own
         if opens or fragment != i:
             lead = (CLOSE if open_ else "") + f"{OPEN}{role}\n" if opens else "\n"

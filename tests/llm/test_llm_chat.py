@@ -164,3 +164,33 @@ def test_rare_speakers_among_many_content_words(spark):
 
 def test_unseen_marker_favours_no_state(model):
     assert len({round(x, 9) for x in C.Model({("see", 0, "", s): 10 ** s for s in range(6)}).other[0]}) == 1
+
+
+def test_content_words_before_a_colon_stay(spark):
+    """Round trip of turns that open, unmarked or after a marker, with 'Note:' or a link."""
+    said = {"user": ["Note: shall I bring it?", "what is it? tell me why?", "https://example.org/a is down?"],
+            "assistant": ["It is this.\nNote: mind the step.\nhttps: is a word.", "Question: that is one of the many.",
+                          "https://example.org/b is the place to look at."]}
+    rows = [(c, t, "user" if t % 2 else "assistant", said["user" if t % 2 else "assistant"][(c + t // 2) % 3])
+            for c in range(60) for t in range(1, 5)]
+    messages = spark.createDataFrame(rows, ROWS)
+    marked = C.transcripts(messages)
+    unmarked = marked.join(messages, ["conv_id", "turn", "text"])
+    assert unmarked.where("text LIKE 'Note:%'").count() and unmarked.where("text LIKE 'https:%'").count()
+    parts = C.ordered(marked, role=F.col("role"))
+    model = C.fit(parts)
+    assert {"user", "assistant"} <= model.markers and not model.markers & {"note", "question", "https"}
+    got = {}
+    for r in C.parse(parts, model).orderBy("conv_id", "turn", "part").collect():
+        got.setdefault((r.conv_id, r.turn), []).append(r.text)
+    assert {k: "\n".join(x) for k, x in got.items()} == {r[:2]: r[3] for r in rows}
+
+
+def test_only_a_marker_of_the_role_is_cut(spark):
+    rows = [(c, t, r, f"{m}: {x}") for c in range(9) for t, r, m, x in
+            ((1, "user", "Human", "what is it?"), (2, "assistant", "AI", "It is this."))]
+    rows += [(c, 3, "user", "https://example.org") for c in range(9)] + [(1, 4, "assistant", "Aside: It is that.")]
+    model = C.fit(C.ordered(spark.createDataFrame(rows, ROWS), role=F.col("role")))
+    assert model.markers == {"human", "ai"}
+    assert model.marked("Human: x", 1) == 7 and model.marked("Human: x", 2) == 0
+    assert all(model.marked(x, r) == 0 for x in ("Aside: x", "https://example.org", "Note: x", "x") for r in range(3))
