@@ -98,3 +98,20 @@ def test_very_long_text():
     index = D.WindowSet([("1", "needle " * 10)], 10)
     n, hits = index.scan("hay " * 400_000 + "needle " * 11)
     assert n == 400_011 and D.runs(hits) == [(400_000, 400_011, "1")]
+
+
+def test_a_full_block_takes_the_stated_memory():
+    import tracemalloc
+    rng = random.Random(6)
+    vocabulary = [f"{rng.randrange(16 ** 5):05x}" for _ in range(30_000)]
+    n = D.BLOCK_BYTES // 6
+    items = [(str(i), " ".join(rng.choices(vocabulary, k=n // 300))) for i in range(300)]
+    tracemalloc.start()
+    try:
+        index = D.WindowSet(items, 10)
+        held, peak = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    print(f"{held / n:.0f} bytes a word held, {peak / n:.0f} at most")
+    assert held < 60 * n and peak < 120 * n
+    assert {i for _, _, i in index.scan(items[7][1])[1]} == {"7"}
