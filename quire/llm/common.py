@@ -34,6 +34,11 @@ def held_out(key: Column, folds: int = 5) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % F.lit(folds) == F.lit(0)
 
 
+def quoted(name: str) -> str:
+    """A column's name as Spark reads it literally, dots and all."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def drop_clashes(df: DataFrame, *names: str) -> DataFrame:
     """``df`` without the columns an operator is about to add (case-insensitive,
     as Spark resolves names)."""

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    chat, decontaminate, html_extract, license_scan, pack, quality_model, quality_rules, sharding, simhash, token_count,
+    chat, decontaminate, hard_negatives, html_extract, license_scan, pack, periodic, quality_model, quality_rules,
+    scaled_sketch, sharding, simhash, token_count,
 )
 from .common import held_out, read_table
 
@@ -154,10 +155,120 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "sequence_id", "offset", "sequence_length", "padded_length")
 
 
+def repeated_tails(docs: DataFrame) -> DataFrame:
+    """``(doc_id, text)``, the input of ``op11_periodic_runs``: of a tenth of the
+    documents, the words from a place on repeat the first few of them. A null
+    doc_id stays as it is."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.array_remove(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", -1), "")
+    marked = docs.select("doc_id", "text", (h % 10).alias("kind"), F.floor(h / 10).alias("g"))
+    cut = marked.withColumn("w", F.when(F.col("kind") == 0, words)).withColumn("n", F.size("w"))
+    at = cut.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    p = F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)) + 1
+    part = lambda c, start, size: F.slice(c, start.cast("int"), size.cast("int"))
+    n, a = F.col("n"), F.col("a")
+    block = F.array_repeat(part("w", a + 1, F.col("p")), F.ceil((n - a) / F.col("p")).cast("int"))
+    edited = F.concat(part("w", F.lit(1), a), part(F.flatten(block), F.lit(1), n - a))
+    return at.withColumn("p", p).select(
+        "doc_id", F.when((F.col("kind") == 0) & (n > 0), F.array_join(edited, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document's words, and the text without repeats."""
+    found = periodic.find_runs(repeated_tails(read_table(spark, sf_dir, "documents").select("doc_id", "text")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("back"), (-r["period"]).alias("short"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), longest.alias("best"),
+                        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+                        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    length, period = F.col("best.length"), -F.col("best.short")
+    return best.select("doc_id", "n_runs", (-F.col("best.back")).alias("start"), length.alias("length"),
+                       period.alias("period"), F.floor(1000 * length / period).alias("exponent_milli"),
+                       "runs_sha256", "collapsed_sha256")
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, with a seventh of the labels moved."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", moved.alias("label"))
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
+_H = hard_negatives
+OP12_SQL = f"""
+WITH vec AS (SELECT vec_id AS id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS BIGINT) AS label,
+                    list_transform(CAST(embedding AS DOUBLE[]), lambda x: floor({_H.SCALE} * x)) AS v
+             FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+row AS (SELECT DISTINCT ON (id) * FROM vec ORDER BY id, label, v),
+score AS (SELECT a.id AS anchor_id, c.id, a.label = c.label AS same, CAST(list_inner_product(a.v, c.v) AS BIGINT) AS s
+          FROM row a JOIN row c ON a.id % 100 = 0 AND a.id <> c.id),
+pos AS (SELECT anchor_id, id, s FROM score WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY s DESC, id) <= {_H.POSITIVES})
+SELECT anchor_id, pos.id AS positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, pos.id ORDER BY score.s DESC, score.id) AS INTEGER) AS rank,
+       score.id AS negative_id, pos.s AS positive_score, score.s AS negative_score
+FROM pos JOIN score USING (anchor_id)
+WHERE NOT same AND {_H.LOW} * pos.s <= 100 * score.s AND 100 * score.s <= {_H.HIGH} * pos.s
+QUALIFY rank <= {_H.NEGATIVES}
+"""
+
+
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and its edited text, and their likeness."""
+    return scaled_sketch.against_next(read_table(spark, sf_dir, "documents"))
+
+
+_S = scaled_sketch
+OP13_SUM = " + ".join(f"coalesce(lead({{0}}, {k}) OVER o, 0) * {w} % {_S.PRIME}" for k, w in enumerate(_S.PLACES))
+OP13_SQL = rf"""
+WITH doc AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+edit AS (SELECT doc_id, text, length(text) AS n, coalesce(lead(text) OVER o, first_value(text) OVER o) AS next,
+                coalesce(lead(doc_id) OVER o, first_value(doc_id) OVER o) AS next_id
+         FROM doc WINDOW o AS (ORDER BY doc_id DESC)),
+two AS (SELECT doc_id, 0 AS k, text FROM edit
+        UNION ALL SELECT doc_id, 1, left(text, n - n // 2) || left(next, n // 2) FROM edit),
+list AS (SELECT doc_id, k, regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[^ 	-
+]+') AS w FROM two),
+word AS (SELECT doc_id, k, i, len(w) AS n, CAST(md5_number_lower(w[i]) % {_S.PRIME} AS BIGINT) AS a,
+                CAST(md5_number_upper(w[i]) % {_S.PRIME} AS BIGINT) AS b
+         FROM list, unnest(range(1, len(w) + 1)) AS r(i)),
+sums AS (SELECT doc_id, k, i, n, ({OP13_SUM.format("a")} + least(n, 5) * {_S.SIZE_WEIGHT}) % {_S.PRIME} AS one,
+                ({OP13_SUM.format("b")} + least(n, 5) * {_S.SIZE_WEIGHT}) % {_S.PRIME} AS two
+         FROM word WINDOW o AS (PARTITION BY doc_id, k ORDER BY i)),
+hash AS (SELECT DISTINCT doc_id, k, one * {1 << _S.LOW_BITS} + two % {1 << _S.LOW_BITS} AS h
+         FROM sums WHERE i <= greatest(n - 4, 1)),
+kept AS (SELECT doc_id, k, h FROM hash
+         QUALIFY h < {_S.FRACTION} OR row_number() OVER (PARTITION BY doc_id, k ORDER BY h) <= {_S.LEAST}),
+made AS (SELECT doc_id, k, list(h ORDER BY h) AS hs, string_agg(printf('%012x', h), '' ORDER BY h) AS fp
+         FROM kept GROUP BY doc_id, k),
+sketch AS (SELECT doc_id, k, coalesce(hs, []) AS hs, coalesce(fp, '') AS fp,
+                  CASE WHEN coalesce(len(hs), 0) < {_S.LEAST} THEN {_S.WHOLE} ELSE greatest({_S.FRACTION - 1}, list_max(hs)) END AS top
+           FROM two LEFT JOIN made USING (doc_id, k)),
+pair AS (SELECT d.doc_id, d.n, sha256(e.text) AS edited_sha256, own.fp, ed.fp AS edited_fp, len(own.hs) AS n_hashes,
+                own.hs AS a, ed.hs AS b, nx.hs AS c, least(own.top, ed.top) AS tb, least(own.top, nx.top) AS tc
+         FROM edit d JOIN two e ON e.doc_id = d.doc_id AND e.k = 1 JOIN sketch own ON own.doc_id = d.doc_id AND own.k = 0
+         JOIN sketch ed ON ed.doc_id = d.doc_id AND ed.k = 1 JOIN sketch nx ON nx.doc_id = d.next_id AND nx.k = 0),
+cut AS (SELECT *, list_filter(a, lambda x: x <= tb) AS ab, list_filter(b, lambda x: x <= tb) AS ba,
+               list_filter(a, lambda x: x <= tc) AS ac, list_filter(c, lambda x: x <= tc) AS ca FROM pair)
+SELECT doc_id, n AS n_chars, edited_sha256, fp AS fingerprint, edited_fp AS edited_fingerprint,
+       CASE WHEN len(a) = 0 OR len(b) = 0 THEN CAST(len(a) = len(b) AS DOUBLE)
+            ELSE coalesce(len(list_intersect(ab, ba)) / nullif(least(len(ab), len(ba)), 0), 0.0) END AS near_edited,
+       CASE WHEN len(a) = 0 OR len(c) = 0 THEN CAST(len(a) = len(c) AS DOUBLE)
+            ELSE coalesce(len(list_intersect(ac, ca)) / nullif(least(len(ac), len(ca)), 0), 0.0) END AS near_next,
+       n_hashes
+FROM cut
+"""
+
+
 QUERIES |= {"op1_chat_formatting": op1_chat_formatting, "op2_decontamination": op2_decontamination,
             "op3_quality_classifier": op3_quality_classifier,
             "op4_html_extraction": op4_html_extraction, "op5_token_counts": op5_token_counts,
             "op6_quality_rules": op6_quality_rules,
             "op7_license_scan": op7_license_scan, "op8_sharding": op8_sharding,
-            "op9_simhash": op9_simhash, "op10_packing": op10_packing}
-ORACLES |= {"op2_decontamination": OP2_SQL, "op6_quality_rules": OP6_SQL}
+            "op9_simhash": op9_simhash, "op10_packing": op10_packing,
+            "op11_periodic_runs": op11_periodic_runs, "op12_hard_negatives": op12_hard_negatives,
+            "op13_fingerprints": op13_fingerprints}
+ORACLES |= {"op2_decontamination": OP2_SQL, "op6_quality_rules": OP6_SQL, "op12_hard_negatives": OP12_SQL,
+            "op13_fingerprints": OP13_SQL}

@@ -13,6 +13,7 @@ from quire.llm import pack, quality_model, quality_rules, queries, simhash
 from quire.llm.common import read_table
 from quire.session import stage
 from test_llm_decontaminate import slow_scan
+from test_llm_periodic import slow_collapsed, slow_runs
 from test_llm_simhash import slow_classes, slow_fingerprint
 from tools import check_oracles
 
@@ -33,10 +34,10 @@ def test_query_matches_sql(spark, name, monkeypatch):
     assert res["status"] == "match" and "types" not in res, res
 
 
-def test_ten_operators_are_registered():
+def test_all_operators_are_registered():
     import __spark_entry__ as entry
     names = entry.queries()
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 14))
     assert "pipeline" in names and len(corpus_pipeline.STAGES) == 5
 
 
@@ -47,12 +48,38 @@ def test_ten_operators_are_registered():
     ("op7_license_scan", ["doc_id", "n_matches", "licenses", "coverage", "matched_words"], "documents"),
     ("op8_sharding", ["doc_id", "slot", "shard"], "documents"),
     ("op9_simhash", ["doc_id", "fingerprint", "component_id"], "documents"),
+    ("op11_periodic_runs", ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256",
+                            "collapsed_sha256"], "documents"),
 ])
 def test_one_row_for_each_input_row(spark, name, columns, rows):
     got = queries.QUERIES[name](spark, SF)
     assert got.columns == columns and got.count() == read_table(spark, SF, rows).count()
 
 
+def test_periodic_query_equals_brute_force(spark, docs):
+    want = []
+    for d, t in docs.items():
+        w = (t or "").encode().split()
+        h, n = zlib.crc32(str(d).encode()), len(w)
+        if h % 10 == 0 and n:
+            a = h // 10 % n
+            p = 1 + (n - a) // (3 + h // 10 % 8)
+            w = [w[i] if i < a else w[a + (i - a) % p] for i in range(n)]
+        runs = slow_runs(w)
+        best = min(runs, key=lambda r: (-r[1], r[0], r[2])) if runs else (None,) * 3
+        lines = "".join(f"{s},{m},{q}\n" for s, m, q in sorted(runs, key=lambda r: (r[0], r[2])))
+        want.append((d, len(runs), *best, 1000 * best[1] // best[2] if runs else None,
+                     hashlib.sha256(lines.encode()).hexdigest(),
+                     hashlib.sha256(b" ".join(slow_collapsed(w, runs))).hexdigest()))
+    got = sorted(map(tuple, queries.op11_periodic_runs(spark, SF).collect()))
+    assert got == sorted(want) and sum(r[1] > 0 for r in got) > 10
+
+
+def test_repeated_tails_of_odd_rows(spark):
+    df = spark.createDataFrame([(None, "a  b"), (3, None), (4, ""), (10, " \t")], "doc_id long, text string")
+    assert {r.doc_id: r.text for r in queries.repeated_tails(df).collect()} == {None: "a  b", 3: None, 4: "", 10: " \t"}
+
+
 def test_simhash_query_equals_brute_force(spark, docs):
     fps = {d: slow_fingerprint(t) for d, t in docs.items()}
     root = slow_classes(fps.values())
