@@ -7,19 +7,28 @@ kept, and the gaps between anchors are aligned the same way, recursively; a gap
 without anchors is matched greedily from its two ends. Coverage is the share of the
 template's words that are aligned.
 
+Some words decide which license it is, whatever the coverage. Every family word,
+clause and number of a template (``DECIDING``) must be aligned; and no word that
+makes another license of the same family (``VARIANTS``), nor another version
+number, may stand among the aligned words. Of matches of several templates that
+overlap, the one with the most aligned words is kept (on a tie the one with the
+higher coverage, then the earlier name).
+
 A text is first narrowed to stretches that can reach the coverage asked for: a
 match must lie in ``SPREAD`` times the template's length, so windows of that
-many words that hold too few of the template's distinct words are out.
-Neighbouring windows that remain are aligned one by one, which finds every
-occurrence of a notice, also repeated ones.
+many words that hold too few of the template's distinct words are out. So are
+those whose longest common subsequence with the template is too short; it grows
+by one word at most when the window moves by one, so as many windows are passed
+over as words are missing. Windows that remain are aligned one by one, which
+finds every occurrence of a notice, also repeated ones.
 
 Scale. One pass, no shuffle; the templates are a parameter of a few kilobytes
 that travels with the task. A text without enough of a template's words costs
 one set intersection.
 
 Edge cases: null, empty or wordless texts have no matches; a text may match
-several templates, or one several times (every place is listed; places of one
-template never overlap); repeated rows give equal results; ``matches`` replaces
+several templates, or one several times (every place is listed; places never
+overlap); repeated rows give equal results; ``matches`` replaces
 a column of that name, other columns stay.
 """
 
@@ -37,7 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from .common import drop_clashes
+from .common import drop_clashes, quoted
 
 # Public license notices.
 TEMPLATES = {
@@ -78,8 +87,22 @@ TEMPLATES = {
         documentation and/or other materials provided with the distribution.""",
 }
 
+#: Words of a template that a match must align, besides its numbers.
+DECIDING = frozenset("""
+apache mit bsd gnu general public affero lesser library
+cc by nc sa nd creative commons attribution noncommercial sharealike noderivatives
+""".split())
+SHORT_WORDS = 20          # in longer templates only family words and numbers decide
+FAMILIES = frozenset("apache mit bsd gnu cc creative".split())
+
+#: Words that make another license of a family, by a word of its templates.
+_CLAUSES = frozenset("nc sa nd non commercial noncommercial share alike sharealike noderivatives noderivs "
+                     "derivatives".split())
+VARIANTS = {"gnu": frozenset("affero lesser library".split()), "cc": _CLAUSES, "creative": _CLAUSES}
+
 COVERAGE = 0.8
 SPREAD = 1.5
+_NUMBER = re.compile(r"[0-9]{1,2}(?:\.[0-9]+)*\Z")  # a version, not a year
 _WORD = re.compile(r"[^\W_]+(?:\.[0-9]+)*")
 
 
@@ -135,52 +158,96 @@ def increasing(anchors: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return chain[::-1]
 
 
-class Scanner:
-    def __init__(self, templates: dict[str, str], coverage: float = COVERAGE):
-        self.templates = []
-        for name, text in templates.items():
-            seq = words(text)
-            if seq:
-                # words a match must align (a product that is whole up to
-                # rounding counts as whole), so distinct words it must hold
-                enough = max(1, math.ceil(coverage * len(seq) - 1e-9))
-                least = max(1, len(set(seq)) - (len(seq) - enough))
-                self.templates.append((name, seq, set(seq), enough, least))
+def longest_common(window: list[str], places: dict[str, list[int]]) -> int:
+    """Length of the longest common subsequence with a template, given the places
+    of its words, last ones first."""
+    tails: list[int] = []
+    for w in window:
+        for j in places.get(w, ()):
+            p = bisect_left(tails, j)
+            if p == len(tails):
+                tails.append(j)
+            else:
+                tails[p] = j
+    return len(tails)
 
-    def scan(self, text: str | None) -> list[tuple[str, float, int, int]]:
-        """Matches ``(template, coverage, first word, word past the last)``."""
-        found = words(text)
-        have = set(found)
-        out = []
-        for name, seq, need, enough, least in self.templates:
-            if len(have & need) >= least:
-                out.extend((name, *m) for m in self.places(found, seq, need, enough, least))
-        return out
-
-    def places(self, found: list[str], seq: list[str], need: set[str], enough: int,
-               least: int) -> Iterator[tuple[float, int, int]]:
-        """Places of one template in order, none overlapping."""
-        number = {w: k for k, w in enumerate(sorted(need))}
-        at = np.array([i for i, w in enumerate(found) if w in need], dtype=np.int64)
+
+class Template:
+    """One license text as words, and what a match of it needs."""
+
+    def __init__(self, name: str, text: str, coverage: float):
+        self.name, self.seq = name, words(text)
+        n, self.need = len(self.seq), set(self.seq)
+        # words a match must align (a product that is whole up to rounding
+        # counts as whole), so distinct words it must hold
+        self.enough = max(1, math.ceil(coverage * n - 1e-9))
+        self.least = max(1, len(self.need) - (n - self.enough))
+        self.width = int(n * SPREAD) + 1
+        self.places: dict[str, list[int]] = {}
+        for j in range(n - 1, -1, -1):
+            self.places.setdefault(self.seq[j], []).append(j)
+        #: words that a match can begin with
+        self.opens = set(self.seq[:n - self.enough + 1])
+        numbers = {w for w in self.need if _NUMBER.match(w)}
+        self.must = numbers | self.need & (DECIDING if n <= SHORT_WORDS else FAMILIES)
+        self.never = frozenset().union(*[VARIANTS[w] for w in self.need & VARIANTS.keys()]) - self.need
+        self.versioned = bool(numbers)
+
+    def decided(self, window: list[str], pairs: list[tuple[int, int]]) -> bool:
+        """Whether the words that tell licenses apart agree."""
+        if not self.must <= {self.seq[j] for _, j in pairs}:
+            return False
+        between = set(window[:pairs[-1][0]]) - self.need
+        return between.isdisjoint(self.never) and not (self.versioned and any(map(_NUMBER.match, between)))
+
+    def matches(self, found: list[str]) -> Iterator[tuple[str, float, int, int, int]]:
+        """(name, coverage, first, past, aligned words) of each place in order, none
+        overlapping."""
+        number = {w: k for k, w in enumerate(sorted(self.need))}
+        at = np.array([i for i, w in enumerate(found) if w in self.need], dtype=np.int64)
         kind = [number[found[i]] for i in at.tolist()]
-        width = int(len(seq) * SPREAD) + 1
         # slide over the template's words: how many distinct ones follow within a window
         times = [0] * len(number)
         distinct = right = done = 0
         for left, start in enumerate(at.tolist()):
-            while right < len(at) and at[right] < start + width:
+            while right < len(at) and at[right] < start + self.width:
                 times[kind[right]] += 1
                 distinct += times[kind[right]] == 1
                 right += 1
-            if distinct >= least and start >= done:
-                pairs = align(found[start:start + width], seq)
-                if len(pairs) >= enough and pairs[0][0] == 0:
-                    done = start + pairs[-1][0] + 1
-                    yield len(pairs) / len(seq), start, done
+            if distinct >= self.least and start >= done and found[start] in self.opens:
+                window = found[start:start + self.width]
+                missing = self.enough - longest_common(window, self.places)
+                if missing > 0:
+                    done = start + missing  # no window before has enough words in order
+                else:
+                    pairs = align(window, self.seq)
+                    if len(pairs) >= self.enough and pairs[0][0] == 0 and self.decided(window, pairs):
+                        done = start + pairs[-1][0] + 1
+                        yield self.name, len(pairs) / len(self.seq), start, done, len(pairs)
             times[kind[left]] -= 1
             distinct -= times[kind[left]] == 0
 
 
+class Scanner:
+    def __init__(self, templates: dict[str, str], coverage: float = COVERAGE):
+        self.templates = [t for name, text in templates.items() if (t := Template(name, text, coverage)).seq]
+
+    def scan(self, text: str | None) -> list[tuple[str, float, int, int]]:
+        """Matches ``(template, coverage, first word, word past the last)`` in order."""
+        found = words(text)
+        have = set(found)
+        every = [m for t in self.templates if len(have & t.need) >= t.least for m in t.matches(found)]
+        every.sort(key=lambda m: (-m[4], -m[1], m[0], m[2]))
+        starts: list[int] = []
+        kept: list[tuple[str, float, int, int]] = []
+        for name, share, first, past, _ in every:
+            k = bisect_left(starts, first)
+            if (k == len(starts) or starts[k] >= past) and (k == 0 or kept[k - 1][3] <= first):
+                starts.insert(k, first)
+                kept.insert(k, (name, share, first, past))
+        return kept
+
+
 def scan(docs: DataFrame, text: str = "text", templates: dict[str, str] | None = None,
          coverage: float = COVERAGE) -> DataFrame:
     """``docs`` with ``matches``: array of (license, coverage, first, past), the
@@ -196,4 +263,4 @@ def scan(docs: DataFrame, text: str = "text", templates: dict[str, str] | None =
 
     kind = "array<struct<license:string,coverage:double,first:long,past:long>>"
     return drop_clashes(docs, "matches").withColumn(
-        "matches", F.pandas_udf(run, kind).asNondeterministic()(F.col(text)))
+        "matches", F.pandas_udf(run, kind).asNondeterministic()(F.col(quoted(text))))
