@@ -5,44 +5,60 @@ Words are runs of characters other than ASCII white space. Every word and every
 pair of neighbouring words is hashed into one of ``BUCKETS`` buckets. Two
 multinomials are counted over all documents: the raw corpus, and the documents
 that the labels trust (the raw one, scaled to the target's size, is also the
-prior of the target, with ``PRIOR`` pseudo-counts a bucket). A text's score is the sum of log(target / raw) over its
-n-grams divided by their number; it is kept if no base rule fails and the score
-reaches ``THRESHOLD``. The log ratios are rounded to whole millionths, so sums
-are integers: every run, in any order, gives the same verdict.
-
-Scale. Counting is a map-side sum into fixed arrays of ``BUCKETS`` cells; only
-those cells are shuffled and sent on, whatever the size of the corpus. The
-trusted documents are found by a join on the key that moves the texts' packed
-buckets, not the texts. Scoring is one pass without a shuffle.
+prior of the target, with ``PRIOR_SHARE`` times the target's n-grams spread
+evenly over the buckets as pseudo-counts). A text's score is the sum of
+log(target / raw) over its n-grams divided by their number.
+
+The threshold is read off trusted texts that were not counted: a fold of them
+(``FOLDS``) is left out of the target and scored like any unlabelled text. With
+the one-percent quantile and the median of those that pass the base rules, the
+threshold lies as far below the quantile as the quantile lies below the median.
+Neither the prior nor the threshold knows the size of the corpus: the same rows
+ten times over give the same verdicts. On a small corpus most n-grams of any
+text are its own, so the classes overlap, but the threshold moves with them.
+Log ratios are rounded to whole millionths and the fold's scores to whole
+thousandths, so sums and quantiles are integers: every run, in any order, gives
+the same verdict.
+
+Scale. One pass over the texts writes the base statistics and each text's bag of
+buckets, packed to about a quarter of the text; counts, the fold's scores and all
+scores are taken from it. Counting is a map-side sum into fixed arrays of
+``BUCKETS`` cells; only those cells are shuffled and sent on, whatever the size
+of the corpus, and a thousandth-wide histogram of the fold's scores. Trusted
+documents are found by a join on the key that moves the packed bags, not the
+texts.
 
 Edge cases: a null, empty or blank text has no words and fails the base rules;
 labels of unknown documents and null labels are ignored; a document labelled
-more than once is trusted if any label trusts it; with no trusted documents
-every ratio is 0 and only the base rules decide; columns of ``STATS`` and
-``llr_micro`` and ``kept`` replace columns of those names.
+more than once is trusted if any label trusts it; with no trusted documents every
+ratio is 0, and without a trusted text in the fold that passes the base rules
+there is no threshold: then only the base rules decide. Other columns of the
+documents may have any name; ``filter_documents`` returns them as they are.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package, stage
-from .common import drop_clashes, map_rows
+from .common import map_rows, packed_row, quoted, unpacked_row
 
 BUCKETS = 1 << 16
 PRIME = 1_000_003         # word hashes are below this
 PAIR_A, PAIR_B = 31_337, 7
-PRIOR = 30.0              # pseudo-count that draws a bucket's ratio to 1
-MICRO = 1_000_000
-THRESHOLD = -0.045        # mean log ratio (nats per n-gram) that a text must reach
+PRIOR_SHARE = 2           # pseudo-counts that draw the ratios to 1, as a share of the target
+MICRO, MILLI = 1_000_000, 1_000
+FOLDS = 5                 # one of them sets the threshold
+LOW_PERCENT, MIDDLE_PERCENT = 1, 50
 MIN_WORDS = 50
 MAX_REPEATED = 50         # percent of words inside repeated 3-word windows
 CACHE_WORDS = 1 << 20     # words a worker remembers; beyond it starts afresh
@@ -110,19 +126,41 @@ def base_stats(text: str, raw: bytes, found: list[bytes]) -> tuple:
             n < MIN_WORDS or 100 * repeats > MAX_REPEATED * n)
 
 
-def bucket_vectors(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """``(key, grams)``: each text's bag of buckets, packed and staged: about a
-    quarter of the text."""
+class Model(NamedTuple):
+    """Log ratios of the buckets in whole millionths, and the thousandths a text's
+    mean must reach (None: no threshold)."""
+    ratios: np.ndarray
+    threshold: int | None
+
+
+def measured(docs: DataFrame, key: str, text: str, keep_rows: bool) -> DataFrame:
+    """``(key, STATS, grams)`` of each document, with its whole row if asked,
+    staged. ``grams`` is the text's packed bag of buckets."""
     ship_package(docs.sparkSession)
+    names = [part.split()[0] for part in STATS.split(",")]
+    kind = ", ".join(":".join(p.split()) for p in STATS.split(","))
 
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         hashes = WordHash()
         for texts in batches:
-            yield pd.Series([packed(buckets(f, hashes)) if (f := (t or "").encode("utf-8").split())
-                             else b"" for t in texts])
+            rows = []
+            for t in texts:
+                t = t or ""
+                raw = t.encode("utf-8")
+                found = raw.split()
+                rows.append((*base_stats(t, raw, found), packed(buckets(found, hashes)) if found else b""))
+            yield pd.DataFrame(rows, columns=[*names, "grams"])
+
+    found = F.pandas_udf(run, f"struct<{kind}, grams:binary>").asNondeterministic()(F.col("text"))
+    rows = packed_row(docs, key=key, text=text)
+    return stage(rows.select("key", *(["row"] if keep_rows else []), found.alias("found"))
+                 .select("key", *(["row"] if keep_rows else []), "found.*"), "quality-grams")
 
-    grams = F.pandas_udf(run, "binary").asNondeterministic()(F.col(text))
-    return stage(docs.select(F.col(key).alias("key"), grams.alias("grams")), "quality-grams")
+
+def in_fold(key: Column) -> Column:
+    """The fold of keys whose trusted texts set the threshold."""
+    digits = F.substring(F.md5(F.coalesce(key.cast("string"), F.lit("")).cast("binary")), 1, 8)
+    return F.conv(digits, 16, 10).cast("long") % FOLDS == 0
 
 
 def bucket_counts(vectors: DataFrame) -> DataFrame:
@@ -140,65 +178,77 @@ def bucket_counts(vectors: DataFrame) -> DataFrame:
             .groupBy("bucket").agg(F.sum("n").alias("n")))
 
 
-def trusted(vectors: DataFrame, labels: DataFrame, key: str, label: str) -> DataFrame:
-    """The vectors of documents that a label trusts. Always a join by key: the
-    same plan at every size, with only the packed vectors moved."""
-    keys = labels.where(F.col(label) == 1).select(F.col(key).alias("key")).distinct()
-    return vectors.hint("merge").join(keys, "key", "left_semi")
+def llr_column(ratios: np.ndarray, spark: SparkSession) -> Column:
+    """The sum of the log ratios of packed ``grams``, in millionths."""
+    sent = spark.sparkContext.broadcast(ratios)  # BUCKETS numbers
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for bags in batches:
+            yield pd.Series([int(sent.value[unpacked(g)].sum()) if g else 0 for g in bags], dtype="int64")
+
+    return F.pandas_udf(run, "long").asNondeterministic()(F.col("grams"))
+
+
+def quantile(histogram: list[tuple[int, int]], percent: int) -> int:
+    """The least value that ``percent`` of the (value, count) pairs do not exceed."""
+    total, seen = sum(n for _, n in histogram), 0
+    for value, n in sorted(histogram):
+        seen += n
+        if 100 * seen >= percent * total:
+            return value
+    raise ValueError("an empty histogram has no quantiles")
 
 
-def log_ratios(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
-               label: str = "quality") -> np.ndarray:
-    """log(target / raw) of each bucket in whole millionths. What reaches the
-    driver is one row per bucket: ``BUCKETS`` at most."""
+def fit(found: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "quality") -> Model:
+    """The model of ``measured`` documents. What reaches the driver is one row per
+    bucket, and one per thousandth of the fold's scores."""
+    keys = labels.where(F.col(quoted(label)) == 1).select(F.col(quoted(key)).alias("key")).distinct()
+    # always a join by key: the same plan at every size, with only the packed bags moved
+    trusted = stage(found.select("key", "n_words", "base_failed", "grams").hint("merge").join(keys, "key", "left_semi"),
+                    "quality-trusted")
     counts = []
-    vectors = bucket_vectors(docs, key, text)
-    for part in (vectors, trusted(vectors, labels, key, label)):
+    for part in (found, trusted.where(~in_fold(F.col("key")))):
         total = np.zeros(BUCKETS)
         for row in bucket_counts(part).collect():
             total[row["bucket"]] = row["n"]
         counts.append(total)
     raw, target = counts
     if not target.any():
-        return np.zeros(BUCKETS, dtype=np.int64)
-    expected = raw * (target.sum() / raw.sum())
-    return np.rint(MICRO * np.log((target + PRIOR) / (expected + PRIOR))).astype(np.int64)
+        return Model(np.zeros(BUCKETS, dtype=np.int64), None)
+    prior = PRIOR_SHARE * target.sum() / BUCKETS
+    ratios = np.rint(MICRO * np.log((target + prior) / (raw * (target.sum() / raw.sum()) + prior))).astype(np.int64)
+    fold = trusted.where(in_fold(F.col("key")) & ~F.col("base_failed"))
+    mean = F.floor(llr_column(ratios, found.sparkSession) / (MICRO // MILLI * n_grams()))
+    scores = [(r["mean"], r["n"]) for r in fold.groupBy(mean.alias("mean")).agg(F.count(F.lit(1)).alias("n")).collect()]
+    if not scores:
+        return Model(ratios, None)
+    return Model(ratios, 2 * quantile(scores, LOW_PERCENT) - quantile(scores, MIDDLE_PERCENT))
 
 
-def score(docs: DataFrame, ratios: np.ndarray, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with ``STATS``, ``llr_micro`` (sum of the n-grams' log ratios in
-    millionths) and ``kept``."""
-    spark = docs.sparkSession
-    ship_package(spark)
-    sent = spark.sparkContext.broadcast(ratios)  # BUCKETS numbers
-    names = [part.split()[0] for part in STATS.split(",")] + ["llr_micro", "kept"]
-    kind = ", ".join(":".join(p.split()) for p in (STATS + ", llr_micro long, kept boolean").split(","))
-    least = round(threshold * MICRO)
+def n_grams() -> Column:
+    return 2 * F.col("n_words") - 1
+
+
+def judged(found: DataFrame, model: Model) -> DataFrame:
+    """``measured`` documents with ``llr_micro`` (the sum of the n-grams' log ratios
+    in millionths) and ``kept``, without their grams."""
+    scored = found.withColumn("llr_micro", llr_column(model.ratios, found.sparkSession)).drop("grams")
+    if model.threshold is None:
+        return scored.withColumn("kept", ~F.col("base_failed"))
+    least = F.lit(model.threshold * (MICRO // MILLI))
+    return scored.withColumn("kept", ~F.col("base_failed") & (F.col("llr_micro") >= least * n_grams()))
 
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        hashes, table = WordHash(), sent.value
-        for texts in batches:
-            rows = []
-            for t in texts:
-                t = t or ""
-                raw = t.encode("utf-8")
-                found = raw.split()
-                stats = base_stats(t, raw, found)
-                llr = int(table[buckets(found, hashes)].sum()) if found else 0
-                rows.append((*stats, llr, not stats[-1] and llr >= least * (2 * len(found) - 1)))
-            yield pd.DataFrame(rows, columns=names)
 
-    marked = drop_clashes(docs, *names)
-    udf = F.pandas_udf(run, f"struct<{kind}>").asNondeterministic()
-    return (marked.withColumn("__quality", udf(F.col(text)))
-            .select(*marked.columns, *[F.col(f"__quality.{c}").alias(c) for c in names]))
+def score(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
+          label: str = "quality") -> DataFrame:
+    """``(key, STATS, llr_micro, kept)`` of every document."""
+    found = measured(docs, key, text, keep_rows=False)
+    return judged(found, fit(found, labels, key, label)).withColumnRenamed("key", key)
 
 
 def filter_documents(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
-                     label: str = "quality", threshold: float = THRESHOLD) -> DataFrame:
+                     label: str = "quality") -> DataFrame:
     """``docs`` that the rules keep, with their own columns."""
-    ratios = log_ratios(docs, labels, key, text, label)
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc"),
-                         F.col(text).alias("__text"))
-    return (score(packed, ratios, "__text", threshold).where("kept")
-            .select(*[F.col(f"__doc.`{c}`") for c in docs.columns]))
+    found = measured(docs, key, text, keep_rows=True)
+    kept = judged(found, fit(found, labels, key, label)).where("kept")
+    return unpacked_row(kept, docs.columns)

@@ -82,9 +82,7 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base statistics and the log-likelihood-ratio verdict of every document."""
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    ratios = quality_rules.log_ratios(docs, read_table(spark, sf_dir, "labels"))
-    return quality_rules.score(docs, ratios).select(
+    return quality_rules.score(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         "llr_micro")
 
@@ -99,11 +97,12 @@ gram AS (SELECT doc_id, h % {_Q.BUCKETS} AS b FROM word
          UNION ALL
          SELECT doc_id, ((h * {_Q.PAIR_A} + next * {_Q.PAIR_B}) % {_Q.PRIME}) % {_Q.BUCKETS}
          FROM (SELECT doc_id, h, lead(h) OVER (PARTITION BY doc_id ORDER BY i) AS next FROM word) WHERE next IS NOT NULL),
-good AS (SELECT DISTINCT doc_id FROM labels WHERE quality = 1),
-cell AS (SELECT b, count(*) AS r, count(good.doc_id) AS t FROM gram LEFT JOIN good USING (doc_id) GROUP BY b),
-total AS (SELECT sum(r) AS r, sum(t) AS t FROM cell),
-ratio AS (SELECT b, CASE WHEN total.t = 0 THEN 0 ELSE CAST(round_even({_Q.MICRO} * ln((cell.t + {_Q.PRIOR}) /
-                 (CAST(cell.r AS DOUBLE) * (CAST(total.t AS DOUBLE) / total.r) + {_Q.PRIOR})), 0) AS BIGINT) END AS v
+good AS (SELECT DISTINCT doc_id, CAST('0x' || left(md5(CAST(doc_id AS VARCHAR)), 8) AS BIGINT) % {_Q.FOLDS} = 0 AS fold
+         FROM labels WHERE quality = 1),
+cell AS (SELECT b, count(*) AS r, count(*) FILTER (WHERE NOT fold) AS t FROM gram LEFT JOIN good USING (doc_id) GROUP BY b),
+total AS (SELECT sum(r) AS r, sum(t) AS t, {_Q.PRIOR_SHARE} * CAST(sum(t) AS DOUBLE) / {_Q.BUCKETS} AS prior FROM cell),
+ratio AS (SELECT b, CASE WHEN total.t = 0 THEN 0 ELSE CAST(round_even({_Q.MICRO} * ln((cell.t + prior) /
+                 (CAST(cell.r AS DOUBLE) * (CAST(total.t AS DOUBLE) / total.r) + prior)), 0) AS BIGINT) END AS v
           FROM cell, total),
 llr AS (SELECT doc_id, CAST(sum(v) AS BIGINT) AS v FROM gram JOIN ratio USING (b) GROUP BY doc_id),
 line AS (SELECT doc_id, CAST(count(*) - count(DISTINCT l) AS BIGINT) AS n
@@ -117,11 +116,15 @@ stat AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
                 CAST(length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
                 CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
                 coalesce(line.n, 0) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words, coalesce(llr.v, 0) AS llr_micro
-         FROM doc LEFT JOIN line USING (doc_id) LEFT JOIN rep USING (doc_id) LEFT JOIN llr USING (doc_id))
-SELECT *, n_words < {_Q.MIN_WORDS} OR 100 * n_repeat_words > {_Q.MAX_REPEATED} * n_words AS base_failed,
-       NOT (n_words < {_Q.MIN_WORDS} OR 100 * n_repeat_words > {_Q.MAX_REPEATED} * n_words)
-       AND llr_micro >= {round(_Q.THRESHOLD * _Q.MICRO)} * (2 * n_words - 1) AS kept
-FROM stat
+         FROM doc LEFT JOIN line USING (doc_id) LEFT JOIN rep USING (doc_id) LEFT JOIN llr USING (doc_id)),
+base AS (SELECT *, n_words < {_Q.MIN_WORDS} OR 100 * n_repeat_words > {_Q.MAX_REPEATED} * n_words AS base_failed FROM stat),
+mean AS (SELECT CAST(floor(llr_micro / CAST({_Q.MICRO // _Q.MILLI} * (2 * n_words - 1) AS DOUBLE)) AS BIGINT) AS m
+         FROM base JOIN good USING (doc_id) WHERE fold AND NOT base_failed),
+placed AS (SELECT m, row_number() OVER (ORDER BY m) AS r, count(*) OVER () AS n FROM mean),
+limits AS (SELECT CASE WHEN (SELECT t FROM total) > 0 THEN 2 * min(m) FILTER (WHERE 100 * r >= {_Q.LOW_PERCENT} * n) -
+                  min(m) FILTER (WHERE 100 * r >= {_Q.MIDDLE_PERCENT} * n) END AS least FROM placed)
+SELECT base.*, NOT base_failed AND (least IS NULL OR llr_micro >= {_Q.MICRO // _Q.MILLI} * least * (2 * n_words - 1)) AS kept
+FROM base, limits
 """
 
 
