@@ -21,17 +21,19 @@ those names.
 
 from __future__ import annotations
 
+import uuid
 from array import array
 from collections.abc import Iterator
 from itertools import repeat
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_package, stage
-from .common import drop_clashes
+from .common import packed_row, quoted, unpacked_row
 
 WINDOW_WORDS = 10
 BLOCK_BYTES = 16 << 20  # benchmark text per broadcast set (measured: 21 bytes of index a word, 81 while it is built)
@@ -126,13 +128,25 @@ def runs(hits: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
     return out
 
 
-def _scan_column(docs: DataFrame, text: str, items: list[tuple[str, str | None]], n: int):
-    spark = docs.sparkSession
+_KNOWN: dict[str, WindowSet] = {}
+
+
+def known_windows(name: str, sent: Broadcast, n: int) -> WindowSet:
+    """The index of a block, built once in a Python worker; one block at a time."""
+    if name not in _KNOWN:
+        _KNOWN.clear()
+        _KNOWN[name] = WindowSet(sent.value, n)
+    return _KNOWN[name]
+
+
+def _scan_column(rows: DataFrame, items: list[tuple[str, str | None]], n: int):
+    """Words and spans of column ``text``."""
+    spark = rows.sparkSession
     ship_package(spark)
-    sent = spark.sparkContext.broadcast(items)
+    sent, name = spark.sparkContext.broadcast(items), uuid.uuid4().hex
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        index = WindowSet(sent.value, n)
+        index = known_windows(name, sent, n)
         for texts in batches:
             rows = [index.scan(t) for t in texts]
             yield pd.DataFrame({
@@ -140,13 +154,13 @@ def _scan_column(docs: DataFrame, text: str, items: list[tuple[str, str | None]]
                 "spans": [[{"first": a, "past": b, "item": i} for a, b, i in runs(h)] for _, h in rows]})
 
     kind = "struct<n_words:long,spans:array<struct<first:long,past:long,item:string>>>"
-    return F.pandas_udf(run, kind).asNondeterministic()(F.col(text))
+    return F.pandas_udf(run, kind).asNondeterministic()(F.col("text"))
 
 
 def _blocks(benchmark: DataFrame, item: str, text: str, limit: int) -> Iterator[list[tuple[str, str | None]]]:
     """The items in blocks of about ``limit`` bytes, each small enough to send."""
-    items = benchmark.select(F.coalesce(F.col(item).cast("string"), F.lit("")).alias("i"),
-                             F.col(text).alias("t")).distinct()
+    items = benchmark.select(F.coalesce(F.col(quoted(item)).cast("string"), F.lit("")).alias("i"),
+                             F.col(quoted(text)).alias("t")).distinct()
     total = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     n = max(1, -(-total // limit))
     for k in range(n):
@@ -158,24 +172,22 @@ def scan(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str =
          item_text: str = "text", n: int = WINDOW_WORDS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` with ``n_words``, ``spans`` (array of first word, word past the
     last, item), ``n_hit`` (distinct words inside spans) and ``items``."""
-    out = drop_clashes(docs, "n_words", "spans", "n_hit", "items")
-    names = out.columns
+    out = packed_row(docs, text=text)
     found = []
     for k, items in enumerate(_blocks(benchmark, item, item_text, block_bytes)):
         if k:  # one block's set in memory at a time
             out = stage(out, "decontaminate")
-        found.append(f"__scan{k}")
-        out = out.withColumn(found[-1], _scan_column(out, text, items, n))
+        found.append(f"scan{k}")
+        out = out.withColumn(found[-1], _scan_column(out, items, n))
     spans = F.sort_array(F.concat(*[F.col(f"{c}.spans") for c in found]))
     covered = F.aggregate(
         "spans", F.struct(F.lit(0).cast("long").alias("to"), F.lit(0).cast("long").alias("n")),
         lambda acc, s: F.struct(F.greatest(acc["to"], s["past"]).alias("to"),
                                 (acc["n"] + F.greatest(F.lit(0), s["past"] - F.greatest(s["first"], acc["to"])))
                                 .alias("n")))
-    return (out.withColumns({"n_words": F.col(f"{found[0]}.n_words"), "spans": spans})
-            .withColumns({"n_hit": covered["n"],
-                          "items": F.array_sort(F.array_distinct(F.transform("spans", lambda s: s["item"])))})
-            .select(*names, "n_words", "spans", "n_hit", "items"))
+    hits = out.select("row", F.col(f"{found[0]}.n_words").alias("n_words"), spans.alias("spans"))
+    return unpacked_row(hits, docs.columns, n_words=F.col("n_words"), spans=F.col("spans"), n_hit=covered["n"],
+                        items=F.array_sort(F.array_distinct(F.transform("spans", lambda s: s["item"]))))
 
 
 def cut_spans(text: str, spans: list[tuple[int, int]]) -> str:
@@ -202,32 +214,31 @@ def clean(docs: DataFrame, benchmark: DataFrame, mode: str = "documents", text:
     names = docs.columns
     if mode == "documents":
         # the scan's own columns get out of the way of equal names in docs
-        packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("__doc"),
-                             F.col(text).alias("__text"))
-        kept = scan(packed, benchmark, text="__text", **options).where(F.col("n_hit") == 0)
-        return kept.select(*[F.col(f"__doc.`{c}`") for c in names])
+        kept = scan(packed_row(docs, text=text), benchmark, text="text", **options).where(F.col("n_hit") == 0)
+        return unpacked_row(kept, names)
     if mode != "spans":
         raise ValueError(f"unknown mode {mode!r}")
     blocks = list(_blocks(benchmark, options.get("item", "item_id"), options.get("item_text", "text"),
                           options.get("block_bytes", BLOCK_BYTES)))
+    rows = packed_row(docs, text=text)
     while True:
         for items in blocks:
-            cut = _cut_column(docs, text, items, options.get("n", WINDOW_WORDS))
-            docs = docs.withColumn(text, cut).select(*names)
+            rows = rows.withColumn("text", _cut_column(rows, items, options.get("n", WINDOW_WORDS)))
             if len(blocks) > 1:
-                docs = stage(docs, "decontaminate")
+                rows = stage(rows, "decontaminate")
         # what one block's cuts move together can complete another's window
-        if len(blocks) == 1 or scan(docs.select(text), benchmark, text=text, **options).where("n_hit > 0").isEmpty():
-            return docs
+        if len(blocks) == 1 or scan(rows.select("text"), benchmark, text="text", **options).where("n_hit > 0").isEmpty():
+            return rows.select(*[(F.col("text") if c == text else F.col(f"row.{quoted(c)}")).alias(c) for c in names])
 
 
-def _cut_column(docs: DataFrame, text: str, items: list[tuple[str, str | None]], n: int):
-    spark = docs.sparkSession
+def _cut_column(rows: DataFrame, items: list[tuple[str, str | None]], n: int):
+    """Column ``text`` without the items' windows."""
+    spark = rows.sparkSession
     ship_package(spark)
-    sent = spark.sparkContext.broadcast(items)
+    sent, name = spark.sparkContext.broadcast(items), uuid.uuid4().hex
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        index = WindowSet(sent.value, n)
+        index = known_windows(name, sent, n)
 
         def one(t: str | None) -> str | None:
             while t and (hits := index.scan(t)[1]):
@@ -237,4 +248,4 @@ def _cut_column(docs: DataFrame, text: str, items: list[tuple[str, str | None]],
         for texts in batches:
             yield pd.Series([one(t) for t in texts], dtype=object)
 
-    return F.pandas_udf(run, "string").asNondeterministic()(F.col(text))
+    return F.pandas_udf(run, "string").asNondeterministic()(F.col("text"))

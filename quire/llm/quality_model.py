@@ -1,7 +1,8 @@
 """Quality classifier: a sparse ensemble of rules.
 
 1. Statistics of a text (``STATS``): shares and ratios of characters, words and
-   lines, nothing that names its source, language, key or labels.
+   lines, nothing that names its source, language, key or labels; the number of
+   words is a statistic up to 1,000, as longer is not better.
 2. A random forest of shallow trees is grown on labelled texts. Every path from
    a root to an inner node or leaf is a conjunction of thresholds: a rule.
 3. A lasso logistic regression over the rules (and a constant) keeps few of
@@ -36,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize, ship_package
-from .common import drop_clashes, held_out
+from .common import held_out, packed_row, quoted, unpacked_row
 
 SAMPLE_ROWS = 20_000      # labelled rows that the model is fitted on, about
 TREES, DEPTH = 24, 3
@@ -137,12 +138,13 @@ def sample(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str,
            folds: int) -> DataFrame:
     """``(__stats, label)`` of about ``rows`` labelled rows outside the held-out
     fold, checkpointed."""
-    known = (labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull() & ~held_out(F.col(key), folds))
-             .groupBy(F.col(key).alias("k")).agg(F.max(label).cast("double").alias("label")))
+    k, mark = F.col(quoted(key)), F.col(quoted(label))
+    known = (labels.where(mark.isin(0, 1) & k.isNotNull() & ~held_out(k, folds))
+             .groupBy(k.alias("k")).agg(F.max(mark).cast("double").alias("label")))
     n = known.count()
     if n > rows:
         known = known.where(F.pmod(F.xxhash64("k"), F.lit(1 << 30)) < F.lit(int((1 << 30) * rows / n)))
-    texts = docs.select(F.col(key).alias("k"), F.col(text).alias("t"))
+    texts = docs.select(F.col(quoted(key)).alias("k"), F.col(quoted(text)).alias("t"))
     joined = texts.join(F.broadcast(known), "k")  # about `rows` keys at most
     return materialize(with_statistics(joined.select("t", "label"), "t").select("__stats", "label"))
 
@@ -172,13 +174,10 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 
 def score(docs: DataFrame, model: RuleModel, text: str = "text") -> DataFrame:
     """``docs`` and ``score``: the probability of label 1."""
-    marked = drop_clashes(docs, "score")
-    return with_statistics(marked, text).select(*marked.columns, model.column().alias("score"))
+    return unpacked_row(with_statistics(packed_row(docs, text=text), "text"), docs.columns, score=model.column())
 
 
 def filter_documents(docs: DataFrame, model: RuleModel, text: str = "text", threshold: float = 0.3) -> DataFrame:
     """``docs`` with a score of at least ``threshold``, in their own columns."""
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc"),
-                         F.col(text).alias("__text"))
-    return (score(packed, model, "__text").where(F.col("score") >= threshold)
-            .select(*[F.col(f"__doc.`{c}`") for c in docs.columns]))
+    rows = with_statistics(packed_row(docs, text=text), "text")
+    return unpacked_row(rows.where(model.column() >= threshold), docs.columns)

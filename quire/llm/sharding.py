@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import drop_clashes
+from .common import packed_row, unpacked_row
 
 TABLE_SIZE = 65_537       # prime, and well over 100 times the number of shards
 SHARDS = 64
@@ -69,21 +69,26 @@ def table_frame(spark: SparkSession, shards: list[str], size: int = TABLE_SIZE,
 def place(rows: DataFrame, key: str, shards: list[str], size: int = TABLE_SIZE,
           weights: list[int] | None = None) -> DataFrame:
     """``rows`` with ``slot`` and ``shard`` of their key."""
+    return unpacked_row(_placed(rows, key, shards, size, weights), rows.columns, slot=F.col("slot"), shard=F.col("shard"))
+
+
+def _placed(rows: DataFrame, key: str, shards: list[str], size: int, weights: list[int] | None) -> DataFrame:
+    """``(row, slot, shard)`` of the packed rows."""
     table = table_frame(rows.sparkSession, shards, size, weights)
-    marked = drop_clashes(rows, "slot", "shard")
-    return (marked.withColumn("slot", F.pmod(F.xxhash64(F.col(key)), F.lit(size)).cast("int"))
-            .join(F.broadcast(table), "slot")  # `size` rows
-            .select(*marked.columns, "slot", "shard"))
+    return (packed_row(rows, key=key)
+            .select("row", F.pmod(F.xxhash64("key"), F.lit(size)).cast("int").alias("slot"))
+            .join(F.broadcast(table), "slot"))  # `size` rows
 
 
 def write(rows: DataFrame, key: str, path: str, shards: list[str], size: int = TABLE_SIZE,
           weights: list[int] | None = None, rows_per_file: int = ROWS_PER_FILE) -> None:
     """Write one folder of Parquet files for each shard. A shard's rows are dealt
     over files by a hash of the whole row and its measured count."""
-    placed = place(rows, key, shards, size, weights)
-    counts = placed.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / F.lit(rows_per_file)).cast("int").alias("__n"))
+    placed = _placed(rows, key, shards, size, weights)
+    counts = placed.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / F.lit(rows_per_file)).cast("int").alias("files"))
     dealt = placed.join(F.broadcast(counts), "shard")  # one row for each shard
-    part = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns], F.lit(3)), F.col("__n"))
-    n = max(1, counts.agg(F.sum("__n")).first()[0] or 1)
-    (dealt.withColumn("__part", part).repartition(n, "shard", "__part").drop("__n", "__part", "slot")
+    part = F.pmod(F.xxhash64("row", F.lit(3)), F.col("files"))
+    n = max(1, counts.agg(F.sum("files")).first()[0] or 1)
+    dealt = dealt.withColumn("part", part).repartition(n, "shard", "part")
+    (unpacked_row(dealt, rows.columns, shard=F.col("shard"))
      .write.mode("errorifexists").partitionBy("shard").parquet(path))

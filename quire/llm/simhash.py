@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize, ship_package, stage
-from .common import map_rows
+from .common import map_rows, packed_row, quoted, unpacked_row
 
 SHINGLE_WORDS = 3
 MAX_BITS = 3          # the two radius-1 segment balls cover distances up to 3
@@ -85,7 +85,7 @@ def fingerprint_column(docs: DataFrame, text: str = "text", shingle: int = SHING
             yield pd.Series(h.view(np.int64))
 
     udf = F.pandas_udf(run, "long").asNondeterministic()
-    return udf(F.col(text))
+    return udf(F.col(quoted(text)))
 
 
 # -- links between distinct fingerprints ----------------------------------
@@ -284,7 +284,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text",
                     shingle: int = SHINGLE_WORDS) -> DataFrame:
     """One row per row of ``docs``: ``(key, fp, root, component)`` with the
     signed fingerprint, the class's smallest fingerprint and its smallest key."""
-    marked = stage(docs.select(F.col(key).alias("k"), fingerprint_column(docs, text, shingle).alias("fp")),
+    marked = stage(docs.select(F.col(quoted(key)).alias("k"), fingerprint_column(docs, text, shingle).alias("fp")),
                    "simhash-fp")
     groups = stage(marked.groupBy("fp").agg(F.min("k").alias("k")), "simhash-distinct")
     member = classes(groups.select("fp"))
@@ -302,11 +302,12 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text",
     The texts are written once with their fingerprint and a row number; only
     (row, key, fingerprint) goes through the search, and the winning rows are
     fetched by a semi join on the unique row number."""
-    marked = stage(docs.withColumns({"__fp": fingerprint_column(docs, text, shingle),
-                                     "__row": F.monotonically_increasing_id()}), "simhash-docs")
-    rank = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("k"), F.col("__row").alias("row"))
-    groups = stage(marked.groupBy(F.col("__fp").alias("fp")).agg(F.min(rank).alias("best")), "simhash-distinct")
+    rows = packed_row(docs, key=key, text=text)
+    marked = stage(rows.select("row", "key", fingerprint_column(rows, "text", shingle).alias("fp"),
+                               F.monotonically_increasing_id().alias("number")), "simhash-docs")
+    rank = F.struct(F.col("key").isNull().alias("none"), F.col("key").alias("k"), "number")
+    groups = stage(marked.groupBy("fp").agg(F.min(rank).alias("best")), "simhash-distinct")
     member = classes(groups.select("fp"))
     winners = (groups.join(member, "fp").groupBy("root").agg(F.min("best").alias("best"))
-               .select(F.col("best.row").alias("__row")))
-    return marked.join(winners, "__row", "left_semi").select(*docs.columns)
+               .select("best.number"))
+    return unpacked_row(marked.join(winners, "number", "left_semi"), docs.columns)

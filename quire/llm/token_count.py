@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from .common import drop_clashes
+from .common import packed_row, unpacked_row
 
 MODEL = "piece_bpe_32k.model"
 CACHE_SEGMENTS = 1 << 20
@@ -151,7 +151,6 @@ def count_tokens(docs: DataFrame, text: str = "text", model: str | None = None)
             yield pd.DataFrame({"n_bytes": [len(t.encode("utf-8")) for t in texts],
                                 "n_tokens": [known.count(t) for t in texts]})
 
-    marked = drop_clashes(docs, "n_bytes", "n_tokens")
     udf = F.pandas_udf(run, "struct<n_bytes:long,n_tokens:long>").asNondeterministic()
-    return (marked.withColumn("__count", udf(F.col(text)))
-            .select(*marked.columns, "__count.n_bytes", "__count.n_tokens"))
+    counted = packed_row(docs, text=text).withColumn("found", udf("text"))
+    return unpacked_row(counted, docs.columns, n_bytes=F.col("found.n_bytes"), n_tokens=F.col("found.n_tokens"))
