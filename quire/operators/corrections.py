@@ -44,16 +44,17 @@ def corpus_words(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def derive_corrections(nonwords: DataFrame, word_vectors: DataFrame, dictionary: DataFrame,
                        threshold: float = SIMILARITY_THRESHOLD, k: int = TOP_K,
-                       rounding: str = "half_even") -> DataFrame:
+                       rounding: str = "half_even", **search) -> DataFrame:
     """VEC-5: ``(nonword, good_word, similarity)`` for the nonwords that have one.
 
     Only a word with a vector can be corrected, so the queries are the model's
     words among the nonwords: the model-sized table is the one that is searched,
-    and ``nonwords(word)`` may be corpus-sized."""
+    and ``nonwords(word)`` may be corpus-sized. ``search`` goes to the neighbour
+    search, e.g. ``method="cells"`` for a large model."""
     wv = stage(word_vectors.select("word", "vector"), "word-vectors")
     queries = wv.join(nonwords.select("word"), "word", "left_semi")
     neighbors = knn.top_k_neighbors(queries.select(F.col("word").alias("id"), "vector"),
-                                    wv.select(F.col("word").alias("id"), "vector"), k=k)
+                                    wv.select(F.col("word").alias("id"), "vector"), k=k, **search)
     cand = (neighbors.where(F.col("sim") > F.lit(threshold))
             .join(dictionary.select(F.col("word").alias("cid")), "cid", "left_semi")
             .where(close_enough(F.col("qid"), F.col("cid"), rounding)))

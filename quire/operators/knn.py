@@ -1,51 +1,67 @@
-"""Top-k cosine neighbours (VEC-3, VEC-4, JN-13, JN-14, WIN-2, VEC-8).
-
-A stated set of queries is compared with all candidates, a block of queries at
-a time:
-
-1. The queries are cut by a hash of their id into blocks of about
-   ``block_rows`` vectors. One block at a time is sent to all tasks.
-2. The candidates stay where they are: every task scores its Arrow batches
-   against the block as matrix products and keeps the best k per query of its
-   partition.
-3. The partitions' winners are merged in two steps, first inside groups of
-   partitions and then overall, so that no task ranks more than
-   k x sqrt(partitions) rows of one query. Ties are broken by candidate id.
-
-``method="exact"`` scores every candidate. ``method="cells"`` first puts every
-candidate into the nearest of ``n_cells`` cells (k-means centres of a sample of
-about ``CELL_SAMPLE`` vectors) and scores a query only against the ``n_probe``
-cells nearest to it; its recall against the exact method is measured in the
-tests. Similarities with a zero vector are 0. Thresholds are applied by callers
+"""Top-k cosine neighbours (VEC-3, VEC-4, JN-13, JN-14, WIN-2, VEC-8, AGG-7).
+
+Queries and candidates meet in a join by cell; neither passes through the driver
+and none is sent to all tasks.
+
+1. Every candidate has one cell. ``method="exact"`` has a single cell, so that
+   every query meets every candidate. ``method="cells"`` is an inverted file: the
+   cells are k-means centres of a sample of about ``CELL_SAMPLE`` vectors, a
+   candidate is in its nearest cell, a query is copied to its ``n_probe`` nearest
+   cells, and only those cells are read (the index is partitioned by cell).
+2. A cell of more than ``TILE_ROWS`` candidates is dealt over several tiles by a
+   hash of the id, and a query is copied to each of them, so a cell with a third
+   of all rows is many tasks' work. Both sides are shuffled once, by (cell, tile).
+3. A task holds the candidates of one tile and streams the tile's queries past
+   them as matrix products, keeping the best k of the tile for each query.
+4. The tiles' winners are cut to k for each query before and after the last
+   shuffle. Ties are broken by candidate id.
+
+The recall of ``cells`` against the exact method is measured in the tests. Its
+results are exact for ``n_probe`` = ``n_cells``. Similarities with a zero vector
+are 0; rows with a null vector take no part. Thresholds are applied by callers
 *after* the top-k, as the reference does.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark import TaskContext
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
-from ..session import materialize, ship_package, stage
+from ..session import materialize, ship_package, stage, stage_path
 
-BLOCK_ROWS = 4096        # queries sent at once
+BLOCK_ROWS = 1024        # queries scored at once
 BATCH_ROWS = 1024        # candidates scored at once
+TILE_ROWS = 16_384       # candidates that a task holds
+LEAST_TILE_ROWS = 1024   # smaller tiles are not worth their copies of the queries
 CELL_SAMPLE = 20_000     # vectors that the cells are fitted on, about
 
 
 def unit_rows(vectors) -> np.ndarray:
     m = np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
+    return unit(m)
+
+
+def unit(m: np.ndarray) -> np.ndarray:
     n = np.linalg.norm(m, axis=1, keepdims=True)
     return np.divide(m, n, out=np.zeros_like(m), where=n > 0)
 
 
+def units_of(column: pa.Array) -> np.ndarray:
+    """Unit rows of an Arrow column of number lists."""
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    return unit(flat.reshape(len(column), -1))
+
+
 class Best:
     """The k best candidates of each query seen so far: rows (query, similarity,
     candidate), and for each query the similarity that a newcomer must reach."""
@@ -74,44 +90,135 @@ class Best:
         place = np.arange(len(q)) - np.searchsorted(q, q)
         self.held = tuple(x[order[place < self.k]] for x in rows)
 
-    def rows(self) -> pd.DataFrame:
-        q, sim, cid = self.held
-        return pd.DataFrame({"qid": self.ids[q], "cid": cid, "sim": sim, "part": TaskContext.get().partitionId()})
 
-
-def _scorer(sent, k: int, exclude_self: bool):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids, units, probes = sent.value
-        best = Best(ids, k, exclude_self)
-        for whole in batches:
-            for at in range(0, len(whole), BATCH_ROWS):
-                pdf = whole[at:at + BATCH_ROWS]
-                sims = units @ unit_rows(pdf["vector"]).T
-                if probes is not None:
-                    sims = np.where(probes[:, pdf["cell"].to_numpy()], sims, -np.inf)
-                best.add(sims, np.array(pdf["id"].tolist()))
-        if best.held is not None:
-            yield best.rows()
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, int, pa.RecordBatch]]:
+    """((cell, tile), side, rows) of each stretch of sorted rows."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        place = np.stack([batch.column(i).to_numpy() for i in range(3)])
+        cuts = (np.flatnonzero((place[:, 1:] != place[:, :-1]).any(axis=0)) + 1).tolist()
+        for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
+            cell, tile, side = place[:, a].tolist()
+            yield (cell, tile), side, batch.slice(a, b - a)
+
+
+def _scorer(k: int, exclude_self: bool, block_rows: int, id_type: pa.DataType):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        where, held = None, []
+        for place, side, part in _parts(batches):
+            if place != where:
+                where, held = place, []
+            ids, units = np.array(part.column("id").to_pylist()), units_of(part.column("vector"))
+            if side == 0:  # the tile's candidates come first
+                held.extend((ids[at:at + BATCH_ROWS], units[at:at + BATCH_ROWS].T) for at in range(0, len(ids), BATCH_ROWS))
+                continue
+            for at in range(0, len(ids) if held else 0, block_rows):
+                best = Best(ids[at:at + block_rows], k, exclude_self)
+                for cids, candidates in held:
+                    best.add(units[at:at + block_rows] @ candidates, cids)
+                q, sim, cid = best.held
+                yield pa.RecordBatch.from_arrays([pa.array(best.ids[q].tolist(), id_type), pa.array(cid.tolist(), id_type),
+                                                  pa.array(sim)], names=["qid", "cid", "sim"])
     return run
 
 
+# -- cells --------------------------------------------------------------------
+
+class CellIndex(NamedTuple):
+    """An inverted file: unit centres and ``rows(id, vector, cell)``, one Parquet
+    folder for each cell."""
+    centres: np.ndarray
+    rows: DataFrame
+
+
 def fit_cells(candidates: DataFrame, n_cells: int, seed: int = 1) -> np.ndarray:
     """Unit centres of ``n_cells`` cells, fitted on a sample by id hash."""
     n = candidates.count()
     sample = candidates.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) <
                               F.lit(int((1 << 30) * min(1.0, CELL_SAMPLE / max(1, n)))))
-    data = sample.select(array_to_vector(F.col("vector").cast("array<double>")).alias("features"))
+    data = sample.select(array_to_vector(F.col("vector")).alias("features"))
     return unit_rows(KMeans(k=n_cells, seed=seed, maxIter=10).fit(materialize(data)).clusterCenters())
 
 
-def _with_cells(candidates: DataFrame, centres: np.ndarray) -> DataFrame:
+def _with_cells(rows: DataFrame, centres: np.ndarray, n_nearest: int) -> DataFrame:
+    """Each row once for each of its nearest cells."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            cell = (unit_rows(pdf["vector"]) @ centres.T).argmax(axis=1) if len(pdf) else []
-            yield pdf.assign(cell=cell)
+            near = np.argsort(-(unit_rows(pdf["vector"]) @ centres.T), axis=1, kind="stable")[:, :n_nearest] if len(pdf) else []
+            yield pdf.assign(cell=list(near)).explode("cell").astype({"cell": "int32"})
 
-    schema = T.StructType([*candidates.schema.fields, T.StructField("cell", T.LongType())])
-    return candidates.mapInPandas(run, schema)
+    schema = T.StructType([*rows.schema.fields, T.StructField("cell", T.IntegerType())])
+    return rows.mapInPandas(run, schema)
+
+
+def cell_index(candidates: DataFrame, n_cells: int, id_col: str = "id", vec_col: str = "vector",
+               path: str | None = None) -> CellIndex:
+    """The candidates by cell, written to ``path`` (default: the session's shared folder)."""
+    spark = candidates.sparkSession
+    ship_package(spark)
+    rows = _pick(candidates, id_col, vec_col)
+    if path is None:
+        rows = stage(rows, "knn-candidates")  # read for the sample and for the cells
+    centres = fit_cells(rows, n_cells)
+    path = path or stage_path(spark, "knn-cells")
+    placed = _with_cells(rows, centres, 1)
+    spread = F.pmod(F.xxhash64("id"), F.lit(max(1, spark.sparkContext.defaultParallelism // 4)))
+    # a folder a cell and few files in each
+    placed.repartition("cell", spread).write.partitionBy("cell").parquet(path)
+    schema = T.StructType([*rows.schema.fields, T.StructField("cell", T.IntegerType())])
+    return CellIndex(centres, spark.read.schema(schema).parquet(path))
+
+
+# -- search -------------------------------------------------------------------
+
+def _pick(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
+    return (df.select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("vector"))
+            .where(F.col("vector").isNotNull()))
+
+
+def _tiles(rows: int, tasks: int) -> int:
+    """Tiles of ``TILE_ROWS``, or smaller ones so that ``tasks`` have work."""
+    return max(1, -(-rows // TILE_ROWS), min(tasks, -(-rows // LEAST_TILE_ROWS)))
+
+
+def _winners(queries: DataFrame, candidates: DataFrame, sizes: dict[int, int], k: int, exclude_self: bool,
+             block_rows: int) -> DataFrame:
+    """``(qid, cid, sim)``: the best k of each tile. Both sides have a ``cell``;
+    ``sizes`` are the candidates of each cell (as many numbers as cells)."""
+    spark = candidates.sparkSession
+    slots = spark.sparkContext.defaultParallelism
+    total = sum(sizes.values())
+    share = {c: _tiles(n, -(-slots * n // max(1, total))) for c, n in sizes.items()}
+    several = spark.createDataFrame([(c, t) for c, t in share.items() if t > 1], "cell int, tiles int")
+    tiles = F.coalesce("tiles", F.lit(1))
+    mine = candidates.join(several, "cell", "left").select(
+        "cell", F.pmod(F.xxhash64("id"), tiles).cast("int").alias("tile"), F.lit(0).alias("side"), "id", "vector")
+    sent = queries.join(several, "cell", "left").select(
+        "cell", F.explode(F.sequence(F.lit(0), tiles - 1)).alias("tile"), F.lit(1).alias("side"), "id", "vector")
+    tasks = max(slots, -(-total // TILE_ROWS)) if total else 1
+    dealt = (mine.unionByName(sent).repartition(tasks, "cell", "tile")
+             .sortWithinPartitions("cell", "tile", "side", "id"))
+    kind = candidates.schema["id"].dataType
+    schema = T.StructType([T.StructField("qid", kind), T.StructField("cid", kind), T.StructField("sim", T.DoubleType())])
+    return dealt.mapInArrow(_scorer(k, exclude_self, block_rows, to_arrow_type(kind)), schema)
+
+
+def _ranked(winners: DataFrame, k: int) -> DataFrame:
+    order = Window.partitionBy("qid").orderBy(F.col("sim").desc(), F.col("cid").asc())
+    return (winners.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+            .select("qid", "cid", "sim", "rank"))
+
+
+def search_cells(queries: DataFrame, index: CellIndex, k: int, n_probe: int, id_col: str = "id",
+                 vec_col: str = "vector", exclude_self: bool = True, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """``(qid, cid, sim, rank)`` among the candidates in the ``n_probe`` cells
+    nearest to each query. Cells that no query probes are not read."""
+    probes = stage(_with_cells(_pick(queries, id_col, vec_col), index.centres, n_probe), "knn-probes")
+    cells = [r["cell"] for r in probes.select("cell").distinct().collect()]  # at most one number a cell
+    near = index.rows.where(F.col("cell").isin(cells))
+    sizes = {r["cell"]: r["count"] for r in near.groupBy("cell").count().collect()}
+    return _ranked(_winners(probes, near, sizes, k, exclude_self, block_rows), k)
 
 
 def top_k_neighbors(queries: DataFrame, candidates: DataFrame, k: int, id_col: str = "id",
@@ -121,42 +228,14 @@ def top_k_neighbors(queries: DataFrame, candidates: DataFrame, k: int, id_col: s
     every query (rank 1 = most similar; equal similarities by candidate id)."""
     if method not in ("exact", "cells"):
         raise ValueError(f"unknown method {method!r}")
-    spark = candidates.sparkSession
-    ship_package(spark)
-    pick = lambda df: df.select(F.col(id_col).alias("id"), F.col(vec_col).alias("vector"))
-    # both are read once for every block of queries
-    queries, candidates = stage(pick(queries), "knn-queries"), stage(pick(candidates), "knn-candidates")
-    id_type = candidates.schema["id"].dataType
-    centres = None
+    ship_package(candidates.sparkSession)
     if method == "cells":
-        centres = fit_cells(candidates, n_cells)
-        candidates = stage(_with_cells(candidates, centres), "knn-cells")
-    schema = T.StructType([T.StructField("qid", id_type), T.StructField("cid", id_type),
-                           T.StructField("sim", T.DoubleType()), T.StructField("part", T.IntegerType())])
-    n_blocks = max(1, -(-queries.count() // block_rows))
-    partial = None
-    for b in range(n_blocks):
-        rows = queries.where(F.pmod(F.xxhash64("id"), F.lit(n_blocks)) == F.lit(b)).collect()  # about block_rows
-        if not rows:
-            continue
-        units = unit_rows([r["vector"] for r in rows])
-        probes = None
-        if centres is not None:
-            near = np.argsort(-(units @ centres.T), axis=1)[:, :n_probe]
-            probes = np.zeros((len(rows), len(centres)), dtype=bool)
-            np.put_along_axis(probes, near, True, axis=1)
-        sent = spark.sparkContext.broadcast((np.array([r["id"] for r in rows]), units, probes))
-        found = candidates.mapInPandas(_scorer(sent, k, exclude_self), schema)
-        partial = found if partial is None else partial.unionByName(found)
-    if partial is None:
-        partial = spark.createDataFrame([], schema)
-    order = [F.col("sim").desc(), F.col("cid").asc()]
-    groups = F.pmod(F.col("part"), F.lit(max(1, int(candidates.rdd.getNumPartitions() ** 0.5))))
-    first = (partial.withColumn("_g", groups)
-             .withColumn("_r", F.row_number().over(Window.partitionBy("qid", "_g").orderBy(*order)))
-             .where(F.col("_r") <= k))
-    return (first.withColumn("rank", F.row_number().over(Window.partitionBy("qid").orderBy(*order)))
-            .where(F.col("rank") <= k).select("qid", "cid", "sim", "rank"))
+        index = cell_index(candidates, n_cells, id_col, vec_col)
+        return search_cells(queries, index, k, n_probe, id_col, vec_col, exclude_self, block_rows)
+    one = F.lit(0).alias("cell")
+    rows = stage(_pick(candidates, id_col, vec_col), "knn-candidates").select("*", one)
+    asked = _pick(queries, id_col, vec_col).select("*", one)
+    return _ranked(_winners(asked, rows, {0: rows.count()}, k, exclude_self, block_rows), k)
 
 
 def neighbor_counts(queries: DataFrame, neighbors: DataFrame, threshold: float,

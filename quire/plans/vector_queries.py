@@ -121,6 +121,27 @@ def q_knn_topk(spark: SparkSession, sf: str) -> DataFrame:
     return nb.select("qid", "cid", F.col("rank").cast("long").alias("rank"), F.round("sim", 6).alias("sim"))
 
 
+@register("knn_topk_all_cells", f"WITH {_sql_knn(KNN_K, f'vec_id % {QUERY_EVERY} = 0')} "
+                                "SELECT qid, cid, rank, round(sim, 6) AS sim FROM r")
+def q_knn_topk_all_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """VEC-4: the join by cell with every cell probed, which is exact."""
+    e = _embeddings(spark, sf)
+    index = knn.cell_index(e, N_CELLS)
+    nb = knn.search_cells(e.where(F.col("id") % QUERY_EVERY == 0), index, KNN_K, len(index.centres))
+    return nb.select("qid", "cid", F.col("rank").cast("long").alias("rank"), F.round("sim", 6).alias("sim"))
+
+
+N_CELLS, N_PROBE = 16, 12   # these vectors hardly cluster; recall is measured in the tests
+
+
+@register("knn_topk_cells")
+def q_knn_topk_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """VEC-4 / JN-14: the neighbours in the probed cells (approximate, so no SQL)."""
+    e = _embeddings(spark, sf)
+    nb = knn.search_cells(e.where(F.col("id") % QUERY_EVERY == 0), knn.cell_index(e, N_CELLS), KNN_K, N_PROBE)
+    return nb.select("qid", "cid", F.col("rank").cast("long").alias("rank"), F.round("sim", 6).alias("sim"))
+
+
 DENSITY_EVERY = 10   # the sampling rate of these small tables (the reference: 1000)
 SQL_SAMPLED = f"(('0x' || substr(md5(CAST(vec_id AS VARCHAR)), 1, 8))::BIGINT % {DENSITY_EVERY}) = 0"
 

@@ -11,6 +11,8 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -105,11 +107,41 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` once as Parquet into the shared folder and read it back:
     columnar, prunable, and its size is known to the planner, so a later join
     broadcasts it only when the measured size allows."""
-    path = f"{ensure_checkpoint_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    path = stage_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stage_path(spark: SparkSession, label: str) -> str:
+    """A new folder's path in the shared folder; a ``stage_scope`` that is open
+    on this session will know it."""
+    path = f"{ensure_checkpoint_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    for scope in getattr(spark.sparkContext, "_quire_scopes", []):
+        scope.append(path)
+    return path
+
+
+@contextmanager
+def stage_scope(spark: SparkSession) -> Iterator[list[str]]:
+    """Collects the paths staged inside it. The caller passes those whose readers
+    are done to ``remove_stages``; nothing is removed by itself, because a lazy
+    result may still read what it staged."""
+    scopes = spark.sparkContext.__dict__.setdefault("_quire_scopes", [])
+    paths: list[str] = []
+    scopes.append(paths)
+    try:
+        yield paths
+    finally:
+        scopes[:] = [s for s in scopes if s is not paths]
+
+
+def remove_stages(spark: SparkSession, paths: list[str]) -> None:
+    """Delete staged folders, in any store Spark can write."""
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists in its file system (any store Spark can read)."""
     jvm = spark._jvm

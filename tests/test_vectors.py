@@ -210,3 +210,75 @@ def test_ties_are_broken_by_id_across_partitions(spark):
     df = spark.createDataFrame([(i, [1.0, 0.0]) for i in range(50)], "id long, vector array<double>").repartition(9)
     got = knn.top_k_neighbors(df.where("id in (3, 40)"), df, k=4).orderBy("qid", "rank").collect()
     assert [(r["qid"], r["cid"]) for r in got] == [(3, 0), (3, 1), (3, 2), (3, 4), (40, 0), (40, 1), (40, 2), (40, 3)]
+
+
+def _clustered(spark, n=1500, d=12, seed=11, hot=0.35):
+    """Vectors around 20 directions, a third of them around the first."""
+    rng = np.random.default_rng(seed)
+    centres = rng.standard_normal((20, d))
+    own = np.where(rng.random(n) < hot, 0, rng.integers(0, 20, n))
+    vecs = (centres[own] + 0.4 * rng.standard_normal((n, d))).round(3)
+    return vecs, spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vecs)], "id long, vector array<double>")
+
+
+def test_join_by_cell_with_every_cell_is_exact(spark, monkeypatch):
+    """Cells dealt over many tiles, queries in several blocks."""
+    monkeypatch.setattr(knn, "TILE_ROWS", 50)
+    monkeypatch.setattr(knn, "LEAST_TILE_ROWS", 20)
+    vecs, df = _clustered(spark, 600)
+    index = knn.cell_index(df, 9)
+    asked = df.where("id % 20 = 0")
+    got = {}
+    for r in knn.search_cells(asked, index, 6, len(index.centres), block_rows=7).orderBy("qid", "rank").collect():
+        got.setdefault(r["qid"], []).append(r["cid"])
+    want = _brute(vecs, list(range(600)), 6)
+    assert got == {q: want[q] for q in range(0, 600, 20)}
+
+
+def test_probed_cells_reach_the_recall(spark):
+    _, df = _clustered(spark)
+    asked = df.where("id % 20 = 0")
+    exact = {(r["qid"], r["cid"]) for r in knn.top_k_neighbors(asked, df, k=10).collect()}
+    found = {(r["qid"], r["cid"]) for r in knn.search_cells(asked, knn.cell_index(df, 24), 10, 6).collect()}
+    assert len(exact) == 750 and len(exact & found) / len(exact) >= 0.9
+
+
+def test_only_probed_cells_are_read(spark, monkeypatch):
+    """The plan filters the index's folders, and no query row is collected."""
+    from pyspark.sql import DataFrame
+    _, df = _clustered(spark)
+    index = knn.cell_index(df, 24)
+    asked = df.where("id = 7")
+    collected, real = [], DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect", lambda self: collected.append(self.columns) or real(self))
+    plan = knn.search_cells(asked, index, 5, 2)._jdf.queryExecution().toString()
+    assert all("vector" not in c for c in collected)
+    assert "PartitionFilters: [cell#" in plan or "PartitionFilters: [isnotnull(cell" in plan
+    probed = real(index.rows.where("id = 7").select("cell"))[0]["cell"]
+    assert f"cell#{plan.split('cell#')[1].split(' ')[0]}" and str(probed) in plan
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoop" not in plan
+
+
+def test_search_of_odd_rows(spark):
+    df = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [0.0, 0.0]), ("c", None), ("a", [0.5, 0.5]), ("d", [1.0, 0.1])],
+                               "id string, vector array<double>")
+    got = [(r["qid"], r["cid"], round(r["sim"], 3)) for r in
+           knn.top_k_neighbors(df.where("id in ('d', 'c', 'b')"), df, k=2).orderBy("qid", "rank").collect()]
+    assert got == [("b", "a", 0.0), ("b", "a", 0.0), ("d", "a", 0.995), ("d", "a", 0.774)]
+    empty = df.limit(0)
+    for method in ("exact", "cells"):
+        assert knn.top_k_neighbors(empty, df, k=2, method=method, n_cells=2).collect() == []
+    assert knn.top_k_neighbors(df, empty, k=2).collect() == []
+
+
+def test_recall_on_the_driver_vectors(spark):
+    import os
+    if not os.path.isdir("/root/testdata/sf0.1"):
+        import pytest
+        pytest.skip("driver tables absent")
+    from quire.plans.all_queries import QUERIES
+    for sf in ("/root/testdata/sf0.01", "/root/testdata/sf0.1"):
+        exact = {(r["qid"], r["cid"]) for r in QUERIES["knn_topk"](spark, sf).collect()}
+        found = {(r["qid"], r["cid"]) for r in QUERIES["knn_topk_cells"](spark, sf).collect()}
+        print(sf, len(exact & found) / len(exact))
+        assert len(exact & found) / len(exact) >= 0.9
