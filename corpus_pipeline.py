@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from quire.llm import decontaminate, pack, quality_model, quality_rules, simhash
 from quire.llm.common import read_table
+from quire.session import remove_stages, stage_scope
 from quire.session import stage as staged
 
 MIN_SCORE = 0.3
@@ -57,8 +58,13 @@ STAGES = [("quality rules", rules), ("quality classifier", classifier), ("simhas
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each result but the last is written as
-    Parquet in the shared folder and read again as the next stage's documents."""
-    docs = read_table(spark, sf_dir, "documents")
+    Parquet in the shared folder and read again as the next stage's documents.
+    When it is written, what was staged for it and the documents before are
+    removed: one copy of the corpus remains, and a second while a stage runs."""
+    docs, before = read_table(spark, sf_dir, "documents"), []
     for name, apply in STAGES[:-1]:
-        docs = staged(apply(spark, docs, sf_dir), name.replace(" ", "-"))
+        with stage_scope(spark) as used:
+            docs = staged(apply(spark, docs, sf_dir), name.replace(" ", "-"))
+        remove_stages(spark, before + used[:-1])
+        before = used[-1:]
     return STAGES[-1][1](spark, docs, sf_dir)
