@@ -43,6 +43,7 @@ def _parser() -> argparse.ArgumentParser:
                    help="lines dropped from items that carry an archival note")
     m.add_argument("--words-to-examine", type=int,
                    help="judge only the first words of a text (the reference: 400); default all")
+    m.add_argument("--epochs", type=int, default=40, help="iterations of the training")
     m.add_argument("--min-count", type=int, default=25, help="training vocabulary threshold")
     m.add_argument("--vocabulary", help="saved word frequencies (word, tf) to train on")
     m.add_argument("--min-frequency", type=int, help="train words seen more often than this")
@@ -58,7 +59,7 @@ def _parser() -> argparse.ArgumentParser:
 def run_map(spark: SparkSession, a: argparse.Namespace) -> dict:
     cfg = CorpusConfig(newspaper_dir=a.pages, results_dir=a.results, newspaper_dir_regex=a.page_regex,
                        vocabulary=a.vocabulary, min_frequency=a.min_frequency,
-                       model_options={"minCount": a.min_count})
+                       epochs=a.epochs, model_options={"minCount": a.min_count})
     docs = cfg.documents(spark).select("doc_id", "kind", "text")
     records, rejects = files.read_metadata(spark, a.metadata)
     # a page's metadata file sits at its page key; an item's at its id

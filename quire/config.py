@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import text as T
-from .operators import training, vocab
+from .operators import subspace, training, vocab
 
 ColumnFn = Callable[[Column], Column]
 
@@ -28,7 +28,8 @@ class CorpusConfig:
     newspaper_dir_regex: str | None = None       # applied there (D10)
     results_dir: str | None = None
     min_frequency: int | None = None             # vocabulary keeps tf > this (default: minCount)
-    epochs: int = 40
+    epochs: int = 40                             # iterations of the subspace trainer
+    trainer: str = "subspace"                    # or "indexing": one pass, no epochs
     vocabulary: str | None = None                # saved frequencies, AGG-13
     # TXT-4 list: "english" = Spark's built-in English list (the reference
     # always filtered stopwords first); None = no filter
@@ -70,6 +71,21 @@ class CorpusConfig:
         freq = vocab.word_frequencies(tokens, column)
         return freq.where(F.col("tf") > self.min_frequency).select("word")
 
+    def train(self, tokens: DataFrame, column: str = "tokens") -> DataFrame:
+        """VEC-1: ``(word, vector)`` by the configured trainer and options."""
+        trainers = {"subspace": subspace.train_subspace, "indexing": training.train_distributed}
+        if self.trainer not in trainers:
+            raise ValueError(f"unknown trainer {self.trainer!r}")
+        return trainers[self.trainer](tokens, self.model(), column, self.training_vocabulary(tokens, column))
+
+    def document_vectors(self, word_vectors: DataFrame, tokens: DataFrame, key: str = "doc_id") -> DataFrame:
+        """``(key, vector)`` of the documents for the trained words: inferred, or
+        for "indexing" the mean of the unit word vectors."""
+        size = self.model()["vectorSize"]
+        if self.trainer == "indexing":
+            return training.mean_vectors(word_vectors, tokens, key, size=size)
+        return subspace.DocumentModel(word_vectors, size).infer(tokens, key)
+
     def model(self) -> dict:
         """Defaults, then epochs, then model and training overrides."""
         return training.model_options({"maxIter": self.epochs, **self.model_options, **self.training_options})

@@ -92,10 +92,13 @@ def mean_vectors(word_vectors: DataFrame, tokens: DataFrame, key: str = "doc_id"
     from ..functions import vectors as V
     v = word_vectors.select("word", F.col("vector").cast("array<double>").alias("v"))
     unit = v.select("word", V.unit("v", V.norm("v")).alias("v"))
-    words = tokens.select(key, F.explode_outer(tokens_col).alias("word"))
-    joined = lookup_join(words, unit.select("word", *[F.col("v")[d].cast("decimal(28,15)").alias(f"_v{d}")
+    # occurrences are counted per document first: each distinct word meets its vector once
+    words = (tokens.select(key, F.explode_outer(tokens_col).alias("word")).groupBy(key, "word")
+             .agg(F.count(F.lit(1)).cast("decimal(10,0)").alias("_n")))
+    joined = lookup_join(words, unit.select("word", *[F.col("v")[d].cast("decimal(17,15)").alias(f"_v{d}")
                                                       for d in range(size)]), "word")
-    mean = [F.coalesce(F.try_divide(F.sum(f"_v{d}").cast("double"), F.count(f"_v{d}")), F.lit(0.0)).alias(f"_m{d}")
+    known = F.sum(F.when(F.col("_v0").isNotNull(), F.col("_n")))
+    mean = [F.coalesce(F.try_divide(F.sum(F.col(f"_v{d}") * F.col("_n")).cast("double"), known), F.lit(0.0)).alias(f"_m{d}")
             for d in range(size)]
     return joined.groupBy(key).agg(*mean).select(key, F.array(*[f"_m{d}" for d in range(size)]).alias("vector"))
 

@@ -95,10 +95,12 @@ def corpus_map(docs: DataFrame, metadata: DataFrame, dictionary: DataFrame, opti
 
     if word_vectors is None or doc_vectors is None:
         toks = write_stage(d.select(key, config.tokens("text").alias("tokens")), "tokens")
-        model = training.train_distributed(toks, config.model(), vocabulary=config.training_vocabulary(toks))
-        word_vectors = word_vectors if word_vectors is not None else write_stage(model, "model")
-        if doc_vectors is None:
+        given = word_vectors is not None
+        word_vectors = word_vectors if given else write_stage(config.train(toks), "model")
+        if doc_vectors is None and given:  # any model's vectors: their mean
             doc_vectors = training.mean_vectors(word_vectors, toks, key, size=config.model()["vectorSize"])
+        elif doc_vectors is None:
+            doc_vectors = config.document_vectors(word_vectors, toks, key)
     wv = keep("word_vectors", word_vectors)
     doc_vectors = doc_vectors.join(d.select(key), key, "left_semi")
 

@@ -295,6 +295,44 @@ def q_trained_doc_vectors(spark: SparkSession, sf: str) -> DataFrame:
             .withColumn("value", F.round("value", 6)))
 
 
+SUBSPACE_OPTIONS = {"vectorSize": 16, "minCount": 25, "windowSize": 5, "maxIter": 4}
+
+
+def _cells(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators import subspace, vocab
+    toks = _tokens(spark, sf)
+    words = vocab.word_frequencies(toks, "tokens").where(F.col("tf") >= SUBSPACE_OPTIONS["minCount"]).select("word")
+    return subspace.ppmi(subspace.cooccurrences(toks, stage(words, "vocabulary"), SUBSPACE_OPTIONS["windowSize"]))
+
+
+@register("ppmi_cells", SQL_TRAINED + """,
+cell AS (SELECT word, context, n FROM pair SEMI JOIN model ON pair.context = model.word),
+tot AS (SELECT word, sum(n) AS t FROM cell GROUP BY word)
+SELECT cell.word, cell.context, round(ln(n * (SELECT sum(n) FROM cell)::DOUBLE / (a.t::DOUBLE * b.t)), 6) AS value
+FROM cell JOIN tot a ON cell.word = a.word JOIN tot b ON cell.context = b.word
+WHERE ln(n * (SELECT sum(n) FROM cell)::DOUBLE / (a.t::DOUBLE * b.t)) > 0""")
+def q_ppmi_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """VEC-1: the matrix that the word vectors are trained on."""
+    return _cells(spark, sf).withColumn("value", F.round("value", 6))
+
+
+@register("trained_subspace")
+def q_trained_subspace(spark: SparkSession, sf: str) -> DataFrame:
+    """VEC-1, UDF-3, UDF-5: trained word vectors (an iteration, so no SQL)."""
+    from ..operators import subspace
+    return subspace.train_subspace(_tokens(spark, sf), SUBSPACE_OPTIONS)
+
+
+@register("inferred_doc_vectors")
+def q_inferred_doc_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    """VEC-1: vectors of all documents, for words trained on those whose id is not
+    divisible by 5: the others are new to the model."""
+    from ..operators import subspace
+    toks = _tokens(spark, sf)
+    words = subspace.train_subspace(toks.where(F.col("doc_id") % 5 != 0), SUBSPACE_OPTIONS)
+    return subspace.DocumentModel(words, SUBSPACE_OPTIONS["vectorSize"]).infer(toks)
+
+
 SAMPLE_SEED = 17
 SQL_SAMPLED_SCORES = SQL_SCORES.replace(
     "ex AS (SELECT doc_id, unnest(lt) AS word FROM lt)",
