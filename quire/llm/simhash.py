@@ -260,11 +260,15 @@ def components(edges: DataFrame) -> DataFrame:
         others = e.join(least, "a").where(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
         return others.union(least.select("a", F.col("m").alias("b"))).distinct()
 
-    mark = lambda e: e.agg(F.count(F.lit(1)).alias("n"), F.sum(F.hash("a", "b").cast("long")).alias("h")).first()
+    def mark(e: DataFrame) -> tuple:
+        """Number of edges and two sums of their 64-bit hashes: equal if the edges are."""
+        total = lambda *c: F.sum(F.xxhash64(*c).cast("decimal(20,0)"))
+        return tuple(e.agg(F.count(F.lit(1)), total("a", "b"), total("b", F.lit(1), "a")).first())
+
     now = materialize(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                       .where(F.col("a") != F.col("b")).distinct())
     was = None
-    while (seen := tuple(mark(now))) != was and seen[0]:
+    while (seen := mark(now)) != was and seen[0]:
         tasks = -(-seen[0] // ROUND_ROWS)  # files and tasks by the measured number of edges
         was, now = seen, materialize(small(large(now)).coalesce(tasks))
     # at the fixed point every node points at its root
