@@ -214,7 +214,8 @@ def in_ranges(rows: DataFrame, starts: list[tuple[int, int, int]]) -> DataFrame:
     dealt = (rows.withColumn("place", at)
              .withColumn("copy", F.explode(F.when(F.col("place.starts"), F.array(here, before)).otherwise(F.array(here))))
              .select(F.col("copy.at").alias("at"), F.col("copy.last").alias("last"), "key", "text", *ORDER))
-    return dealt.repartition(n, "at").sortWithinPartitions("at", "last", *ORDER, "text")
+    # each range is a partition of its own
+    return dealt.repartitionById(n, F.col("at")).sortWithinPartitions("at", "last", *ORDER, "text")
 
 
 def against_next(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
