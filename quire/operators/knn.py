@@ -190,11 +190,15 @@ def _winners(queries: DataFrame, candidates: DataFrame, sizes: dict[int, int], k
     slots = spark.sparkContext.defaultParallelism
     total = sum(sizes.values())
     share = {c: _tiles(n, -(-slots * n // max(1, total))) for c, n in sizes.items()}
-    several = spark.createDataFrame([(c, t) for c, t in share.items() if t > 1], "cell int, tiles int")
-    tiles = F.coalesce("tiles", F.lit(1))
-    mine = candidates.join(several, "cell", "left").select(
+    if len(share) > 1:
+        several = spark.createDataFrame([(c, t) for c, t in share.items() if t > 1], "cell int, tiles int")
+        tiles = F.coalesce("tiles", F.lit(1))
+        candidates, queries = (df.join(several, "cell", "left") for df in (candidates, queries))
+    else:
+        tiles = F.lit(max(share.values(), default=1))
+    mine = candidates.select(
         "cell", F.pmod(F.xxhash64("id"), tiles).cast("int").alias("tile"), F.lit(0).alias("side"), "id", "vector")
-    sent = queries.join(several, "cell", "left").select(
+    sent = queries.select(
         "cell", F.explode(F.sequence(F.lit(0), tiles - 1)).alias("tile"), F.lit(1).alias("side"), "id", "vector")
     tasks = max(slots, -(-total // TILE_ROWS)) if total else 1
     dealt = (mine.unionByName(sent).repartition(tasks, "cell", "tile")

@@ -83,8 +83,11 @@ def test_hot_lookup_key_is_split_at_run_time(spark, capsys):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def test_knn_leaves_the_candidates_in_place(spark, capsys):
-    """No join and no exchange on the candidates' side: queries are sent to them."""
+def test_knn_meets_in_one_shuffle(spark, capsys):
+    """Both sides are dealt once by (cell, tile), and only winners move after that."""
     plan = _plan(spark, "knn_topk", capsys)
-    assert "Join" not in plan and "CartesianProduct" not in plan
-    assert all("hashpartitioning(qid" in line for line in plan.splitlines() if "Arguments: hashpartitioning" in line)
+    assert "Join" not in plan and "CartesianProduct" not in plan and "Broadcast" not in plan
+    dealt = [line for line in plan.splitlines() if "Arguments: hashpartitioning" in line]
+    assert sum("hashpartitioning(cell" in line and "tile" in line for line in dealt) == 1
+    assert sum("hashpartitioning(qid" in line for line in dealt) == 1
+    assert all(any(f"hashpartitioning({c}" in line for c in ("cell", "qid", "vec_id")) for line in dealt)  # vec_id: the test scan
