@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import metadata as M
-from ..operators import corrections, layout, quality, scoring, tiles
+from ..operators import corrections, graph_layout, layout, quality, scoring, tiles
 from ..operators.vocab import with_row_index
+from ..session import stage
 from ..sources.tables import table
 from .fixtures import SQL_METADATA, corpus_metadata
 from .registry import register
@@ -52,6 +53,50 @@ def q_layout_pca(spark: SparkSession, sf: str) -> DataFrame:
     return layout.pca_projection(e)
 
 
+MARKS = 12    # landmarks of the checked distances
+HOPS = 24     # rounds of the SQL; more than these graphs need
+
+
+def _sql_landmark_distances() -> str:
+    cos = "list_inner_product(q.v, c.v) / sqrt(list_inner_product(q.v, q.v)) / sqrt(list_inner_product(c.v, c.v))"
+    return f"""WITH RECURSIVE node AS (
+    SELECT min(vec_id) AS node, v FROM (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings) GROUP BY v),
+near AS (SELECT src, dst, CAST(round({graph_layout.UNIT} * sqrt(greatest(0, 2 - 2 * sim)), 0) AS BIGINT) AS length
+    FROM (SELECT q.node AS src, c.node AS dst, {cos} AS sim FROM node q JOIN node c ON q.node <> c.node)
+    QUALIFY row_number() OVER (PARTITION BY src ORDER BY sim DESC, dst) <= {graph_layout.NEIGHBOURS}),
+edge AS (SELECT src, dst, min(length) AS length FROM (
+    SELECT src, dst, length FROM near UNION ALL SELECT dst, src, length FROM near UNION ALL SELECT node, node, 0 FROM node)
+    GROUP BY ALL),
+mark AS (SELECT node FROM node ORDER BY {_sql_shuffle('node')} LIMIT {MARKS}),
+path(hop, landmark, node, distance) AS (
+    SELECT 0, node, node, CAST(0 AS BIGINT) FROM mark
+    UNION ALL
+    SELECT hop + 1, landmark, edge.dst, CAST(min(distance + length) AS BIGINT) FROM path JOIN edge ON edge.src = path.node
+    WHERE hop < {HOPS} GROUP BY hop, landmark, edge.dst)
+SELECT landmark, node, distance FROM path WHERE hop = {HOPS}"""
+
+
+def _doc_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "embeddings").select(F.col("vec_id").alias("doc_id"), F.col("embedding").alias("vector"))
+
+
+def q_landmark_distances(spark: SparkSession, sf: str) -> DataFrame:
+    """VEC-7: shortest paths from the landmarks over the nearest-neighbour graph."""
+    nodes = stage(graph_layout.distinct_vectors(_doc_vectors(spark, sf)), "layout-nodes")
+    marks = graph_layout.choose_landmarks(nodes, MARKS)
+    edges = stage(graph_layout.neighbor_graph(nodes), "layout-edges")
+    found = graph_layout.landmark_distances(edges, marks)
+    each = F.explode(F.array(*[F.struct(F.lit(m).cast(found.schema["node"].dataType).alias("landmark"), F.col(f"d{i}").alias("distance"))
+                               for i, m in enumerate(marks)])).alias("at")
+    return found.select("node", each).where("at.distance IS NOT NULL").select("at.landmark", "node", "at.distance")
+
+
+@register("layout_landmarks")
+def q_layout_landmarks(spark: SparkSession, sf: str) -> DataFrame:
+    """VEC-7: places by triangulation from landmark distances."""
+    return graph_layout.landmark_layout(_doc_vectors(spark, sf))
+
+
 def labelled(spark: SparkSession, sf: str) -> DataFrame:
     meta = corpus_metadata(spark, sf)
     meta = meta.select("doc_id", "title", "locations", "collections",
@@ -100,6 +145,9 @@ def _sql_shuffle(key: str) -> str:
     return f"md5('{layout.SHUFFLE_SEED}/' || {key}), {key}"
 
 
+register("landmark_distances", _sql_landmark_distances())(q_landmark_distances)
+
+
 @register("shuffled", f"""WITH lab AS ({SQL_LABELLED})
 SELECT doc_id, x, y, title, row_number() OVER (ORDER BY {_sql_shuffle('doc_id')}) - 1 AS position FROM lab""")
 def q_shuffled(spark: SparkSession, sf: str) -> DataFrame:
