@@ -12,7 +12,7 @@ from ..functions import keys
 from ..functions import text as T
 from ..operators import filters, tiles, training, vocab
 from ..operators import layout as L
-from ..sources import files, sinks
+from ..sources import files, keyed_table, sinks
 from ..sources.tables import table
 from ..streaming.cleaning_stream import scratch_path
 from .corpus_queries import MIN_FREQUENCY, SQL_TOKENS, STOPWORDS
@@ -186,6 +186,19 @@ def q_new_rows_only(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema(d.schema).parquet(path)
 
 
+@register("interrupted_runs", """
+SELECT doc_id, CASE WHEN doc_id % 3 = 0 OR doc_id % 2 = 0 THEN lang ELSE upper(lang) END AS lang FROM documents""")
+def q_interrupted_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """SNK-11 / JN-7: three overlapping runs; the second stops before it replaces a
+    bucket, the third finishes it, adds what is new and is repeated."""
+    path, d = scratch_path(spark, "keyed"), table(spark, sf, "documents").select("doc_id", "lang")
+    keyed_table.add_new(d.where("doc_id % 3 = 0"), path, "doc_id")
+    keyed_table.prepare(d.where("doc_id % 2 = 0"), path, "doc_id")
+    for _ in range(2):
+        keyed_table.add_new(d.withColumn("lang", F.upper("lang")), path, "doc_id")
+    return keyed_table.read_keyed(spark, path)
+
+
 @register("reject_log", SQL_RECORDS + " SELECT doc_key, 'no item record' AS reason FROM asked ANTI JOIN items USING (identifier) "
             "WHERE (page OR CAST(substr(doc_key, 3) AS INTEGER) % 11 <> 0)")
 def q_reject_log(spark: SparkSession, sf: str) -> DataFrame:
