@@ -15,10 +15,12 @@ from pyspark.sql import functions as F
 
 from ..functions import keys
 from ..functions import metadata as M
-from ..operators import filters, metadata, stats
+from ..functions.text import tokenize
+from ..operators import filters, metadata, patterns, stats
 from ..sources.tables import table
 from .registry import register
 from .sqlfrag import sql_str
+from .sqlfrag import tokens as sql_tokens
 
 YEARS = (1996, 1998)
 # region names play the role of the state list for the customer locations
@@ -307,6 +309,41 @@ def q_title_allow_list(spark: SparkSession, sf: str) -> DataFrame:
                                     title="p_name")
 
 
+SQL_NAMES = f"""line AS (SELECT doc_id, lower(string_split(text, chr(10))[1]) AS t FROM documents),
+name AS (SELECT DISTINCT w AS name FROM (SELECT unnest({sql_tokens('text')}) AS w FROM benchmark) WHERE length(w) > 2)"""
+SQL_MATCHES = f"""WITH {SQL_NAMES},
+hit AS (SELECT doc_id, name, t, unnest(range(1, length(t) - length(name) + 2)) AS p
+        FROM line JOIN name ON contains(t, name))
+SELECT doc_id, name, CAST(p AS INTEGER) AS place FROM hit WHERE substr(t, p, length(name)) = name"""
+
+
+def _titles_and_names(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Titles are the documents' first lines, names the words of the benchmark."""
+    titles = table(spark, sf, "documents").select("doc_id", F.split("text", "\n", -1).getItem(0).alias("title"))
+    words = table(spark, sf, "benchmark").select(F.explode(tokenize("text")).alias("name"))
+    return titles, words.where(F.length("name") > 2)
+
+
+@register("title_matches", SQL_MATCHES)
+def q_title_matches(spark: SparkSession, sf: str) -> DataFrame:
+    """FLT-21: every place of every name in every title, by one automaton."""
+    return patterns.title_matches(*_titles_and_names(spark, sf))
+
+
+@register("title_matches_by_prefix", SQL_MATCHES)
+def q_title_matches_by_prefix(spark: SparkSession, sf: str) -> DataFrame:
+    """FLT-21: the same by a join on prefixes, the way of name tables of any size."""
+    return patterns.title_matches(*_titles_and_names(spark, sf), automaton_bytes=0)
+
+
+@register("titles_with_names", f"""WITH {SQL_NAMES}
+SELECT doc_id FROM line SEMI JOIN (SELECT name FROM name WHERE length(name) > 6) long ON contains(t, name)""")
+def q_titles_with_names(spark: SparkSession, sf: str) -> DataFrame:
+    """FLT-21: the titles that hold one of the names (here: the long ones)."""
+    titles, names = _titles_and_names(spark, sf)
+    return patterns.titles_with_names(titles, names.where(F.length("name") > 6)).select("doc_id")
+
+
 @register("found_texts", """
 SELECT DISTINCT CAST(l.doc_id AS VARCHAR) AS identifier, e.vec_id IS NOT NULL AS found
 FROM documents l LEFT JOIN embeddings e ON e.vec_id = l.doc_id""")

@@ -1,0 +1,52 @@
+"""Many names in many texts, both ways, against a plain search."""
+
+import random
+
+import pytest
+
+from quire.operators import patterns as P
+
+
+def _plain(titles, names):
+    low = {n.lower() for n in names if n}
+    return sorted((k, n, i + 1) for k, t in titles if t for n in low
+                  for i in range(len(t.lower()) - len(n) + 1) if t.lower().startswith(n, i))
+
+
+def _got(spark, titles, names, limit):
+    t = spark.createDataFrame(titles, "doc_id int, title string")
+    n = spark.createDataFrame([(x,) for x in names], "name string")
+    return sorted(tuple(r) for r in P.title_matches(t, n, automaton_bytes=limit).collect())
+
+
+@pytest.mark.parametrize("limit", [P.AUTOMATON_BYTES, 0])
+def test_all_hits(spark, limit):
+    rng = random.Random(5)
+    letters = "abé😀 "
+    titles = [(i, "".join(rng.choice(letters) for _ in range(rng.randrange(40)))) for i in range(80)]
+    titles += [(900, None), (901, ""), (902, "aaaaaa"), (902, "aaaaaa"), (903, "The Daily DISPATCH, daily")]
+    names = ["".join(rng.choice(letters) for _ in range(rng.randrange(1, 9))) for _ in range(60)]
+    names += ["aa", "AA", "aaa", "", None, "daily", "Daily Dispatch", "a" * 30]
+    assert _got(spark, titles, names, limit) == _plain(titles, names)
+
+
+@pytest.mark.parametrize("limit", [P.AUTOMATON_BYTES, 0])
+def test_no_names_or_titles(spark, limit):
+    assert _got(spark, [(1, "abc")], [], limit) == []
+    assert _got(spark, [(1, "abc")], ["", None], limit) == []
+    assert _got(spark, [], ["abc"], limit) == []
+
+
+@pytest.mark.parametrize("limit", [P.AUTOMATON_BYTES, 0])
+def test_rows_with_a_name_are_kept_whole(spark, limit):
+    rows = [(1, "The Daily Dispatch", "p"), (1, "The Daily Dispatch", "q"), (2, "Evening Star", "r"), (3, None, "s"), (4, "", "t")]
+    titles = spark.createDataFrame(rows, "key int, title string, `x.y` string")
+    names = spark.createDataFrame([("DAILY",), ("morning",)], "name string")
+    kept = P.titles_with_names(titles, names, automaton_bytes=limit)
+    assert kept.columns == titles.columns
+    assert sorted(r["x.y"] for r in kept.collect()) == ["p", "q"]
+
+
+def test_long_text_and_long_name(spark):
+    text = "ab" * 50_000
+    assert len(_got(spark, [(1, text)], ["ba" * 3, "ab" * 49_999], P.AUTOMATON_BYTES)) == 49_997 + 2
