@@ -1,10 +1,9 @@
 """Metadata assembly joins (JN-1, JN-3, JN-6, JN-7, JN-17, FN-11).
 
 Identifiers map many pages to one item record (N:1), and one title can hold a
-large share of all pages. Records are looked up by identifier with every page's
-lookup salted: the item table, one row per identifier, is repeated ``SALTS``
-times and a page takes its copy from a hash of its key, so the pages of one
-title are spread over as many tasks.
+large share of all pages. The titles that do are measured, and only their records
+are copied, by their share, so that their pages are spread over as many tasks
+(``skew``).
 """
 
 from __future__ import annotations
@@ -14,8 +13,8 @@ from pyspark.sql import functions as F
 
 from ..functions import keys
 from ..functions import metadata as M
-
-SALTS = 32
+from ..session import stage
+from .skew import spread_join
 
 
 def fetch_metadata(identifiers: DataFrame, items: DataFrame, key: str = "identifier",
@@ -29,13 +28,11 @@ def fetch_metadata(identifiers: DataFrame, items: DataFrame, key: str = "identif
     ids = identifiers.select(F.col(key).alias("doc_key")).distinct()
     if existing is not None:
         ids = ids.join(existing.select(F.col(key).alias("doc_key")), "doc_key", "left_anti")
-    ids = ids.withColumn("lccn", keys.identifier("doc_key"))
+    ids = stage(ids.withColumn("lccn", keys.identifier("doc_key")), "identifiers")
     # one record per identifier; of several, the greatest by its JSON text
     it = (items.groupBy(F.col("identifier").alias("lccn"))
           .agg(F.max_by("item", F.to_json("item")).alias("item")))
-    copies = it.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    spread = ids.withColumn("_salt", F.pmod(F.xxhash64("doc_key"), F.lit(SALTS)).cast("int"))
-    joined = spread.join(copies, ["lccn", "_salt"], "left")
+    joined = spread_join(ids, it, "lccn", "doc_key")
     records = (joined.where(F.col("item").isNotNull())
                .select("doc_key", F.col("lccn").alias("identifier"),
                        M.item_metadata(F.col("item"), F.col("doc_key")).alias("r"))
