@@ -186,6 +186,52 @@ def q_new_rows_only(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema(d.schema).parquet(path)
 
 
+# suppliers as landed texts: two of three are pages (title by nation, year by key), the
+# others items
+FIRST_YEAR = 1860
+SQL_TREE = f"""doc AS (SELECT s_suppkey % 3 <> 0 AS page, s_name AS text, {FIRST_YEAR} + s_suppkey % 30 AS year,
+    s_nationkey AS nation, CASE WHEN s_suppkey % 3 = 0 THEN 'mss' || s_suppkey ELSE
+    'sn' || s_nationkey || '/' || ({FIRST_YEAR} + s_suppkey % 30) || '/01/02/ed-1/seq-' || s_suppkey END AS doc_id
+    FROM supplier)"""
+
+
+def _landed_tree(spark: SparkSession, sf: str) -> tuple[str, str]:
+    s, key = table(spark, sf, "supplier"), F.col("s_suppkey")
+    page = F.concat(F.lit("b1/data/sn"), "s_nationkey", F.lit("/"), F.lit(FIRST_YEAR) + key % 30,
+                    F.lit("/01/02/ed-1/seq-"), key, F.lit("/ocr.txt"))
+    root = scratch_path(spark, "tree")
+    texts = s.select((key % 3 != 0).alias("page"), page.alias("path"), F.concat(F.lit("mss"), key).alias("name"),
+                     F.col("s_name").alias("text"))
+    sinks.write_text_files(texts.where("page"), f"{root}/pages")
+    sinks.write_text_files(texts.where("page").withColumn("path", F.replace("path", F.lit(".txt"), F.lit(".xml"))),
+                           f"{root}/pages")
+    sinks.write_text_files(texts.where("NOT page"), f"{root}/results", "name")
+    return f"{root}/pages", f"{root}/results"
+
+
+def _page_key():
+    """Page keys from the title on: a tree may hold them below other folders."""
+    return F.when(F.col("kind") == "page", keys.page_path("doc_id")).otherwise(F.col("doc_id")).alias("doc_id")
+
+
+@register("landed_corpus", f"WITH {SQL_TREE} SELECT doc_id, CASE WHEN page THEN 'page' ELSE 'item' END AS kind, text FROM doc")
+def q_landed_corpus(spark: SparkSession, sf: str) -> DataFrame:
+    """SNK-1, SRC-1..3, FLT-9, SET-1: texts written as files, read as one corpus
+    (the pages' XML twins are left out)."""
+    return files.read_corpus(spark, *_landed_tree(spark, sf)).select(_page_key(), "kind", "text")
+
+
+@register("landed_pages_selected", f"""WITH {SQL_TREE}
+SELECT doc_id, text FROM doc WHERE page AND year BETWEEN 1865 AND 1877 AND nation IN (3, 7, 11)
+UNION ALL SELECT doc_id, text FROM doc WHERE page AND year = 1880""")
+def q_landed_pages_selected(spark: SparkSession, sf: str) -> DataFrame:
+    """SRC-1, FLT-7, FLT-8: pages chosen by title and years, and by a folder pattern;
+    only their files are opened."""
+    root, _ = _landed_tree(spark, sf)
+    chosen = files.read_pages(spark, root, lccns=("sn3", "sn7", "sn11"), years=(1865, 1877))
+    return chosen.unionByName(files.read_pages(spark, root, "/1880/")).select(_page_key(), "text")
+
+
 @register("interrupted_runs", """
 SELECT doc_id, CASE WHEN doc_id % 3 = 0 OR doc_id % 2 = 0 THEN lang ELSE upper(lang) END AS lang FROM documents""")
 def q_interrupted_runs(spark: SparkSession, sf: str) -> DataFrame:

@@ -85,10 +85,13 @@ def _rel(root: str):
     return F.regexp_replace(_file_path(), "^" + re.escape(root_path) + "/?", "")
 
 
-def read_pages(spark: SparkSession, root: str, dir_regex: str | None = None) -> DataFrame:
-    """SRC-1 / FLT-6 / FLT-7 / FLT-9: page texts under ``root``; only ``*.txt``
-    files (``.xml`` twins are skipped) at ``<key>/ocr.txt``. ``dir_regex``
-    (e.g. ``/1877/``) further selects paths."""
+def read_pages(spark: SparkSession, root: str, dir_regex: str | None = None, lccns: tuple[str, ...] | None = None,
+               years: tuple[int, int] | None = None) -> DataFrame:
+    """SRC-1 / FLT-6..9: page texts under ``root``; only ``*.txt`` files (``.xml``
+    twins are skipped) at ``<key>/ocr.txt``. ``dir_regex`` (e.g. ``/1877/``),
+    ``lccns`` and ``years`` (both ends inclusive) further select pages. All of them,
+    and later filters on ``doc_id`` or ``path``, depend on the file's name alone, so
+    Spark applies them to the file listing and opens only the files left."""
     df = spark.read.text(_local_path(root), wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.txt")
     rel = _rel(root)
     out = df.select(F.regexp_extract(F.concat(F.lit("/"), rel), PAGE_FILE_RE, 1).alias("doc_id"),
@@ -96,6 +99,10 @@ def read_pages(spark: SparkSession, root: str, dir_regex: str | None = None) ->
     out = out.where(F.col("doc_id") != "")
     if dir_regex:
         out = out.where(F.col("path").rlike(dir_regex))
+    if lccns is not None:
+        out = out.where(keys.identifier("doc_id").isin(*lccns))
+    if years is not None:
+        out = out.where(F.substring(keys.page_date("doc_id"), 1, 4).try_cast("int").between(*years))
     return out
 
 

@@ -4,10 +4,15 @@ Spark's committers, so a lost executor only retries its task."""
 
 from __future__ import annotations
 
+import os
+import re
+import uuid
+
+from pyarrow import fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import path_exists
+from ..session import path_exists, ship_package
 
 
 def write_stage(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None) -> None:
@@ -18,6 +23,36 @@ def write_stage(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
     w.parquet(path)
 
 
+def write_text_files(texts: DataFrame, root: str, path: str = "path", text: str = "text") -> None:
+    """SNK-1 as a tree of files, one a row, at ``<root>/<path>`` (the layout that the
+    page and item readers take). Tasks write their own rows; a file appears under
+    its name only when it is whole, so a task can be run again. Null texts give empty
+    files, null paths none; of rows with one path any may be the file."""
+    ship_package(texts.sparkSession)
+
+    def put(rows) -> None:
+        store, base = text_store(root)
+        for r in rows:
+            place = f"{base}/{r['path']}"
+            store.create_dir(place.rsplit("/", 1)[0], recursive=True)
+            part = f"{place.rsplit('/', 1)[0]}/.{uuid.uuid4().hex}"
+            with store.open_output_stream(part) as out:
+                out.write((r["text"] or "").encode())
+            store.move(part, place)
+
+    picked = texts.select(F.col(path).alias("path"), F.col(text).alias("text")).where("path IS NOT NULL")
+    picked.foreachPartition(put)
+
+
+def text_store(root: str) -> tuple[pafs.FileSystem, str]:
+    """The file system of ``root`` and its path there."""
+    if "://" not in root and not root.startswith("file:"):
+        return pafs.LocalFileSystem(), os.path.abspath(root)
+    place = re.sub(r"^file:/+", "file:///", re.sub(r"^s3[an]:", "s3:", root))
+    store, base = pafs.FileSystem.from_uri(place)
+    return store, base.rstrip("/")
+
+
 def write_metadata_json(records: DataFrame, path: str, key: str = "identifier") -> None:
     """SNK-2: one ``{identifier: record}`` JSON object per line."""
     fields = [c for c in records.columns if c not in (key, "doc_key")]

@@ -228,3 +228,40 @@ def test_identifiers_of_landed_texts(spark, tmp_path):
     got = files.identifiers_from_texts(files.read_corpus(spark, str(root), str(res)))
     assert {r["identifier"] for r in got.collect()} == {
         "sn91004321/1869/12/30/ed-1/seq-1", "sn91004321/1877/01/02/ed-1/seq-2", "abd2000011", "abd2000012"}
+
+
+def _opened(df):
+    """Rows of ``df`` and the number of files that its scan opens."""
+    spark = df.sparkSession
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = df._jdf.queryExecution().executedPlan()
+        n = plan.execute().count()
+        return n, plan.collectLeaves().head().metrics().apply("numFiles").value()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
+def test_page_filters_choose_files_before_they_are_opened(spark, tmp_path):
+    root = str(tmp_path / "tree")
+    rows = [(f"b/sn{t}/{y}/01/02/ed-1/seq-1/ocr.{ext}", f"{t} {y}") for t in range(3) for y in range(1870, 1880)
+            for ext in ("txt", "xml")]
+    sinks.write_text_files(spark.createDataFrame(rows, "path string, text string"), root)
+    assert _opened(files.read_pages(spark, root)) == (30, 30)
+    assert _opened(files.read_pages(spark, root, "/1877/")) == (3, 3)
+    assert _opened(files.read_pages(spark, root, years=(1872, 1874))) == (9, 9)
+    assert _opened(files.read_pages(spark, root, "/187[0-4]/", ("sn0", "sn2"), (1873, 1879))) == (4, 4)
+    assert files.read_pages(spark, root, lccns=()).count() == 0
+    assert _opened(files.read_pages(spark, root).where("doc_id LIKE '%sn1/1871%'")) == (1, 1)
+
+
+def test_text_files_written_and_written_again(spark, tmp_path):
+    root = str(tmp_path / "out")
+    df = spark.createDataFrame([("a/x.txt", "one\ntwo\n"), ("b c.txt", None), (None, "lost"), ("a/y.txt", "é")],
+                               "path string, text string")
+    for place in (root, "file://" + root, root):
+        sinks.write_text_files(df, place)
+    found = {str(p.relative_to(tmp_path / "out")): p.read_bytes().decode() for p in (tmp_path / "out").rglob("*") if p.is_file()}
+    assert found == {"a/x.txt": "one\ntwo\n", "b c.txt": "", "a/y.txt": "é"}
+    sinks.write_text_files(df.limit(0), str(tmp_path / "none"))
