@@ -14,7 +14,8 @@ from ..operators import filters, tiles, training, vocab
 from ..operators import layout as L
 from ..sources import files, keyed_table, sinks
 from ..sources.tables import table
-from ..streaming.cleaning_stream import scratch_path
+from ..streaming import vocabulary_stream
+from ..streaming.cleaning_stream import read_documents_stream, scratch_path
 from .corpus_queries import MIN_FREQUENCY, SQL_TOKENS, STOPWORDS
 from .layout_queries import SQL_COORDS, SQL_LABELLED, TILE_SIZE, _sql_tiles, coordinates, labelled
 from .metadata_queries import _P, EXCLUDED_HOST, SQL_ORDER_KEYS, SQL_RECORDS, YEARS, order_keys, records, search_results
@@ -186,6 +187,24 @@ def q_new_rows_only(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema(d.schema).parquet(path)
 
 
+@register("growing_vocabulary", f"""WITH {SQL_TOKENS}, w AS (SELECT doc_id, unnest(t) AS word FROM toks)
+SELECT word, count(*) AS tf, count(DISTINCT doc_id) AS df FROM w GROUP BY word""")
+def q_growing_vocabulary(spark: SparkSession, sf: str) -> DataFrame:
+    """AGG-13 / AGG-1: documents that land in three runs (drafts of a third of them,
+    all of them, the drafts again), summed up in between."""
+    root = scratch_path(spark, "growing")
+    docs = table(spark, sf, "documents").select("doc_id", F.lit(2).cast("long").alias("landed"), "text")
+    drafts = docs.where("doc_id % 3 = 0").select(
+        "doc_id", F.lit(1).cast("long").alias("landed"), F.concat("text", F.lit(" draft draft words")).alias("text"))
+    for i, part in enumerate((drafts, docs, drafts)):
+        part.write.mode("append").parquet(f"{root}/landed")
+        stream = read_documents_stream(spark, f"{root}/landed", docs.schema)
+        vocabulary_stream.update_vocabulary(stream, f"{root}/vocabulary", f"{root}/checkpoint")
+        if i == 1:
+            vocabulary_stream.compact(spark, f"{root}/vocabulary")
+    return vocabulary_stream.read_vocabulary(spark, f"{root}/vocabulary")
+
+
 # suppliers as landed texts: two of three are pages (title by nation, year by key), the
 # others items
 FIRST_YEAR = 1860
