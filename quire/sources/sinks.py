@@ -83,8 +83,9 @@ def subject_log(results: DataFrame, subject: str = "subject") -> DataFrame:
 
 
 def write_tiles(tiles: DataFrame, path: str) -> None:
-    """SNK-10: tiles partitioned by (z, tx, ty, page); ``date`` stays a string."""
-    out = tiles
+    """SNK-10: tiles partitioned by (z, tx, ty, page), one file a page, whose rows are
+    at most a tile's; ``date`` stays a string."""
+    out = tiles.repartition("z", "tx", "ty", "page")
     if "date" in tiles.columns:
         out = out.withColumn("date", F.col("date").cast("string"))
     out.write.mode("overwrite").partitionBy("z", "tx", "ty", "page").parquet(path)

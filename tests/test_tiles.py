@@ -67,3 +67,12 @@ def test_empty_input_has_no_tiles(spark):
     df = spark.createDataFrame([], "doc_id long, x double, y double, o long")
     out = tiles.quadtree_tiles(df, F.col("o"))
     assert out.collect() == [] and {"z", "tx", "ty", "page"} <= set(out.columns)
+
+
+def test_one_file_a_page(spark, tmp_path):
+    from quire.sources import sinks
+    rows = [(i, 1, i % 2, i % 3, p) for p in range(2) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id int, z int, tx int, ty int, page int").repartition(7)
+    sinks.write_tiles(df, str(tmp_path / "tiles"))
+    assert len(list((tmp_path / "tiles").rglob("*.parquet"))) == 2 * 3 * 2
+    assert spark.read.parquet(str(tmp_path / "tiles")).count() == 120
