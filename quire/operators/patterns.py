@@ -30,6 +30,9 @@ from pyspark.sql.pandas.types import to_arrow_type
 from ..session import ship_package, stage
 
 AUTOMATON_BYTES = 4 << 20
+# Steps in which a text is cut down to its places: a place in a string is found by
+# walking to it, so cutting a long text at every place at once would be quadratic.
+CUTS = (1 << 20, 1 << 14, 1 << 7, 1)
 
 HITS = T.ArrayType(T.StructType([T.StructField("name", T.StringType()), T.StructField("place", T.IntegerType())]))
 
@@ -78,9 +81,14 @@ def _by_prefix(texts: DataFrame, listed: DataFrame, key: str, text: str) -> Data
                    .withColumn("prefix", F.expr("substring(name, 1, n)")), "names")
     used = [r["n"] for r in listed.select("n").distinct().collect()]  # powers of two
     longest = listed.agg(F.max(size)).first()[0] or 0
-    low = texts.select(F.col(key).alias("key"), F.lower(F.col(text)).alias("t")).where(F.length("t") > 0)
-    at = low.select("key", "t", F.explode(F.sequence(F.lit(1), F.length("t"))).alias("place"))
-    at = at.select("key", "place", F.substring("t", F.col("place"), F.lit(longest)).alias("rest"))
+    low = F.lower(F.col(text))
+    at = texts.select(F.col(key).alias("key"), F.lit(0).alias("before"), F.length(low).alias("own"), low.alias("rest"))
+    for step in CUTS:  # each piece with the places that it owns and as much text as a name from the last may need
+        at = at.where("own > 0").withColumn("skip", F.explode(F.sequence(F.lit(0), F.col("own") - 1, F.lit(step))))
+        at = at.select("key", (F.col("before") + F.col("skip")).alias("before"),
+                       F.least(F.lit(step), F.col("own") - F.col("skip")).alias("own"),
+                       F.substring("rest", F.col("skip") + 1, F.lit(step + longest - 1)).alias("rest"))
+    at = at.select("key", (F.col("before") + 1).alias("place"), "rest")
     pieces = at.select("key", "place", "rest", F.explode(F.array(*[F.lit(n) for n in used]).cast("array<int>")).alias("n"))
     pieces = (pieces.where(F.length("rest") >= F.col("n"))
               .withColumn("prefix", F.expr("substring(rest, 1, n)")))

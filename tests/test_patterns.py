@@ -47,6 +47,13 @@ def test_rows_with_a_name_are_kept_whole(spark, limit):
     assert sorted(r["x.y"] for r in kept.collect()) == ["p", "q"]
 
 
+def test_places_across_cuts(spark):
+    rng = random.Random(2)
+    text = "".join(rng.choice("abcdefghij") for _ in range(40_000))
+    names = [text[i:i + 9] for i in (0, 120, 127, 128, 16_380, 16_384, 32_760, 39_991)] + ["ab", "é"]
+    assert _got(spark, [(1, text), (2, text[:129])], names, 0) == _plain([(1, text), (2, text[:129])], names)
+
+
 def test_long_text_and_long_name(spark):
     text = "ab" * 50_000
     assert len(_got(spark, [(1, text)], ["ba" * 3, "ab" * 49_999], P.AUTOMATON_BYTES)) == 49_997 + 2
