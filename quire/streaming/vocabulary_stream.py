@@ -16,10 +16,13 @@ State is partitioned by document key: a batch touches the documents it brings. O
 one version that landed with several texts the greatest by its sorted words counts.
 A null key is one document like any other; a null text has no words, and a version
 with one takes the words of the document away. Rows with a null version are left out.
+Words hold no line feed (the tokenizer's are cut at white space).
 """
 
 from __future__ import annotations
 
+import json
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -34,33 +37,38 @@ from ..session import path_exists, remove_stages, ship_package
 
 DIFFERENCE = T.StructType([T.StructField("word", T.StringType()), T.StructField("tf", T.LongType()),
                            T.StructField("df", T.LongType())])
-STATE = T.StructType([T.StructField("landed", T.LongType()), T.StructField("words", T.ArrayType(T.StringType())),
-                      T.StructField("counts", T.ArrayType(T.LongType()))])
+STATE = T.StructType([T.StructField("landed", T.LongType()), T.StructField("words", T.BinaryType())])
 
 
 def _newest(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     """The difference that the rows of one document make, and its new state."""
-    landed, words, counts = state.get if state.exists else (None, [], [])
-    before = dict(zip(words, counts))
-    best = None if landed is None else (landed, sorted(before.items()))
+    best, before = None, {}
+    if state.exists:
+        landed, packed = state.get
+        words = json.loads(zlib.decompress(bytes(packed)))
+        best, before = (landed, [tuple(w) for w in words]), dict(words)
+    held = best
     for pdf in batches:
-        for at, tokens in zip(pdf["landed"].tolist(), pdf["tokens"]):
-            seen = (at, sorted(Counter([] if tokens is None else list(tokens)).items()))
+        for at, words in zip(pdf["landed"].tolist(), pdf["words"].tolist()):
+            seen = (at, sorted(Counter(words.split("\n") if words else []).items()))
             if best is None or seen > best:
                 best = seen
-    after = {} if best is None else dict(best[1])
-    if best is not None:
-        state.update((best[0], list(after), [int(n) for n in after.values()]))
+    if best is held:
+        return
+    after = dict(best[1])
+    state.update((best[0], zlib.compress(json.dumps(best[1]).encode())))
     rows = [(w, after.get(w, 0) - before.get(w, 0), (w in after) - (w in before)) for w in {**before, **after}]
     rows = [r for r in rows if r[1] or r[2]]
-    yield pd.DataFrame(rows, columns=["word", "tf", "df"]).astype({"word": object, "tf": "int64", "df": "int64"})
+    if rows:
+        words, tf, df = zip(*rows)
+        yield pd.DataFrame({"word": words, "tf": tf, "df": df})
 
 
 def differences(landed: DataFrame, key: str = "doc_id", version: str = "landed", text: str = "text",
                 tokenizer=tokenize) -> DataFrame:
     """The stream of ``(word, tf, df)`` differences."""
     rows = landed.where(F.col(version).isNotNull()).select(
-        F.col(key).alias("key"), F.col(version).cast("long").alias("landed"), tokenizer(F.col(text)).alias("tokens"))
+        F.col(key).alias("key"), F.col(version).cast("long").alias("landed"), F.array_join(tokenizer(F.col(text)), "\n").alias("words"))
     return rows.groupBy("key").applyInPandasWithState(_newest, DIFFERENCE, STATE, "update", GroupStateTimeout.NoTimeout)
 
 
