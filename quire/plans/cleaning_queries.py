@@ -148,11 +148,12 @@ c AS (SELECT doc_id,
 SELECT doc_id, text FROM c WHERE octet_length(encode(text)) > 0""")
 def q_stream_clean(spark: SparkSession, sf: str) -> DataFrame:
     """The cleaning chain run as a Structured Streaming query over the
-    documents file (availableNow trigger), read back from its sink."""
+    documents table (availableNow trigger), read back from its sink."""
     from ..streaming import cleaning_stream as S
     src = f"{sf.rstrip('/')}/documents.parquet"
     schema = spark.read.parquet(src).schema
-    stream = S.read_documents_stream(spark, sf, schema, glob="documents.parquet").select("doc_id", "text")
+    stream = S.read_table_stream(spark, src, schema).select("doc_id", "text")
     sink = S.scratch_path(spark, "stream-clean")
-    S.run_to_parquet(S.clean(stream, MARKER, REPEATED_LINE), sink, sink + "-checkpoint")
-    return spark.read.parquet(sink)
+    cleaned = S.clean(stream, MARKER, REPEATED_LINE)
+    S.run_to_parquet(cleaned, sink, sink + "-checkpoint")
+    return spark.read.schema(cleaned.schema).parquet(sink)

@@ -26,6 +26,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def read_table_stream(spark: SparkSession, path: str, schema) -> DataFrame:
+    """A parquet file stream over one table, which is a folder of files or a
+    single file (a stream's path must be a folder: that of the file)."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    status = place.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(place)
+    if status.isDirectory():
+        return read_documents_stream(spark, path, schema)
+    folder, _, name = path.rpartition("/")
+    return read_documents_stream(spark, folder or ("/" if path.startswith("/") else "."), schema, glob=name)
+
+
 def read_documents_stream(spark: SparkSession, directory: str, schema, glob: str | None = None) -> DataFrame:
     """A parquet file stream over ``directory`` (optionally only files
     matching ``glob``); new files are picked up by later triggers."""

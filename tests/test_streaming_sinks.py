@@ -146,3 +146,20 @@ def test_cluster_needs_a_shared_folder():
     from quire.session import ensure_checkpoint_dir
     with pytest.raises(RuntimeError):
         ensure_checkpoint_dir(Session())
+
+
+def test_table_stream_reads_a_folder_of_files_and_a_single_file(spark, tmp_path):
+    from quire.plans import cleaning_queries as Q
+    df = spark.createDataFrame([(i, f"text {i}") for i in range(6)], "doc_id long, text string")
+    folder, single = tmp_path / "folder", tmp_path / "single"
+    df.repartition(3).write.parquet(str(folder / "documents.parquet"))
+    df.coalesce(1).write.parquet(str(tmp_path / "one"))
+    single.mkdir()
+    next((tmp_path / "one").glob("*.parquet")).rename(single / "documents.parquet")
+    for place in (folder, single):
+        got = {r["doc_id"]: r["text"] for r in Q.q_stream_clean(spark, str(place)).collect()}
+        assert got == {i: f"text {i}" for i in range(6)}
+    # nothing left: an empty table, not an error
+    gone = tmp_path / "gone"
+    df.where("doc_id < 0").write.parquet(str(gone / "documents.parquet"))
+    assert Q.q_stream_clean(spark, str(gone)).collect() == []
