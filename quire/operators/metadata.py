@@ -29,15 +29,16 @@ def fetch_metadata(identifiers: DataFrame, items: DataFrame, key: str = "identif
     if existing is not None:
         ids = ids.join(existing.select(F.col(key).alias("doc_key")), "doc_key", "left_anti")
     ids = stage(ids.withColumn("lccn", keys.identifier("doc_key")), "identifiers")
-    # one record per identifier; of several, the greatest by its JSON text
+    # one record per identifier; of several, the greatest by its JSON text. Rejects ask
+    # only whether there is one, so that no item is read, compared or moved for them
     it = (items.groupBy(F.col("identifier").alias("lccn"))
-          .agg(F.max_by("item", F.to_json("item")).alias("item")))
+          .agg(F.max_by("item", F.to_json("item")).alias("item"), F.max(F.col("item").isNotNull()).alias("_found")))
     joined = spread_join(ids, it, "lccn", "doc_key")
     records = (joined.where(F.col("item").isNotNull())
                .select("doc_key", F.col("lccn").alias("identifier"),
                        M.item_metadata(F.col("item"), F.col("doc_key")).alias("r"))
                .select("doc_key", "identifier", "r.*"))
-    rejects = joined.where(F.col("item").isNull()).select(
+    rejects = joined.where(~F.coalesce("_found", F.lit(False))).select(
         "doc_key", F.lit("no item record").alias("reason"))
     return records, rejects
 
