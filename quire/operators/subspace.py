@@ -18,7 +18,7 @@ Word2Vec; nothing here descends a gradient.)
 a(word) = v(word) . x over the whole vocabulary, where a is ln(1 + count) of the
 document's words and 0 for all others. The normal equations share one Gram matrix
 of the word vectors, so a document needs only the sum of a * v over its distinct
-words, and a document that was not there in training gets the vector it would
+words (in blocks, see ``dealt``), and a document that was not there in training gets the vector it would
 have had.
 
 Scale. Only Gram matrices of ``vectorSize`` + ``OVERSAMPLE`` columns reach the
@@ -39,30 +39,82 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import remove_stages, ship_package, stage, stage_scope
-from .joins import lookup_join
+from . import dealt
 from .training import model_options, signature
 
 OVERSAMPLE = 10       # columns beyond vectorSize that speed the iterations up
 RIDGE = 1.0
+STEP_PLACES = 1 << 18  # places whose pairs a task codes at once
+HELD_PAIRS = 6_000_000  # counts that a task holds
 SMALLEST = 1e-12      # eigenvalues below this share of the largest count as 0
 
 
 def cooccurrences(tokens: DataFrame, vocabulary: DataFrame, window: int, tokens_col: str = "tokens") -> DataFrame:
     """``(word, context, n)``: how often two words of ``vocabulary(word)`` stand
-    within ``window`` places of each other."""
-    toks = tokens.select(F.col(tokens_col).alias("t"))
-    here = F.col("pos") + 1  # places of an array count from 1
-    start, last = F.greatest(here - window, F.lit(1)), F.least(here + window, F.size("t"))
-    placed = (toks.select("t", F.posexplode("t").alias("pos", "word"))
-              .select("word", F.slice("t", start, last - start + 1).alias("c"), (here - start).alias("at")))
-    pairs = (lookup_join(placed, vocabulary.select("word"), "word", "left_semi")
-             .select("word", "at", F.posexplode("c").alias("k", "context")).where(F.col("k") != F.col("at"))
-             .groupBy("word", "context").agg(F.count(F.lit(1)).alias("n")))
-    return lookup_join(pairs, vocabulary.select(F.col("word").alias("context")), "context", "left_semi")
+    within ``window`` places of each other. Tasks count each two places once, in
+    blocks that know their words (``dealt``); only counts are shuffled, of one order
+    of the two words, and mirrored at the end."""
+    ship_package(tokens.sparkSession)
+    known = vocabulary.select("word").distinct().withColumn("value", F.lit(1).cast("long"))
+    keyed = tokens.select(F.xxhash64(tokens_col).alias("key"), F.col(tokens_col).alias("tokens"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, words, order, held, size = None, None, None, [], 0
+        for block, names, _, part in dealt.documents(batches):
+            if block != at:
+                yield from _counted(words, held)
+                order = pc.array_sort_indices(names)
+                at, words, held, size = block, names.take(order), [], 0
+            flat, doc = dealt.flat_words(part.column("tokens"))
+            row = pc.fill_null(pc.index_in(flat, value_set=words), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+            for a in range(0, len(row), STEP_PLACES):
+                codes = _pairs(row[a:a + STEP_PLACES + window], doc[a:a + STEP_PLACES + window], window, len(words))
+                held.append(np.unique(codes, return_counts=True))
+                size += len(held[-1][0])
+                if size > HELD_PAIRS:
+                    yield from _counted(words, held)
+                    held, size = [], 0
+        yield from _counted(words, held)
+
+    counts = dealt.deal(keyed, known, "key", "tokens").mapInArrow(run, "word string, context string, n long")
+    upper = counts.repartition("word", "context").groupBy("word", "context").agg(F.sum("n").alias("n"))
+    same = F.col("word") == F.col("context")
+    one, other = (F.struct(F.col(x).alias("word"), F.col(y).alias("context"), F.when(same, 2 * F.col("n")).otherwise(F.col("n")).alias("n"))
+                  for x, y in (("word", "context"), ("context", "word")))
+    return upper.select(F.explode(F.when(same, F.array(one)).otherwise(F.array(one, other))).alias("c")).select("c.*")
+
+
+def _pairs(row: np.ndarray, doc: np.ndarray, window: int, words: int) -> np.ndarray:
+    """Codes of the pairs of known words whose first place is one of the first
+    ``STEP_PLACES``."""
+    out = [np.zeros(0, np.int64)]
+    for k in range(1, min(window, len(row) - 1) + 1):
+        left, right = row[:-k][:STEP_PLACES], row[k:][:STEP_PLACES]
+        kept = (left >= 0) & (right >= 0) & (doc[:-k][:STEP_PLACES] == doc[k:][:STEP_PLACES])
+        left, right = left[kept], right[kept]
+        out.append(np.minimum(left, right) * words + np.maximum(left, right))
+    return np.concatenate(out)
+
+
+def _counted(words: pa.Array | None, held: list) -> Iterator[pa.RecordBatch]:
+    """Rows of the counts in ``held``, by code."""
+    if not held:
+        return
+    codes, counts = (np.concatenate(x) for x in zip(*held))
+    order = np.argsort(codes, kind="stable")
+    cuts = np.flatnonzero(np.diff(codes[order], prepend=-1))
+    if not len(cuts):
+        return
+    counts, codes = np.add.reduceat(counts[order], cuts), codes[order][cuts]
+    for a in range(0, len(codes), 1 << 16):
+        part = codes[a:a + (1 << 16)]
+        yield pa.RecordBatch.from_arrays([words.take(pa.array(part // len(words))), words.take(pa.array(part % len(words))),
+                                          pa.array(counts[a:a + (1 << 16)])], names=["word", "context", "n"])
 
 
 def ppmi(pairs: DataFrame) -> DataFrame:
@@ -143,7 +195,10 @@ def train_subspace(tokens: DataFrame, options: dict | None = None, tokens_col: s
         vocabulary = (tokens.select(F.explode(tokens_col).alias("word")).groupBy("word")
                       .agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= opts["minCount"]))
     vocabulary = stage(vocabulary.select("word").distinct(), "vocabulary")
-    cells = stage(ppmi(cooccurrences(tokens, vocabulary, opts["windowSize"], tokens_col)), "ppmi")
+    spark = tokens.sparkSession
+    with stage_scope(spark) as used:
+        cells = stage(ppmi(cooccurrences(tokens, vocabulary, opts["windowSize"], tokens_col)), "ppmi")
+    remove_stages(spark, used[:-1])  # all but the cells
     found = leading_subspace(cells, opts["vectorSize"], opts["maxIter"], opts["seed"])
     zero = F.array_repeat(F.lit(0.0), opts["vectorSize"])
     return vocabulary.join(found, "word", "left").select("word", F.coalesce("vector", zero).alias("vector"))
@@ -189,16 +244,19 @@ class DocumentModel:
     def infer(self, tokens: DataFrame, key: str = "doc_id", tokens_col: str = "tokens") -> DataFrame:
         """``(key, vector)`` of any documents, seen in training or not. Words are
         counted in each document first; only distinct ones meet their vectors."""
-        counts = (tokens.select(key, F.explode(tokens_col).alias("word")).groupBy(key, "word")
-                  .agg(F.count(F.lit(1)).alias("n")))
-        weight = F.log1p(F.col("n").cast("double"))
-        joined = lookup_join(counts, self.words, "word", "inner").select(
-            key, *[(weight * F.col("b")[j]).alias(f"p{j}") for j in range(self.size)])
-        sums = joined.groupBy(key).agg(*[F.sum(f"p{j}").alias(f"s{j}") for j in range(self.size)])
-        found = times(sums.select(key, F.array(*[f"s{j}" for j in range(self.size)]).alias("b")), self.inverse, key)
+        each = self.words.groupBy("word").agg(*[F.sum(F.col("b")[j]).alias(f"s{j}") for j in range(self.size)])
+        lookup = each.select("word", F.array(*[f"s{j}" for j in range(self.size)]).alias("value"))
+        inverse = self.inverse
+
+        def summed(keys: int, run: np.ndarray, row: np.ndarray, n: np.ndarray, values: np.ndarray) -> list[pa.Array]:
+            if not len(row):
+                return [_lists(np.zeros((keys, len(inverse))))]
+            return [_lists(dealt.run_sums(run, values[row] * np.log1p(n)[:, None], keys) @ inverse)]
+
+        kind = tokens.schema[key].dataType.simpleString()
+        found = dealt.by_key(tokens, lookup, key, tokens_col, summed, f"`{key}` {kind}, vector array<double>", [key, "vector"])
         zero = F.array_repeat(F.lit(0.0), self.size)
-        return (tokens.select(key).distinct().join(found, key, "left")
-                .select(key, F.coalesce("b", zero).alias("vector")))
+        return found.select(key, F.when(F.col(key).isNull(), zero).otherwise(F.col("vector")).alias("vector"))
 
 
 def train_documents(spark: SparkSession, tokens: DataFrame, options: dict | None = None, key: str = "doc_id",
