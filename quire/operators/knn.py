@@ -8,11 +8,13 @@ and none is sent to all tasks.
    cells are k-means centres of a sample of about ``CELL_SAMPLE`` vectors, a
    candidate is in its nearest cell, a query is copied to its ``n_probe`` nearest
    cells, and only those cells are read (the index is partitioned by cell).
-2. A cell of more than ``TILE_ROWS`` candidates is dealt over several tiles by a
-   hash of the id, and a query is copied to each of them, so a cell with a third
-   of all rows is many tasks' work. Both sides are shuffled once, by (cell, tile).
-3. A task holds the candidates of one tile and streams the tile's queries past
-   them as matrix products, keeping the best k of the tile for each query.
+2. In each cell the candidates are dealt over tiles of at most about ``TILE_ROWS``
+   and the queries over blocks of about ``QUERY_ROWS``, both by a hash of the id.
+   Every pair of a tile and a block is one task, so that a task has no more rows and
+   no more pairs when the tables grow: there are more tasks. Both sides are shuffled
+   once, a pair of tile and block to a partition of its own.
+3. A task holds the block's queries and streams the tile's candidates past them as
+   matrix products, keeping the best k of the tile for each query.
 4. The tiles' winners are cut to k for each query before and after the last
    shuffle. Ties are broken by candidate id.
 
@@ -35,13 +37,13 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_type
 
 from ..session import materialize, ship_package, stage, stage_path
 
 BLOCK_ROWS = 1024        # queries scored at once
 BATCH_ROWS = 1024        # candidates scored at once
-TILE_ROWS = 16_384       # candidates that a task holds
+QUERY_ROWS = 16_384      # queries that a task holds
+TILE_ROWS = 262_144      # candidates that a task streams
 LEAST_TILE_ROWS = 1024   # smaller tiles are not worth their copies of the queries
 CELL_SAMPLE = 20_000     # vectors that the cells are fitted on, about
 
@@ -64,62 +66,109 @@ def units_of(column: pa.Array) -> np.ndarray:
 
 class Best:
     """The k best candidates of each query seen so far: rows (query, similarity,
-    candidate), and for each query the similarity that a newcomer must reach."""
+    candidate), and for each query the similarity that a newcomer must reach.
+    Candidates are numbers and come in ascending order."""
 
-    def __init__(self, ids: np.ndarray, k: int, exclude_self: bool):
-        self.ids, self.k = ids, k
-        self.own: dict = {}
-        if exclude_self:
-            for row, i in enumerate(ids.tolist()):
-                self.own.setdefault(i, []).append(row)
-        self.floor = np.full(len(ids), -np.inf)
-        self.held: tuple[np.ndarray, ...] | None = None
-
-    def add(self, sims: np.ndarray, cids: np.ndarray) -> None:
-        for col, c in enumerate(cids.tolist()):
-            for row in self.own.get(c, ()):
-                sims[row, col] = -np.inf
-        if sims.shape[1] >= self.k:  # at least k of this batch reach its k-th best
+    def __init__(self, queries: int, k: int):
+        self.k, self.floor = k, np.full(queries, -np.inf)
+        self.rows: list[tuple[np.ndarray, ...]] = []
+        self.waiting = 0  # rows taken in since the last cut
+
+    def add(self, sims: np.ndarray, first: int) -> None:
+        """Take in the candidates ``first``, ``first + 1``, ...; -inf is no candidate."""
+        if sims.shape[1] >= self.k and np.isneginf(self.floor.min()):  # at least k of this batch reach its k-th best
             kth = np.partition(sims, sims.shape[1] - self.k, axis=1)[:, sims.shape[1] - self.k]
             self.floor = np.maximum(self.floor, kth)
-        q, c = np.nonzero((sims >= self.floor[:, None]) & np.isfinite(sims))
-        new = (q, sims[q, c], cids[c])
-        rows = new if self.held is None else tuple(np.concatenate(x) for x in zip(self.held, new))
+        least = np.maximum(self.floor, np.finfo(np.float64).min)
+        at = np.flatnonzero(sims >= least[:, None])
+        q, c = np.divmod(at, sims.shape[1])
+        self.rows.append((q, sims.ravel()[at], first + c))
+        self.waiting += len(at)
+        if self.waiting >= self.k * len(self.floor):
+            self.cut()
+
+    def cut(self) -> tuple[np.ndarray, ...]:
+        rows = tuple(np.concatenate(x) for x in zip(*self.rows))
         order = np.lexsort((rows[2], -rows[1], rows[0]))
         q = rows[0][order]
         place = np.arange(len(q)) - np.searchsorted(q, q)
-        self.held = tuple(x[order[place < self.k]] for x in rows)
-
-
-def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, int, pa.RecordBatch]]:
-    """((cell, tile), side, rows) of each stretch of sorted rows."""
+        held = tuple(x[order[place < self.k]] for x in rows)
+        last = order[place == self.k - 1]
+        # with k held, a later candidate that is only equal comes after them
+        self.floor[rows[0][last]] = np.nextafter(rows[1][last], np.inf)
+        self.rows, self.waiting = [held], 0
+        return held
+
+
+class Block:
+    """The queries of a task, and the best candidates of those streamed past them."""
+
+    def __init__(self, parts: list[pa.RecordBatch], k: int, exclude_self: bool, block_rows: int):
+        self.ids = pa.concat_arrays([p.column("id") for p in parts])
+        units = np.concatenate([units_of(p.column("vector")) for p in parts])
+        self.parts = [(at, units[at:at + block_rows], Best(len(units[at:at + block_rows]), k))
+                      for at in range(0, len(units), block_rows)]
+        self.void = ~np.isfinite(units).all(axis=1)
+        self.own: dict = {}
+        if exclude_self:
+            for row, i in enumerate(self.ids.to_pylist()):
+                self.own.setdefault(i, []).append(row)
+        self.seen: list[pa.Array] = []
+        self.count = 0
+
+    def add(self, ids: pa.Array, units: np.ndarray) -> None:
+        columns, void = units.T, ~np.isfinite(units).all(axis=1)
+        own = [(row, col) for col, i in enumerate(ids.to_pylist()) for row in self.own.get(i, ())] if self.own else []
+        own_rows, own_cols = np.array(own, np.int64).reshape(-1, 2).T
+        for at, queries, best in self.parts:
+            sims = queries @ columns
+            sims[:, void] = -np.inf
+            sims[self.void[at:at + len(queries)]] = -np.inf
+            mine = (own_rows >= at) & (own_rows < at + len(queries))
+            sims[own_rows[mine] - at, own_cols[mine]] = -np.inf
+            best.add(sims, self.count)
+        self.seen.append(ids)
+        self.count += len(ids)
+
+    def winners(self) -> Iterator[pa.RecordBatch]:
+        ids = pa.concat_arrays(self.seen)
+        for at, _, best in self.parts:
+            q, sim, c = best.cut()
+            yield pa.RecordBatch.from_arrays([self.ids.take(pa.array(at + q)), ids.take(pa.array(c)), pa.array(sim)],
+                                             names=["qid", "cid", "sim"])
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, pa.RecordBatch]]:
+    """(pair, side, rows) of each stretch of sorted rows."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        place = np.stack([batch.column(i).to_numpy() for i in range(3)])
+        place = np.stack([batch.column(i).to_numpy() for i in range(2)])
         cuts = (np.flatnonzero((place[:, 1:] != place[:, :-1]).any(axis=0)) + 1).tolist()
         for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
-            cell, tile, side = place[:, a].tolist()
-            yield (cell, tile), side, batch.slice(a, b - a)
+            pair, side = place[:, a].tolist()
+            yield pair, side, batch.slice(a, b - a)
 
 
-def _scorer(k: int, exclude_self: bool, block_rows: int, id_type: pa.DataType):
+def _scorer(k: int, exclude_self: bool, block_rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        where, held = None, []
-        for place, side, part in _parts(batches):
-            if place != where:
-                where, held = place, []
-            ids, units = np.array(part.column("id").to_pylist()), units_of(part.column("vector"))
-            if side == 0:  # the tile's candidates come first
-                held.extend((ids[at:at + BATCH_ROWS], units[at:at + BATCH_ROWS].T) for at in range(0, len(ids), BATCH_ROWS))
+        where, asked, block = None, [], None
+        for pair, side, part in _parts(batches):
+            if pair != where:
+                if block is not None:
+                    yield from block.winners()
+                where, asked, block = pair, [], None
+            if side == 0:  # the block's queries come first
+                asked.append(part)
                 continue
-            for at in range(0, len(ids) if held else 0, block_rows):
-                best = Best(ids[at:at + block_rows], k, exclude_self)
-                for cids, candidates in held:
-                    best.add(units[at:at + block_rows] @ candidates, cids)
-                q, sim, cid = best.held
-                yield pa.RecordBatch.from_arrays([pa.array(best.ids[q].tolist(), id_type), pa.array(cid.tolist(), id_type),
-                                                  pa.array(sim)], names=["qid", "cid", "sim"])
+            if block is None and asked:
+                block, asked = Block(asked, k, exclude_self, block_rows), []
+            if block is not None:
+                for at in range(0, part.num_rows, BATCH_ROWS):
+                    rows = part.slice(at, BATCH_ROWS)
+                    block.add(rows.column("id"), units_of(rows.column("vector")))
+        if block is not None:
+            yield from block.winners()
     return run
 
 
@@ -182,30 +231,40 @@ def _tiles(rows: int, tasks: int) -> int:
     return max(1, -(-rows // TILE_ROWS), min(tasks, -(-rows // LEAST_TILE_ROWS)))
 
 
-def _winners(queries: DataFrame, candidates: DataFrame, sizes: dict[int, int], k: int, exclude_self: bool,
-             block_rows: int) -> DataFrame:
+def _winners(queries: DataFrame, candidates: DataFrame, sizes: dict[int, int], asked: dict[int, int], k: int,
+             exclude_self: bool, block_rows: int) -> DataFrame:
     """``(qid, cid, sim)``: the best k of each tile. Both sides have a ``cell``;
-    ``sizes`` are the candidates of each cell (as many numbers as cells)."""
+    ``sizes`` and ``asked`` are the candidates and the queries of each cell (as many
+    numbers as cells)."""
     spark = candidates.sparkSession
-    slots = spark.sparkContext.defaultParallelism
-    total = sum(sizes.values())
-    share = {c: _tiles(n, -(-slots * n // max(1, total))) for c, n in sizes.items()}
+    wanted = 3 * spark.sparkContext.defaultParallelism  # pairs, so that all slots have work to the end
+    total = max(1, sum(n * asked.get(c, 0) for c, n in sizes.items()))
+    share, pairs = [], 0
+    for cell, n in sizes.items():
+        blocks = max(1, -(-asked.get(cell, 0) // QUERY_ROWS))
+        tiles = _tiles(n, -(-wanted * n * asked.get(cell, 0) // (total * blocks)))
+        share.append((cell, tiles, blocks, pairs))
+        pairs += tiles * blocks
     if len(share) > 1:
-        several = spark.createDataFrame([(c, t) for c, t in share.items() if t > 1], "cell int, tiles int")
-        tiles = F.coalesce("tiles", F.lit(1))
-        candidates, queries = (df.join(several, "cell", "left") for df in (candidates, queries))
+        dealt = spark.createDataFrame(share, "cell int, tiles int, blocks int, first int")
+        candidates, queries = (df.join(dealt, "cell") for df in (candidates, queries))
+        tiles, blocks, first = F.col("tiles"), F.col("blocks"), F.col("first")
     else:
-        tiles = F.lit(max(share.values(), default=1))
-    mine = candidates.select(
-        "cell", F.pmod(F.xxhash64("id"), tiles).cast("int").alias("tile"), F.lit(0).alias("side"), "id", "vector")
-    sent = queries.select(
-        "cell", F.explode(F.sequence(F.lit(0), tiles - 1)).alias("tile"), F.lit(1).alias("side"), "id", "vector")
-    tasks = max(slots, -(-total // TILE_ROWS)) if total else 1
-    dealt = (mine.unionByName(sent).repartition(tasks, "cell", "tile")
-             .sortWithinPartitions("cell", "tile", "side", "id"))
+        cell, *numbers = share[0] if share else (-1, 1, 1, 0)
+        candidates, queries = (df.where(F.col("cell") == cell) for df in (candidates, queries))
+        tiles, blocks, first = (F.lit(n) for n in numbers)
+    tile = F.pmod(F.xxhash64("id"), tiles).cast("int")
+    block = F.pmod(F.xxhash64("id", F.lit(1)), blocks).cast("int")
+    sent = queries.select(F.explode(F.transform(F.sequence(F.lit(0), tiles - 1), lambda t: first + t * blocks + block)).alias("pair"),
+                          F.lit(0).alias("side"), "id", "vector")
+    mine = candidates.select(F.explode(F.transform(F.sequence(F.lit(0), blocks - 1), lambda b: first + tile * blocks + b)).alias("pair"),
+                             F.lit(1).alias("side"), "id", "vector")
+    # each pair has its own partition: by a hash, some tasks would have several
+    dealt = (sent.unionByName(mine).repartitionById(max(1, pairs), F.col("pair"))
+             .sortWithinPartitions("pair", "side", "id"))
     kind = candidates.schema["id"].dataType
     schema = T.StructType([T.StructField("qid", kind), T.StructField("cid", kind), T.StructField("sim", T.DoubleType())])
-    return dealt.mapInArrow(_scorer(k, exclude_self, block_rows, to_arrow_type(kind)), schema)
+    return dealt.mapInArrow(_scorer(k, exclude_self, block_rows), schema)
 
 
 def _ranked(winners: DataFrame, k: int) -> DataFrame:
@@ -219,10 +278,10 @@ def search_cells(queries: DataFrame, index: CellIndex, k: int, n_probe: int, id_
     """``(qid, cid, sim, rank)`` among the candidates in the ``n_probe`` cells
     nearest to each query. Cells that no query probes are not read."""
     probes = stage(_with_cells(_pick(queries, id_col, vec_col), index.centres, n_probe), "knn-probes")
-    cells = [r["cell"] for r in probes.select("cell").distinct().collect()]  # at most one number a cell
-    near = index.rows.where(F.col("cell").isin(cells))
+    asked = {r["cell"]: r["count"] for r in probes.groupBy("cell").count().collect()}  # at most one number a cell
+    near = index.rows.where(F.col("cell").isin(list(asked)))
     sizes = {r["cell"]: r["count"] for r in near.groupBy("cell").count().collect()}
-    return _ranked(_winners(probes, near, sizes, k, exclude_self, block_rows), k)
+    return _ranked(_winners(probes, near, sizes, asked, k, exclude_self, block_rows), k)
 
 
 def top_k_neighbors(queries: DataFrame, candidates: DataFrame, k: int, id_col: str = "id",
@@ -238,8 +297,8 @@ def top_k_neighbors(queries: DataFrame, candidates: DataFrame, k: int, id_col: s
         return search_cells(queries, index, k, n_probe, id_col, vec_col, exclude_self, block_rows)
     one = F.lit(0).alias("cell")
     rows = stage(_pick(candidates, id_col, vec_col), "knn-candidates").select("*", one)
-    asked = _pick(queries, id_col, vec_col).select("*", one)
-    return _ranked(_winners(asked, rows, {0: rows.count()}, k, exclude_self, block_rows), k)
+    asked = rows if queries is candidates else stage(_pick(queries, id_col, vec_col), "knn-queries").select("*", one)
+    return _ranked(_winners(asked, rows, {0: rows.count()}, {0: asked.count()}, k, exclude_self, block_rows), k)
 
 
 def neighbor_counts(queries: DataFrame, neighbors: DataFrame, threshold: float,

@@ -282,3 +282,38 @@ def test_recall_on_the_driver_vectors(spark):
         found = {(r["qid"], r["cid"]) for r in QUERIES["knn_topk_cells"](spark, sf).collect()}
         print(sf, len(exact & found) / len(exact))
         assert len(exact & found) / len(exact) >= 0.9
+
+
+def test_pairs_of_tiles_and_blocks_are_tasks_of_their_own(spark, monkeypatch):
+    """A task has a bounded part of both sides, however many queries there are."""
+    for name, value in (("TILE_ROWS", 60), ("LEAST_TILE_ROWS", 20), ("QUERY_ROWS", 40), ("BATCH_ROWS", 16)):
+        monkeypatch.setattr(knn, name, value)
+    vecs, df = _clustered(spark, 400)
+    dealt, real = [], type(df).mapInArrow
+
+    def noted(self, *args, **kwargs):
+        dealt.append(self)
+        return real(self, *args, **kwargs)
+
+    monkeypatch.setattr(type(df), "mapInArrow", noted)
+    nb = knn.top_k_neighbors(df, df, k=6, block_rows=7).orderBy("qid", "rank").collect()
+    got = {}
+    for r in nb:
+        got.setdefault(r["qid"], []).append(r["cid"])
+    assert got == _brute(vecs, list(range(400)), 6)
+    parts = dealt[0].rdd.mapPartitions(lambda rows: [[(r["pair"], r["side"]) for r in rows]]).collect()
+    assert len(parts) >= 70 and all(len({p for p, _ in part}) == 1 for part in parts)
+    for part in parts:
+        assert sum(s == 0 for _, s in part) < 2 * 40 and sum(s == 1 for _, s in part) < 2 * 60
+
+
+def test_best_of_equal_and_void_candidates():
+    best = knn.Best(2, 2)
+    for first in range(0, 12, 3):  # all equal: the first ones stay, later ones are not taken in
+        best.add(np.array([[1.0, 1.0, 1.0], [-np.inf, -np.inf, 0.5]]), first)
+    q, sim, c = best.cut()
+    assert list(zip(q, sim, c)) == [(0, 1.0, 0), (0, 1.0, 1), (1, 0.5, 2), (1, 0.5, 5)]
+    best = knn.Best(1, 3)
+    best.add(np.array([[0.5, -np.inf]]), 0)
+    best.add(np.array([[0.7, 0.1, 0.5, 0.9]]), 2)
+    assert list(best.cut()[2]) == [5, 2, 0]
