@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +24,9 @@ from ..session import path_exists
 # Layout of a page text: <root>/<lccn/yyyy/mm/dd/ed-n/seq-n>/ocr.txt
 PAGE_FILE_RE = r"/([\w/-]+)/ocr\.txt$"
 
+# Folders on one level from which on tasks list them, each with all that is below it
+LISTED_BY_DRIVER = 8
+
 METADATA_RECORD = T.StructType([
     T.StructField("collections", T.ArrayType(T.StringType())),
     T.StructField("title", T.StringType()),
@@ -85,6 +90,24 @@ def _rel(root: str):
     return F.regexp_replace(_file_path(), "^" + re.escape(root_path) + "/?", "")
 
 
+@contextmanager
+def _few_listing_tasks(spark: SparkSession) -> Iterator[None]:
+    """Deep trees are listed by one job near their root with a few tasks for each slot.
+    By Spark's defaults the first level of more than 32 folders is listed by tasks: of
+    page trees that are the last folders, with a job for each title and year and a
+    task, whose result goes to the driver, for nearly every file."""
+    name = "spark.sql.sources.parallelPartitionDiscovery."
+    few = {f"{name}threshold": str(LISTED_BY_DRIVER), f"{name}parallelism": str(4 * spark.sparkContext.defaultParallelism)}
+    before = {k: spark.conf.get(k, None) for k in few}
+    try:
+        for k, v in few.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def read_pages(spark: SparkSession, root: str, dir_regex: str | None = None, lccns: tuple[str, ...] | None = None,
                years: tuple[int, int] | None = None) -> DataFrame:
     """SRC-1 / FLT-6..9: page texts under ``root``; only ``*.txt`` files (``.xml``
@@ -92,7 +115,8 @@ def read_pages(spark: SparkSession, root: str, dir_regex: str | None = None, lcc
     ``lccns`` and ``years`` (both ends inclusive) further select pages. All of them,
     and later filters on ``doc_id`` or ``path``, depend on the file's name alone, so
     Spark applies them to the file listing and opens only the files left."""
-    df = spark.read.text(_local_path(root), wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.txt")
+    with _few_listing_tasks(spark):  # files are listed here, not when the rows are read
+        df = spark.read.text(_local_path(root), wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.txt")
     rel = _rel(root)
     out = df.select(F.regexp_extract(F.concat(F.lit("/"), rel), PAGE_FILE_RE, 1).alias("doc_id"),
                     F.lit("page").alias("kind"), F.col("value").alias("text"), rel.alias("path"))

@@ -256,6 +256,23 @@ def test_page_filters_choose_files_before_they_are_opened(spark, tmp_path):
     assert _opened(files.read_pages(spark, root).where("doc_id LIKE '%sn1/1871%'")) == (1, 1)
 
 
+def test_page_trees_are_listed_by_few_tasks(spark, tmp_path):
+    """Many folders with a page each, below few titles and years."""
+    root = str(tmp_path / "tree")
+    rows = [(f"b/data/sn{t}/{y}/01/02/ed-1/seq-{n}/ocr.txt", f"{t} {y} {n}") for t in range(10) for y in (1870, 1871)
+            for n in range(40)]
+    sinks.write_text_files(spark.createDataFrame(rows, "path string, text string"), root)
+    spark.sparkContext.setJobGroup("listing", "listing")
+    before = spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.threshold")
+    pages = files.read_pages(spark, root)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    status = spark.sparkContext.statusTracker()
+    jobs = [status.getJobInfo(j) for j in status.getJobIdsForGroup("listing")]
+    assert sum(status.getStageInfo(i).numTasks for j in jobs for i in j.stageIds) <= 10
+    assert spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.threshold") == before
+    assert pages.count() == 800 and {r["text"] for r in pages.collect()} == {t for _, t in rows}
+
+
 def test_text_files_written_and_written_again(spark, tmp_path):
     root = str(tmp_path / "out")
     df = spark.createDataFrame([("a/x.txt", "one\ntwo\n"), ("b c.txt", None), (None, "lost"), ("a/y.txt", "é")],
