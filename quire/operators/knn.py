@@ -10,9 +10,9 @@ and none is sent to all tasks.
    cells, and only those cells are read (the index is partitioned by cell).
 2. In each cell the candidates are dealt over tiles of at most about ``TILE_ROWS``
    and the queries over blocks of about ``QUERY_ROWS``, both by a hash of the id.
-   Every pair of a tile and a block is one task, so that a task has no more rows and
-   no more pairs when the tables grow: there are more tasks. Both sides are shuffled
-   once, a pair of tile and block to a partition of its own.
+   Every pair of a tile and a block is one piece of work, bounded in rows on both
+   sides: when the tables grow there are more pieces. Both sides are shuffled once,
+   by the pair; a task has one, by chance of the hash a few.
 3. A task holds the block's queries and streams the tile's candidates past them as
    matrix products, keeping the best k of the tile for each query.
 4. The tiles' winners are cut to k for each query before and after the last
@@ -255,13 +255,13 @@ def _winners(queries: DataFrame, candidates: DataFrame, sizes: dict[int, int], a
         tiles, blocks, first = (F.lit(n) for n in numbers)
     tile = F.pmod(F.xxhash64("id"), tiles).cast("int")
     block = F.pmod(F.xxhash64("id", F.lit(1)), blocks).cast("int")
-    sent = queries.select(F.explode(F.transform(F.sequence(F.lit(0), tiles - 1), lambda t: first + t * blocks + block)).alias("pair"),
-                          F.lit(0).alias("side"), "id", "vector")
-    mine = candidates.select(F.explode(F.transform(F.sequence(F.lit(0), blocks - 1), lambda b: first + tile * blocks + b)).alias("pair"),
-                             F.lit(1).alias("side"), "id", "vector")
-    # each pair has its own partition: by a hash, some tasks would have several
-    dealt = (sent.unionByName(mine).repartitionById(max(1, pairs), F.col("pair"))
-             .sortWithinPartitions("pair", "side", "id"))
+    sent = queries.select(F.explode(F.transform(F.sequence(F.lit(0), tiles - 1), lambda t: first + t * blocks + block)).alias("tile"),
+                          F.lit(0).alias("side"), "id", "vector", "cell")
+    mine = candidates.select(F.explode(F.transform(F.sequence(F.lit(0), blocks - 1), lambda b: first + tile * blocks + b)).alias("tile"),
+                             F.lit(1).alias("side"), "id", "vector", "cell")
+    # "tile" numbers the pairs; with twice as many partitions, few tasks have several
+    dealt = (sent.unionByName(mine).repartition(2 * max(1, pairs), "cell", "tile")
+             .sortWithinPartitions("tile", "side", "id"))
     kind = candidates.schema["id"].dataType
     schema = T.StructType([T.StructField("qid", kind), T.StructField("cid", kind), T.StructField("sim", T.DoubleType())])
     return dealt.mapInArrow(_scorer(k, exclude_self, block_rows), schema)

@@ -1,4 +1,5 @@
 import math
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -284,7 +285,7 @@ def test_recall_on_the_driver_vectors(spark):
         assert len(exact & found) / len(exact) >= 0.9
 
 
-def test_pairs_of_tiles_and_blocks_are_tasks_of_their_own(spark, monkeypatch):
+def test_pairs_of_tiles_and_blocks_are_bounded(spark, monkeypatch):
     """A task has a bounded part of both sides, however many queries there are."""
     for name, value in (("TILE_ROWS", 60), ("LEAST_TILE_ROWS", 20), ("QUERY_ROWS", 40), ("BATCH_ROWS", 16)):
         monkeypatch.setattr(knn, name, value)
@@ -301,10 +302,11 @@ def test_pairs_of_tiles_and_blocks_are_tasks_of_their_own(spark, monkeypatch):
     for r in nb:
         got.setdefault(r["qid"], []).append(r["cid"])
     assert got == _brute(vecs, list(range(400)), 6)
-    parts = dealt[0].rdd.mapPartitions(lambda rows: [[(r["pair"], r["side"]) for r in rows]]).collect()
-    assert len(parts) >= 70 and all(len({p for p, _ in part}) == 1 for part in parts)
-    for part in parts:
-        assert sum(s == 0 for _, s in part) < 2 * 40 and sum(s == 1 for _, s in part) < 2 * 60
+    parts = dealt[0].rdd.mapPartitions(lambda rows: [[(r["tile"], r["side"]) for r in rows]]).collect()
+    pairs = [{p for p, _ in part} for part in parts]
+    assert len(set.union(*pairs)) >= 70 and sum(map(len, pairs)) == len(set.union(*pairs)) and max(map(len, pairs)) < 7
+    counts = Counter(row for part in parts for row in part)
+    assert all(n < 2 * (60 if side else 40) for (_, side), n in counts.items())
 
 
 def test_best_of_equal_and_void_candidates():
