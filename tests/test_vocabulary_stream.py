@@ -59,3 +59,33 @@ def test_compaction_cut_short(spark, tmp_path):
 def test_nothing_landed(spark, tmp_path):
     assert V.read_vocabulary(spark, str(tmp_path / "out")).collect() == []
     V.compact(spark, str(tmp_path / "out"))
+
+
+def test_documents_do_not_reach_python_one_by_one(spark, tmp_path):
+    """Counting per document was a Python call and a state row for each of them."""
+    root = str(tmp_path)
+    _run(spark, root, [(i, 1, f"alpha w{i % 7}") for i in range(50)])
+    assert not (tmp_path / "check" / "state").exists()
+    assert _got(spark, root) == _want([f"alpha w{i % 7}" for i in range(50)])
+
+
+def test_batch_retried_at_any_point(spark, tmp_path):
+    path = str(tmp_path / "out")
+
+    def batch(rows):
+        return spark.createDataFrame(rows, "key int, landed long, text string")
+
+    first = batch([(1, 1, "alpha beta"), (2, 1, "beta"), (1, 1, "alpha alpha"), (None, 1, "null key")])
+    second = batch([(1, 2, "gamma"), (2, 1, "beta"), (3, 1, None), (None, 2, "alpha")])
+    want = _want(["gamma", "beta", "alpha"])
+    V.take_in(first, 0, path)
+    V.take_in(first, 0, path)
+    # the greater of two texts of one version: two of a word before one
+    assert {r["word"]: r["tf"] for r in V.read_vocabulary(spark, path).collect()} == {"alpha": 2, "beta": 1, "null": 1, "key": 1}
+    for _ in range(2):
+        V.take_in(second, 1, path)
+        assert {r["word"]: (r["tf"], r["df"]) for r in V.read_vocabulary(spark, path).collect()} == want
+    V.compact(spark, path)
+    for again in (second, first):  # also after its sums and documents were compacted
+        V.take_in(again, 1, path)
+        assert {r["word"]: (r["tf"], r["df"]) for r in V.read_vocabulary(spark, path).collect()} == want
