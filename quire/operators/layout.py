@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from ..functions import metadata as M
 from ..functions import vectors as V
+from ..session import stage
 from .vocab import with_row_index
 
 SHUFFLE_SEED = 20211
@@ -67,9 +68,12 @@ def shuffle_key(key: str = "doc_id", seed: int = SHUFFLE_SEED):
     return F.md5(F.concat(F.lit(f"{seed}/"), F.coalesce(F.col(key).cast("string"), F.lit(""))).cast("binary"))
 
 
-def shuffled(df: DataFrame, key: str = "doc_id", seed: int = SHUFFLE_SEED) -> DataFrame:
+def shuffled(df: DataFrame, key: str = "doc_id", seed: int = SHUFFLE_SEED, stored: bool = False) -> DataFrame:
     """VIZ-2 / ORD-1: rows in a seeded random order (a distributed range sort;
-    the CSV header is a writer option, so it stays first)."""
+    the CSV header is a writer option, so it stays first). The sort samples its
+    input in a separate job and so reads a stored copy, unless ``df`` reads a
+    stored table (``stored``): the work before it is done once."""
+    df = df if stored else stage(df, "shuffle-rows")
     return df.orderBy(shuffle_key(key, seed), F.col(key))
 
 

@@ -113,7 +113,7 @@ def corpus_map(docs: DataFrame, metadata: DataFrame, dictionary: DataFrame, opti
         doc_vectors, first[0] if first else config.model()["vectorSize"], options.layout_seed, key=key))
     placed = coords.where(F.col("x").isNotNull())  # a zero vector has no place on the map
     lab = keep("labelled_rows", layout.labelled_table(placed, meta, list(options.keywords), key=key))
-    shuffled = layout.shuffled(lab, key)
+    shuffled = layout.shuffled(lab, key, stored=True)
     out["labelled"] = shuffled if options.include_key else shuffled.drop(key)
     if options.tile_size:
         out["tiles"] = tiles.quadtree_tiles(lab, layout.shuffle_key(key), key=key, tile_size=options.tile_size)

@@ -91,3 +91,11 @@ def test_knn_meets_in_one_shuffle(spark, capsys):
     assert sum("hashpartitioning(cell" in line and "tile" in line for line in dealt) == 1
     assert sum("hashpartitioning(qid" in line for line in dealt) == 1
     assert all(any(f"hashpartitioning({c}" in line for c in ("cell", "qid", "vec_id")) for line in dealt)  # vec_id: the test scan
+
+
+def test_shuffle_sorts_stored_rows(spark):
+    """The range sort samples its input: what comes before it is not done twice."""
+    from quire.operators import layout
+    out = layout.shuffled(spark.range(100).select(F.col("id").alias("doc_id"), F.rand(3).alias("x")))
+    assert "rand" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(r["doc_id"] for r in out.collect()) == list(range(100))
