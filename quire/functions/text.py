@@ -9,7 +9,10 @@ from __future__ import annotations
 
 import string
 from collections.abc import Iterable
+from hashlib import md5
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -34,6 +37,9 @@ TRANSCRIPTION_ATTRIBUTION = (
 WHITESPACE_RE = r"(?U)[\s\x1c-\x1f]+"
 
 
+HELD_TAILS = 1 << 16  # positions that a task has as text, and hashes at once
+
+
 def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -168,21 +174,50 @@ def lower_list(xs: ColumnOrName) -> Column:
     return F.transform(_col(xs), lambda w: F.lower(w))
 
 
+def _position_sampler(seed: int):
+    """Of ``n`` positions the ``k`` of the least md5 of ``prefix``, position and seed, in
+    the order of (md5, position). Built here, so that tasks need not import this module."""
+    def hashes(head: bytes, tails: list[bytes]) -> bytes:
+        return b"".join([md5(head + t).digest() for t in tails])
+
+    def chosen(head: bytes, n: int, k: int, tails: list[bytes]) -> list[int]:
+        if k <= 0:
+            return []
+        digests = [hashes(head, tails[:n])]
+        for at in range(HELD_TAILS, n, HELD_TAILS):
+            digests.append(hashes(head, [f"{i}/{seed}".encode() for i in range(at, min(n, at + HELD_TAILS))]))
+        high, low = np.frombuffer(b"".join(digests), ">u8").astype("u8").reshape(-1, 2).T
+        near = np.arange(n)
+        if k < n:  # the others have a greater first half
+            near = np.flatnonzero(high <= np.partition(high, k - 1)[k - 1])
+        return near[np.lexsort((near, low[near], high[near]))][:k].tolist()
+
+    def positions(prefix: pd.Series, n: pd.Series, k: pd.Series) -> pd.Series:
+        none = n.isna() | k.isna()
+        sizes = n.mask(none, 0).astype("int64").tolist()
+        tails = [f"{i}/{seed}".encode() for i in range(min(max(sizes, default=0), HELD_TAILS))]
+        return pd.Series([None if gone else chosen(head.encode(), size, int(wanted), tails)
+                          for head, size, wanted, gone in zip(prefix, sizes, k, none)], dtype=object)
+
+    return F.pandas_udf(positions, "array<int>")
+
+
 def sample_tokens(tokens: ColumnOrName, fraction: float, seed: int, *key: ColumnOrName,
                   keep_order: bool = True) -> Column:
     """TXT-16: deterministic sample without replacement of ``bround(n*fraction)``
     tokens. Tokens are ranked by the md5 of (key, position, seed), so the sample
     is reproducible and independent of partitioning. ``fraction=1.0`` keeps all.
-    ``keep_order=False`` skips restoring text order (for order-free uses)."""
+    ``keep_order=False`` skips restoring text order (for order-free uses).
+    Only the number of tokens goes to Python, which ranks the positions."""
     toks = _col(tokens)
     if fraction >= 1.0:
         return toks
-    keys = [_col(k) for k in key]
-    k = F.bround(F.size(toks) * F.lit(float(fraction))).cast("int")
-    ranked = F.transform(toks, lambda w, i: F.struct(
-        F.md5(F.concat_ws("/", *[x.cast("string") for x in keys], i.cast("string"), F.lit(str(seed)))
-              .cast("binary")).alias("h"), i.alias("i"), w.alias("w")))
-    picked = F.slice(F.sort_array(ranked), 1, k)
+    # as concat_ws has it: a null part leaves no separator
+    prefix = F.concat(F.lit(""), *[F.coalesce(F.concat(_col(k).cast("string"), F.lit("/")), F.lit("")) for k in key])
+    n = F.size(toks)
+    picked = _position_sampler(seed)(prefix, n, F.bround(n * F.lit(float(fraction))).cast("int"))
     if keep_order:
-        picked = F.sort_array(F.transform(picked, lambda s: F.struct(s["i"].alias("i"), s["w"].alias("w"))))
-    return F.transform(picked, lambda s: s["w"])
+        picked = F.sort_array(picked)
+    # one struct, so that the tokens are evaluated once and not for each position
+    both = F.array(F.struct(toks.alias("words"), picked.alias("at")))
+    return F.transform(both, lambda b: F.transform(b["at"], lambda i: F.get(b["words"], i)))[0]

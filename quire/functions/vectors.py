@@ -38,6 +38,11 @@ def unit(v, v_norm) -> Column:
         F.transform(_c(v), lambda x: F.lit(0.0)))
 
 
+def normalized(v) -> Column:
+    """``unit(v, norm(v))`` with the norm evaluated once, not for each element."""
+    return F.transform(F.array(norm(v)), lambda n: unit(v, n))[0]
+
+
 def dot_literal(v, values: Sequence[float]) -> Column:
     """Dot product with a constant vector: one literal array and a left fold
     (a small plan; unrolling d terms makes a deep tree that is slow to

@@ -41,7 +41,7 @@ def base_vectors(word_vectors: DataFrame, base_words: Sequence[str]) -> DataFram
     return (word_vectors.where(F.col("word").isin(*words))
             .select("word", F.col("vector").cast("array<double>").alias("v"))
             .groupBy("word").agg(F.max("v").alias("v"))
-            .select("word", V.unit("v", V.norm("v")).alias("v")))
+            .select("word", V.normalized("v").alias("v")))
 
 
 def word_similarities(word_vectors: DataFrame, bases: DataFrame) -> DataFrame:
@@ -50,9 +50,11 @@ def word_similarities(word_vectors: DataFrame, bases: DataFrame) -> DataFrame:
     # as many elements as there are keywords: a parameter's size
     known = bases.agg(F.sort_array(F.collect_list(F.struct("word", "v"))).alias("b")).scalar()
     wv = word_vectors.groupBy("word").agg(F.max(F.col("vector").cast("array<double>")).alias("v"))
-    wv = wv.select("word", V.unit("v", V.norm("v")).alias("v"), known.alias("b"))
-    return wv.select("word", F.map_from_entries(
-        F.transform("b", lambda b: F.struct(b["word"], V.dot("v", b["v"])))).alias("sims"))
+    wv = wv.select("word", "v", known.alias("b"))
+    # the unit vector is bound once, not evaluated for each keyword
+    sims = F.transform(F.array(V.normalized("v")),
+                       lambda v: F.transform("b", lambda b: F.struct(b["word"], V.dot(v, b["v"]))))[0]
+    return wv.select("word", F.map_from_entries(sims).alias("sims"))
 
 
 def keyword_scores(docs: DataFrame, word_vectors: DataFrame, base_words: Sequence[str],
@@ -66,11 +68,12 @@ def keyword_scores(docs: DataFrame, word_vectors: DataFrame, base_words: Sequenc
     found = bases.agg(F.collect_set("word").alias("w")).scalar()
     sims = word_similarities(word_vectors, bases)
     toks = T.long_tokens(tokenizer(F.col(text)), MIN_WORD_LENGTH)
+    tokens = docs.select(key, toks.alias("_t"))
     if fraction < 1.0:
-        toks = T.sample_tokens(toks, fraction, seed, F.col(key), keep_order=False)
+        tokens = tokens.select(key, T.sample_tokens("_t", fraction, seed, F.col(key), keep_order=False).alias("_t"))
     # the word count is taken before the explode so that the generator does
     # not carry the whole token array on every output row
-    per_doc = (docs.select(key, toks.alias("_t")).select(key, "_t", F.size("_t").alias("_n"))
+    per_doc = (tokens.select(key, "_t", F.size("_t").alias("_n"))
                .select(key, "_n", F.explode_outer("_t").alias("word")))
     joined = lookup_join(per_doc, sims.select(
         "word", *[F.try_element_at("sims", F.lit(w)).cast(FIXED_POINT).alias(f"_c{i}") for i, w in enumerate(names)]),

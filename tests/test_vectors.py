@@ -319,3 +319,44 @@ def test_best_of_equal_and_void_candidates():
     best.add(np.array([[0.5, -np.inf]]), 0)
     best.add(np.array([[0.7, 0.1, 0.5, 0.9]]), 2)
     assert list(best.cut()[2]) == [5, 2, 0]
+
+
+def test_sampled_positions_are_those_of_md5(spark):
+    """The ranking of (key, position, seed) by md5, in Python: not in a sort of structs
+    that Spark interprets token by token."""
+    from hashlib import md5
+    rows = [(1, [f"w{i}" for i in range(70_000)]), (2, ["a", "b", "a"]), (3, []), (4, None),
+            (None, [f"n{i}" for i in range(15)])]
+    docs = spark.createDataFrame(rows, "doc_id int, t array<string>")
+
+    def want(key, toks):
+        if toks is None:
+            return None
+        head = "" if key is None else f"{key}/"
+        ranked = sorted((md5(f"{head}{i}/17".encode()).hexdigest(), i) for i in range(len(toks)))
+        return [toks[i] for _, i in ranked[:round(len(toks) * 0.1)]]
+
+    sampled = docs.select("doc_id", scoring.T.sample_tokens("t", 0.1, 17, F.col("doc_id"), keep_order=False).alias("s"))
+    assert {r["doc_id"]: r["s"] for r in sampled.collect()} == {k: want(k, t) for k, t in rows}
+    assert "md5" not in sampled._jdf.queryExecution().executedPlan().toString()
+
+
+def test_norm_is_evaluated_once_for_a_vector(spark):
+    from quire.functions import vectors as V
+    wv = spark.createDataFrame([("a", [3.0, 4.0]), ("b", [0.0, 0.0]), ("c", [4.0, 3.0])], "word string, vector array<double>")
+    sims = scoring.word_similarities(wv, scoring.base_vectors(wv, ["a"]))
+    assert {r["word"]: r["sims"] for r in sims.collect()} == {"a": {"a": 1.0}, "b": {"a": 0.0}, "c": {"a": 0.96}}
+    plan = wv.select(V.normalized("vector").alias("u"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("SQRT") == 1
+
+
+def test_corrected_texts_across_arrow_batches(spark):
+    """Words are joined from a sorted stream, also where a document fills several batches."""
+    dic = spark.createDataFrame([("good",), ("word",)], "word string")
+    corr = spark.createDataFrame([("gud", "good")], "nonword string, good_word string")
+    rows = [(1, "Gud word zzz " * 3000), (2, None), (3, "zzz"), (4, "word"), (None, "gud gud"), (5, ""), (4, "gud zzz")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    assert "collect_list" not in (out := corrections.replace_nonwords(docs, dic, corr))._jdf.queryExecution().toString()
+    got = [(r["doc_id"], r["text"]) for r in out.collect()]
+    assert len(got) == 6  # the rows of one key are one text, by place and word
+    assert dict(got) == {1: " ".join(["good word"] * 3000), 2: "", 3: "", 4: "good word", None: "good good", 5: ""}
