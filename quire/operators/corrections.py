@@ -14,13 +14,19 @@ would change the answer.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as ST
 
 from ..functions import text as T
 from . import knn
 from .joins import lookup_join
-from ..session import stage
+from ..session import ship_package, stage
 
 # Fixed values of the reference.
 SIMILARITY_THRESHOLD = 0.6
@@ -84,13 +90,50 @@ def word_map(dictionary: DataFrame, corrections: DataFrame) -> DataFrame:
     return keep.unionByName(fix)
 
 
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``(key, out)`` sorted by key, one row a word (null: none), to one text a key."""
+    key, held = (), []  # of the key that may go on (none: ()), the words so far
+
+    def batch_of(keys: pa.Array, texts: list[str]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([keys, pa.array(texts, pa.string())], names=["key", "text"])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys, out = batch.columns
+        code = keys.dictionary_encode(null_encoding="encode").indices.to_numpy()
+        starts = np.flatnonzero(np.diff(code, prepend=-1))
+        kept = np.concatenate([[0], np.cumsum(out.is_valid().to_numpy(zero_copy_only=False))])
+        ends = kept[[*starts.tolist(), batch.num_rows]]
+        words = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), out.drop_null())
+        texts, some = pc.binary_join(words, " ").to_pylist(), (np.diff(ends) > 0).tolist()
+        keys = keys.take(pa.array(starts))
+        if key and key[0] != keys[0].as_py():
+            yield batch_of(pa.array(key, keys.type), [" ".join(held)])
+            held = []
+        held += texts[:1] if some[0] else []
+        key = (keys[-1].as_py(),)
+        if len(texts) > 1:
+            yield batch_of(keys[:-1], [" ".join(held), *texts[1:-1]])
+            held = texts[-1:] if some[-1] else []
+    if key:
+        yield batch_of(pa.array(key, keys.type), [" ".join(held)])
+
+
 def replace_nonwords(docs: DataFrame, dictionary: DataFrame, corrections: DataFrame,
                      key: str = "doc_id", text: str = "text") -> DataFrame:
     """TXT-15: per whitespace word, normalise; keep dictionary words, substitute
     corrected nonwords, drop the rest; re-join with spaces in text order.
-    Documents with no surviving word become ''."""
-    words = docs.select(key, F.posexplode_outer(T.tokenize(F.col(text))).alias("pos", "word"))
-    mapped = lookup_join(words, word_map(dictionary, corrections), "word")
-    kept = F.when(F.col("out").isNotNull(), F.struct("pos", "out"))
-    out = mapped.groupBy(key).agg(F.sort_array(F.collect_list(kept)).alias("_w"))
-    return out.select(key, F.array_join(F.transform("_w", lambda s: s["out"]), " ").alias(text))
+    Documents with no surviving word become ''.
+
+    The words that are left are sorted by document and place and joined from the
+    stream, so that no list of a document's words is built on the way; a
+    document's first word stays as a row, so that no document is lost."""
+    ship_package(docs.sparkSession)
+    words = docs.select(F.col(key).alias("key"), F.posexplode_outer(T.tokenize(F.col(text))).alias("pos", "word"))
+    mapped = (lookup_join(words, word_map(dictionary, corrections), "word").select("key", "pos", "out")
+              .where(F.col("out").isNotNull() | (F.coalesce("pos", F.lit(0)) == 0)))
+    kind = docs.schema[key].dataType
+    schema = ST.StructType([ST.StructField("key", kind), ST.StructField("text", ST.StringType())])
+    placed = mapped.repartition("key").sortWithinPartitions("key", "pos", "out").select("key", "out")
+    return placed.mapInArrow(_texts, schema).select(F.col("key").alias(key), F.col("text").alias(text))
