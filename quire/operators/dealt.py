@@ -72,7 +72,7 @@ def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Array
                 values = matrix(column) if pa.types.is_list(column.type) else column.to_numpy(zero_copy_only=False)
                 held = []
             elif words is None:
-                words, values = pa.array([], pa.string()), np.zeros((0, 1))
+                words, values = pa.array([], part.column("word").type), np.zeros((0, 1))
             yield block, words, values, part
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import tokenize
 from ..operators import corrections, knn, scoring, vocab
-from ..session import stage
+from ..session import remove_stages, stage, stage_scope
 from ..sources.tables import table
 from .registry import register
 from .sqlfrag import sql_str
@@ -328,9 +328,12 @@ def q_inferred_doc_vectors(spark: SparkSession, sf: str) -> DataFrame:
     """VEC-1: vectors of all documents, for words trained on those whose id is not
     divisible by 5: the others are new to the model."""
     from ..operators import subspace
-    toks = _tokens(spark, sf)
+    with stage_scope(spark) as used:
+        toks = _tokens(spark, sf)
     words = subspace.train_subspace(toks.where(F.col("doc_id") % 5 != 0), SUBSPACE_OPTIONS)
-    return subspace.DocumentModel(words, SUBSPACE_OPTIONS["vectorSize"]).infer(toks)
+    vectors = subspace.DocumentModel(words, SUBSPACE_OPTIONS["vectorSize"]).infer(toks)
+    remove_stages(spark, used)
+    return vectors
 
 
 SAMPLE_SEED = 17

@@ -112,6 +112,23 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+SPENT_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stage_packed(df: DataFrame, label: str) -> DataFrame:
+    """``stage`` for what is large beside the input: stronger compression, and Spark
+    deletes the shuffles made for it when it is written, not when the driver's
+    memory happens to be collected."""
+    spark, path = df.sparkSession, stage_path(df.sparkSession, label)
+    before = spark.conf.get(SPENT_SHUFFLES, None)
+    spark.conf.set(SPENT_SHUFFLES, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(SPENT_SHUFFLES) if before is None else spark.conf.set(SPENT_SHUFFLES, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def stage_path(spark: SparkSession, label: str) -> str:
     """A new folder's path in the shared folder; a ``stage_scope`` that is open
     on this session will know it."""
