@@ -320,7 +320,11 @@ def q_ppmi_cells(spark: SparkSession, sf: str) -> DataFrame:
 def q_trained_subspace(spark: SparkSession, sf: str) -> DataFrame:
     """VEC-1, UDF-3, UDF-5: trained word vectors (an iteration, so no SQL)."""
     from ..operators import subspace
-    return subspace.train_subspace(_tokens(spark, sf), SUBSPACE_OPTIONS)
+    with stage_scope(spark) as used:
+        toks = _tokens(spark, sf)
+    vectors = subspace.train_subspace(toks, SUBSPACE_OPTIONS)
+    remove_stages(spark, used)
+    return vectors
 
 
 @register("inferred_doc_vectors")
