@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import tokenize
 from ..operators import corrections, knn, scoring, vocab
-from ..session import remove_stages, stage, stage_scope
+from ..session import remove_stages, stage, stage_packed, stage_scope
 from ..sources.tables import table
 from .registry import register
 from .sqlfrag import sql_str
@@ -300,9 +300,13 @@ SUBSPACE_OPTIONS = {"vectorSize": 16, "minCount": 25, "windowSize": 5, "maxIter"
 
 def _cells(spark: SparkSession, sf: str) -> DataFrame:
     from ..operators import subspace, vocab
-    toks = _tokens(spark, sf)
-    words = vocab.word_frequencies(toks, "tokens").where(F.col("tf") >= SUBSPACE_OPTIONS["minCount"]).select("word")
-    return subspace.ppmi(subspace.cooccurrences(toks, stage(words, "vocabulary"), SUBSPACE_OPTIONS["windowSize"]))
+    with stage_scope(spark) as used:
+        toks = _tokens(spark, sf)
+        words = vocab.word_frequencies(toks, "tokens").where(F.col("tf") >= SUBSPACE_OPTIONS["minCount"]).select("word")
+        words = stage_packed(words, "vocabulary")
+    counts = subspace.cooccurrences(toks, words, SUBSPACE_OPTIONS["windowSize"])
+    remove_stages(spark, used)  # the counts are stored
+    return subspace.ppmi(counts)
 
 
 @register("ppmi_cells", SQL_TRAINED + """,
